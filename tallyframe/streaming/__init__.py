@@ -1,0 +1 @@
+"""Empty on purpose: the rebuilt scripts hold no streaming work."""
