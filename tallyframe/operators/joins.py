@@ -24,14 +24,17 @@ def key_pairs(on: On) -> list[tuple[str, str]]:
 
 
 def join_on(left: DataFrame, right: DataFrame, on: On, how: str = "inner") -> DataFrame:
-    """Equi-join on (left, right) column pairs; the right key columns are not kept."""
+    """Equi-join on (left, right) column pairs.
+
+    The right key columns are not kept, nor are right columns named like a left one.
+    """
     pairs = key_pairs(on)
     keys = [l for l, _ in pairs]
-    right = right.withColumnsRenamed({r: l for l, r in pairs if l != r})
+    matched = [r for _, r in pairs]
+    added = [name for name in right.columns if name not in left.columns and name not in matched]
+    right = right.select(*[F.col(r).alias(l) for l, r in pairs], *added)
     joined = left.join(right, keys, how)
-    if how in ("left_semi", "left_anti"):
-        return joined.select(*left.columns)
-    return joined.select(*left.columns, *[name for name in right.columns if name not in keys])
+    return joined.select(*left.columns) if how in ("left_semi", "left_anti") else joined.select(*left.columns, *added)
 
 
 def through_bridge(left: DataFrame, bridge: DataFrame, right: DataFrame, left_on: On, right_on: On) -> DataFrame:

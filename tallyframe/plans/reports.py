@@ -30,6 +30,7 @@ from tallyframe.operators.joins import (
 )
 from tallyframe.operators.numbering import number_rows
 from tallyframe.operators.rollup import Hop, Measure, count_by_value, roll_up
+from tallyframe.sources.tables import inline_rows
 
 _LIST_LIMIT = 1_000
 
@@ -39,7 +40,7 @@ def in_list(df: DataFrame, name: str, values: Sequence[str]) -> DataFrame:
     values = list(dict.fromkeys(v for v in values if v is not None))
     if len(values) <= _LIST_LIMIT:
         return df.filter(F.col(name).isin(values))
-    listed = df.sparkSession.createDataFrame([(v,) for v in values], f"{name} string")
+    listed = inline_rows(df.sparkSession, [(v,) for v in values], f"{name} string")
     return exists_in(df, listed, [name])
 
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Mapping
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from tallyframe.functions.text import tagged
@@ -34,8 +36,14 @@ class Tables(Mapping[str, DataFrame]):
 
 
 def inline_rows(spark: SparkSession, rows: Iterable[tuple], schema: str | StructType) -> DataFrame:
-    """A relation written out in the program, with declared column types."""
-    return spark.createDataFrame(list(rows), schema)
+    """A relation written out in the program, with declared column types.
+
+    It goes over as an Arrow table, so the planner knows how small it is.
+    """
+    types = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    names = types.names
+    table = pa.Table.from_pylist([dict(zip(names, row)) for row in rows], schema=to_arrow_schema(types))
+    return spark.createDataFrame(table, schema=types)
 
 
 def numbers(spark: SparkSession, first: int, last: int, name: str = "x") -> DataFrame:
