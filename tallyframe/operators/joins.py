@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyframe.operators.sizes import fits_broadcast
+from tallyframe.operators.sizes import fits_broadcast, may_skew
 
 On = Sequence[str | tuple[str, str]]
 
@@ -87,11 +87,12 @@ def _unique_side_join(left: DataFrame, right: DataFrame, on: On, how: str, right
     """Join ``left`` with ``right``, which holds each key once, without a hot shuffle partition.
 
     Rows of hot keys join a broadcast of those few keys' rows where they lie; all
-    other rows join by shuffle. The two parts are disjoint and together whole.
+    other rows join by shuffle. The two parts are disjoint and together whole. A
+    left side too small to make a skewed partition is joined in one piece.
     """
     pairs = key_pairs(on)
     left_names, right_names = [l for l, _ in pairs], [r for _, r in pairs]
-    split = not right_bounded and _hashes_agree(left, right, pairs)
+    split = not right_bounded and may_skew(left) and _hashes_agree(left, right, pairs)
     hot = hot_keys(left, left_names) if split else []
     if not hot:
         return join_on(left, right, on, how)
@@ -159,13 +160,14 @@ def not_in(left: DataFrame, left_key: str, right: DataFrame, right_key: str) ->
 
 
 def pair_with_one(left: DataFrame, single: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Attach columns of a one-row relation as scalar subqueries.
+    """Attach columns of a one-row relation, read as one scalar subquery.
 
     ``columns`` maps new names to names in ``single``. No row drops every row of
     ``left``, like the inner join it stands for; two rows are an error.
     """
-    found = single.agg(F.count("*").alias("n")).scalar() > 0
-    return left.filter(found).withColumns({new: single.select(name).scalar() for new, name in columns.items()})
+    row = single.select(F.struct(*[F.col(name).alias(new) for new, name in columns.items()]).alias("_one")).scalar()
+    paired = left.withColumn("_one", row).filter(F.col("_one").isNotNull())
+    return paired.select(*left.columns, *[F.col("_one")[new].alias(new) for new in columns])
 
 
 def holders_of_max(rows: DataFrame, group: Sequence[str], value: str, max_groups: int | None = None) -> DataFrame:

@@ -659,64 +659,67 @@ def delete_parents(t: Tables) -> DataFrame:
     return _forget(t)["orders"].table.select("o_orderkey", "o_custkey")
 
 
-def _derived(t: Tables) -> tuple[changes.Change, changes.Change]:
-    """Rent every part of two names to the richest customer, then pay for it."""
-    moment = dt.datetime(2017, 1, 15)
-    films = shaped(t["part"], film_id="p_partkey", title="p_name", rental_duration="p_size", rental_rate=money("p_retailprice"))
-    copies = shaped(t["part"], inventory_id="p_partkey", film_id="p_partkey")
+RENTED_ON = dt.datetime(2017, 1, 15)
+
+
+def _renting(t: Tables) -> dict[str, DataFrame | Column | dt.datetime]:
+    """The richest customer rents every part of three names."""
     richest = t["customer"].orderBy(*sort_keys("-c_acctbal", "c_custkey")).limit(1)
-    customer = shaped(richest, customer_id="c_custkey")
+    return {
+        "films": shaped(
+            t["part"],
+            film_id="p_partkey",
+            title="p_name",
+            rental_duration="p_size",
+            rental_rate=money("p_retailprice"),
+        ),
+        "copies": shaped(t["part"], inventory_id="p_partkey", film_id="p_partkey"),
+        "customer": shaped(richest, customer_id="c_custkey"),
+        "wanted": F.upper("title").isin("RED WIDGET", "HOT RING", "SMALL WIDGET"),
+        "moment": RENTED_ON,
+    }
+
+
+def _rented(t: Tables) -> changes.Change:
+    no_time = F.lit(None).cast("timestamp_ntz")
     rentals = shaped(
         _customer_lines(t),
         rental_id="l_orderkey",
-        rental_date=F.lit(None).cast("timestamp_ntz"),
+        rental_date=no_time,
         inventory_id="l_partkey",
         customer_id="customer_id",
-        return_date=F.lit(None).cast("timestamp_ntz"),
+        return_date=no_time,
         staff_id=F.lit(None).cast("bigint"),
-        last_update=F.lit(None).cast("timestamp_ntz"),
+        last_update=no_time,
     )
-    payments = shaped(
-        t["orders"],
-        payment_id="o_orderkey",
-        customer_id="o_custkey",
-        staff_id=F.lit(None).cast("bigint"),
-        rental_id="o_orderkey",
-        amount=money("o_totalprice"),
-        payment_date="o_orderdate",
-    )
-    wanted = F.upper("title").isin("RED WIDGET", "HOT RING", "SMALL WIDGET")
-    rented = loads.derive_rentals(
-        copies=copies,
-        films=films,
-        customer=customer,
+    return loads.derive_rentals(
+        **_renting(t),
         staff=shaped(t["supplier"], staff_id="s_suppkey"),
         rentals=rentals,
-        wanted=wanted,
-        moment=moment,
-        now=F.lit(moment).cast("timestamp_ntz"),
+        now=F.lit(RENTED_ON).cast("timestamp_ntz"),
     )
-    paid = loads.derive_payments(
-        rentals=rented.table,
-        copies=copies,
-        films=films,
-        customer=customer,
-        payments=payments,
-        wanted=wanted,
-        moment=moment,
-    )
-    return rented, paid
 
 
 @query
 def derive_rentals(t: Tables) -> DataFrame:
-    rented, _ = _derived(t)
-    return rented.rows.select("rental_id", "rental_date", "inventory_id", "customer_id", "return_date", "staff_id")
+    """Rentals of every copy of three parts by the richest customer, but for those it had."""
+    columns = ["rental_id", "rental_date", "inventory_id", "customer_id", "return_date", "staff_id"]
+    return _rented(t).rows.select(*columns)
 
 
 @query
 def derive_payments(t: Tables) -> DataFrame:
-    _, paid = _derived(t)
+    """Payments for that customer's rentals of the parts, the new ones among them."""
+    payments = shaped(
+        t["orders"],
+        payment_id="o_orderkey",
+        customer_id="o_custkey",
+        staff_id=F.lit(None).cast("bigint"),
+        rental_id="o_orderkey",
+        amount=money("o_totalprice"),
+        payment_date="o_orderdate",
+    )
+    paid = loads.derive_payments(**_renting(t), rentals=_rented(t).table, payments=payments)
     return paid.rows.select("payment_id", "customer_id", "staff_id", "rental_id", "amount", "payment_date")
 
 

@@ -25,6 +25,7 @@ from tallyframe.operators.joins import (
     holders_of_max,
     join_on,
     join_path,
+    lookup_join,
     not_in,
     through_bridge,
 )
@@ -68,7 +69,8 @@ def films_of_category(
     else:
         one = named.select("category_id").scalar()
         chosen = exists_in(chosen, links.filter(F.col("category_id") == one), ["film_id"])
-    return chosen.select("title", "release_year", "rental_rate").orderBy(*sort_keys("title"))
+    # The key breaks ties, so that films of one title need not be sorted by one task.
+    return chosen.orderBy(*sort_keys("title", "film_id")).select("title", "release_year", "rental_rate")
 
 
 def films_in_nested_category(
@@ -370,19 +372,29 @@ def films_in_stock(
 
     Rentals tied for the latest time each get a row. Films never rented are absent.
     """
-    matching = films.filter(F.col("title").ilike(pattern))
+    matching = films.filter(F.col("title").ilike(pattern)).select("film_id", F.col("title").alias("film_title"), "language_id")
     their_copies = exists_in(copies.select("inventory_id", "film_id"), matching, ["film_id"])
-    out = rentals.filter(F.col("return_date").isNull())
-    free = absent_from(their_copies, out, ["inventory_id"])
-    available = exists_in(matching, free, ["film_id"])
-    rented = join_on(rentals, exists_in(their_copies, available, ["film_id"]), ["inventory_id"])
-    latest = holders_of_max(
-        rented.select("rental_id", "customer_id", "rental_date", "film_id"), ["film_id"], "rental_date"
+    facts = rentals.select("inventory_id", "rental_id", "customer_id", "rental_date", "return_date")
+    handled = join_on(their_copies, facts, ["inventory_id"], "left")
+    is_out = F.col("rental_id").isNotNull() & F.col("return_date").isNull()
+    # A copy is free unless one of its rentals is open; a film is in stock while one copy is free.
+    per_copy = handled.groupBy("film_id", "inventory_id").agg(
+        F.max(is_out).alias("out"), F.max("rental_date").alias("rental_date")
+    )
+    in_stock = (
+        per_copy.groupBy("film_id")
+        .agg(F.min("out").alias("none_free"), F.max("rental_date").alias("rental_date"))
+        .filter(~F.col("none_free"))
+        .select("film_id", "rental_date")
+    )
+    # Joined on (film, time), so a film with very many rentals does not meet in one task.
+    latest = join_on(
+        handled.select("rental_id", "customer_id", "rental_date", "film_id"), in_stock, ["film_id", "rental_date"]
     )
     rows = join_path(
         latest,
         [
-            (available.select("film_id", F.col("title").alias("film_title"), "language_id"), ["film_id"]),
+            (matching, ["film_id"]),
             (languages.select("language_id", F.col("name").alias("language")), ["language_id"]),
             (
                 customers.select(
@@ -442,12 +454,12 @@ def register_films(
     # The first request per title, joined back on (title, seq) so a much repeated title stays spread out.
     first = usable.groupBy("_title").agg(F.min("seq").alias("seq"))
     accepted = join_on(usable, first, ["_title", "seq"], "left_semi").drop("_title")
+    # Numbering checkpoints the accepted rows; everything below reads those instead of judging again.
+    accepted = assign_keys(accepted, films, "film_id", sort_keys("seq"))
     known = get_or_create(languages, accepted.withColumnRenamed("language", "name"), "name", "language_id", order="seq")
-    folded = known.table.select(F.upper("name").alias("_language"), "language_id")
     # The smallest key stands for languages that share a folded name.
-    folded = folded.groupBy("_language").agg(F.min("language_id").alias("language_id"))
-    rows = join_on(accepted.withColumn("_language", F.upper("language")), folded, ["_language"])
-    rows = assign_keys(rows, films, "film_id", sort_keys("seq"))
+    folded = known.table.groupBy(F.upper("name").alias("_language")).agg(F.min("language_id").alias("language_id"))
+    rows = lookup_join(accepted.withColumn("_language", F.upper("language")), folded, ["_language"])
     values = {
         "film_id": F.col("film_id"),
         "title": F.col("title"),

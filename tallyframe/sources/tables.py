@@ -13,12 +13,13 @@ from tallyframe.functions.text import tagged
 
 
 class Tables(Mapping[str, DataFrame]):
-    """The Parquet tables of one folder, opened by name when asked for."""
+    """The Parquet tables of one folder, listed and opened once each, when first asked for."""
 
     def __init__(self, spark: SparkSession, folder: str, names: Iterable[str]):
         self.spark = spark
         self.folder = folder.rstrip("/")
         self.names = tuple(names)
+        self._opened: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
@@ -26,7 +27,9 @@ class Tables(Mapping[str, DataFrame]):
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self.names:
             raise KeyError(name)
-        return self.spark.read.parquet(self.path(name))
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(self.path(name))
+        return self._opened[name]
 
     def __iter__(self) -> Iterator[str]:
         return iter(self.names)

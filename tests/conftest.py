@@ -35,11 +35,17 @@ def frame(spark):
 
 @pytest.fixture
 def no_broadcast(spark):
-    """Make every side too large to broadcast, so the shuffle paths run."""
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    """Treat every side as too large to broadcast and large enough to skew, so the shuffle paths run."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     yield
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for key, value in before.items():
+        spark.conf.set(key, value)
 
 
 def rows(df, *columns):
