@@ -144,6 +144,13 @@ def _readable(size: str) -> str:
 
 SIZE = "CAST(floor(o_totalprice * o_custkey * o_custkey) AS BIGINT)"
 
+REGION_REVENUE = f"""
+    SELECT r_name AS category_name, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_revenue
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+        JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+    WHERE {IN_QUARTER} GROUP BY r_name HAVING sum(CAST(l_extendedprice AS DECIMAL(18,2))) > 0
+"""
+
 ORACLE = {
     "category_filter": """
         SELECT c_name, c_custkey, c_acctbal
@@ -217,12 +224,9 @@ ORACLE = {
         GROUP BY c_custkey, c_name, c_mktsegment, n.s_nationkey
         ORDER BY revenue_contributed DESC, c_custkey LIMIT 3
     """,
-    "period_revenue": f"""
-        SELECT r_name AS category_name, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_revenue
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-            JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-        WHERE {IN_QUARTER} GROUP BY r_name HAVING sum(CAST(l_extendedprice AS DECIMAL(18,2))) > 0
-    """,
+    "period_revenue": REGION_REVENUE,
+    "period_revenue_function": REGION_REVENUE,
+    "published_view": REGION_REVENUE,
     "period_revenue_by_type": f"""
         SELECT p_type, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_revenue
         FROM lineitem JOIN part ON l_partkey = p_partkey
@@ -310,7 +314,7 @@ ORACLE = {
               AND o_orderdate = (
                 SELECT max(r3.o_orderdate) FROM orders r3 JOIN lineitem i3 ON r3.o_orderkey = i3.l_orderkey
                 WHERE i3.l_partkey = p_partkey))
-        SELECT CAST(row_number() OVER (ORDER BY p_name, p_partkey, o_orderdate, o_orderkey, c_custkey) AS INTEGER) AS row_num,
+        SELECT row_number() OVER (ORDER BY p_name, p_partkey, o_orderdate, o_orderkey, c_custkey) AS row_num,
             p_name, brand, customer_name, o_orderdate
         FROM found
     """,

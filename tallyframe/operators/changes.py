@@ -114,10 +114,11 @@ def resolve_keys(batch: DataFrame, lookups: Sequence[Lookup], how: str = "left")
         if small:
             known = join_on(known, wanted, aliases, "left_semi")
         if how == "left":
-            several = F.raise_error(F.lit(f"more than one {lookup.name} for a key"))
+            kind = lookup.table.schema[lookup.key].dataType
+            several = F.raise_error(F.lit(f"more than one {lookup.name} for a key")).cast(kind)
             known = known.groupBy(*aliases).agg(F.min(lookup.name).alias("_key"), F.count("*").alias("_n"))
             matched = join_on(asked, known, aliases, how) if small else lookup_join(asked, known, aliases, how)
-            key = F.when(F.col("_n") > 1, several.cast(lookup.table.schema[lookup.key].dataType)).otherwise(F.col("_key"))
+            key = F.when(F.col("_n") > 1, several).otherwise(F.col("_key"))
             batch = matched.withColumn(lookup.name, key).drop("_key", "_n", *aliases)
         else:
             batch = join_on(asked, known, aliases, how).drop(*aliases)

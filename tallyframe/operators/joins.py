@@ -8,7 +8,6 @@ and keys that hold a large share of the rows are split off first.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 

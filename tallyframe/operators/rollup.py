@@ -79,9 +79,9 @@ def count_by_value(
 
     Values compare without regard to letter case; groups holding none of them keep zeros.
     """
-    return counts.groupBy(group).agg(
-        *[
-            F.coalesce(F.sum(F.when(F.upper(value) == wanted.upper(), F.col(number))), F.lit(0)).cast("bigint").alias(name)
-            for name, wanted in columns.items()
-        ]
-    )
+
+    def column(name: str, wanted: str) -> Column:
+        found = F.sum(F.when(F.upper(value) == wanted.upper(), F.col(number)))
+        return F.coalesce(found, F.lit(0)).cast("bigint").alias(name)
+
+    return counts.groupBy(group).agg(*[column(name, wanted) for name, wanted in columns.items()])

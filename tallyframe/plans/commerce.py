@@ -18,10 +18,10 @@ from tallyframe.functions.text import joined_label, mail_domain, readable_size,
 from tallyframe.operators import changes, joins, maintenance, policy, quality
 from tallyframe.operators.numbering import number_rows
 from tallyframe.operators.rollup import Hop, Measure, roll_up
-from tallyframe.plans import loads, reports
+from tallyframe.plans import film_rental, loads, reports
 from tallyframe.session import scratch_path
 from tallyframe.sources.definitions import ColumnDef, ForeignKey, TableDef, after, after_day, differ, one_of
-from tallyframe.sources.tables import Tables, append_rows, create_table, tagged_numbers
+from tallyframe.sources.tables import Tables, append_rows, create_table, publish_view, tagged_numbers
 
 NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 TAG = "veeeeeeery_long_string"
@@ -79,7 +79,12 @@ def category_filter(t: Tables) -> DataFrame:
 def _supplied(t: Tables, form: str) -> DataFrame:
     found = reports.films_of_category(
         films=shaped(
-            t["part"], film_id="p_partkey", title="p_name", release_year="p_size", rental_rate="p_retailprice", rating="p_brand"
+            t["part"],
+            film_id="p_partkey",
+            title="p_name",
+            release_year="p_size",
+            rental_rate="p_retailprice",
+            rating="p_brand",
         ),
         links=shaped(t["lineitem"], film_id="l_partkey", category_id="l_suppkey"),
         categories=shaped(t["supplier"], category_id="s_suppkey", name="s_name"),
@@ -272,6 +277,29 @@ def period_revenue_unknown(t: Tables) -> DataFrame:
     return found.select("category_name", total("total_revenue"))
 
 
+@query
+def period_revenue_function(t: Tables) -> DataFrame:
+    """The quarter report called from SQL."""
+    sales = _region_sales(t)
+    film_rental.publish_quarter_function(
+        {
+            "payment": sales["payments"],
+            "rental": sales["rentals"],
+            "inventory": sales["copies"],
+            "film_category": sales["links"],
+            "category": sales["categories"],
+        }
+    )
+    return t.spark.sql(f"SELECT * FROM {film_rental.QUARTER_FUNCTION}(DATE '1997-02-01')")
+
+
+@query
+def published_view(t: Tables) -> DataFrame:
+    """The region report read through a named view."""
+    publish_view(period_revenue(t), "sales_by_region")
+    return t.spark.sql("SELECT category_name, total_revenue FROM sales_by_region WHERE total_revenue > 0")
+
+
 @query
 def no_sales(t: Tables) -> DataFrame:
     """Parts without a line shipped in the quarter, by NOT IN."""
@@ -445,11 +473,16 @@ def in_stock(t: Tables) -> DataFrame:
 # --- registering ----------------------------------------------------------
 
 
+def _customer_name() -> Column:
+    """The name of an order's customer, in lower case."""
+    return tagged("customer#", F.lpad(F.col("o_custkey").cast("string"), 9, "0"))
+
+
 def _requests(t: Tables) -> DataFrame:
     """Requests made of the orders: blank, known and new titles; known and new languages."""
     title = (
         F.when(F.col("o_orderpriority") == "5-LOW", "  ")
-        .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", tagged("customer#", F.lpad(F.col("o_custkey").cast("string"), 9, "0")))
+        .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", _customer_name())
         .otherwise(tagged("New item ", F.col("o_custkey")))
     )
     language = (
@@ -537,7 +570,8 @@ def thin_generated(t: Tables) -> DataFrame:
 def _companies(t: Tables) -> DataFrame:
     """Suppliers beside customers whose names are in other letter case."""
     suppliers = shaped(t["supplier"], c_custkey="s_suppkey", c_name="s_name", c_acctbal="s_acctbal")
-    return suppliers.unionByName(shaped(t["customer"], c_custkey="c_custkey", c_name=F.lower("c_name"), c_acctbal="c_acctbal"))
+    customers = shaped(t["customer"], c_custkey="c_custkey", c_name=F.lower("c_name"), c_acctbal="c_acctbal")
+    return suppliers.unionByName(customers)
 
 
 @query
@@ -572,9 +606,9 @@ def anti_or(t: Tables) -> DataFrame:
 
 def _order_batch(t: Tables) -> DataFrame:
     """Orders that name their customer and region as text."""
-    customer = tagged("customer#", F.lpad(F.col("o_custkey").cast("string"), 9, "0"))
-    region = F.when(F.col("o_orderstatus") == "F", "asia").when(F.col("o_orderstatus") == "O", "Europe").otherwise("Atlantis")
-    return shaped(t["orders"], o_orderkey="o_orderkey", customer_name=customer, region_name=region)
+    status = F.col("o_orderstatus")
+    region = F.when(status == "F", "asia").when(status == "O", "Europe").otherwise("Atlantis")
+    return shaped(t["orders"], o_orderkey="o_orderkey", customer_name=_customer_name(), region_name=region)
 
 
 def _resolved(t: Tables, how: str) -> DataFrame:
@@ -740,13 +774,15 @@ def assign_keys(t: Tables) -> DataFrame:
 @query
 def number_lines(t: Tables) -> DataFrame:
     """Every order numbered by date and key."""
-    return number_rows(t["orders"].select("o_orderkey", "o_orderdate"), "row_num", sort_keys("o_orderdate", "o_orderkey"))
+    orders = t["orders"].select("o_orderkey", "o_orderdate")
+    return number_rows(orders, "row_num", sort_keys("o_orderdate", "o_orderkey"))
 
 
 @query
 def fill_defaults(t: Tables) -> DataFrame:
     """A column the batch lacks gets its default; a NULL it states stays."""
-    batch = shaped(t["orders"], o_orderkey="o_orderkey", note=F.when(F.col("o_orderstatus") != "F", F.col("o_orderstatus")))
+    note = F.when(F.col("o_orderstatus") != "F", F.col("o_orderstatus"))
+    batch = shaped(t["orders"], o_orderkey="o_orderkey", note=note)
     filled = changes.fill_defaults(batch, {"note": F.lit("none"), "record_ts": F.lit(dt.date(2026, 1, 1))})
     return filled.select("o_orderkey", "note", "record_ts")
 
@@ -780,12 +816,14 @@ def null_violations(t: Tables) -> DataFrame:
 @query
 def fk_orphans(t: Tables) -> DataFrame:
     small = t["part"].filter(F.col("p_size") <= 25)
-    return quality.orphans(t["lineitem"], ["l_partkey"], small, ["p_partkey"]).select("l_orderkey", "l_linenumber", "l_partkey")
+    lines = t["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey")
+    return quality.orphans(lines, ["l_partkey"], small, ["p_partkey"])
 
 
 @query
 def check_set(t: Tables) -> DataFrame:
-    return quality.check_violations(t["orders"], one_of("o_orderstatus", "F", "O")).select("o_orderkey", "o_orderstatus")
+    orders = t["orders"].select("o_orderkey", "o_orderstatus")
+    return quality.check_violations(orders, one_of("o_orderstatus", "F", "O"))
 
 
 @query
@@ -829,7 +867,10 @@ def _line_rules() -> TableDef:
 @query
 def rule_report(t: Tables) -> DataFrame:
     """Every rule of the line table with the number of rows that break it."""
-    parents = {"part": t["part"].filter(F.col("p_size") <= 25), "orders": t["orders"].filter(F.col("o_orderstatus") != "P")}
+    parents = {
+        "part": t["part"].filter(F.col("p_size") <= 25),
+        "orders": t["orders"].filter(F.col("o_orderstatus") != "P"),
+    }
     return quality.rule_report(t["lineitem"], _line_rules(), parents)
 
 

@@ -125,6 +125,33 @@ def publish_current_quarter(tables: Tables) -> None:
     publish_view(revenue, "sales_revenue_by_category_qtr")
 
 
+QUARTER_FUNCTION = "get_sales_revenue_by_category_qtr"
+
+# The bounds become constants when the function is called with a literal, and reach the scan.
+_QUARTER_FUNCTION_SQL = f"""
+    CREATE OR REPLACE TEMPORARY FUNCTION {QUARTER_FUNCTION}(day DATE)
+    RETURNS TABLE (category_name STRING, total_revenue DECIMAL(38,2))
+    RETURN
+        SELECT category.name, CAST(sum(payment.amount) AS DECIMAL(38,2))
+        FROM payment
+        JOIN rental USING (rental_id)
+        JOIN inventory USING (inventory_id)
+        JOIN film_category USING (film_id)
+        JOIN category USING (category_id)
+        WHERE payment.payment_date >= trunc(day, 'QUARTER')
+          AND payment.payment_date < add_months(trunc(day, 'QUARTER'), 3)
+        GROUP BY category.name
+        HAVING sum(payment.amount) > 0
+"""
+
+
+def publish_quarter_function(tables: Tables) -> None:
+    """Publish the sales tables as views and the quarter report as a SQL table function over them."""
+    for name in ("payment", "rental", "inventory", "film_category", "category"):
+        publish_view(tables[name], name)
+    tables["payment"].sparkSession.sql(_QUARTER_FUNCTION_SQL)
+
+
 def categories_without_sales(tables: Tables, day: dt.date | None) -> DataFrame:
     in_period = in_quarter_of(F.col("payment_date"), day)
     return reports.categories_without_sales(**_sales(tables), in_period=in_period)

@@ -146,7 +146,8 @@ def derive_rentals(
     The return date follows from the film's rental duration; the staff member is
     the one with the largest key.
     """
-    chosen = join_on(copies.select("inventory_id", "film_id"), films.filter(wanted).select("film_id", "rental_duration"), ["film_id"])
+    durations = films.filter(wanted).select("film_id", "rental_duration")
+    chosen = join_on(copies.select("inventory_id", "film_id"), durations, ["film_id"])
     rows = pair_with_one(chosen, customer, {"customer_id": "customer_id"})
     rows = absent_from(rows, rentals, ["inventory_id", "customer_id"])
     start = F.lit(moment).cast("timestamp_ntz")

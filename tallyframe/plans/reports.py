@@ -172,13 +172,8 @@ def last_store_revenue(
         ["staff_id", "store_id"],
         [Measure("revenue_contributed", "sum", "amount")],
     )
-    named = join_path(
-        takings,
-        [
-            (last_store, ["staff_id", "store_id"]),
-            (staff.select("staff_id", full_name(F.col("first_name"), F.col("last_name")).alias("full_name")), ["staff_id"]),
-        ],
-    )
+    names = staff.select("staff_id", full_name(F.col("first_name"), F.col("last_name")).alias("full_name"))
+    named = join_path(takings, [(last_store, ["staff_id", "store_id"]), (names, ["staff_id"])])
     return (
         named.orderBy(*sort_keys("-revenue_contributed", "staff_id"))
         .limit(k)
@@ -239,7 +234,13 @@ def categories_without_sales(
 
 
 def busiest_actors(
-    *, actors: DataFrame, links: DataFrame, films: DataFrame, wanted: Column, k: int | None = 5, keep_empty: bool = False
+    *,
+    actors: DataFrame,
+    links: DataFrame,
+    films: DataFrame,
+    wanted: Column,
+    k: int | None = 5,
+    keep_empty: bool = False,
 ) -> DataFrame:
     """Actors with the most films that meet ``wanted``; ``keep_empty`` counts actors without one as 0.
 
@@ -372,7 +373,8 @@ def films_in_stock(
 
     Rentals tied for the latest time each get a row. Films never rented are absent.
     """
-    matching = films.filter(F.col("title").ilike(pattern)).select("film_id", F.col("title").alias("film_title"), "language_id")
+    titled = films.select("film_id", F.col("title").alias("film_title"), "language_id")
+    matching = titled.filter(F.col("film_title").ilike(pattern))
     their_copies = exists_in(copies.select("inventory_id", "film_id"), matching, ["film_id"])
     facts = rentals.select("inventory_id", "rental_id", "customer_id", "rental_date", "return_date")
     handled = join_on(their_copies, facts, ["inventory_id"], "left")
@@ -406,7 +408,7 @@ def films_in_stock(
     )
     order = sort_keys("film_title", "film_id", "rental_date", "rental_id", "customer_id")
     return number_rows(rows, "row_num", order).select(
-        F.col("row_num").cast("int").alias("row_num"), "film_title", "language", "customer_name", "rental_date"
+        "row_num", "film_title", "language", "customer_name", "rental_date"
     )
 
 

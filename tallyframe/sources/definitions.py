@@ -10,7 +10,6 @@ from pyspark.sql import Column, functions as F
 from pyspark.sql.types import (
     DataType,
     DateType,
-    IntegerType,
     LongType,
     StringType,
     StructField,
@@ -269,7 +268,10 @@ def social_tables() -> dict[str, TableDef]:
             ("post_media_id",),
             (),
             (_to("post", "post_id"), _to("media_type", "media_type_id")),
-            {"upload_time": after_day("uploaded_at", start), "removed_after_upload": after("removed_at", "uploaded_at")},
+            {
+                "upload_time": after_day("uploaded_at", start),
+                "removed_after_upload": after("removed_at", "uploaded_at"),
+            },
             "post_media_id",
         ),
         TableDef(
@@ -281,7 +283,3 @@ def social_tables() -> dict[str, TableDef]:
         ),
     ]
     return {table.name: table for table in tables}
-
-
-def integer_column(name: str, required: bool = False) -> ColumnDef:
-    return ColumnDef(name, IntegerType(), required)

@@ -51,8 +51,8 @@ def test_tagged_numbers_read_back(frame):
 
 def test_readable_size(spark):
     sizes = [8192, 10239, 10240, 10485247, 10485248, 602611712, 602456064, 5 * 1024**4, 20 * 1024**4]
-    text = [r[0] for r in spark.createDataFrame([(s,) for s in sizes], "s bigint").select(readable_size(F.col("s"))).collect()]
-    assert text == ["8192 bytes", "10239 bytes", "10 kB", "10239 kB", "10 MB", "575 MB", "575 MB", "5120 GB", "20 TB"]
+    made = spark.createDataFrame([(s,) for s in sizes], "s bigint").select(readable_size(F.col("s")))
+    assert [text for (text,) in rows(made)] == ["8192 bytes", "10239 bytes", "10 kB", "10239 kB", "10 MB", "575 MB", "575 MB", "5120 GB", "20 TB"]
 
 
 def test_label_without_code_is_null(frame):
@@ -142,7 +142,8 @@ def test_hot_keys_are_exactly_the_heavy_ones(skewed, spark):
 
 
 def _parent(spark):
-    return spark.range(5_000, 20_000).selectExpr("CAST(id AS INT) AS p").unionByName(spark.createDataFrame([(7,), (7,)], "p int"))
+    many = spark.range(5_000, 20_000).selectExpr("CAST(id AS INT) AS p")
+    return many.unionByName(spark.createDataFrame([(7,), (7,)], "p int"))
 
 
 def test_split_semi_and_anti_joins_are_whole(skewed, spark, no_broadcast):
@@ -178,7 +179,7 @@ def test_hot_rows_are_not_shuffled(skewed, spark, no_broadcast):
 def test_roll_up_is_the_same_with_and_without_early_aggregation(skewed, frame, spark, eager):
     steps = spark.range(0, 40_000).select(F.col("id").alias("k"), (F.col("id") % 10).alias("g"))
     groups = frame("g bigint, name string", *[(i, f"g{i % 4}") for i in range(10)], (1, "again"))
-    measures = [Measure("n", "count", "v"), Measure("s", "sum", "v"), Measure("hi", "max", "v"), Measure("lo", "min", "v")]
+    measures = [Measure(kind, kind, "v") for kind in ("count", "sum", "max", "min")]
     found = roll_up(skewed, [Hop(steps, ["k"], ["g"]), Hop(groups, ["g"], ["name"])], ["name"], measures, eager)
     plain = (
         skewed.join(steps, "k").join(groups, "g").groupBy("name").agg(F.count("v"), F.sum("v"), F.max("v"), F.min("v"))

@@ -130,11 +130,22 @@ def test_category_revenue_without_a_day_or_sales_is_empty(t):
 
 def test_current_quarter_view(t, spark, frame):
     today = spark.sql("SELECT current_date()").first()[0]
-    paid = frame("payment_id int, customer_id int, staff_id int, rental_id int, amount decimal(5,2)", (950, 1, 1, 100, D("2.50")))
-    fr.publish_current_quarter(t | {"payment": t["payment"].unionByName(paid.withColumn("payment_date", F.lit(today).cast("timestamp_ntz")))})
+    paid = t["payment"].filter("payment_id = 900").withColumns(
+        {"amount": F.lit(D("2.50")).cast("decimal(5,2)"), "payment_date": F.lit(today).cast("timestamp_ntz")}
+    )
+    fr.publish_current_quarter(t | {"payment": t["payment"].unionByName(paid)})
     assert bag(spark.table("sales_revenue_by_category_qtr")) == [("Animation", D("2.50")), ("Travel", D("2.50"))]
 
 
+def test_quarter_function_from_sql(t, spark):
+    fr.publish_quarter_function(t)
+    call = "SELECT * FROM get_sales_revenue_by_category_qtr({})"
+    first = spark.sql(call.format("DATE '2017-01-01'"))
+    assert bag(first) == bag(fr.category_revenue(t, dt.date(2017, 1, 1)))
+    assert rows(spark.sql(call.format("CAST(NULL AS DATE)"))) == []
+    assert rows(spark.sql(call.format("DATE '2030-01-01'"))) == []
+
+
 def test_categories_without_sales_are_not_in_the_revenue(t):
     day = dt.date(2017, 1, 1)
     without = {name for (name,) in rows(fr.categories_without_sales(t, day))}
@@ -205,7 +216,8 @@ def test_register_films(t, frame):
         (10, "New Two", 3, 2021),
         (11, "New Three", 3, None),
     ]
-    assert set(rows(done.films.rows, "rental_duration", "rental_rate", "replacement_cost")) == {(3, D("4.99"), D("19.99"))}
+    terms = set(rows(done.films.rows, "rental_duration", "rental_rate", "replacement_cost"))
+    assert terms == {(3, D("4.99"), D("19.99"))}
     assert rows(done.languages.rows) == [(3, "Georgian")]
     assert done.films.table.count() == 11
     assert bag(done.rejected, "seq", "reason") == [
