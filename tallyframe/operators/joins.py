@@ -16,6 +16,7 @@ from tallyframe.operators.sizes import fits_broadcast, may_skew
 On = Sequence[str | tuple[str, str]]
 
 HOT_SHARE = 0.005
+FEW_ROWS = 10_000
 
 
 def key_pairs(on: On) -> list[tuple[str, str]]:
@@ -82,17 +83,27 @@ def hot_keys(df: DataFrame, names: Sequence[str], share: float = HOT_SHARE) -> l
     return sorted(row.h for row in counts if row.h is not None and row.n >= least)
 
 
+def _has_few_rows(df: DataFrame) -> bool:
+    """Counts at most one row more than the bound."""
+    return df.limit(FEW_ROWS + 1).count() <= FEW_ROWS
+
+
 def _unique_side_join(left: DataFrame, right: DataFrame, on: On, how: str, right_bounded: bool) -> DataFrame:
     """Join ``left`` with ``right``, which holds each key once, without a hot shuffle partition.
 
-    Rows of hot keys join a broadcast of those few keys' rows where they lie; all
-    other rows join by shuffle. The two parts are disjoint and together whole. A
-    left side too small to make a skewed partition is joined in one piece.
+    A left side too small to make a skewed partition is joined as it is. Beside a
+    large one, a right side that proves to have few rows (a selective filter,
+    whose effect the size estimate does not know) is broadcast. Otherwise rows
+    of hot keys join a broadcast of those few keys' rows where they lie and all
+    other rows join by shuffle; the two parts are disjoint and together whole.
     """
     pairs = key_pairs(on)
     left_names, right_names = [l for l, _ in pairs], [r for _, r in pairs]
-    split = not right_bounded and may_skew(left) and _hashes_agree(left, right, pairs)
-    hot = hot_keys(left, left_names) if split else []
+    if right_bounded or not may_skew(left):
+        return join_on(left, right, on, how)
+    if _has_few_rows(right):
+        return join_on(left, F.broadcast(right), on, how)
+    hot = hot_keys(left, left_names) if _hashes_agree(left, right, pairs) else []
     if not hot:
         return join_on(left, right, on, how)
     # Each right key occurs once, so this side holds at most 1 / HOT_SHARE rows.

@@ -176,7 +176,7 @@ def derive_payments(
 
     ``rentals`` is the table after renting, so the new rentals are seen.
     """
-    theirs = join_on(rentals, customer.select("customer_id"), ["customer_id"])
+    theirs = rentals.filter(F.col("customer_id") == customer.select("customer_id").scalar())
     rented = join_path(
         theirs.select("rental_id", "customer_id", "staff_id", "inventory_id"),
         [

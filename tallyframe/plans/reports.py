@@ -376,23 +376,22 @@ def films_in_stock(
     titled = films.select("film_id", F.col("title").alias("film_title"), "language_id")
     matching = titled.filter(F.col("film_title").ilike(pattern))
     their_copies = exists_in(copies.select("inventory_id", "film_id"), matching, ["film_id"])
-    facts = rentals.select("inventory_id", "rental_id", "customer_id", "rental_date", "return_date")
-    handled = join_on(their_copies, facts, ["inventory_id"], "left")
-    is_out = F.col("rental_id").isNotNull() & F.col("return_date").isNull()
-    # A copy is free unless one of its rentals is open; a film is in stock while one copy is free.
-    per_copy = handled.groupBy("film_id", "inventory_id").agg(
-        F.max(is_out).alias("out"), F.max("rental_date").alias("rental_date")
+    # A copy is out while one of its rentals is open; a film is in stock while one copy is not out.
+    per_copy = rentals.groupBy("inventory_id").agg(
+        F.max(F.col("return_date").isNull()).alias("out"), F.max("rental_date").alias("rental_date")
     )
     in_stock = (
-        per_copy.groupBy("film_id")
-        .agg(F.min("out").alias("none_free"), F.max("rental_date").alias("rental_date"))
+        join_on(their_copies, per_copy, ["inventory_id"], "left")
+        .groupBy("film_id")
+        .agg(F.min(F.coalesce("out", F.lit(False))).alias("none_free"), F.max("rental_date").alias("rental_date"))
         .filter(~F.col("none_free"))
         .select("film_id", "rental_date")
     )
-    # Joined on (film, time), so a film with very many rentals does not meet in one task.
-    latest = join_on(
-        handled.select("rental_id", "customer_id", "rental_date", "film_id"), in_stock, ["film_id", "rental_date"]
+    rented = join_on(
+        rentals.select("rental_id", "customer_id", "rental_date", "inventory_id"), their_copies, ["inventory_id"]
     )
+    # Joined on (film, time), so a film with very many rentals does not meet in one task.
+    latest = join_on(rented, in_stock, ["film_id", "rental_date"])
     rows = join_path(
         latest,
         [

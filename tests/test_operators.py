@@ -172,6 +172,16 @@ def test_hot_rows_are_not_shuffled(skewed, spark, no_broadcast):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
 
 
+def test_few_rows_behind_a_selective_filter_are_broadcast(skewed, spark, no_broadcast):
+    few = _parent(spark).filter(F.col("p") < 5_010)
+    found = joins.absent_from(skewed, few, [("k", "p")])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    # Ten thousand rows of the hot key and those of ten others that occur go.
+    gone = skewed.filter("k = 7 OR k BETWEEN 5000 AND 5009").count()
+    assert found.count() == 30_000 - gone
+
+
 # --- roll-up and numbering ------------------------------------------------
 
 

@@ -211,10 +211,10 @@ def test_register_films(t, frame):
         (7, "New Three", "georgian", None),
         (8, "New Four", None, 2021),
     )
-    assert rows(done.films.rows, "film_id", "title", "language_id", "release_year") == [
-        (9, "New One", 1, 2020),
+    assert bag(done.films.rows, "film_id", "title", "language_id", "release_year") == [
         (10, "New Two", 3, 2021),
         (11, "New Three", 3, None),
+        (9, "New One", 1, 2020),
     ]
     terms = set(rows(done.films.rows, "rental_duration", "rental_rate", "replacement_cost"))
     assert terms == {(3, D("4.99"), D("19.99"))}
