@@ -3,9 +3,10 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from compare import canonical
-from tallyframe.plans.commerce import NAMES
+from oracle import ORACLE
+from tallyframe.plans.commerce import NAMES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "MapInArrow")
@@ -19,23 +20,23 @@ def base():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_its_sql(name, spark, base):
-    result = queries()[name](spark, FOLDER)
+    result = QUERIES[name](spark, FOLDER)
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert not [word for word in FORBIDDEN if word in plan]
     found = [tuple(row) for row in result.collect()]
-    if name not in oracle_sql():
+    if name not in ORACLE:
         assert name == "storage_report" and len(found) == len(NAMES)
         return
-    cursor = base.execute(oracle_sql()[name])
+    cursor = base.execute(ORACLE[name])
     names = [d[0] for d in cursor.description]
     assert sorted(names) == sorted(result.columns)
     assert canonical(found, result.columns) == canonical(cursor.fetchall(), names)
 
 
 def test_every_sql_belongs_to_a_query():
-    assert set(oracle_sql()) <= set(queries())
+    assert set(ORACLE) <= set(QUERIES)
 
 
 def test_entry_has_rows(spark):
@@ -43,7 +44,7 @@ def test_entry_has_rows(spark):
 
 
 def _plan(spark, name):
-    return queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    return QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_period_filter_and_columns_reach_the_scan(spark):
@@ -58,7 +59,7 @@ def test_top_k_keeps_k_rows_per_task(spark):
 
 
 def test_unknown_period_reads_nothing(spark):
-    plan = queries()["period_revenue_unknown"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    plan = QUERIES["period_revenue_unknown"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
     assert "lineitem" not in plan
 
 
