@@ -10,6 +10,26 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM r
 """
 
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+_OP6 = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+n AS (SELECT item_id, w, least(13, len(w)) AS size FROM b WHERE len(w) > 0),
+v AS (SELECT DISTINCT item_id, size, list_aggregate(list_slice(w, i, i + size - 1), 'string_agg', ' ') AS words
+      FROM (SELECT item_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM n)),
+z AS (SELECT DISTINCT size FROM n),
+p AS (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, z),
+o AS (SELECT doc_id, i, size, list_aggregate(list_slice(w, i, i + size - 1), 'string_agg', ' ') AS words FROM p),
+m AS (SELECT o.doc_id, o.i, o.size, v.item_id FROM o JOIN v ON o.size = v.size AND o.words = v.words),
+h AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + size)) AS place FROM m) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+      FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM m) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN t ON d.doc_id = t.doc_id
+"""
+
 _OP7 = """
 WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 h AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -28,4 +48,4 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM s QUALIFY rank <= 10
 """
 
-ORACLE = {"op2_archive": _OP2, "op7_url_rules": _OP7, "op10_top_vectors": _OP10}
+ORACLE = {"op2_archive": _OP2, "op6_decontamination": _OP6, "op7_url_rules": _OP7, "op10_top_vectors": _OP10}

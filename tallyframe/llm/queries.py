@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import archive, url_cascade, vector_search
+from tallyframe.llm import archive, packing, positional, url_cascade, vector_search
 from tallyframe.session import scratch_path
 
 #: The rules of the URL query.
@@ -29,6 +29,35 @@ def op2_archive(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    """The place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    path = scratch_path(spark, "pieces")
+    packing.write_pieces(_table(spark, folder, "documents"), path, tokenizer_file())
+    return packing.pack(spark, path).withColumnRenamed("key", "doc_id")
+
+
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark windows found in every document."""
+    path = scratch_path(spark, "index")
+    positional.write_index(_table(spark, folder, "documents"), path)
+    found = positional.find_passages(spark, path, _table(spark, folder, "benchmark"))
+    return found.select(
+        F.col("key").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        positional.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
+    )
+
+
 def op7_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     """The verdict for every page's URL."""
     judged = url_cascade.judge(_table(spark, folder, "pages"), URL_RULES)
@@ -42,6 +71,8 @@ def op10_top_vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_archive": op2_archive,
+    "op3_packing": op3_packing,
+    "op6_decontamination": op6_decontamination,
     "op7_url_rules": op7_url_rules,
     "op10_top_vectors": op10_top_vectors,
 }
