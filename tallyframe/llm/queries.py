@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import archive, packing, positional, url_cascade, vector_search
+from tallyframe.llm import archive, language, packing, personal, positional, url_cascade, vector_search
+from tallyframe.llm.workers import reach_package
 from tallyframe.session import scratch_path
 
 #: The rules of the URL query.
@@ -12,9 +13,19 @@ URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    reach_package(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op1_language(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned from three quarters of those with a label."""
+    documents = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held = language.held_out(F.col("doc_id"), 4, 2)
+    model = language.learn(documents.where(~held))
+    found = language.identify(documents.select("doc_id", "text"), model)
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 def op2_archive(spark: SparkSession, folder: str) -> DataFrame:
     """Every page written to an archive and read back."""
     path = scratch_path(spark, "archive")
@@ -43,6 +54,24 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(spark, path).withColumnRenamed("key", "doc_id")
 
 
+def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document."""
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    found = personal.find(documents, personal.learn(documents))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("pii_spans", lambda s: s["base"])
+    return found.select(
+        "doc_id",
+        *(F.size(F.filter(base, _is_kind(kind))).cast("long").alias(f"n_{kind}") for kind in personal.KINDS),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("pii_spans")).alias("spans"),
+    )
+
+
+def _is_kind(kind: str):
+    return lambda span: span["kind"] == kind
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark windows found in every document."""
     path = scratch_path(spark, "index")
@@ -70,8 +99,10 @@ def op10_top_vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language": op1_language,
     "op2_archive": op2_archive,
     "op3_packing": op3_packing,
+    "op4_personal_data": op4_personal_data,
     "op6_decontamination": op6_decontamination,
     "op7_url_rules": op7_url_rules,
     "op10_top_vectors": op10_top_vectors,

@@ -22,7 +22,7 @@ CHUNK_BYTES = 4 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _codes(upto: str) -> np.ndarray:
+def code_table(upto: str) -> np.ndarray:
     table = np.zeros(256, dtype=bool)
     for part in upto.split():
         low, _, high = part.partition("-")
@@ -30,8 +30,8 @@ def _codes(upto: str) -> np.ndarray:
     return table
 
 
-SPACED = ~_codes("09-0D 20")
-ALNUM = _codes("30-39 41-5A 61-7A 80-FF")
+SPACED = ~code_table("09-0D 20")
+ALNUM = code_table("30-39 41-5A 61-7A 80-FF")
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
