@@ -83,7 +83,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 @dataclass
 class Nodes:
-    """The tokens of one document: span, word number, shape, normal form, and the observed label (-1: none)."""
+    """The tokens of one document, base spans as one token each: span, last word's number, shape, normal form, and the observed label (-1: none)."""
 
     start: list[int]
     end: list[int]
@@ -122,7 +122,10 @@ def _nodes(text: str, spans: list[tuple[int, int, int]], tokens: list[tuple[int,
             continue
         while k < len(spans) and spans[k][2] <= start:
             k += 1
-        inside = next((kind for kind, s, e in spans[k : k + 4] if s < end and e > start), -1)
+        inside, start, end = next(((kind, s, e) for kind, s, e in spans[k : k + 4] if s < end and e > start), (-1, start, end))
+        if inside >= 0 and nodes.start and nodes.start[-1] == start and nodes.end[-1] == end:
+            nodes.place[-1] = place  # one more word of the same base span
+            continue
         token = text[start:end]
         nodes.start.append(start)
         nodes.end.append(end)

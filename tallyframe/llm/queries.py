@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import archive, language, packing, personal, positional, url_cascade, vector_search
+from tallyframe.llm import archive, language, packing, personal, positional, url_cascade, vector_search, wrapper
 from tallyframe.llm.workers import reach_package
 from tallyframe.session import scratch_path
 
@@ -72,6 +72,12 @@ def _is_kind(kind: str):
     return lambda span: span["kind"] == kind
 
 
+def op5_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    found = wrapper.extract(_table(spark, folder, "pages"), ["page_id", "url"])
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark windows found in every document."""
     path = scratch_path(spark, "index")
@@ -103,6 +109,7 @@ QUERIES = {
     "op2_archive": op2_archive,
     "op3_packing": op3_packing,
     "op4_personal_data": op4_personal_data,
+    "op5_main_text": op5_main_text,
     "op6_decontamination": op6_decontamination,
     "op7_url_rules": op7_url_rules,
     "op10_top_vectors": op10_top_vectors,
