@@ -1,6 +1,6 @@
 """Language identification: scripts narrow the candidates, per-word scores and a Viterbi path label the words.
 
-Learning takes a bounded sample of labelled rows (``SAMPLE_ROWS``, those with the smallest hash of their text) and counts, for each
+Learning takes a bounded sample of labelled rows (about ``SAMPLE_ROWS``, chosen by hash) and counts, for each
 language, hashed features of its words: the word itself, its letter pairs and triples with the word's edges. The model is a table of
 ``FEATURES`` x languages of log ratios, and the scripts that each language was seen in; its size does not depend on the corpus.
 
@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyframe.llm.sampling import sample_texts
 from tallyframe.llm.words import code_table, mix, text_chunks, words_of
 
 SAMPLE_ROWS = 4000
@@ -113,13 +114,11 @@ def _count(batches: Iterator[pa.RecordBatch], languages: list[str]) -> Iterator[
 
 def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """A model from (text, lang) rows; rows without a language or text teach nothing."""
-    usable = labelled.select("text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sample = usable.orderBy(F.xxhash64("text"), "text", "lang").limit(sample_rows)
+    sample = sample_texts(labelled.select("text", "lang").where(F.col("lang").isNotNull()), sample_rows)
     languages = sorted(row[0] for row in sample.select("lang").distinct().collect())
     if not languages:
         return Model([], np.zeros((FEATURES, 0), np.float32), np.zeros((14, 0), bool))
-    spread = sample.repartition(F.xxhash64("text"))
-    counts = spread.mapInArrow(lambda batches: _count(batches, languages), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    counts = sample.mapInArrow(lambda batches: _count(batches, languages), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
     table = np.zeros((FEATURES + 14, len(languages)))
     table.ravel()[counts.column("key").to_numpy()] = counts.column("n").to_numpy()
     seen, scripts = table[:FEATURES], table[FEATURES:]

@@ -8,7 +8,7 @@ links and evidence still reaches all of them. Nodes in a base span are observed.
 gives each other node a belief; a label of at least ``CERTAIN`` becomes an added span, unless it touches a base span.
 
 Node potentials are label shares by shape of the token, chain and skip potentials the ratios of label pairs to
-chance. They are counted on a bounded sample (``SAMPLE_ROWS``, the rows with the smallest hash of their text) that
+chance. They are counted on a bounded sample (about ``SAMPLE_ROWS``, chosen by hash) that
 the patterns label. Rounds run over all documents of a chunk at once, and over each document by itself, since documents share no link.
 
 Cases: NULL and empty texts have no spans. Places are code points, the end exclusive. Very long runs without white space cost linear time. Repeated
@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tallyframe.llm.sampling import sample_texts
 from tallyframe.llm.words import SPACED, code_table, text_chunks
 
 KINDS = ("email", "ip", "card", "phone")
@@ -200,8 +201,8 @@ def learn(documents: DataFrame, text: str = "text", sample_rows: int = SAMPLE_RO
             at = np.flatnonzero(tables)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(tables.ravel()[at])], names=["at", "n"])
 
-    sample = documents.select(F.col(text).alias("text")).where("text IS NOT NULL").orderBy(F.xxhash64("text"), "text").limit(sample_rows)
-    counted = sample.repartition(F.xxhash64("text")).mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n")).collect()
+    sample = sample_texts(documents.select(F.col(text).alias("text")), sample_rows)
+    counted = sample.mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n")).collect()
     tables = np.zeros((SHAPES + 2 * LABELS, LABELS))
     for at, n in counted:
         tables.ravel()[at] = n

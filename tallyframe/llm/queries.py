@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import archive, language, packing, personal, positional, url_cascade, vector_search, wrapper
+from tallyframe.llm import archive, jaccard, language, packing, personal, positional, url_cascade, vector_search, wrapper
 from tallyframe.llm.workers import reach_package
 from tallyframe.session import scratch_path
 
@@ -99,6 +99,11 @@ def op7_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_near_copies(spark: SparkSession, folder: str) -> DataFrame:
+    """The component of every document, by 4-word shingles and a similarity of 0.85."""
+    return jaccard.components(_table(spark, folder, "documents"))
+
+
 def op10_top_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """The ten best vectors for each hundredth vector."""
     return vector_search.top_k(_table(spark, folder, "embeddings"), lambda key: key % 100 == 0)
@@ -112,5 +117,6 @@ QUERIES = {
     "op5_main_text": op5_main_text,
     "op6_decontamination": op6_decontamination,
     "op7_url_rules": op7_url_rules,
+    "op8_near_copies": op8_near_copies,
     "op10_top_vectors": op10_top_vectors,
 }
