@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import archive, jaccard, language, packing, personal, positional, url_cascade, vector_search, wrapper
+from tallyframe.llm import archive, jaccard, katz, language, packing, personal, positional, url_cascade, vector_search, wrapper
 from tallyframe.llm.workers import reach_package
 from tallyframe.session import scratch_path
 
@@ -104,6 +104,15 @@ def op8_near_copies(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.components(_table(spark, folder, "documents"))
 
 
+def op9_katz(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's score, learned from six sevenths of them."""
+    held = language.held_out(F.col("doc_id"), 7, 2)
+    scored, unigrams = katz.score(_table(spark, folder, "documents"), ~held)
+    return scored.withColumnRenamed("key", "doc_id").select(
+        "doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(unigrams.tokens).cast("long").alias("train_tokens"), "base_score", "score"
+    )
+
+
 def op10_top_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """The ten best vectors for each hundredth vector."""
     return vector_search.top_k(_table(spark, folder, "embeddings"), lambda key: key % 100 == 0)
@@ -118,5 +127,6 @@ QUERIES = {
     "op6_decontamination": op6_decontamination,
     "op7_url_rules": op7_url_rules,
     "op8_near_copies": op8_near_copies,
+    "op9_katz": op9_katz,
     "op10_top_vectors": op10_top_vectors,
 }
