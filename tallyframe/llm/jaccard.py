@@ -298,10 +298,12 @@ class Join:
         found.write.parquet(f"{self.path}/shared")
         return self.spark.read.parquet(f"{self.path}/shared").distinct()
 
-    def links(self, pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs (a, b, na, nb) whose overlap links them; written."""
+    def links(self, pairs: DataFrame, name: str) -> DataFrame | None:
+        """The pairs (a, b, na, nb) whose overlap links them; written. None without pairs."""
         pairs.write.parquet(f"{self.path}/pairs-{name}")
         pairs = self.spark.read.parquet(f"{self.path}/pairs-{name}")
+        if pairs.isEmpty():
+            return None
         ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
         bit = F.col("node").bitwiseAND(FILTER_BITS - 1)
         wanted = np.zeros(FILTER_BITS // 8, np.uint8)
@@ -375,10 +377,15 @@ def join(documents: DataFrame, size: int = 4, percent: int = 85, key: str = "doc
         if asked is not None:
             pairs = pairs.join(asked, ["a", "b"], "left_anti")
         found = work.links(pairs, str(turn))
+        if found is None:
+            continue
         tried = work.spark.read.parquet(f"{work.path}/pairs-{turn}").select("a", "b")
         asked = tried if asked is None else asked.union(tried)
         links = found if links is None else links.union(found)
         roots = connected(links.select("a", "b"), f"{work.path}/roots-{turn}")
+    if links is None:
+        links = work.spark.createDataFrame([], "a long, b long, overlap long, na long, nb long")
+        roots = work.spark.createDataFrame([], "node long, root long")
     return work.members, links, roots
 
 
