@@ -8,8 +8,8 @@ counts is, then by hash, so common ones come last. The order is cut into ``FRAGM
 2. Two sets that link share an n-gram among their first ``n - ceil(t n) + 1``. Those prefixes are dealt by n-gram, packed,
    one entry for an n-gram and chunk of documents; only n-grams of several nodes are written (*shared postings*).
 3. Candidates come in rounds, from n-grams whose nodes are still in several components. The first rounds are stars: each node with one
-   node of about its size among those that share an n-gram with it. The last round takes all pairs across components; these
-   are the only pairs that can still matter.
+   node of about its size among those that share an n-gram with it. The last round takes all pairs across components whose
+   places in the order leave room for a link; these are the only pairs that can still matter.
 4. The sets of candidates are cut into the fragments; overlaps are counted for each fragment apart and summed per pair. Links give components.
 
 So a group of near copies costs about as many candidates as it has members, not their pairs, and no link between
@@ -38,7 +38,7 @@ FRAGMENTS = 4
 BUCKETS = 1 << 20
 FILTER_BITS = 1 << 24
 #: Rounds of stars before pairs across components; prefix n-grams in a partition, partners of a centre in a group, and copies of a component's row in the last join.
-STAR_ROUNDS = 2
+STAR_ROUNDS = 3
 PART_NGRAMS = 1_000_000
 GROUP_ROWS = 500
 SALTS = 16
@@ -164,7 +164,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch], size: int, percent: int, level:
         for row, data, offsets in text_chunks(batch.column(0)):
             sets = Sets(data, offsets, size, level)
             nodes: dict[int, int] = {}
-            tokens, owner, sizes = [], [], []
+            tokens, owner, sizes, places = [], [], [], []
             for d in range(len(sets)):
                 keys = sets.set_of(d)
                 if not len(keys) or (node := node_of(keys)[0]) in nodes:
@@ -173,11 +173,13 @@ def _prefixes(batches: Iterator[pa.RecordBatch], size: int, percent: int, level:
                 sizes.append(len(keys))
                 tokens.append(keys[: prefix_length(len(keys), percent)])
                 owner.append(np.full(len(tokens[-1]), len(sizes) - 1, np.int64))
+                places.append(np.arange(len(tokens[-1]), dtype=np.int32))
             if not sizes:
                 continue
-            token, owner, ids, sizes = np.concatenate(tokens), np.concatenate(owner), np.array(list(nodes), np.int64), np.array(sizes, np.int64)
+            token, owner, place = np.concatenate(tokens), np.concatenate(owner), np.concatenate(places)
+            ids, sizes = np.array(list(nodes), np.int64), np.array(sizes, np.int64)
             order = np.argsort(token, kind="stable")
-            token, owner = token[order], owner[order]
+            token, owner, place = token[order], owner[order], place[order]
             head = np.append(True, token[1:] != token[:-1])
             last = np.append(head[1:], True)
             more = ~(head & last)  # shared within the chunk
@@ -185,14 +187,14 @@ def _prefixes(batches: Iterator[pa.RecordBatch], size: int, percent: int, level:
             rows = []
             extra = np.flatnonzero(~head)
             if len(extra):
-                rows.append((int(ids[0] % parts), True, token[extra], ids[owner[extra]], sizes[owner[extra]], np.zeros(0, np.uint8)))
+                rows.append((int(ids[0] % parts), True, token[extra], ids[owner[extra]], sizes[owner[extra]], place[extra].view(np.uint8)))
             one = np.flatnonzero(head)
             one = one[np.argsort(part[one], kind="stable")]
             edges = np.flatnonzero(np.append(True, part[one][1:] != part[one][:-1]))
             for a, b in zip(edges, np.append(edges[1:], len(one)), strict=True):
                 which = one[a:b]
                 present, local = np.unique(owner[which], return_inverse=True)
-                rows.append((int(part[which[0]]), False, token[which], ids[present], sizes[present], np.concatenate([local.astype("<i4").view(np.uint8), more[which].view(np.uint8)])))
+                rows.append((int(part[which[0]]), False, token[which], ids[present], sizes[present], np.concatenate([place[which].view(np.uint8), local.astype("<i4").view(np.uint8), more[which].view(np.uint8)])))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows]), *(pa.array([r[k].tobytes() for r in rows], pa.binary()) for k in (2, 3, 4, 5))],
                 names=["part", "sure", "tokens", "nodes", "sizes", "local"],
@@ -200,32 +202,33 @@ def _prefixes(batches: Iterator[pa.RecordBatch], size: int, percent: int, level:
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(n-gram, node, set size) of the n-grams that more than one node has in its prefix."""
+    """(n-gram, node, set size, place in the set's order) of the n-grams that more than one node has in its prefix."""
 
-    def out(token: np.ndarray, node: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(node), pa.array(size)], names=["token", "node", "n"])
+    def out(token: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), *map(pa.array, columns)], names=["token", "node", "n", "place"])
 
     held: list[tuple[np.ndarray, ...]] = []
     for batch in batches:
         for row in batch.to_pylist():
             token, node, size = np.frombuffer(row["tokens"], np.uint64), np.frombuffer(row["nodes"], np.int64), np.frombuffer(row["sizes"], np.int64)
+            local = np.frombuffer(row["local"], np.uint8)
+            place = local[: 4 * len(token)].view("<i4")
             if row["sure"]:
-                yield out(token, node, size)
+                yield out(token, node, size, place)
                 continue
-            local = np.frombuffer(row["local"], np.uint8)
-            which, more = local[: 4 * len(token)].view("<i4"), local[4 * len(token) :].astype(bool)
-            held.append((token, node[which], size[which], more))
+            which, more = local[4 * len(token) : 8 * len(token)].view("<i4"), local[8 * len(token) :].astype(bool)
+            held.append((token, node[which], size[which], place, more))
     if held:
-        token, node, size, more = (np.concatenate(x) for x in zip(*held, strict=True))
+        token, node, size, place, more = (np.concatenate(x) for x in zip(*held, strict=True))
         order = np.argsort(token, kind="stable")
-        token, node, size, more = token[order], node[order], size[order], more[order]
+        token, node, size, place, more = token[order], node[order], size[order], place[order], more[order]
         new = np.append(True, token[1:] != token[:-1])
         run = np.cumsum(new) - 1
         heads = np.flatnonzero(new)
         # Entries of one node from several chunks (exact copies) do not make an n-gram shared.
         differs = np.maximum.reduceat(node, heads) != np.minimum.reduceat(node, heads)
         keep = (differs | np.logical_or.reduceat(more, heads))[run]
-        yield out(token[keep], node[keep], size[keep])
+        yield out(token[keep], node[keep], size[keep], place[keep])
 
 
 def _segments(batches: Iterator[pa.RecordBatch], size: int, level: np.ndarray, pivots: np.ndarray, wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -294,7 +297,7 @@ class Join:
         parts = max(1, -(-int(self.counts.sum()) * (100 - percent) // 100 // PART_NGRAMS))
         schema = "part long, sure boolean, tokens binary, nodes binary, sizes binary, local binary"
         packed = self.texts.mapInArrow(lambda batches: _prefixes(batches, size, percent, level, parts), schema)
-        found = packed.repartition(parts, "part").mapInArrow(_shared, "token long, node long, n long")
+        found = packed.repartition(parts, "part").mapInArrow(_shared, "token long, node long, n long, place int")
         found.write.parquet(f"{self.path}/shared")
         return self.spark.read.parquet(f"{self.path}/shared").distinct()
 
@@ -334,21 +337,33 @@ class Join:
         return self.spark.read.parquet(f"{self.path}/mixed-{name}")
 
     def stars(self, mixed: DataFrame, turn: int) -> DataFrame:
-        """Each node with the first node, in an order of this turn, among those of about its size that share an n-gram; and those first ones with one another."""
+        """Each node with one other: of the first nodes, in an order of this turn, of its n-grams and its size, the one that is first most often.
+
+        The first nodes of neighbouring sizes that share an n-gram meet as well, each with one.
+        """
         sized = mixed.withColumn("class", F.floor(F.log(F.col("n")) / math.log(100 / self.percent)))
         first = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), "node", "n", "root")).alias("first")
         least = sized.groupBy("token", "class").agg(first)
-        spread = sized.join(least, ["token", "class"]).where("root != first.root").select(*_pair("node", "n", "first.node", "first.n"))
+        spread = sized.join(least, ["token", "class"]).where("root != first.root").select("node", "n", "first")
         above = least.select("token", (F.col("class") - 1).alias("class"), F.col("first").alias("next"))
-        steps = least.join(above, ["token", "class"]).where("first.root != next.root").select(*_pair("first.node", "first.n", "next.node", "next.n"))
-        return spread.union(steps).where(self.fits()).distinct()
+        steps = least.join(above, ["token", "class"]).where("first.root != next.root").select("first.node", "first.n", F.col("next").alias("first"))
+        met = spread.union(steps).groupBy("node", "n", "first").agg(F.count("*").alias("times"))
+        best = met.groupBy("node", "n").agg(F.max_by("first", F.struct("times", F.col("first.order"))).alias("first"))
+        return best.select(*_pair("node", "n", "first.node", "first.n")).where(self.fits()).distinct()
 
     def across(self, mixed: DataFrame) -> DataFrame:
-        """All pairs that share an n-gram across components."""
-        left = mixed.select("token", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("root_x"))
-        right = mixed.select("token", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("root").alias("root_y"))
-        met = left.join(right, "token").where("root_x < root_y").select(*_pair("x", "nx", "y", "ny"))
-        return met.where(self.fits()).distinct()
+        """All pairs that share an n-gram across components and can still link.
+
+        Up to the last n-gram that both prefixes share, the pair has just the shared ones in common; beyond
+        it at most the shorter rest. (All n-grams that two components share are in ``mixed``.)
+        """
+        left = mixed.select("token", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("root_x"), F.col("place").alias("px"))
+        right = mixed.select("token", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("root").alias("root_y"), F.col("place").alias("py"))
+        small, large = F.least("nx", "ny"), F.greatest("nx", "ny")
+        met = left.join(right, "token").where((F.col("root_x") < F.col("root_y")) & (100 * small >= self.percent * large))
+        pairs = met.groupBy("x", "nx", "y", "ny").agg(F.count("*").alias("s"), F.max("px").alias("px"), F.max("py").alias("py"))
+        most = F.col("s") + F.least(F.col("nx") - 1 - F.col("px"), F.col("ny") - 1 - F.col("py"))
+        return pairs.where(100 * most >= self.percent * (F.col("nx") + F.col("ny") - most)).select(*_pair("x", "nx", "y", "ny"))
 
     def fits(self):
         """Whether sets of these sizes can be similar enough."""
