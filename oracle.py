@@ -36,7 +36,8 @@ REQUESTS = """
         CASE WHEN o_orderpriority = '5-LOW' THEN '  '
              WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0')
              ELSE 'New item ' || CAST(o_custkey AS VARCHAR) END AS title,
-        CASE WHEN o_orderstatus = 'F' THEN 'nation_7'
+        CASE WHEN o_orderkey % 7 = 3 THEN NULL
+             WHEN o_orderstatus = 'F' THEN 'nation_7'
              WHEN o_orderstatus = 'O' THEN 'Klingon'
              ELSE 'Lang ' || o_orderpriority END AS language
     FROM orders
@@ -46,7 +47,7 @@ ACCEPTED = f"""
     SELECT * FROM (
         SELECT r.*, row_number() OVER (PARTITION BY upper(title) ORDER BY seq) AS turn
         FROM ({REQUESTS}) r
-        WHERE trim(title) <> ''
+        WHERE trim(title) <> '' AND language IS NOT NULL
           AND NOT EXISTS (SELECT 1 FROM customer c WHERE upper(c.c_name) = upper(r.title))
     ) q WHERE turn = 1
 """
@@ -93,8 +94,8 @@ RICHEST = "(SELECT c_custkey FROM customer ORDER BY c_acctbal DESC, c_custkey LI
 
 RENTED = f"""
     SELECT (SELECT max(l_orderkey) FROM lineitem) + row_number() OVER (ORDER BY p_partkey) AS rental_id,
-        TIMESTAMP '2017-01-15' AS rental_date, p_partkey AS inventory_id, {RICHEST} AS customer_id,
-        TIMESTAMP '2017-01-15' + p_size * INTERVAL 1 DAY AS return_date,
+        TIMESTAMP '2021-05-04' AS rental_date, p_partkey AS inventory_id, {RICHEST} AS customer_id,
+        TIMESTAMP '2021-05-04' + p_size * INTERVAL 1 DAY AS return_date,
         (SELECT max(s_suppkey) FROM supplier) AS staff_id
     FROM part
     WHERE upper(p_name) IN ('RED WIDGET', 'HOT RING', 'SMALL WIDGET')
@@ -151,6 +152,14 @@ REGION_REVENUE = f"""
     WHERE {IN_QUARTER} GROUP BY r_name HAVING sum(CAST(l_extendedprice AS DECIMAL(18,2))) > 0
 """
 
+LOADED = """
+    SELECT (SELECT max(s_suppkey) FROM supplier) + row_number() OVER (ORDER BY name) AS s_suppkey, name AS s_name,
+        n_nationkey AS s_nationkey, CAST(0 AS DOUBLE) AS s_acctbal
+    FROM (SELECT 'SUPPLIER#' || lpad(CAST(3 * c_custkey AS VARCHAR), 9, '0') AS name, n_nationkey
+          FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 9000) b
+    WHERE NOT EXISTS (SELECT 1 FROM supplier s WHERE lower(s.s_name) = lower(b.name))
+"""
+
 ORACLE = {
     "category_filter": """
         SELECT c_name, c_custkey, c_acctbal
@@ -227,6 +236,14 @@ ORACLE = {
     "period_revenue": REGION_REVENUE,
     "period_revenue_function": REGION_REVENUE,
     "published_view": REGION_REVENUE,
+    "current_quarter_revenue": """
+        SELECT r_name AS category_name, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_revenue
+        FROM (SELECT *, CAST(l_shipdate AS DATE) + CAST(current_date - DATE '2001-09-01' AS INTEGER) AS moved FROM lineitem) l
+            JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+            JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+        WHERE date_trunc('quarter', moved) = date_trunc('quarter', current_date)
+        GROUP BY r_name HAVING sum(CAST(l_extendedprice AS DECIMAL(18,2))) > 0
+    """,
     "period_revenue_by_type": f"""
         SELECT p_type, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_revenue
         FROM lineitem JOIN part ON l_partkey = p_partkey
@@ -264,6 +281,12 @@ ORACLE = {
             WHERE o_custkey = c_custkey AND l_shipdate >= DATE '2001-04-01') AS n_lines
         FROM customer
     """,
+    "inactivity_today": """
+        SELECT c_custkey, c_name || ' ' || c_mktsegment AS full_name,
+            CAST(year(current_date) - max(year(l_shipdate)) AS INTEGER) AS inactivity_years
+        FROM customer JOIN orders ON c_custkey = o_custkey JOIN lineitem ON o_orderkey = l_orderkey
+        GROUP BY c_custkey, c_name, c_mktsegment
+    """,
     "inactivity": """
         SELECT c_custkey, c_name || ' ' || c_mktsegment AS full_name,
             CAST(2026 - max(year(l_shipdate)) AS INTEGER) AS inactivity_years
@@ -301,6 +324,17 @@ ORACLE = {
         SELECT c.n_name, p_name, p_brand, type_name, p_size, release_year
         FROM counts c JOIN best b ON c.n_name = b.n_name AND c.n = b.n
     """,
+    "most_popular_long_list": """
+        WITH counts AS (
+            SELECT n_name, p_name, p_brand, lower(p_type) AS type_name, p_size, 2000 AS release_year, count(l_orderkey) AS n
+            FROM nation JOIN customer ON n_nationkey = c_nationkey JOIN orders ON c_custkey = o_custkey
+                JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey
+            WHERE n_name IN (SELECT 'NATION_' || k FROM range(1, 1400, 2) r(k))
+            GROUP BY ALL),
+        best AS (SELECT n_name, max(n) AS n FROM counts GROUP BY n_name)
+        SELECT c.n_name, p_name, p_brand, type_name, p_size, release_year
+        FROM counts c JOIN best b ON c.n_name = b.n_name AND c.n = b.n
+    """,
     "in_stock": """
         WITH found AS (
             SELECT p_name, p_partkey, lower(p_brand) AS brand, c_name || ' ' || c_mktsegment AS customer_name,
@@ -327,6 +361,9 @@ ORACLE = {
     "register_languages": ALL_LANGUAGES,
     "register_rejected": f"""
         SELECT r.seq, r.title, CASE WHEN trim(r.title) = '' THEN 'Movie title cannot be NULL or empty'
+            WHEN r.language IS NULL AND NOT EXISTS (SELECT 1 FROM customer c WHERE upper(c.c_name) = upper(r.title))
+                AND NOT EXISTS (SELECT 1 FROM ({ACCEPTED}) b WHERE upper(b.title) = upper(r.title) AND b.seq < r.seq)
+                THEN 'Language cannot be NULL'
             ELSE 'Movie with this title already exists' END AS reason
         FROM ({REQUESTS}) r WHERE r.seq NOT IN (SELECT seq FROM ({ACCEPTED}) a)
     """,
@@ -344,8 +381,8 @@ ORACLE = {
         ORDER BY c_custkey LIMIT 1
     """,
     "thin_generated": """
-        SELECT col FROM (SELECT 'veeeeeeery_long_string' || CAST(o_orderkey AS VARCHAR) AS col FROM orders) t
-        WHERE NOT CAST(replace(col, 'veeeeeeery_long_string', '') AS BIGINT) % 3 = 0
+        SELECT col FROM (SELECT 'row number ' || CAST(o_orderkey AS VARCHAR) AS col FROM orders) t
+        WHERE NOT CAST(replace(col, 'row number ', '') AS BIGINT) % 3 = 0
     """,
     "insert_absent": ADDED_COMPANIES,
     "insert_absent_table": f"""
@@ -390,11 +427,14 @@ ORACLE = {
         SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem WHERE l_orderkey NOT IN ({DEBTOR_ORDERS})
     """,
     "delete_parents": f"SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey NOT IN ({DEBTOR_ORDERS})",
+    "forget_customer": "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey <> 42",
+    "load_rows": LOADED,
+    "load_table": f"SELECT * FROM supplier UNION ALL SELECT * FROM ({LOADED}) l",
     "derive_rentals": RENTED,
     "derive_payments": f"""
         SELECT (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY rental_id) AS payment_id,
             {RICHEST} AS customer_id, staff_id, rental_id, CAST(p_retailprice AS DECIMAL(18,2)) AS amount,
-            TIMESTAMP '2017-01-15' AS payment_date
+            TIMESTAMP '2021-05-04' AS payment_date
         FROM ({ALL_RENTED}) r JOIN part ON inventory_id = p_partkey
         WHERE upper(p_name) IN ('RED WIDGET', 'HOT RING', 'SMALL WIDGET')
           AND NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = rental_id)

@@ -102,6 +102,7 @@ def resolve_keys(batch: DataFrame, lookups: Sequence[Lookup], how: str = "left")
     several matches multiply. The natural-key columns are dropped.
     """
     spent: list[str] = []
+    base = batch
     for lookup in lookups:
         asked_names, known_names = list(lookup.match), list(lookup.match.values())
         aliases = [f"_k{n}" for n in range(len(asked_names))]
@@ -117,7 +118,12 @@ def resolve_keys(batch: DataFrame, lookups: Sequence[Lookup], how: str = "left")
             kind = lookup.table.schema[lookup.key].dataType
             several = F.raise_error(F.lit(f"more than one {lookup.name} for a key")).cast(kind)
             known = known.groupBy(*aliases).agg(F.min(lookup.name).alias("_key"), F.count("*").alias("_n"))
-            matched = join_on(asked, known, aliases, how) if small else lookup_join(asked, known, aliases, how)
+            if small:
+                matched = join_on(asked, known, aliases, how)
+            else:  # hot keys are looked for in the batch itself, whatever was joined to it before
+                own = [name for name in asked_names if name in base.columns]
+                keyed = base.select(*_folded(base, asked_names, asked_fold)) if own == asked_names else None
+                matched = lookup_join(asked, known, aliases, how, keyed_by=keyed)
             key = F.when(F.col("_n") > 1, several).otherwise(F.col("_key"))
             batch = matched.withColumn(lookup.name, key).drop("_key", "_n", *aliases)
         else:

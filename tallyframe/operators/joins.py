@@ -1,8 +1,8 @@
 """Join operators.
 
 None of them hints a broadcast on data of unknown size. A small side is
-broadcast by Spark's own threshold; beyond it rows are shuffled on their keys,
-and keys that hold a large share of the rows are split off first.
+broadcast by Spark's own threshold; beyond it rows are shuffled once on their keys,
+and keys that hold a large share of the rows are salted.
 """
 
 from __future__ import annotations
@@ -11,12 +11,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyframe.operators.sizes import fits_broadcast, may_skew
+from tallyframe.operators.sizes import fits_broadcast
 
 On = Sequence[str | tuple[str, str]]
 
 HOT_SHARE = 0.005
-FEW_ROWS = 10_000
+HOT_PARTS = 32
+_SALT = "_salt"
 
 
 def key_pairs(on: On) -> list[tuple[str, str]]:
@@ -26,12 +27,14 @@ def key_pairs(on: On) -> list[tuple[str, str]]:
 def join_on(left: DataFrame, right: DataFrame, on: On, how: str = "inner") -> DataFrame:
     """Equi-join on (left, right) column pairs.
 
-    The right key columns are not kept, nor are right columns named like a left one.
+    The right key columns are not kept. Any other right column named like a left one is an error.
     """
     pairs = key_pairs(on)
     keys = [l for l, _ in pairs]
     matched = [r for _, r in pairs]
-    added = [name for name in right.columns if name not in left.columns and name not in matched]
+    added = [name for name in right.columns if name not in matched]
+    if how not in ("left_semi", "left_anti") and (both := sorted(set(added) & set(left.columns))):
+        raise ValueError(f"columns on both sides: {', '.join(both)}")
     right = right.select(*[F.col(r).alias(l) for l, r in pairs], *added)
     joined = left.join(right, keys, how)
     return joined.select(*left.columns) if how in ("left_semi", "left_anti") else joined.select(*left.columns, *added)
@@ -66,62 +69,49 @@ def _hashes_agree(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]
     return all(a[l] == b[r] or {a[l], b[r]} <= _WHOLE_NUMBERS for l, r in pairs)
 
 
-def hot_keys(df: DataFrame, names: Sequence[str], share: float = HOT_SHARE) -> list[int]:
-    """Hashes of the keys (NULL keys too) that hold at least ``share`` of all rows.
+def hot_keys(df: DataFrame, names: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
+    """One row with one array ``hot``: hashes of keys (NULL keys too), among them all that hold more than ``share`` of the rows.
 
-    Two passes over the key columns alone, neither of which shuffles rows: a
-    mergeable heavy-hitter summary that can miss none, then exact counts of its
-    candidates. At most ``1 / share`` values reach the driver.
+    A mergeable heavy-hitter summary of the key columns: it shuffles one short array per task and
+    holds at most ``1 / share`` values. Keys that are not that frequent may be among them.
     """
-    hashed = df.select(_key_hash(df, names).alias("h"))
-    candidates = hashed.freqItems(["h"], share).first()[0] or []
-    if not candidates:
-        return []
-    found = F.when(F.col("h").isin(candidates), F.col("h"))
-    counts = hashed.groupBy(found.alias("h")).agg(F.count("*").alias("n")).collect()
-    least = share * sum(row.n for row in counts)
-    return sorted(row.h for row in counts if row.h is not None and row.n >= least)
+    summary = df.select(_key_hash(df, names).alias("h")).freqItems(["h"], share)
+    return summary.select(F.coalesce("h_freqItems", F.array().cast("array<bigint>")).alias("hot"))
 
 
-def _has_few_rows(df: DataFrame) -> bool:
-    """Counts at most one row more than the bound."""
-    return df.limit(FEW_ROWS + 1).count() <= FEW_ROWS
-
-
-def _unique_side_join(left: DataFrame, right: DataFrame, on: On, how: str, right_bounded: bool) -> DataFrame:
+def _unique_side_join(
+    left: DataFrame, right: DataFrame, on: On, how: str, right_bounded: bool, keyed_by: DataFrame | None = None
+) -> DataFrame:
     """Join ``left`` with ``right``, which holds each key once, without a hot shuffle partition.
 
-    A left side too small to make a skewed partition is joined as it is. Beside a
-    large one, a right side that proves to have few rows (a selective filter,
-    whose effect the size estimate does not know) is broadcast. Otherwise rows
-    of hot keys join a broadcast of those few keys' rows where they lie and all
-    other rows join by shuffle; the two parts are disjoint and together whole.
+    Unless Spark broadcasts the right side by its own threshold, both sides get a salt: 0, but
+    for hot keys a hash of the left row, and the right rows of hot keys are repeated per salt. Both sides are
+    shuffled once. The hot keys are a scalar subquery, so nothing runs while the plan is built; it reads
+    the key columns of ``keyed_by``, the base of ``left`` if earlier joins have not changed them.
     """
     pairs = key_pairs(on)
-    left_names, right_names = [l for l, _ in pairs], [r for _, r in pairs]
-    if right_bounded or not may_skew(left):
-        return join_on(left, right, on, how)
-    if _has_few_rows(right):
-        return join_on(left, F.broadcast(right), on, how)
-    hot = hot_keys(left, left_names) if _hashes_agree(left, right, pairs) else []
-    if not hot:
+    if right_bounded or not _hashes_agree(left, right, pairs):
         return join_on(left, right, on, how)
-    # Each right key occurs once, so this side holds at most 1 / HOT_SHARE rows.
-    hot_right = F.broadcast(right.filter(_key_hash(right, right_names).isin(hot)))
-    is_hot = _key_hash(left, left_names).isin(hot)
-    return join_on(left.filter(is_hot), hot_right, on, how).unionByName(join_on(left.filter(~is_hot), right, on, how))
+    base = left if keyed_by is None else keyed_by
+    hot = hot_keys(base, [l for l, _ in pairs]).scalar()
+    is_hot = lambda df, names: F.array_contains(hot, _key_hash(df, names))
+    seat = F.pmod(F.xxhash64(*map(F.col, left.columns)), F.lit(HOT_PARTS))
+    salted = left.withColumn(_SALT, F.when(is_hot(left, [l for l, _ in pairs]), seat).otherwise(F.lit(0)).cast("int"))
+    last = F.when(is_hot(right, [r for _, r in pairs]), F.lit(HOT_PARTS - 1)).otherwise(F.lit(0))
+    repeated = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), last)))
+    return join_on(salted, repeated, [*on, _SALT], how).drop(_SALT)
 
 
-def lookup_join(left: DataFrame, right: DataFrame, on: On, how: str = "inner") -> DataFrame:
+def lookup_join(left: DataFrame, right: DataFrame, on: On, how: str = "inner", keyed_by: DataFrame | None = None) -> DataFrame:
     """Inner or left join to a side that holds each key once, safe for hot keys on the left."""
-    return _unique_side_join(left, right, on, how, fits_broadcast(right))
+    return _unique_side_join(left, right, on, how, fits_broadcast(right), keyed_by)
 
 
-def _filter_by_keys(left: DataFrame, right: DataFrame, on: On, how: str) -> DataFrame:
+def _filter_by_keys(left: DataFrame, right: DataFrame, on: On, how: str, keyed_by: DataFrame | None = None) -> DataFrame:
     keys = right.select(*[r for _, r in key_pairs(on)])
     small = fits_broadcast(keys)
     # A set of keys is enough, and building it pre-aggregates hot keys on the right.
-    return _unique_side_join(left, keys if small else keys.distinct(), on, how, small)
+    return _unique_side_join(left, keys if small else keys.distinct(), on, how, small, keyed_by)
 
 
 # --- semi and anti joins --------------------------------------------------
@@ -139,9 +129,10 @@ def absent_from(left: DataFrame, right: DataFrame, on: On) -> DataFrame:
 
 def absent_from_any(left: DataFrame, right: DataFrame, alternatives: Sequence[On]) -> DataFrame:
     """Rows matched by none of several keys (NOT EXISTS over OR), one anti-join per key."""
+    rest = left
     for on in alternatives:
-        left = absent_from(left, right, on)
-    return left
+        rest = _filter_by_keys(rest, right, on, "left_anti", keyed_by=left)
+    return rest
 
 
 def exists_along(start: DataFrame, steps: Sequence[tuple[DataFrame, On]]) -> DataFrame:
@@ -157,10 +148,12 @@ def not_in(left: DataFrame, left_key: str, right: DataFrame, right_key: str) ->
     The NULL rules are two scalar facts about the right side, so the join itself
     remains an ordinary shuffled or broadcast anti-join.
     """
-    facts = right.agg(
+    # The distinct keys, NULL among them, serve the join and the facts: one aggregate, reused by both.
+    keys = right.select(F.col(right_key)).distinct()
+    facts = keys.agg(
         F.count("*").alias("n"), F.coalesce(F.max(F.col(right_key).isNull()), F.lit(False)).alias("has_null")
     )
-    kept = absent_from(left, right.filter(F.col(right_key).isNotNull()), [(left_key, right_key)])
+    kept = _unique_side_join(left, keys, [(left_key, right_key)], "left_anti", fits_broadcast(right.select(right_key)))
     return kept.filter(
         ~facts.select("has_null").scalar() & (F.col(left_key).isNotNull() | (facts.select("n").scalar() == 0))
     )

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyframe.operators.joins import absent_from
+from tallyframe.operators.joins import absent_from, join_on
 from tallyframe.sources.definitions import ForeignKey, TableDef
 
 REPORT_SCHEMA = "table_name string, rule string, violations bigint"
@@ -91,9 +91,29 @@ def rule_report(df: DataFrame, table: TableDef, parents: Mapping[str, DataFrame]
     )
 
 
-def require_rules(df: DataFrame, table: TableDef, parents: Mapping[str, DataFrame]) -> DataFrame:
-    """Return ``df`` if it breaks no rule, else raise with the rules it breaks."""
-    broken = rule_report(df, table, parents).filter(F.col("violations") > 0).collect()  # one row per rule
+def _raise_broken(report: DataFrame) -> None:
+    broken = report.filter(F.col("violations") > 0).collect()  # one row per rule
     if broken:
         raise ValueError("; ".join(f"{r.table_name}: {r.rule} ({r.violations})" for r in broken))
+
+
+def require_new_rows(rows: DataFrame, target: DataFrame, table: TableDef, parents: Mapping[str, DataFrame]) -> DataFrame:
+    """Return ``rows`` if adding them to a sound target breaks no rule, else raise with the rules.
+
+    Row rules, repeated keys among the rows and their parents are checked on the rows alone. The target is read by key columns
+    and limited to the rows' keys, so it is not shuffled where the rows can be broadcast.
+    """
+    report = rule_report(rows, table, parents)
+    primary = [(table.primary_key, "primary key")] if table.primary_key else []
+    for keys, kind in [*primary, *[(keys, "unique") for keys in table.unique]]:
+        wanted = rows.select(*keys).distinct()
+        taken = join_on(target.select(*keys), wanted, list(keys), "left_semi").select(F.lit(1).alias("n"))
+        report = report.unionByName(_count_report(table, f"{kind} {', '.join(keys)} of the table", taken, "n"))
+    _raise_broken(report)
+    return rows
+
+
+def require_rules(df: DataFrame, table: TableDef, parents: Mapping[str, DataFrame]) -> DataFrame:
+    """Return ``df`` if it breaks no rule, else raise with the rules it breaks."""
+    _raise_broken(rule_report(df, table, parents))
     return df

@@ -16,11 +16,3 @@ def broadcast_limit(df: DataFrame) -> int:
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether Spark would broadcast ``df`` by its own threshold."""
     return estimated_bytes(df) <= broadcast_limit(df)
-
-
-def may_skew(df: DataFrame) -> bool:
-    """Whether one key could fill a shuffle partition beyond the size Spark calls skewed."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().getConfString(
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "256MB"
-    )
-    return estimated_bytes(df) > df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)

@@ -10,7 +10,7 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, TimestampNTZType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, TimestampNTZType
 
 from tallyframe.functions.ordering import sort_keys
 from tallyframe.functions.periods import in_quarter_of, plus_days, since
@@ -24,7 +24,7 @@ from tallyframe.sources.definitions import ColumnDef, ForeignKey, TableDef, afte
 from tallyframe.sources.tables import Tables, append_rows, create_table, publish_view, tagged_numbers
 
 NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
-TAG = "veeeeeeery_long_string"
+TAG = "row number "
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -247,6 +247,7 @@ def _region_sales(t: Tables) -> dict[str, DataFrame]:
 
 
 IN_QUARTER_DAY = dt.date(1997, 2, 1)
+LAST_SHIPPED = dt.date(2001, 9, 1)
 
 
 @query
@@ -296,8 +297,25 @@ def period_revenue_function(t: Tables) -> DataFrame:
 @query
 def published_view(t: Tables) -> DataFrame:
     """The region report read through a named view."""
-    publish_view(period_revenue(t), "sales_by_region")
-    return t.spark.sql("SELECT category_name, total_revenue FROM sales_by_region WHERE total_revenue > 0")
+    publish_view(period_revenue(t), "tallyframe_sales_by_region")
+    return t.spark.sql("SELECT category_name, total_revenue FROM tallyframe_sales_by_region WHERE total_revenue > 0")
+
+
+@query
+def current_quarter_revenue(t: Tables) -> DataFrame:
+    """Revenue per region in the quarter of today, all ship dates moved so that the tables reach until today."""
+    sales = _region_sales(t)
+    moved = F.date_add(F.to_date("payment_date"), F.datediff(F.current_date(), F.lit(LAST_SHIPPED)))
+    film_rental.publish_current_quarter(
+        {
+            "payment": sales["payments"].withColumn("payment_date", moved),
+            "rental": sales["rentals"],
+            "inventory": sales["copies"],
+            "film_category": sales["links"],
+            "category": sales["categories"],
+        }
+    )
+    return t.spark.table(film_rental.CURRENT_QUARTER_VIEW).select("category_name", total("total_revenue"))
 
 
 @query
@@ -376,6 +394,13 @@ def _inactivity(t: Tables, lines: DataFrame, keep_empty: bool) -> DataFrame:
     return shaped(found, c_custkey="actor_id", full_name="full_name", inactivity_years="inactivity_years")
 
 
+@query
+def inactivity_today(t: Tables) -> DataFrame:
+    """Years without a line until the day the query runs."""
+    found = reports.inactivity(**_customer_years(t, t["lineitem"]), as_of=None, keep_empty=False)
+    return shaped(found, c_custkey="actor_id", full_name="full_name", inactivity_years="inactivity_years")
+
+
 @query
 def inactivity(t: Tables) -> DataFrame:
     return _inactivity(t, t["lineitem"], keep_empty=False)
@@ -409,8 +434,21 @@ def gap_list(t: Tables) -> DataFrame:
 @query
 def most_popular(t: Tables) -> DataFrame:
     """The parts ordered most often from three nations, ties kept."""
+    return _most_popular(t, ["NATION_1", "NATION_5", "NATION_13", None, "Atlantis"])
+
+
+@query
+def most_popular_long_list(t: Tables) -> DataFrame:
+    """The same over a list too long for a condition."""
+    return _most_popular(t, [f"NATION_{k}" for k in range(1, 1400, 2)] + [f"Region {k}" for k in range(700)])
+
+
+def _most_popular(t: Tables, listed: list[str | None]) -> DataFrame:
+    """Orders meet the customers of the listed nations before the lines join."""
     nation = t["nation"]
-    orders = shaped(t["orders"], l_orderkey="o_orderkey", customer_id="o_custkey")
+    theirs = reports.in_list(nation, "n_name", listed).select(F.col("n_nationkey").alias("c_nationkey"))
+    buyers = joins.join_on(t["customer"].select("c_custkey", "c_nationkey"), theirs, ["c_nationkey"])
+    orders = joins.join_on(shaped(t["orders"], l_orderkey="o_orderkey", customer_id="o_custkey"), shaped(buyers, customer_id="c_custkey"), ["customer_id"])
     lines = joins.join_on(t["lineitem"].select("l_orderkey", "l_partkey"), orders, ["l_orderkey"])
     found = reports.most_popular_films(
         countries=shaped(nation, country_id="n_nationkey", country="n_name"),
@@ -429,7 +467,7 @@ def most_popular(t: Tables) -> DataFrame:
             release_year=F.lit(2000),
         ),
         languages=shaped(t["part"].select("p_type").distinct(), language_id="p_type", name=F.lower("p_type")),
-        listed=["NATION_1", "NATION_5", "NATION_13", None, "Atlantis"],
+        listed=listed,
     )
     return shaped(
         found,
@@ -479,14 +517,15 @@ def _customer_name() -> Column:
 
 
 def _requests(t: Tables) -> DataFrame:
-    """Requests made of the orders: blank, known and new titles; known and new languages."""
+    """Requests made of the orders: blank, known and new titles; known, new and missing languages."""
     title = (
         F.when(F.col("o_orderpriority") == "5-LOW", "  ")
         .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", _customer_name())
         .otherwise(tagged("New item ", F.col("o_custkey")))
     )
     language = (
-        F.when(F.col("o_orderstatus") == "F", "nation_7")
+        F.when(F.col("o_orderkey") % 7 == 3, None)
+        .when(F.col("o_orderstatus") == "F", "nation_7")
         .when(F.col("o_orderstatus") == "O", reports.NEW_FILM_LANGUAGE)
         .otherwise(F.concat(F.lit("Lang "), F.col("o_orderpriority")))
     )
@@ -693,7 +732,62 @@ def delete_parents(t: Tables) -> DataFrame:
     return _forget(t)["orders"].table.select("o_orderkey", "o_custkey")
 
 
-RENTED_ON = dt.datetime(2017, 1, 15)
+@query
+def forget_customer(t: Tables) -> DataFrame:
+    """Orders left after one customer, found by name, is forgotten."""
+    left = loads.forget_customer(
+        customers=shaped(t["customer"], customer_id="c_custkey", first_name="c_name", last_name="c_mktsegment"),
+        rentals=shaped(t["orders"], customer_id="o_custkey", o_orderkey="o_orderkey"),
+        payments=shaped(t["orders"], customer_id="o_custkey"),
+        first="customer#000000042",
+        last=t["customer"].filter("c_custkey = 42").select("c_mktsegment").first()[0].lower(),
+    )
+    return left["rental"].table.select("o_orderkey", F.col("customer_id").alias("o_custkey"))
+
+
+def _load(t: Tables) -> changes.Change:
+    """Suppliers made of customers in credit, loaded into the supplier table: nations resolved by name, known names dropped, keys given."""
+    supplier = TableDef(
+        name="supplier",
+        columns=(
+            ColumnDef("s_suppkey", LongType(), required=True),
+            ColumnDef("s_name", StringType(), required=True, max_length=40),
+            ColumnDef("s_nationkey", LongType(), required=True),
+            ColumnDef("s_acctbal", DoubleType(), default=F.lit(0.0)),
+        ),
+        primary_key=("s_suppkey",),
+        unique=(("s_name",),),
+        foreign_keys=(ForeignKey(("s_nationkey",), "nation", ("n_nationkey",)),),
+        checks={"named": F.col("s_name") != ""},
+        generated="s_suppkey",
+    )
+    nations = shaped(t["nation"], c_nationkey="n_nationkey", nation="n_name")
+    batch = joins.join_on(t["customer"].filter("c_acctbal > 9000").select("c_custkey", "c_nationkey"), nations, ["c_nationkey"])
+    name = tagged("SUPPLIER#", F.lpad((F.col("c_custkey") * 3).cast("string"), 9, "0"))
+    return loads.load_table(
+        supplier,
+        t["supplier"],
+        shaped(batch, s_name=name, nation=F.lower("nation")),
+        keys=["s_name"],
+        lookups=[changes.Lookup(t["nation"], {"nation": "n_name"}, "n_nationkey", "s_nationkey")],
+        parents={"nation": t["nation"]},
+        order=["s_name"],
+    )
+
+
+@query
+def load_rows(t: Tables) -> DataFrame:
+    """The rows that a checked load adds."""
+    return _load(t).rows
+
+
+@query
+def load_table(t: Tables) -> DataFrame:
+    """The table after a checked load."""
+    return _load(t).table
+
+
+RENTED_ON = dt.datetime(2021, 5, 4)
 
 
 def _renting(t: Tables) -> dict[str, DataFrame | Column | dt.datetime]:

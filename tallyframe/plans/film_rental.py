@@ -119,13 +119,17 @@ def category_revenue(tables: Tables, day: dt.date | None) -> DataFrame:
     return reports.category_revenue(**_sales(tables), in_period=in_quarter_of(F.col("payment_date"), day))
 
 
+#: Session objects carry the package's name, so that they replace nothing of the caller's.
+CURRENT_QUARTER_VIEW = "tallyframe_current_quarter_revenue"
+
+
 def publish_current_quarter(tables: Tables) -> None:
     """Publish the view of revenue per category in the quarter of the day it is read."""
     revenue = reports.category_revenue(**_sales(tables), in_period=in_current_quarter(F.col("payment_date")))
-    publish_view(revenue, "sales_revenue_by_category_qtr")
+    publish_view(revenue, CURRENT_QUARTER_VIEW)
 
 
-QUARTER_FUNCTION = "get_sales_revenue_by_category_qtr"
+QUARTER_FUNCTION = "tallyframe_quarter_revenue"
 
 # The bounds become constants when the function is called with a literal, and reach the scan.
 _QUARTER_FUNCTION_SQL = f"""
@@ -133,11 +137,11 @@ _QUARTER_FUNCTION_SQL = f"""
     RETURNS TABLE (category_name STRING, total_revenue DECIMAL(38,2))
     RETURN
         SELECT category.name, CAST(sum(payment.amount) AS DECIMAL(38,2))
-        FROM payment
-        JOIN rental USING (rental_id)
-        JOIN inventory USING (inventory_id)
-        JOIN film_category USING (film_id)
-        JOIN category USING (category_id)
+        FROM tallyframe_payment AS payment
+        JOIN tallyframe_rental USING (rental_id)
+        JOIN tallyframe_inventory USING (inventory_id)
+        JOIN tallyframe_film_category USING (film_id)
+        JOIN tallyframe_category AS category USING (category_id)
         WHERE payment.payment_date >= trunc(day, 'QUARTER')
           AND payment.payment_date < add_months(trunc(day, 'QUARTER'), 3)
         GROUP BY category.name
@@ -148,7 +152,7 @@ _QUARTER_FUNCTION_SQL = f"""
 def publish_quarter_function(tables: Tables) -> None:
     """Publish the sales tables as views and the quarter report as a SQL table function over them."""
     for name in ("payment", "rental", "inventory", "film_category", "category"):
-        publish_view(tables[name], name)
+        publish_view(tables[name], f"tallyframe_{name}")
     tables["payment"].sparkSession.sql(_QUARTER_FUNCTION_SQL)
 
 

@@ -16,14 +16,14 @@ from tallyframe.operators.changes import (
     Lookup,
     append,
     assign_keys,
-    delete_children_first,
+    delete_where,
     fill_defaults,
     new_rows,
     resolve_keys,
     update_where,
 )
 from tallyframe.operators.joins import absent_from, join_on, join_path, pair_with_one
-from tallyframe.operators.quality import require_rules
+from tallyframe.operators.quality import require_new_rows
 from tallyframe.plans.reports import first_eligible
 from tallyframe.sources.definitions import TableDef
 
@@ -46,8 +46,8 @@ def load_table(
 ) -> Change:
     """One idempotent load: resolve keys, drop rows already present, fill defaults, number, check, append.
 
-    The checks read the whole next state, so duplicates inside the batch and
-    rows without a parent raise before anything is written.
+    The checks read the new rows, and of the target the rows that share a key with
+    them, so duplicates and rows without a parent raise before anything is written.
     """
     resolved = resolve_keys(batch, lookups)
     absent = resolved
@@ -57,7 +57,7 @@ def load_table(
     if definition.generated:
         filled = assign_keys(filled, target, definition.generated, sort_keys(*order))
     change = append(target, filled)
-    require_rules(change.table, definition, parents or {})
+    require_new_rows(change.rows, target, definition, parents or {})
     return change
 
 
@@ -124,10 +124,9 @@ def take_over_customer(
 def forget_customer(
     *, customers: DataFrame, rentals: DataFrame, payments: DataFrame, first: str, last: str
 ) -> dict[str, Change]:
-    """Remove a customer's payments, then rentals."""
-    who = named(customers, first, last).select("customer_id")
-    tables = [("payment", payments, ["customer_id"]), ("rental", rentals, ["customer_id"])]
-    return delete_children_first(tables, who)
+    """Remove a customer's payments, then rentals; two customers of the name are an error, none removes nothing."""
+    theirs = F.col("customer_id") == named(customers, first, last).select("customer_id").scalar()
+    return {name: delete_where(table, where=theirs) for name, table in (("payment", payments), ("rental", rentals))}
 
 
 def derive_rentals(
@@ -149,7 +148,9 @@ def derive_rentals(
     durations = films.filter(wanted).select("film_id", "rental_duration")
     chosen = join_on(copies.select("inventory_id", "film_id"), durations, ["film_id"])
     rows = pair_with_one(chosen, customer, {"customer_id": "customer_id"})
-    rows = absent_from(rows, rentals, ["inventory_id", "customer_id"])
+    # Only this customer's rentals can be in the way.
+    theirs = rentals.filter(F.col("customer_id") == customer.select("customer_id").scalar()).select("inventory_id")
+    rows = absent_from(rows, theirs, ["inventory_id"])
     start = F.lit(moment).cast("timestamp_ntz")
     rows = rows.select(
         start.alias("rental_date"),
@@ -184,7 +185,7 @@ def derive_payments(
             (films.filter(wanted).select("film_id", "rental_rate"), ["film_id"]),
         ],
     )
-    unpaid = absent_from(rented, payments, ["rental_id"])
+    unpaid = new_rows(payments, rented, ["rental_id"])
     rows = unpaid.select(
         "customer_id",
         "staff_id",

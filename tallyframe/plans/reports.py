@@ -27,7 +27,6 @@ from tallyframe.operators.joins import (
     join_path,
     lookup_join,
     not_in,
-    through_bridge,
 )
 from tallyframe.operators.numbering import number_rows
 from tallyframe.operators.rollup import Hop, Measure, count_by_value, roll_up
@@ -65,7 +64,8 @@ def films_of_category(
     named = categories.filter(same_text(F.col("name"), category))
     chosen = films.filter(wanted)
     if form == "join":
-        chosen = through_bridge(chosen, links, named.select("category_id"), ["film_id"], ["category_id"])
+        # The one category meets its links first, so that films join only those.
+        chosen = join_on(chosen, join_on(links, named.select("category_id"), ["category_id"]).select("film_id"), ["film_id"])
     else:
         one = named.select("category_id").scalar()
         chosen = exists_in(chosen, links.filter(F.col("category_id") == one), ["film_id"])
@@ -376,22 +376,21 @@ def films_in_stock(
     titled = films.select("film_id", F.col("title").alias("film_title"), "language_id")
     matching = titled.filter(F.col("film_title").ilike(pattern))
     their_copies = exists_in(copies.select("inventory_id", "film_id"), matching, ["film_id"])
-    # A copy is out while one of its rentals is open; a film is in stock while one copy is not out.
-    per_copy = rentals.groupBy("inventory_id").agg(
-        F.max(F.col("return_date").isNull()).alias("out"), F.max("rental_date").alias("rental_date")
+    # One join of two plain tables, which adaptive execution splits at hot keys; state and latest time both follow from it.
+    rented = join_on(
+        rentals.select("rental_id", "customer_id", "rental_date", "return_date", "inventory_id"), their_copies, ["inventory_id"]
     )
-    in_stock = (
-        join_on(their_copies, per_copy, ["inventory_id"], "left")
+    # A copy is out while one of its rentals is open; a film is in stock while fewer copies are out than it has.
+    per_film = (
+        rented.groupBy("film_id", "inventory_id")
+        .agg(F.max(F.col("return_date").isNull()).cast("int").alias("out"), F.max("rental_date").alias("rental_date"))
         .groupBy("film_id")
-        .agg(F.min(F.coalesce("out", F.lit(False))).alias("none_free"), F.max("rental_date").alias("rental_date"))
-        .filter(~F.col("none_free"))
-        .select("film_id", "rental_date")
-    )
-    rented = join_on(
-        rentals.select("rental_id", "customer_id", "rental_date", "inventory_id"), their_copies, ["inventory_id"]
+        .agg(F.sum("out").alias("n_out"), F.max("rental_date").alias("rental_date"))
     )
+    owned = their_copies.distinct().groupBy("film_id").agg(F.count("*").alias("n_copies"))
+    in_stock = join_on(per_film, owned, ["film_id"]).filter("n_out < n_copies").select("film_id", "rental_date")
     # Joined on (film, time), so a film with very many rentals does not meet in one task.
-    latest = join_on(rented, in_stock, ["film_id", "rental_date"])
+    latest = join_on(rented.drop("return_date"), in_stock, ["film_id", "rental_date"])
     rows = join_path(
         latest,
         [
@@ -473,7 +472,10 @@ def register_films(
     added = rows.select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in films.schema])
     refused = absent_from(asked, accepted, ["seq"])
     reason = F.when(is_blank(F.col("title")), REASON_BLANK)
-    lacking = exists_in(refused, absent.filter(F.col("language").isNull()), ["seq"]).select("seq")
+    # A request without a language is told so unless an accepted one before it already holds the title.
+    nameless = absent.filter(F.col("language").isNull()).select("seq", F.upper("title").alias("_title"))
+    lacking = lookup_join(nameless, first.withColumnRenamed("seq", "_first"), ["_title"], "left")
+    lacking = lacking.filter(F.col("_first").isNull() | (F.col("_first") > F.col("seq"))).select("seq")
     refused = join_on(refused, lacking.withColumn("_no_language", F.lit(True)), ["seq"], "left")
     reason = reason.when(F.col("_no_language"), REASON_LANGUAGE).otherwise(REASON_EXISTS)
     return Registration(

@@ -16,6 +16,10 @@ SETTINGS = {
 }
 
 
+#: Of local sessions without a shared folder, by application.
+_OWN_FOLDERS: dict[str, str] = {}
+
+
 def build_session(name: str = "tallyframe", master: str | None = None, **settings: str) -> SparkSession:
     """A session with adaptive execution on; leaves memory and partition counts to the caller."""
     builder = SparkSession.builder.appName(name)
@@ -29,17 +33,19 @@ def build_session(name: str = "tallyframe", master: str | None = None, **setting
 def scratch_root(spark: SparkSession) -> str:
     """The folder for checkpoints and intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a local session without
-    that setting gets a folder of its own, since executors on other machines
+    A cluster names it in ``spark.checkpoint.dir`` or has set a checkpoint folder. Only a local session without
+    either gets a folder of its own, since executors on other machines
     could not read it.
     """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder and not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tallyframe-"))
-    return folder or context.getCheckpointDir()
+        raise RuntimeError("set spark.checkpoint.dir, or a checkpoint folder, that all executors share")
+    if not folder:
+        if context.applicationId not in _OWN_FOLDERS:
+            _OWN_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="tallyframe-")
+        folder = _OWN_FOLDERS[context.applicationId]
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

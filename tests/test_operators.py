@@ -134,11 +134,11 @@ def skewed(spark):
     return spark.range(30_000).select(key.alias("k"), F.col("id").alias("v")).repartition(6)
 
 
-def test_hot_keys_are_exactly_the_heavy_ones(skewed, spark):
-    hot = set(joins.hot_keys(skewed, ["k"]))
+def test_hot_keys_hold_all_heavy_ones_and_few_others(skewed, spark):
+    hot = joins.hot_keys(skewed, ["k"]).first()["hot"]
     expected = spark.sql("SELECT xxhash64(7L), xxhash64(CAST(NULL AS BIGINT))").first()
-    assert hot == set(expected)
-    assert joins.hot_keys(spark.range(20_000), ["id"]) == []
+    assert set(expected) <= set(hot) and len(hot) <= 200
+    assert joins.hot_keys(spark.range(0), ["id"]).first()["hot"] == []
 
 
 def _parent(spark):
@@ -149,7 +149,7 @@ def _parent(spark):
 def test_split_semi_and_anti_joins_are_whole(skewed, spark, no_broadcast):
     parent = _parent(spark)
     semi, anti = joins.exists_in(skewed, parent, [("k", "p")]), joins.absent_from(skewed, parent, [("k", "p")])
-    assert "Union" in semi._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in semi._jdf.queryExecution().optimizedPlan().toString()
     plain = skewed.join(parent.distinct(), skewed.k == parent.p, "left_semi")
     assert semi.count() == plain.count()
     assert semi.exceptAll(plain).count() == 0
@@ -165,18 +165,29 @@ def test_split_lookup_join_is_whole(skewed, spark, no_broadcast):
     assert found.exceptAll(plain).count() == 0 and plain.exceptAll(found).count() == 0
 
 
-def test_hot_rows_are_not_shuffled(skewed, spark, no_broadcast):
-    """The hot part joins a broadcast; only the cold part is exchanged by key."""
-    found = joins.exists_in(skewed, _parent(spark), [("k", "p")])
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+def test_chained_lookups_read_the_left_side_once_each(spark, skewed, no_broadcast, tmp_path):
+    """One read for the rows and one of the key columns for the hot keys of each lookup; no job while building."""
+    skewed.write.parquet(str(tmp_path / "batch"))
+    batch = spark.read.parquet(str(tmp_path / "batch"))
+    parent = _parent(spark).distinct()
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    found = joins.absent_from_any(batch, parent, [[("k", "p")], [("v", "p")], [("k", "p"), ("v", "p")]])
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [k") <= 7  # both sides of a join name the same scalar, which Spark runs once
+    assert found.count() == skewed.join(parent, skewed.k == parent.p, "left_anti").join(parent, skewed.v == parent.p, "left_anti").count()
 
 
-def test_few_rows_behind_a_selective_filter_are_broadcast(skewed, spark, no_broadcast):
+def test_joined_columns_of_one_name_are_an_error(frame):
+    with pytest.raises(ValueError, match="columns on both sides: n"):
+        joins.join_on(frame("k int, n int", (1, 2)), frame("k int, n int", (1, 2)), ["k"])
+
+
+
+def test_few_rows_behind_a_selective_filter_give_no_hint(skewed, spark, no_broadcast):
     few = _parent(spark).filter(F.col("p") < 5_010)
     found = joins.absent_from(skewed, few, [("k", "p")])
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert "broadcast" not in found._jdf.queryExecution().analyzed().toString()
     # Ten thousand rows of the hot key and those of ten others that occur go.
     gone = skewed.filter("k = 7 OR k BETWEEN 5000 AND 5009").count()
     assert found.count() == 30_000 - gone

@@ -134,12 +134,12 @@ def test_current_quarter_view(t, spark, frame):
         {"amount": F.lit(D("2.50")).cast("decimal(5,2)"), "payment_date": F.lit(today).cast("timestamp_ntz")}
     )
     fr.publish_current_quarter(t | {"payment": t["payment"].unionByName(paid)})
-    assert bag(spark.table("sales_revenue_by_category_qtr")) == [("Animation", D("2.50")), ("Travel", D("2.50"))]
+    assert bag(spark.table(fr.CURRENT_QUARTER_VIEW)) == [("Animation", D("2.50")), ("Travel", D("2.50"))]
 
 
 def test_quarter_function_from_sql(t, spark):
     fr.publish_quarter_function(t)
-    call = "SELECT * FROM get_sales_revenue_by_category_qtr({})"
+    call = f"SELECT * FROM {fr.QUARTER_FUNCTION}" + "({})"
     first = spark.sql(call.format("DATE '2017-01-01'"))
     assert bag(first) == bag(fr.category_revenue(t, dt.date(2017, 1, 1)))
     assert rows(spark.sql(call.format("CAST(NULL AS DATE)"))) == []
