@@ -32,8 +32,8 @@ from tallyframe.llm.words import SPACED, mix, text_chunks, words_of
 from tallyframe.session import scratch_path
 
 LISTED = 1 << 17
-PART_TOKENS = 8_000_000
-CHUNK = 12 << 20
+PART_TOKENS = 2_000_000
+CHUNK = 4 << 20
 TOP_R = 5
 #: A Good-Turing discount outside these is held at them; where counts of counts are missing there is none.
 LEAST_DISCOUNT = 0.05
