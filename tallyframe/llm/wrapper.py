@@ -4,7 +4,7 @@ A page becomes a tree of its block elements. Runs of siblings of one structure (
 one node. A host's wrapper is its most frequent structure. Every other structure of the host is aligned with it by simple tree matching,
 and for each node of the wrapper all pages' texts are compared through mergeable minima and maxima of their
 hashes: a leaf with one text on at least ``TEMPLATE_PAGES`` pages of a host whose other text varies is template. The content is the node under
-which most of the varying text lies, ``article`` and ``main`` first. Elements that say what they are by tag, role or class (menus, forms, comments ...) are never content.
+which most of the varying text lies; an ``article`` or ``main`` with a tenth of it comes first. Elements that say what they are by tag, role or class (menus, forms, comments ...) are never content.
 
 No page meets another: pages of a host are joined by aggregates of (host, structure, node). The last join, page to
 wrapper, is salted, so that a host with a third of all pages spreads.
@@ -330,7 +330,7 @@ def _plan(wrapper: str, leaves: tuple[tuple[int, bool, int, int], ...]) -> tuple
         size[node] += sum(size[c] for c in children[node])
     mains = [k for k, label in enumerate(labels) if label.partition(".")[0] in MAIN]
     best = max(mains, key=lambda k: (size[k], -k), default=None)
-    if best is not None and 2 * size[best] >= size[0]:
+    if best is not None and 10 * size[best] >= size[0]:
         return best, frozenset(template)
     at = 0
     while children[at]:
@@ -357,21 +357,22 @@ def _content(tree: Node, wrapper: str | None, leaves: tuple) -> list[str]:
     return [text for _, text in sorted(t for node in kept for t in node.texts)]
 
 
-def _extract(batches: Iterator[pa.RecordBatch], out: list[str]) -> Iterator[pa.RecordBatch]:
+def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
         for html, wrapper, leaves in zip(batch.column("html").to_pylist(), batch.column("wrapper").to_pylist(), batch.column("leaves").to_pylist(), strict=True):
             tree = page_tree(html)
             told = tuple(sorted((x["node"], x["constant"], x["pages"], x["size"]) for x in leaves or ()))
             texts.append("\n".join(_content(tree, wrapper, told)) if tree else "")
-        yield pa.RecordBatch.from_arrays([batch.column(name) for name in out] + [pa.array(texts, pa.string())], names=[*out, "text"])
+        yield pa.RecordBatch.from_arrays([batch.column("kept"), pa.array(texts, pa.string())], names=["kept", "text"])
 
 
 def extract(pages: DataFrame, keep: list[str]) -> DataFrame:
-    """The ``keep`` columns of the pages (with ``url`` and ``html``) and the main ``text``."""
-    named = pages.select(*keep, host_of(F.col("url")).alias("host"), "html")
-    salt = F.pmod(F.xxhash64("html", *keep), F.lit(SALTS))
+    """The ``keep`` columns of the pages (with ``url`` and ``html``) and the main ``text``, which replaces a column of that name."""
+    kept = F.struct(*(name for name in keep if name != "text"))
+    named = pages.select(kept.alias("kept"), host_of(F.col("url")).alias("host"), F.col("html"))
+    salt = F.pmod(F.xxhash64("html", "kept"), F.lit(SALTS))
     wrappers = induce(named).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    joined = named.withColumn("salt", salt).join(wrappers, ["host", "salt"], "left").select(*keep, "html", "wrapper", "leaves")
-    schema = ", ".join(f"`{name}` {kind}" for name, kind in named.select(*keep).dtypes)
-    return joined.mapInArrow(lambda batches: _extract(batches, keep), f"{schema}, text string")
+    joined = named.withColumn("salt", salt).join(wrappers, ["host", "salt"], "left").select("kept", "html", "wrapper", "leaves")
+    found = joined.mapInArrow(_extract, f"kept {dict(named.dtypes)['kept']}, text string")
+    return found.select("kept.*", "text")
