@@ -40,6 +40,20 @@ f AS (SELECT page_id, arg_max(rule_host || rule_path, length(rule_host || rule_p
 SELECT h.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM h LEFT JOIN f ON h.page_id = f.page_id
 """
 
+_OP8 = """
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, list_aggregate(list_slice(w, i, i + 3), 'string_agg', ' ') AS shingle
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n a ON x = a.doc_id JOIN n b ON y = b.doc_id WHERE 100 * o >= 85 * (a.n + b.n - o)),
+e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+r AS (SELECT doc_id, doc_id AS reached FROM documents UNION SELECT r.doc_id, e.y FROM r JOIN e ON r.reached = e.x)
+SELECT r.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(reached) AS component_id
+FROM r LEFT JOIN n ON r.doc_id = n.doc_id GROUP BY r.doc_id
+"""
+
 _OP10 = """
 WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings),
 s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
@@ -48,4 +62,4 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM s QUALIFY rank <= 10
 """
 
-ORACLE = {"op2_archive": _OP2, "op6_decontamination": _OP6, "op7_url_rules": _OP7, "op10_top_vectors": _OP10}
+ORACLE = {"op2_archive": _OP2, "op6_decontamination": _OP6, "op7_url_rules": _OP7, "op8_near_copies": _OP8, "op10_top_vectors": _OP10}
