@@ -341,7 +341,8 @@ class Join:
 
         The first nodes of neighbouring sizes that share an n-gram meet as well, each with one.
         """
-        sized = mixed.withColumn("class", F.floor(F.log(F.col("n")) / math.log(100 / self.percent)))
+        sized = mixed.where(self.early(F.col("n"), F.col("place"), F.col("n")))
+        sized = sized.withColumn("class", F.floor(F.log(F.col("n")) / math.log(100 / self.percent)))
         first = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), "node", "n", "root")).alias("first")
         least = sized.groupBy("token", "class").agg(first)
         spread = sized.join(least, ["token", "class"]).where("root != first.root").select("node", "n", "first")
@@ -354,17 +355,26 @@ class Join:
     def across(self, mixed: DataFrame) -> DataFrame:
         """All pairs that share an n-gram across components and can still link.
 
-        Up to the last n-gram that both prefixes share, the pair has just the shared ones in common; beyond
-        it at most the shorter rest. (All n-grams that two components share are in ``mixed``.)
+        The first n-gram they share must stand early in both sets. Up to the last such one the pair has just the shared ones in
+        common; beyond it at most the shorter rest. (All n-grams that two components share are in ``mixed``.)
         """
         left = mixed.select("token", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("root_x"), F.col("place").alias("px"))
         right = mixed.select("token", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("root").alias("root_y"), F.col("place").alias("py"))
         small, large = F.least("nx", "ny"), F.greatest("nx", "ny")
-        met = left.join(right, "token").where((F.col("root_x") < F.col("root_y")) & (100 * small >= self.percent * large))
+        soon = self.early(F.col("nx"), F.col("px"), F.col("ny")) & self.early(F.col("ny"), F.col("py"), F.col("nx"))
+        met = left.join(right, "token").where((F.col("root_x") < F.col("root_y")) & (100 * small >= self.percent * large) & soon)
         pairs = met.groupBy("x", "nx", "y", "ny").agg(F.count("*").alias("s"), F.max("px").alias("px"), F.max("py").alias("py"))
         most = F.col("s") + F.least(F.col("nx") - 1 - F.col("px"), F.col("ny") - 1 - F.col("py"))
         return pairs.where(100 * most >= self.percent * (F.col("nx") + F.col("ny") - most)).select(*_pair("x", "nx", "y", "ny"))
 
+    def early(self, n, place, other_n):
+        """Whether a place is among the first that a set of size ``n`` must share with a linked set of size ``other_n``.
+
+        Linked sets have at least ``t / (1 + t)`` of both sizes in common; the set's n-grams before the first shared one are not.
+        """
+        common = F.ceil(self.percent * (n + other_n) / F.lit(100.0 + self.percent) - 1e-9)
+        return place <= n - common
+
     def fits(self):
         """Whether sets of these sizes can be similar enough."""
         small, large = F.least("na", "nb"), F.greatest("na", "nb")
