@@ -332,7 +332,7 @@ def most_popular_films(
     Films equal in title, rating, language, length and year count as one.
     """
     if not listed:
-        raise ValueError("Country list cannot be NULL or empty")
+        raise ValueError(EMPTY_LIST)
     located = join_path(
         customers.select("customer_id", "address_id"),
         [
@@ -413,7 +413,7 @@ def films_in_stock(
 def warn_if_empty(rows: DataFrame) -> DataFrame:
     """Say so when nothing was found, as the stock search does; looks at one row."""
     if rows.isEmpty():
-        warnings.warn("No films found or no available copies in stock", stacklevel=2)
+        warnings.warn(EMPTY_STOCK, stacklevel=2)
     return rows
 
 
@@ -432,6 +432,9 @@ NEW_FILM_DURATION = 3
 NEW_FILM_RATE = "4.99"
 NEW_FILM_COST = "19.99"
 
+# The messages that callers of the reports see.
+EMPTY_LIST = "Country list cannot be NULL or empty"
+EMPTY_STOCK = "No films found or no available copies in stock"
 REASON_BLANK = "Movie title cannot be NULL or empty"
 REASON_EXISTS = "Movie with this title already exists"
 REASON_LANGUAGE = "Language cannot be NULL"

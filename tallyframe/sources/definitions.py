@@ -122,7 +122,7 @@ def social_tables() -> dict[str, TableDef]:
             ),
             ("user_id",),
             (("user_name",), ("email_info",), ("phone_number",)),
-            checks={"creation_time": after_day("creation_time", start)},
+            checks={"creation_time after the first day": after_day("creation_time", start)},
             generated="user_id",
         ),
         TableDef(
@@ -130,7 +130,7 @@ def social_tables() -> dict[str, TableDef]:
             (_key("media_type_id"), _text("media_type_name", 20)),
             ("media_type_id",),
             (("media_type_name",),),
-            checks={"media_type": one_of("media_type_name", "image", "video", "gif")},
+            checks={"media_type_name is listed": one_of("media_type_name", "image", "video", "gif")},
             generated="media_type_id",
         ),
         TableDef(
@@ -138,7 +138,7 @@ def social_tables() -> dict[str, TableDef]:
             (_key("visibility_setting_id"), _text("visibility_type", 20)),
             ("visibility_setting_id",),
             (("visibility_type",),),
-            checks={"visibility": one_of("visibility_type", "public", "followers", "private")},
+            checks={"visibility_type is listed": one_of("visibility_type", "public", "followers", "private")},
             generated="visibility_setting_id",
         ),
         TableDef(
@@ -185,8 +185,8 @@ def social_tables() -> dict[str, TableDef]:
             (),
             (_to("user", "user_id"), _to("visibility_setting", "visibility_setting_id")),
             {
-                "deleted_after_creation": after("deleted_at", "creation_time"),
-                "creation_time": after_day("creation_time", start),
+                "deleted_at after creation_time": after("deleted_at", "creation_time"),
+                "creation_time after the first day": after_day("creation_time", start),
             },
             "post_id",
         ),
@@ -202,9 +202,9 @@ def social_tables() -> dict[str, TableDef]:
             (),
             (_to("user", "follower_user_id", "user_id"), _to("user", "following_user_id", "user_id")),
             {
-                "no_self_follow": differ("follower_user_id", "following_user_id"),
-                "follow_time": after_day("follow_time", start),
-                "removal_after_follow": after("removal_time", "follow_time"),
+                "follower_user_id differs from following_user_id": differ("follower_user_id", "following_user_id"),
+                "follow_time after the first day": after_day("follow_time", start),
+                "removal_time after follow_time": after("removal_time", "follow_time"),
             },
         ),
         TableDef(
@@ -221,8 +221,8 @@ def social_tables() -> dict[str, TableDef]:
             (),
             (_to("post", "post_id"), _to("user", "user_id")),
             {
-                "creation_time": after_day("creation_time", start),
-                "deleted_after_creation": after("deleted_at", "creation_time"),
+                "creation_time after the first day": after_day("creation_time", start),
+                "deleted_at after creation_time": after("deleted_at", "creation_time"),
             },
             "comment_id",
         ),
@@ -238,7 +238,7 @@ def social_tables() -> dict[str, TableDef]:
             ("like_id",),
             (("post_id", "user_id"),),
             (_to("post", "post_id"), _to("user", "user_id")),
-            {"like_time": after_day("liked_at", start), "unliked_after_liked": after("unliked_at", "liked_at")},
+            {"liked_at after the first day": after_day("liked_at", start), "unliked_at after liked_at": after("unliked_at", "liked_at")},
             "like_id",
         ),
         TableDef(
@@ -253,7 +253,7 @@ def social_tables() -> dict[str, TableDef]:
             ("share_id",),
             (),
             (_to("post", "post_id"), _to("user", "user_id"), _to("share_platform", "share_platform_id")),
-            {"share_time": after_day("shared_at", start)},
+            {"shared_at after the first day": after_day("shared_at", start)},
             "share_id",
         ),
         TableDef(
@@ -269,8 +269,8 @@ def social_tables() -> dict[str, TableDef]:
             (),
             (_to("post", "post_id"), _to("media_type", "media_type_id")),
             {
-                "upload_time": after_day("uploaded_at", start),
-                "removed_after_upload": after("removed_at", "uploaded_at"),
+                "uploaded_at after the first day": after_day("uploaded_at", start),
+                "removed_at after uploaded_at": after("removed_at", "uploaded_at"),
             },
             "post_media_id",
         ),

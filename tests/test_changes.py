@@ -164,14 +164,14 @@ def test_rules_on_the_social_tables(frame):
         "not null follower_user_id": 1,
         "not null following_user_id": 0,
         "not null follow_time": 1,
-        "check no_self_follow": 1,
-        "check follow_time": 1,
-        "check removal_after_follow": 1,
+        "check follower_user_id differs from following_user_id": 1,
+        "check follow_time after the first day": 1,
+        "check removal_time after follow_time": 1,
         "primary key follower_user_id, following_user_id": 1,
         "foreign key follower_user_id": 0,
         "foreign key following_user_id": 1,
     }
-    with pytest.raises(ValueError, match="no_self_follow"):
+    with pytest.raises(ValueError, match="differs from"):
         quality.require_rules(df, follow, {"user": users})
 
 
@@ -359,3 +359,22 @@ def test_categories_and_links_load(spark, frame):
 def test_table_definition_defaults():
     table = TableDef("t", (ColumnDef("a", IntegerType(), True), ColumnDef("b", StringType(), default=F.lit("x"))), ("a",))
     assert table.required() == ["a"] and list(table.defaults()) == ["b"]
+
+
+def test_forgetting_a_name_that_two_bear_is_an_error(frame):
+    customers = frame("customer_id int, first_name string, last_name string", (1, "Ann", "Lee"), (2, "ann", "lee"), (3, "Bo", "Lee"))
+    facts = frame("customer_id int, rental_id int", (1, 1), (2, 2), (3, 3))
+    forget = lambda first: loads.forget_customer(customers=customers, rentals=facts, payments=facts, first=first, last="lee")
+    with pytest.raises(Exception, match="SCALAR_SUBQUERY_TOO_MANY_ROWS"):
+        forget("ANN")["rental"].table.collect()
+    assert bag(forget("bo")["rental"].table, "rental_id") == [(1,), (2,)]
+    assert forget("zed")["payment"].table.count() == 3
+
+
+def test_new_rows_are_checked_without_reading_the_table_whole(spark, frame):
+    definition = TableDef("t", (ColumnDef("k", IntegerType(), required=True), ColumnDef("v", StringType())), ("k",), (("v",),))
+    target = frame("k int, v string", (1, "a"), (2, "b"))
+    assert quality.require_new_rows(frame("k int, v string", (3, "c"), (4, None), (5, None)), target, definition, {}).count() == 3
+    for rows_, rule in (([(2, "z")], "primary key k of the table"), ([(3, "a")], "unique v of the table"), ([(3, "c"), (3, "d")], "primary key k"), ([(None, "c")], "not null k")):
+        with pytest.raises(ValueError, match=rule):
+            quality.require_new_rows(frame("k int, v string", *rows_), target, definition, {})

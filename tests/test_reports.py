@@ -210,6 +210,7 @@ def test_register_films(t, frame):
         (6, "New Two", "Georgian", 2021),
         (7, "New Three", "georgian", None),
         (8, "New Four", None, 2021),
+        (9, "NEW one", None, 2021),
     )
     assert bag(done.films.rows, "film_id", "title", "language_id", "release_year") == [
         (10, "New Two", 3, 2021),
@@ -226,6 +227,7 @@ def test_register_films(t, frame):
         (4, reports.REASON_BLANK),
         (5, reports.REASON_EXISTS),
         (8, reports.REASON_LANGUAGE),
+        (9, reports.REASON_EXISTS),
     ]
 
 
