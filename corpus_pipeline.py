@@ -20,8 +20,8 @@ from tallyframe.llm.queries import tokenizer_file
 from tallyframe.llm.workers import reach_package
 from tallyframe.session import scratch_path
 
-#: Below this share of letters in one language a document has none.
-LEAST_SCORE = 0.5
+#: Below this share of letters in one language a document has none. Texts that mix two or three languages are kept.
+LEAST_SCORE = 0.25
 
 #: Not expressible in SQL: models, tokenizer and packing are code. The stages are tested against brute force.
 ORACLE_SQL = None
