@@ -38,7 +38,7 @@ FRAGMENTS = 4
 BUCKETS = 1 << 20
 FILTER_BITS = 1 << 24
 #: Rounds of stars before pairs across components; prefix n-grams in a partition, partners of a centre in a group, and copies of a component's row in the last join.
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 PART_NGRAMS = 1_000_000
 GROUP_ROWS = 500
 SALTS = 16
