@@ -1,7 +1,7 @@
 """From raw documents to packed training sequences: five stages, each written and read again.
 
 1. language: documents without an identifiable language go.
-2. near_copies: of documents linked by a 4-gram Jaccard similarity of 0.85 or more, one stays: that with the smallest doc_id.
+2. near_copies: of documents linked by a 5-gram Jaccard similarity of 0.8 or more, one stays: that with the smallest doc_id.
 3. decontamination: documents go in which benchmark windows cover a twentieth of the words or more.
 4. personal_data: spans of personal data are replaced by their kind; ``n_chars`` follows.
 5. packing: the texts as token pieces placed in sequences of 2048 tokens.
@@ -22,6 +22,8 @@ from tallyframe.session import scratch_path
 
 #: Below this share of letters in one language a document has none. Texts that mix two or three languages are kept.
 LEAST_SCORE = 0.25
+#: Words of an n-gram and least similarity in per cent of near copies; op8's own values hold for that query only.
+COPY_WORDS, COPY_PERCENT = 5, 80
 
 #: Not expressible in SQL: models, tokenizer and packing are code. The stages are tested against brute force.
 ORACLE_SQL = None
@@ -53,7 +55,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     reach_package(spark)
     keyed = docs.select(_row().alias("row"), "text")
-    placed = _written(jaccard.components(keyed, key="row").withColumnRenamed("doc_id", "row"), "placed")
+    placed = _written(jaccard.components(keyed, size=COPY_WORDS, percent=COPY_PERCENT, key="row").withColumnRenamed("doc_id", "row"), "placed")
     kept = _without(docs, placed.where(F.col("row") != F.col("component_id")))
     repeated = placed.where("n_shingles > 0").groupBy("row").count().where("count > 1").select("row")
     repeated = _written(repeated.select(F.to_json("row").alias("again")), "repeated")

@@ -308,3 +308,14 @@ def test_pipeline_stages_take_odd_rows(spark, documents):
         assert stage(spark, odd.limit(0), FOLDER).count() == 0
     assert corpus_pipeline.identify_language(spark, odd, FOLDER).count() == 4
     assert corpus_pipeline.pack_sequences(spark, odd.limit(0), FOLDER).count() == 0
+
+
+def test_near_copies_stage_takes_five_words_and_four_fifths(spark, documents):
+    text = [f"w{k}" for k in range(200)]
+    edited = lambda *at: " ".join(f"e{k}" if k in at else w for k, w in enumerate(text))
+    # Four edits: 176 of 216 5-grams are shared (0.81), and 181 of 213 4-grams (just under 0.85). Five edits: 171 of 221 (0.77).
+    docs = [(1, " ".join(text)), (2, edited(20, 60, 100, 140)), (3, edited(30, 70, 110, 150, 180)), *near_copies()]
+    docs = [(k, t) for k, (_, t) in enumerate(docs)]
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, documents(*docs), FOLDER).collect()}
+    assert 0 in kept and 1 not in kept and 2 in kept
+    assert kept == {k for k, _, c in brute_components(docs, 5, 80) if k == c}
