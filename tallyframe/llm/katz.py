@@ -3,11 +3,13 @@
 Tokens are the words of a text (``words.SPACED``) and one end; the first token's history is a start mark.
 
 1. Training tokens are counted; the unigram table is written. Its most frequent words (at most ``LISTED``) go to all tasks with their exact counts.
-2. Every token of every text is dealt, packed, to the *part* that holds its history: a part has all bigrams of its histories, so counts, discounts and backoff
+2. Every token of every text is dealt, packed, to the *part* that holds its history: a part has all bigrams of its histories, so counts and backoff
    weights are made where they are used. A history with more tokens than a quarter of a part is split over several parts by its next words; its
    count is in the list, and its weight is put together from the parts.
-3. A part counts its bigrams, discounts those seen up to ``TOP_R`` times by Good-Turing (its own counts of counts), and evaluates its tokens: a seen
-   bigram gives d * c / N(h), any other the weight of h times the unigram probability. Parts give sums per text; these are summed.
+3. A part counts its bigrams and is written as one row with its counts of counts. Their sums over all parts give the Good-Turing discounts of bigrams
+   seen up to ``TOP_R`` times, one set for the corpus.
+4. A part evaluates its tokens: a seen bigram gives d * c / N(h), any other the weight of h times the unigram probability. Parts give sums per text; these
+   are summed. So the number of parts changes nothing but the order of sums.
 
 The weight of h is (1 - sum of seen probabilities) / (1 - sum of the unigram probabilities of the seen words), so each history's probabilities sum
 to 1. If a history's seen words are not discounted, N(h) + 1 stands for N(h). Unigrams: listed words have c / (N + 1); what is
@@ -27,6 +29,7 @@ import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tallyframe.llm.words import SPACED, mix, text_chunks, words_of
 from tallyframe.session import scratch_path
@@ -258,9 +261,14 @@ def _deal(batches: Iterator[pa.RecordBatch], unigrams: Unigrams, parts: int, key
             chunk += 1
 
 
-def discounts(counts: np.ndarray) -> np.ndarray:
-    """Good-Turing discounts for counts 0 to ``TOP_R`` + 1 from the counts of distinct bigrams; 1 where they cannot be told."""
-    seen = np.bincount(np.minimum(counts, TOP_R + 2), minlength=TOP_R + 3).astype(float)
+def classes_of(counts: np.ndarray) -> np.ndarray:
+    """How many distinct bigrams have each count from 0 to ``TOP_R`` + 1, and how many have more; these sum over parts."""
+    return np.bincount(np.minimum(counts, TOP_R + 2), minlength=TOP_R + 3)
+
+
+def discounts(classes: np.ndarray) -> np.ndarray:
+    """Good-Turing discounts for counts 0 to ``TOP_R`` + 1 from the counts of counts of all parts; 1 where they cannot be told."""
+    seen = classes.astype(float)
     out = np.ones(TOP_R + 2)
     if not seen[1 : TOP_R + 2].all():
         return out
@@ -270,17 +278,33 @@ def discounts(counts: np.ndarray) -> np.ndarray:
     return np.clip(out, LEAST_DISCOUNT, 1.0)
 
 
-def _evaluate(batches: Iterator[pa.RecordBatch], unigrams: Unigrams, key_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+def _hold(batches: Iterator[pa.RecordBatch], unigrams: Unigrams, rows_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+    """One row for each part, which no later task divides: its counts of counts and its rows. Heads pass by themselves."""
+
+    def out(part: int, classes: np.ndarray, rows: list[dict]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([part]), pa.array([classes.tolist()], pa.list_(pa.int64())), pa.array([rows], rows_type)], names=["part", "classes", "rows"])
+
     held: dict[int, list[dict]] = {}
     for batch in batches:
         for row in batch.to_pylist():
             if row["part"] < 0:
-                yield _sums([("head", row["chunk"], row["keys"], row["train"], row["sizes"], row["others"], row["many"], None, None)], key_type)
+                yield out(-1, np.zeros(TOP_R + 3, np.int64), [row])
             else:
                 held.setdefault(row["part"], []).append(row)
     while held:
-        _, rows = held.popitem()
-        yield _sums(_part(rows, unigrams), key_type)
+        part, rows = held.popitem()
+        yield out(part, classes_of(_bigrams(rows, unigrams).counts), rows)
+
+
+def _evaluate(batches: Iterator[pa.RecordBatch], unigrams: Unigrams, discount: np.ndarray, key_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            rows = batch.column("rows")[k].as_py()
+            if batch.column("part")[k].as_py() < 0:
+                heads = [("head", row["chunk"], row["keys"], row["train"], row["sizes"], row["others"], row["many"], None, None) for row in rows]
+                yield _sums(heads, key_type)
+            else:
+                yield _sums(_part(rows, unigrams, discount), key_type)
 
 
 def _sums(rows: list[tuple], key_type: pa.DataType) -> pa.RecordBatch:
@@ -290,9 +314,21 @@ def _sums(rows: list[tuple], key_type: pa.DataType) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
 
 
-def _part(rows: list[dict], unigrams: Unigrams) -> list[tuple]:
-    """The sums of one part's tokens."""
-    history, word, many, trained, docs, chunk_docs = [], [], [], [], [], []
+@dataclass
+class Bigrams:
+    """Distinct bigrams of a part with their training counts, and where the entries of its rows lie among them."""
+
+    history: np.ndarray
+    word: np.ndarray
+    counts: np.ndarray
+    which: np.ndarray
+    many: np.ndarray
+    ends: np.ndarray
+    docs: list[np.ndarray]
+
+
+def _bigrams(rows: list[dict], unigrams: Unigrams) -> Bigrams:
+    history, word, many, trained, docs = [], [], [], [], []
     for row in rows:
         sizes, at = _unpack(row["sizes"], "<u4"), _unpack(row["words"], "<u4").astype(np.int64)
         words = np.empty(len(at), np.uint64)
@@ -307,12 +343,19 @@ def _part(rows: list[dict], unigrams: Unigrams) -> list[tuple]:
         trained.append(np.add.reduceat(train[doc].astype(np.int64), np.cumsum(count) - count))
         docs.append(doc)
     ends = np.cumsum([len(x) for x in word])
-    history, word, many_all, trained = np.concatenate(history), np.concatenate(word), np.concatenate(many), np.concatenate(trained)
+    history, word, trained = np.concatenate(history), np.concatenate(word), np.concatenate(trained)
     with np.errstate(over="ignore"):
         pair = mix(history * _STEP + word)
     _, first, which = np.unique(pair, return_index=True, return_inverse=True)
-    counts = np.bincount(which, weights=trained).astype(np.int64)  # of each bigram
-    own, owner = np.unique(history[first], return_inverse=True)  # histories, and that of each bigram
+    counts = np.bincount(which, weights=trained).astype(np.int64)
+    return Bigrams(history[first], word[first], counts, which, np.concatenate(many), ends, docs)
+
+
+def _part(rows: list[dict], unigrams: Unigrams, discount: np.ndarray) -> list[tuple]:
+    """The sums of one part's tokens."""
+    bigrams = _bigrams(rows, unigrams)
+    counts, which, many_all, ends, docs = bigrams.counts, bigrams.which, bigrams.many, bigrams.ends, bigrams.docs
+    own, owner = np.unique(bigrams.history, return_inverse=True)  # histories, and that of each bigram
     total = np.bincount(owner, weights=counts, minlength=len(own))
     hashes, places, split_counts = unigrams.virtual()
     at = np.minimum(np.searchsorted(hashes, own), max(0, len(hashes) - 1))
@@ -321,8 +364,7 @@ def _part(rows: list[dict], unigrams: Unigrams) -> list[tuple]:
     if split.any():
         total[split] = split_counts[at[split]]
     seen = counts > 0
-    discount = discounts(counts[seen])
-    backoff = unigrams.probability(word[first])
+    backoff = unigrams.probability(bigrams.word)
     mass = np.where(seen, counts * discount[np.minimum(counts, TOP_R + 1)], 0.0)
     used, covered = np.bincount(owner, weights=mass, minlength=len(own)), np.bincount(owner, weights=np.where(seen, backoff, 0.0), minlength=len(own))
     # Undiscounted histories keep one more event for what was not seen; split ones always do, so that parts agree.
@@ -404,7 +446,14 @@ def score(documents: DataFrame, train: Column, key: str = "doc_id", text: str =
     dealt = rows.mapInArrow(lambda batches: _deal(batches, unigrams, parts, key_type), schema)
     place = F.when(F.col("part") < 0, F.col("chunk")).otherwise(F.col("part"))
     schema = f"kind string, chunk long, keys array<{kind}>, one binary, two binary, three binary, four binary, seen double, covered double"
-    dealt.repartition(parts, place).mapInArrow(lambda batches: _evaluate(batches, unigrams, key_type), schema).write.parquet(f"{path}/sums")
+    held_rows = F.struct(*dealt.columns).alias("row")
+    held_type = to_arrow_type(dealt.select(F.array(held_rows)).schema[0].dataType)
+    held = dealt.repartition(parts, place).mapInArrow(lambda batches: _hold(batches, unigrams, held_type), f"part long, classes array<long>, rows array<{dealt.select(held_rows).dtypes[0][1]}>")
+    held.write.option("compression", "none").parquet(f"{path}/held")
+    held = spark.read.parquet(f"{path}/held")
+    summed = held.agg(*(F.sum(F.col("classes")[k]) for k in range(TOP_R + 3))).first()
+    discount = discounts(np.array([n or 0 for n in summed]))
+    held.select("part", "rows").mapInArrow(lambda batches: _evaluate(batches, unigrams, discount, key_type), schema).write.parquet(f"{path}/sums")
     sums = spark.read.parquet(f"{path}/sums")
     weights = np.ones(len(unigrams.histories()))
     for place, seen, covered in sums.where("kind = 'history'").groupBy("chunk").agg(F.sum("seen"), F.sum("covered")).collect():

@@ -200,3 +200,10 @@ def test_katz_without_training_or_rows(spark, documents):
     scored, unigrams = katz.score(rows, F.lit(False))
     assert unigrams.tokens == 0 and bag(scored) == [(1, 3, 0, 0.0, 0.0), (2, 1, 0, 0.0, 0.0)]
     assert katz.score(rows.limit(0), F.lit(True))[0].count() == 0
+
+
+@pytest.mark.parametrize("listed", [katz.LISTED, 150])
+def test_katz_scores_do_not_depend_on_parts(spark, listed):
+    frame = spark.read.parquet(f"{FOLDER}/documents.parquet").where("doc_id < 60").select("doc_id", "text")
+    one, many = ({r.key: r.score for r in katz.score(frame, F.col("doc_id") % 7 > 0, parts=n, listed=listed, part_tokens=2000)[0].collect()} for n in (1, 7))
+    assert one.keys() == many.keys() and all(abs(one[k] - many[k]) < 1e-6 for k in one)
