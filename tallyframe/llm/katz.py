@@ -2,7 +2,8 @@
 
 Tokens are the words of a text (``words.SPACED``) and one end; the first token's history is a start mark.
 
-1. Training tokens are counted; the unigram table is written. Its most frequent words (at most ``LISTED``) go to all tasks with their exact counts.
+1. Training tokens are counted; the unigram table is written. Its most frequent words (at most ``LISTED``) go to all tasks with their exact counts. If there
+   are more, each part is told the counts of its other words: words and table are dealt by ranges of hashes and meet there.
 2. Every token of every text is dealt, packed, to the *part* that holds its history: a part has all bigrams of its histories, so counts and backoff
    weights are made where they are used. A history with more tokens than a quarter of a part is split over several parts by its next words; its
    count is in the list, and its weight is put together from the parts.
@@ -12,8 +13,8 @@ Tokens are the words of a text (``words.SPACED``) and one end; the first token's
    are summed. So the number of parts changes nothing but the order of sums.
 
 The weight of h is (1 - sum of seen probabilities) / (1 - sum of the unigram probabilities of the seen words), so each history's probabilities sum
-to 1. If a history's seen words are not discounted, N(h) + 1 stands for N(h). Unigrams: listed words have c / (N + 1); what is
-left is shared evenly by the other words of the vocabulary and one unseen word.
+to 1. If a history's seen words are not discounted, N(h) + 1 stands for N(h). Unigrams: every word of the vocabulary has
+c / (N + 1), listed or not, and one unseen word what is left.
 
 Cases: NULL and empty texts have the end as their only token. Without training texts N and V are 0, nothing is known, and every token has
 the unseen word's probability 1. Repeated rows count and score by themselves. A NULL doc_id is not held out. An empty table gives no rows. Words are 64-bit hashes.
@@ -126,10 +127,18 @@ class Unigrams:
     counts: np.ndarray
     texts: int
     split_at: int
+    capped: bool = False
+
+    @property
+    def whole(self) -> bool:
+        """Whether the list has all words."""
+        return len(self.words) == self.vocabulary
 
     @property
     def rare(self) -> float:
-        """The probability of each word that is not listed."""
+        """The probability of a word with none of its own: that of one unseen word, or with ``capped`` an even share of what the list leaves."""
+        if not self.capped:
+            return 1 / (self.tokens + 1)
         left = (self.tokens - int(self.counts.sum()) + 1) / (self.tokens + 1)
         return left / (self.vocabulary - len(self.words) + 1)
 
@@ -144,6 +153,15 @@ class Unigrams:
         at = self.find(words)
         return np.where(at >= 0, self.counts[at] / (self.tokens + 1) if len(self.counts) else 0.0, self.rare)
 
+    def looked_up(self, words: np.ndarray, told: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        """Probabilities of words, those outside the list by the counts told (words in order, counts)."""
+        out = self.probability(words)
+        if len(told[0]):
+            at = np.minimum(np.searchsorted(told[0], words), len(told[0]) - 1)
+            there = told[0][at] == words
+            out[there] = told[1][at[there]] / (self.tokens + 1)
+        return out
+
     def virtual(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(hashes in order, place in ``histories``, count) of the shares of split histories."""
         hashes, places, counts = [], [], []
@@ -171,7 +189,7 @@ def _share(history: np.ndarray, number: np.ndarray) -> np.ndarray:
         return mix(history + (number + np.uint64(1)) * _STEP)
 
 
-def count_unigrams(rows: DataFrame, path: str, parts: int, most: int, split_at: int) -> Unigrams:
+def count_unigrams(rows: DataFrame, path: str, parts: int, most: int, split_at: int, capped: bool) -> Unigrams:
     counted = rows.select("text", "train").mapInArrow(lambda batches: _count(batches, parts), "part long, words binary, counts binary")
     counted.repartition(parts, "part").mapInArrow(_sum_counts, "word long, n long").write.parquet(f"{path}/unigrams")
     table = rows.sparkSession.read.parquet(f"{path}/unigrams")
@@ -189,7 +207,7 @@ def count_unigrams(rows: DataFrame, path: str, parts: int, most: int, split_at:
     words, counts = np.array([r["word"] for r in listed], np.int64).view(np.uint64), np.array([r["n"] for r in listed], np.int64)
     order = np.argsort(words)
     texts = rows.where("train").count()
-    return Unigrams(tokens, vocabulary, words[order], counts[order], texts, split_at)
+    return Unigrams(tokens, vocabulary, words[order], counts[order], texts, split_at, capped)
 
 
 def _deal(batches: Iterator[pa.RecordBatch], unigrams: Unigrams, parts: int, key_type: pa.DataType) -> Iterator[pa.RecordBatch]:
@@ -261,6 +279,74 @@ def _deal(batches: Iterator[pa.RecordBatch], unigrams: Unigrams, parts: int, key
             chunk += 1
 
 
+def _by_slot(words: np.ndarray, counts: np.ndarray, part: int, slots: int) -> pa.RecordBatch:
+    """Words in order with their counts, a row for each slot (range of hashes) that has any."""
+    edges = np.searchsorted(_part_of(words, slots), np.arange(slots + 1))
+    held = [(slot, a, b) for slot, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if b > a]
+    columns = [
+        pa.array([slot for slot, _, _ in held], pa.int64()),
+        pa.array([part] * len(held), pa.int64()),
+        pa.array([_pack(np.diff(words[a:b], prepend=np.uint64(0)), "<u8") for _, a, b in held], pa.binary()),
+        pa.array([_pack(counts[a:b], "<u8") for _, a, b in held], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["slot", "part", "words", "counts"])
+
+
+def _asked(batches: Iterator[pa.RecordBatch], slots: int) -> Iterator[pa.RecordBatch]:
+    """The words outside the list that each part has to know."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            words = np.unique(_unpack(row["others"], "<u8"))
+            yield _by_slot(words, np.zeros(len(words), np.int64), row["part"], slots)
+
+
+def _unlisted(batches: Iterator[pa.RecordBatch], unigrams: Unigrams, slots: int) -> Iterator[pa.RecordBatch]:
+    """The counted words outside the list, as part -1."""
+    for batch in batches:
+        words, counts = batch.column("word").to_numpy().view(np.uint64), batch.column("n").to_numpy()
+        order = np.argsort(words)
+        order = order[unigrams.find(words[order]) < 0]
+        yield _by_slot(words[order], counts[order], -1, slots)
+
+
+def _tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each part and slot the words asked for that were counted, with their counts."""
+    held: dict[int, list[dict]] = {}
+    for batch in batches:
+        for row in batch.to_pylist():
+            held.setdefault(row["slot"], []).append(row)
+    words_of_row = lambda row: np.cumsum(_unpack(row["words"], "<u8"), dtype=np.uint64)
+    while held:
+        _, rows = held.popitem()
+        table = [(words_of_row(row), _unpack(row["counts"], "<u8")) for row in rows if row["part"] < 0]
+        if not table:
+            continue
+        known, counts = (np.concatenate(x) for x in zip(*table, strict=True))
+        order = np.argsort(known)
+        known, counts = known[order], counts[order]
+        asked: dict[int, list[np.ndarray]] = {}
+        for row in rows:
+            if row["part"] >= 0:
+                asked.setdefault(row["part"], []).append(words_of_row(row))
+        for part, words in asked.items():
+            words = np.unique(np.concatenate(words))
+            at = np.minimum(np.searchsorted(known, words), len(known) - 1)
+            there = known[at] == words
+            if there.any():
+                packed = _pack(np.diff(words[there], prepend=np.uint64(0)), "<u8"), _pack(counts[at[there]], "<u8")
+                yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([packed[0]]), pa.array([packed[1]])], names=["part", "words", "counts"])
+
+
+def _told(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """(words in order, counts) of the rows without texts, which ``_tell`` made."""
+    told = [(np.cumsum(_unpack(row["words"], "<u8"), dtype=np.uint64), _unpack(row["many"], "<u8")) for row in rows if row["texts"] is None]
+    if not told:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    words, counts = (np.concatenate(x) for x in zip(*told, strict=True))
+    order = np.argsort(words)
+    return words[order], counts[order]
+
+
 def classes_of(counts: np.ndarray) -> np.ndarray:
     """How many distinct bigrams have each count from 0 to ``TOP_R`` + 1, and how many have more; these sum over parts."""
     return np.bincount(np.minimum(counts, TOP_R + 2), minlength=TOP_R + 3)
@@ -293,7 +379,7 @@ def _hold(batches: Iterator[pa.RecordBatch], unigrams: Unigrams, rows_type: pa.D
                 held.setdefault(row["part"], []).append(row)
     while held:
         part, rows = held.popitem()
-        yield out(part, classes_of(_bigrams(rows, unigrams).counts), rows)
+        yield out(part, classes_of(_bigrams([row for row in rows if row["texts"] is not None], unigrams).counts), rows)
 
 
 def _evaluate(batches: Iterator[pa.RecordBatch], unigrams: Unigrams, discount: np.ndarray, key_type: pa.DataType) -> Iterator[pa.RecordBatch]:
@@ -353,6 +439,8 @@ def _bigrams(rows: list[dict], unigrams: Unigrams) -> Bigrams:
 
 def _part(rows: list[dict], unigrams: Unigrams, discount: np.ndarray) -> list[tuple]:
     """The sums of one part's tokens."""
+    told = _told(rows)
+    rows = [row for row in rows if row["texts"] is not None]
     bigrams = _bigrams(rows, unigrams)
     counts, which, many_all, ends, docs = bigrams.counts, bigrams.which, bigrams.many, bigrams.ends, bigrams.docs
     own, owner = np.unique(bigrams.history, return_inverse=True)  # histories, and that of each bigram
@@ -364,7 +452,7 @@ def _part(rows: list[dict], unigrams: Unigrams, discount: np.ndarray) -> list[tu
     if split.any():
         total[split] = split_counts[at[split]]
     seen = counts > 0
-    backoff = unigrams.probability(bigrams.word)
+    backoff = unigrams.looked_up(bigrams.word, told)
     mass = np.where(seen, counts * discount[np.minimum(counts, TOP_R + 1)], 0.0)
     used, covered = np.bincount(owner, weights=mass, minlength=len(own)), np.bincount(owner, weights=np.where(seen, backoff, 0.0), minlength=len(own))
     # Undiscounted histories keep one more event for what was not seen; split ones always do, so that parts agree.
@@ -429,10 +517,12 @@ def _finish(batches: Iterator[pa.RecordBatch], weights: np.ndarray, unigrams: Un
         )
 
 
-def score(documents: DataFrame, train: Column, key: str = "doc_id", text: str = "text", parts: int | None = None, listed: int = LISTED, part_tokens: int = PART_TOKENS) -> tuple[DataFrame, Unigrams]:
+def score(documents: DataFrame, train: Column, key: str = "doc_id", text: str = "text", parts: int | None = None, listed: int | None = None, part_tokens: int = PART_TOKENS, shortcut: int = LISTED) -> tuple[DataFrame, Unigrams]:
     """(key, n_tokens, n_known, base_score, score) of every text, and the unigram totals; ``train`` tells the texts to learn from.
 
-    ``parts`` is the number of n-gram partitions, by default one for ``PART_TOKENS`` tokens.
+    ``parts`` is the number of n-gram partitions, by default one for ``PART_TOKENS`` tokens. Every word of the vocabulary has its own unigram probability;
+    those of the ``shortcut`` most frequent words are in all tasks, the others are dealt to the parts that need them. With ``listed`` the model itself
+    is capped: only so many words have a probability of their own.
     """
     spark = documents.sparkSession
     path = scratch_path(spark, "katz")
@@ -441,11 +531,18 @@ def score(documents: DataFrame, train: Column, key: str = "doc_id", text: str =
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     if parts is None:  # a token takes about three characters
         parts = max(1, -(-(rows.agg(F.sum(F.length("text"))).first()[0] or 0) // (3 * part_tokens)))
-    unigrams = count_unigrams(rows, path, parts, min(listed, LISTED), max(1, part_tokens // 4))
+    unigrams = count_unigrams(rows, path, parts, min(shortcut if listed is None else listed, LISTED), max(1, part_tokens // 4), listed is not None)
     schema = f"part long, chunk long, texts long, keys array<{kind}>, train binary, histories binary, sizes binary, words binary, others binary, many binary, docs binary"
     dealt = rows.mapInArrow(lambda batches: _deal(batches, unigrams, parts, key_type), schema)
     place = F.when(F.col("part") < 0, F.col("chunk")).otherwise(F.col("part"))
     schema = f"kind string, chunk long, keys array<{kind}>, one binary, two binary, three binary, four binary, seen double, covered double"
+    if not (unigrams.capped or unigrams.whole):
+        packed = "slot long, part long, words binary, counts binary"
+        asked = dealt.where("part >= 0").select("part", "others").mapInArrow(lambda batches: _asked(batches, parts), packed)
+        counted = spark.read.parquet(f"{path}/unigrams").mapInArrow(lambda batches: _unlisted(batches, unigrams, parts), packed)
+        told = asked.union(counted).repartition(parts, "slot").mapInArrow(_tell, "part long, words binary, counts binary")
+        told = told.withColumnRenamed("counts", "many")
+        dealt = dealt.unionByName(told, allowMissingColumns=True)
     held_rows = F.struct(*dealt.columns).alias("row")
     held_type = to_arrow_type(dealt.select(F.array(held_rows)).schema[0].dataType)
     held = dealt.repartition(parts, place).mapInArrow(lambda batches: _hold(batches, unigrams, held_type), f"part long, classes array<long>, rows array<{dealt.select(held_rows).dtypes[0][1]}>")

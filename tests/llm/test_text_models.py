@@ -207,3 +207,17 @@ def test_katz_scores_do_not_depend_on_parts(spark, listed):
     frame = spark.read.parquet(f"{FOLDER}/documents.parquet").where("doc_id < 60").select("doc_id", "text")
     one, many = ({r.key: r.score for r in katz.score(frame, F.col("doc_id") % 7 > 0, parts=n, listed=listed, part_tokens=2000)[0].collect()} for n in (1, 7))
     assert one.keys() == many.keys() and all(abs(one[k] - many[k]) < 1e-6 for k in one)
+
+
+def test_katz_words_outside_the_list_keep_their_counts(spark):
+    frame = spark.read.parquet(f"{FOLDER}/documents.parquet").where("doc_id < 60").select("doc_id", "text")
+    frame = frame.union(spark.createDataFrame([(1000, None), (1001, "the " * 3000), (1003, "漢 the\tX")], "doc_id long, text string"))
+    docs = [(r.doc_id, r.text) for r in frame.collect()]
+    train = lambda k: k % 7 > 0
+    words = {w for k, t in docs if train(k) for w in tokens(t)}
+    want = {row[0]: row[4] for row in brute_katz(docs, train, words, 500)}
+    for shortcut, parts in ((150, 1), (150, 5), (katz.LISTED, 2)):
+        scored, unigrams = katz.score(frame, F.col("doc_id") % 7 > 0, parts=parts, part_tokens=2000, shortcut=shortcut)
+        got = {r.key: r.score for r in scored.collect()}
+        assert (len(unigrams.words) < len(words)) == (shortcut <= 150)
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)
