@@ -3,9 +3,11 @@
 Patterns give the base spans (emails, IP addresses, card and phone numbers); they always stay. Tokens that hold a digit,
 ``@`` or ``+`` are the nodes of a field for each document: neighbouring nodes share chain potentials, and
 nodes of one normal form (the same digits, the same local part, or the same letters) share skip potentials
-however far apart they are. Each occurrence is linked to the one before it, so a form that occurs n times has n - 1
-links and evidence still reaches all of them. Nodes in a base span are observed. Loopy message passing in ``ROUNDS`` rounds
-gives each other node a belief; a label of at least ``CERTAIN`` becomes an added span, unless it touches a base span.
+however far apart they are. Each occurrence is linked to the one before it and to the first observed one of its form, so a form that occurs n times
+has less than 2 n links and evidence does not fade with the distance; messages are passed on until they settle. Nodes in a base span are observed. Loopy message passing
+gives each other node a belief; a label of at least ``CERTAIN`` becomes an added span, unless it touches a base span. A document without
+base spans is judged the same way. A round passes on only what changed; from ``DAMPED`` rounds on steps are halved, and a document whose loops still do not settle
+stops after four rounds a node (and ``DAMPED``).
 
 Node potentials are label shares by shape of the token, chain and skip potentials the ratios of label pairs to
 chance. They are counted on a bounded sample (about ``SAMPLE_ROWS``, chosen by hash) that
@@ -31,7 +33,9 @@ from tallyframe.llm.words import SPACED, code_table, text_chunks
 KINDS = ("email", "ip", "card", "phone")
 LABELS = len(KINDS) + 1
 SAMPLE_ROWS = 5000
-ROUNDS = 12
+#: Messages that change less have settled.
+SETTLED = 1e-6
+DAMPED = 64
 CERTAIN = 0.9
 #: Buckets of token shapes.
 SHAPES = 4096
@@ -164,15 +168,24 @@ def _documents(column: pa.Array) -> Iterator[tuple[int, str, list[tuple[int, int
 
 
 def _links(nodes: Nodes, base: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Chain links between neighbouring words and skip links between occurrences of one form."""
+    """Chain links between neighbouring words; skip links of each occurrence of a form to the one before it and to the form's first observed one."""
     chain, skip = [], []
     last: dict[str, int] = {}
+    hub: dict[str, int] = {}
+    before: dict[str, list[int]] = {}
     for k, form in enumerate(nodes.form):
         if k and nodes.place[k] == nodes.place[k - 1] + 1:
             chain.append((base + k - 1, base + k))
         if form in last:
             skip.append((base + last[form], base + k))
+            if form in hub and last[form] != hub[form]:
+                skip.append((base + hub[form], base + k))
         last[form] = k
+        if nodes.label[k] >= 0 and form not in hub:
+            hub[form] = k
+            skip += [(base + j, base + k) for j in before.get(form, ())[:-1]]
+        if form not in hub:
+            before.setdefault(form, []).append(k)
     return chain, skip
 
 
@@ -211,8 +224,8 @@ def learn(documents: DataFrame, text: str = "text", sample_rows: int = SAMPLE_RO
     return Field(np.log(shape / shape.sum(axis=1, keepdims=True)), *pairs)
 
 
-def beliefs(field: Field, shapes: np.ndarray, labels: np.ndarray, chain: np.ndarray, skip: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
-    """Label probabilities of each node by loopy sum-product message passing; observed nodes keep their label."""
+def beliefs(field: Field, shapes: np.ndarray, labels: np.ndarray, chain: np.ndarray, skip: np.ndarray, members: np.ndarray | None = None) -> np.ndarray:
+    """Label probabilities of each node by loopy sum-product message passing; observed nodes keep their label. ``members``: for each node the nodes of its document."""
     own = field.shape[shapes].copy()
     seen = np.flatnonzero(labels >= 0)
     own[seen] = -60.0
@@ -222,15 +235,34 @@ def beliefs(field: Field, shapes: np.ndarray, labels: np.ndarray, chain: np.ndar
     half = len(chain) + len(skip)
     back = np.concatenate([np.arange(half, 2 * half), np.arange(half)])
     # Both pair tables are symmetric.
-    weights = np.exp(np.concatenate([np.repeat(field.chain[None], len(chain), 0), np.repeat(field.skip[None], len(skip), 0)] * 2))
+    weights = np.exp(np.stack([field.chain, field.skip]))
+    kind = np.tile(np.repeat([0, 1], [len(chain), len(skip)]), 2)
+    limit = DAMPED + 4 * (np.full(len(shapes), len(shapes)) if members is None else members)[source]
+    order = np.argsort(source, kind="stable")
+    heads = np.searchsorted(source[order], np.arange(len(shapes) + 1))
     messages = np.zeros((2 * half, own.shape[1]))
-    for _ in range(rounds if half else 0):
-        gathered = own.copy()
-        np.add.at(gathered, target, messages)
-        cavity = gathered[source] - messages[back]
+    gathered = own.copy()
+    active = np.arange(2 * half)
+    turn = 0
+    while len(active):
+        cavity = gathered[source[active]] - messages[back[active]]
         cavity = np.exp(cavity - cavity.max(axis=1, keepdims=True))
-        sent = np.log(np.einsum("el,elm->em", cavity, weights) + 1e-300)
-        messages = sent - sent.max(axis=1, keepdims=True)
+        sent = np.empty_like(cavity)
+        for k in (0, 1):
+            own_kind = kind[active] == k
+            sent[own_kind] = np.log(cavity[own_kind] @ weights[k] + 1e-300)
+        step = sent - sent.max(axis=1, keepdims=True) - messages[active]
+        moved = np.abs(step).max(axis=1) > SETTLED
+        active, step = active[moved], step[moved] * (0.5 if turn >= DAMPED else 1.0)
+        messages[active] += step
+        np.add.at(gathered, target[active], step)
+        # Next come the messages out of nodes that were told something new, and those still on their way.
+        nodes = np.unique(target[active])
+        many = heads[nodes + 1] - heads[nodes]
+        told = order[np.repeat(heads[nodes] - np.cumsum(many) + many, many) + np.arange(many.sum())]
+        turn += 1
+        active = np.union1d(told, active) if turn > DAMPED else np.sort(told)
+        active = active[limit[active] > turn]
     np.add.at(own, target, messages)
     own = np.exp(own - own.max(axis=1, keepdims=True))
     return own / own.sum(axis=1, keepdims=True)
@@ -242,25 +274,25 @@ def _found(column: pa.Array, field: Field) -> dict[int, list[tuple[int, int, int
     shapes: list[int] = []
     labels: list[int] = []
     at: list[tuple[int, int, int]] = []
+    members: list[int] = []
     chain: list[tuple[int, int]] = []
     skip: list[tuple[int, int]] = []
     for row, _, spans, nodes in _documents(column):
         if spans:
             out[row] = [(kind, start, end, True) for kind, start, end in spans]
-        # Without an observed node nothing can be certain that the shapes alone do not say.
-        if any(label >= 0 for label in nodes.label):
-            new_chain, new_skip = _links(nodes, len(shapes))
-            chain += new_chain
-            skip += new_skip
-            shapes += nodes.shape
-            labels += nodes.label
-            at += [(row, s, e) for s, e in zip(nodes.start, nodes.end, strict=True)]
+        new_chain, new_skip = _links(nodes, len(shapes))
+        chain += new_chain
+        skip += new_skip
+        shapes += nodes.shape
+        labels += nodes.label
+        members += [len(nodes.shape)] * len(nodes.shape)
+        at += [(row, s, e) for s, e in zip(nodes.start, nodes.end, strict=True)]
     if shapes:
         pairs = [np.array(links, np.int64).reshape(-1, 2) for links in (chain, skip)]
-        belief = beliefs(field, np.array(shapes), np.array(labels), *pairs)
+        belief = beliefs(field, np.array(shapes), np.array(labels), *pairs, np.array(members))
         best = belief.argmax(axis=1)
         for k in np.flatnonzero((np.array(labels) < 0) & (best > 0) & (belief.max(axis=1) >= CERTAIN)):
-            out[at[k][0]].append((int(best[k]) - 1, at[k][1], at[k][2], False))
+            out.setdefault(at[k][0], []).append((int(best[k]) - 1, at[k][1], at[k][2], False))
     for row, spans in out.items():
         spans.sort(key=lambda x: (x[1], x[0]))
     return out

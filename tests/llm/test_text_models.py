@@ -221,3 +221,16 @@ def test_katz_words_outside_the_list_keep_their_counts(spark):
         got = {r.key: r.score for r in scored.collect()}
         assert (len(unigrams.words) < len(words)) == (shortcut <= 150)
         assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)
+
+
+def test_evidence_reaches_all_repeats_and_documents_without_patterns(spark, documents):
+    texts = [f"mail user{k}.x@mail.com or +1 555 {k:03d} 4567 now 10.0.0.{k}, again user{k}.x@mail.com or +1555{k:03d}4567 with {k} and {k} from 10.0.0.{k}, by 4111111111111111 or 4111111111111111" for k in range(60)]
+    field = personal.learn(documents(*enumerate(texts)))
+    far = "call +1 555 123 4567 at once " + "and later 15551234567 " * 40
+    first = "later 15551234567 " * 40 + "call +1 555 123 4567"
+    found = {r.doc_id: r.pii_spans for r in personal.find(documents((1, far), (2, first), (3, "and later 15551234567")), field).collect()}
+    assert [len(found[k]) for k in (1, 2, 3)] == [41, 41, 0]
+    # What its shape alone makes certain is found with and without a base span elsewhere in the document.
+    field.shape[personal._shape("4455")] = np.log([0.01, 0.01, 0.01, 0.01, 0.96])
+    spans = {r.doc_id: [s.kind for s in r.pii_spans if not s.base] for r in personal.find(documents((1, "x 4455 y"), (2, "x 4455 y 10.0.0.1")), field).collect()}
+    assert spans == {1: ["phone"], 2: ["phone"]}
