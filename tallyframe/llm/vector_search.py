@@ -10,8 +10,8 @@ falling bound; a query stops at the first block whose bound is below its kth sco
 far. Tasks keep their best k of each query; the best k of those are the answer. First a few
 blocks give every query a floor for the kth score, so that tasks start with it.
 
-Cases: vectors that are NULL, empty, shorter than the longest usable one, or that hold NULL or
-non-finite components take no part, nor do rows with a NULL id. Ties go to the smaller id.
+Cases: vectors that are NULL or that hold NULL or non-finite components take no part, nor do rows with a NULL id. Vectors
+shorter than the longest, empty ones too, count as filled up with zeros: the inner product is that of the shared components. Ties go to the smaller id.
 Repeated ids are candidates and queries as often as they occur, but never their own candidates. Empty tables give no rows. Other columns are not read.
 """
 
@@ -32,7 +32,7 @@ QUERY_ROWS = 4096
 def integers(frame: DataFrame, scale: int = SCALE) -> DataFrame:
     """Usable vectors as (vec_id, vector array<bigint>)."""
     x = F.transform("embedding", lambda v: v.cast("double"))
-    usable = F.col("embedding").isNotNull() & (F.size("embedding") > 0) & F.col("vec_id").isNotNull()
+    usable = F.col("embedding").isNotNull() & F.col("vec_id").isNotNull()
     finite = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
     return frame.where(usable & finite).select(
         F.col("vec_id").cast("long").alias("vec_id"), F.transform(x, lambda v: F.floor(v * scale)).alias("vector")
@@ -44,10 +44,11 @@ def _matrix(batch: pa.RecordBatch, dim: int) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.diff(lists.offsets.to_numpy())
     ids = batch.column("vec_id").to_numpy()
     flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    keep = sizes == dim
-    if not keep.all():
-        flat = flat[np.repeat(keep, sizes)]
-    return ids[keep], flat.reshape(-1, dim)
+    if (sizes == dim).all():
+        return ids, flat.reshape(-1, dim)
+    out = np.zeros((len(ids), dim), np.int64)
+    out[np.arange(dim) < sizes[:, None]] = flat
+    return ids, out
 
 
 def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
@@ -113,14 +114,16 @@ def top_k(frame: DataFrame, is_query: Callable[[Column], Column], k: int = 10, s
     dim = vectors.agg(F.max(F.size("vector"))).first()[0]
     if dim is None:
         return empty
-    vectors, queries = vectors.where(F.size("vector") == dim), queries.where(F.size("vector") == dim)
+    dim = max(dim, 1)
     best = Window.partitionBy("batch", "query").orderBy(F.desc("score"), "vec_id")
     parts: list[DataFrame] = []
     held: list = []
 
     def flush() -> None:
         ids = np.array([row[0] for row in held], dtype=np.int64)
-        matrix = np.array([row[1] for row in held], dtype=np.int64).reshape(len(held), dim)
+        matrix = np.zeros((len(held), dim), np.int64)
+        for place, (_, vector) in enumerate(held):
+            matrix[place, : len(vector)] = vector
         sample = vectors.limit(4 * block_rows).toArrow().combine_chunks().to_batches()
         floors = _floors(sample, matrix, ids, k, block_rows)
         found = vectors.mapInArrow(_searcher(matrix, ids, floors, k, block_rows), "query long, query_id long, vec_id long, score long")

@@ -68,6 +68,22 @@ def test_top_k_of_few_and_of_none(spark):
     assert vector_search.top_k(frame.limit(0), lambda k: k == 0).count() == 0
 
 
+def test_shorter_vectors_count_as_filled_up_with_zeros(spark):
+    draw = np.random.default_rng(5)
+    rows = [(int(k), draw.normal(size=4 if k % 3 else 2).tolist()) for k in range(60)]
+    rows += [(60, draw.normal(size=5).tolist()), (61, []), (62, None), (100, [2.0])]  # one overlong row, and short ones
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {k: [math.floor(1024 * x) for x in v] for k, v in rows if v is not None}
+    want = []
+    for q in (0, 20, 40, 60, 100):
+        scored = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=False)), k) for k, v in whole.items() if k != q)
+        want += [(q, r, k, -s) for r, (s, k) in enumerate(scored, 1)]
+    for block in (7, 256):
+        assert bag(vector_search.top_k(frame, lambda k: k % 20 == 0, k=100, block_rows=block)) == sorted(want, key=str)
+    nothing = spark.createDataFrame([(0, []), (1, [])], "vec_id long, embedding array<double>")
+    assert bag(vector_search.top_k(nothing, lambda k: k == 0)) == [(0, 1, 1, 0)]
+
+
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "b.org/x"), ("allow", "a.b.org/")]
 
 
