@@ -10,7 +10,7 @@ No page meets another: pages of a host are joined by aggregates of (host, struct
 wrapper, is salted, so that a host with a third of all pages spreads.
 
 Cases: NULL and empty pages have an empty text. A host with one page has no template but that of its tags and classes. Pages without a host share the
-empty host. Unclosed, stray and deeply nested tags are accepted (below ``DEPTH`` levels elements no longer make nodes). Repeated pages
+empty host. Unclosed, stray and deeply nested tags are accepted (below ``DEPTH`` levels elements no longer make nodes of their own, but are told apart while tags are read). Repeated pages
 give repeated rows. Pages that cannot be aligned keep the largest ``article`` or ``main``, or else all that is not excluded.
 """
 
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -82,7 +83,14 @@ def parse(text: str) -> Element:
     """The tree of a page's blocks. Parts of an element are elements, texts, and None for a break."""
     root = Element("", "", False)
     stack = [root]
-    main = at = 0
+    opened: Counter[str] = Counter()
+    at = 0
+
+    def cut(k: int) -> None:
+        for element in stack[k:]:
+            opened[element.tag] -= 1
+        del stack[k:]
+
     size = len(text)
     while at < size:
         found = _TAG.search(text, at)
@@ -111,31 +119,28 @@ def parse(text: str) -> Element:
         if tag in VOID:
             continue
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    main -= sum(e.tag in MAIN for e in stack[k:])
-                    del stack[k:]
-                    break
+            if opened[tag]:
+                cut(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag))
             continue
-        label, excluded = _describe(tag, attributes, main > 0)
+        label, excluded = _describe(tag, attributes, any(opened[name] for name in MAIN))
         if tag in INLINE and not excluded:
             continue
         if tag in CLOSES:
             for k in range(len(stack) - 1, max(0, len(stack) - 4), -1):
                 if stack[k].tag in CLOSES[tag]:
-                    del stack[k:]
+                    cut(k)
                     break
                 if stack[k].tag in ("ul", "ol", "dl", "table"):
                     break
         elif tag not in INLINE and stack[-1].tag == "p":
-            stack.pop()
-        if attributes.endswith("/") or len(stack) >= DEPTH:
+            cut(len(stack) - 1)
+        if attributes.endswith("/"):
             stack[-1].parts.append(None)
             continue
         element = Element(tag, label, excluded)
         stack[-1].parts.append(element)
         stack.append(element)
-        main += tag in MAIN
+        opened[tag] += 1
     return root
 
 
@@ -163,8 +168,8 @@ def _join(one: Node, other: Node) -> None:
         _join(a, b)
 
 
-def fold(element: Element, counter: list[int]) -> Node | None:
-    """The folded tree without excluded elements and without nodes that hold no text; None if nothing is left."""
+def fold(element: Element, counter: list[int], level: int = 1) -> Node | None:
+    """The folded tree without excluded elements and without nodes that hold no text; None if nothing is left. Below ``DEPTH`` levels, elements pass their parts to the last node."""
     children: list[Node] = []
     line: list[str] = []
 
@@ -183,7 +188,14 @@ def fold(element: Element, counter: list[int]) -> Node | None:
         else:
             children.append(node)
 
-    for part in element.parts:
+    waiting = [iter(element.parts)]
+    while waiting:
+        try:
+            part = next(waiting[-1])
+        except StopIteration:
+            waiting.pop()
+            flush()
+            continue
         if isinstance(part, str):
             line.append(part)
         elif part is None:
@@ -193,9 +205,10 @@ def fold(element: Element, counter: list[int]) -> Node | None:
                 flush()
         else:
             flush()
-            if (node := fold(part, counter)) is not None:
+            if level >= DEPTH:
+                waiting.append(iter(part.parts))
+            elif (node := fold(part, counter, level + 1)) is not None:
                 add(node)
-    flush()
     if not children:
         return None
     if len(children) == 1 and children[0].label == "#":

@@ -70,6 +70,15 @@ def test_main_text_of_the_table_is_the_article(spark):
         assert row.text == "\n".join(filter(None, blocks))
 
 
+def test_text_after_deep_nesting_stays_in_its_place(spark):
+    deep = lambda k: "<div>" * 100 + f"deep {k}<nav>menu {k}</nav><div class='comments'>nice {k}</div>" + "</div>" * 100
+    texts = [f"<body><article><p>first {k}</p>{deep(k)}<p>after {k}</p></article><div>other {k}</div></body>" for k in range(5)]
+    texts.append("<article>" + "<div>" * 50_000 + "in</b>" * 50_000 + "</article><p>out</p>")
+    pages = spark.createDataFrame([(k, f"http://h{k // 5}.example/{k}", t) for k, t in enumerate(texts)], "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in wrapper.extract(pages, ["page_id", "url"]).collect()}
+    assert found == {k: f"first {k}\ndeep {k}\nafter {k}" for k in range(5)} | {5: "in" * 50_000}
+
+
 def test_tree_matching_aligns_inserted_nodes():
     assert wrapper.align("(a(x,y,z))", "(a(x,q,y,z))") == {0: 0, 1: 1, 2: 2, 3: 4, 4: 5}
     assert wrapper.align("(b)", "(a)") == {0: 0}
