@@ -7,12 +7,12 @@ It is written once and holds every word of every document.
 
 A test item gives windows of ``WINDOW`` neighbouring words; an item of fewer words, but not none, is one
 window. Windows come from the driver in blocks of ``BLOCK_WINDOWS``, which bounds what a task and the
-driver hold; each block is one pass over the segments. In a segment a window whose terms are not all there ends at
+driver hold; each block is one pass over the segments, whose hits are written before the next block is read. In a segment a window whose terms are not all there ends at
 once. For the others the places of the rarest term, shifted back by its offset, are intersected with those of
 the next rarest term, and so on until none is left or all agree. With ``slack`` a term may stand
 that many words from its place (proximity); with 0 matches are exact phrases.
 
-Cases: NULL and empty texts have no words and no hits. Items without words give no window.
+Cases: NULL and empty texts have no words and no hits. Items without words give no window. Items with a NULL id count like others, but are not listed.
 Items that repeat a window all count. Repeated documents are judged one by one, each by its own row. A NULL key stays NULL. Empty tables give
 no rows, or no hits. Columns other than the named ones are not read.
 """
@@ -27,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyframe.llm.words import ALNUM, text_chunks, words_of
+from tallyframe.session import scratch_path
 
 WINDOW = 13
 BLOCK_WINDOWS = 200_000
@@ -86,9 +87,9 @@ def write_index(documents: DataFrame, path: str, key: str = "doc_id", text: str
     rows.mapInArrow(lambda batches: _index(batches, arrow), schema).write.option("compression", "zstd").parquet(path)
 
 
-def _windows(items: Iterator[tuple[str, str | None]], size: int, limit: int) -> Iterator[list[tuple[bytes, str]]]:
+def _windows(items: Iterator[tuple[str | None, str | None]], size: int, limit: int) -> Iterator[list[tuple[bytes, str | None]]]:
     """Blocks of (the window's term hashes, item)."""
-    block: list[tuple[bytes, str]] = []
+    block: list[tuple[bytes, str | None]] = []
     for item, text in items:
         data = np.frombuffer((text or "").encode(), np.uint8)
         hashes = words_of(data, np.array([0, len(data)]), ALNUM).hashes
@@ -114,10 +115,10 @@ def _intersect(terms: list[np.ndarray], slack: int) -> np.ndarray:
     return starts
 
 
-def _matcher(block: list[tuple[bytes, str]], slack: int, all_rows: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _matcher(block: list[tuple[bytes, str | None]], slack: int, all_rows: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     owners: dict[bytes, set[str]] = {}
     for window, item in block:
-        owners.setdefault(window, set()).add(item)
+        owners.setdefault(window, set()).update(() if item is None else (item,))
     windows = [(np.frombuffer(window, np.uint64), sorted(items)) for window, items in owners.items()]
     known = np.unique(np.concatenate([terms for terms, _ in windows])) if windows else np.zeros(0, np.uint64)
     slots = [np.searchsorted(known, terms) for terms, _ in windows]
@@ -185,13 +186,13 @@ def find_passages(
     index = spark.read.parquet(path)
     kind = dict(index.dtypes)["keys"][len("array<") : -1]
     schema = f"segment long, place long, key {kind}, n_words long, spans array<struct<start: long, end: long>>, items array<string>"
-    listed = items.select(F.col(key).cast("string"), F.col(text)).where(F.col(key).isNotNull())
-    passes = []
+    listed = items.select(F.col(key).cast("string"), F.col(text))
+    passes: list[str] = []
     for block in _windows(listed.toLocalIterator(), size, block_windows):
-        passes.append(index.mapInArrow(_matcher(block, slack, not passes), schema))
-    found = passes[0]
-    for more in passes[1:]:
-        found = found.union(more)
+        hits = index.mapInArrow(_matcher(block, slack, not passes), schema)
+        passes.append(scratch_path(spark, "hits"))
+        hits.write.parquet(passes[-1])
+    found = spark.read.schema(schema).parquet(*passes)
     gathered = found.groupBy("segment", "place").agg(
         F.first("key").alias("key"),
         F.first("n_words").alias("n_words"),

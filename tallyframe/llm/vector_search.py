@@ -23,6 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tallyframe.session import scratch_path
+
 SCALE = 1024
 #: Candidates in a block, and queries sent to the tasks at once (bounded by rows, and each row by its dimensions).
 BLOCK_ROWS = 256
@@ -105,7 +107,7 @@ def _searcher(queries: np.ndarray, query_ids: np.ndarray, floors: np.ndarray | N
 def top_k(frame: DataFrame, is_query: Callable[[Column], Column], k: int = 10, scale: int = SCALE, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best candidates of each query row; every other row is a candidate.
 
-    Queries come in batches of ``query_rows``, in the order of their ids; a batch is all that the driver and a task hold at once.
+    Queries come in batches of ``query_rows``, in the order of their ids; a batch is all that the driver and a task hold at once; what it finds is written before the next.
     """
     spark = frame.sparkSession
     vectors = integers(frame, scale)
@@ -127,7 +129,9 @@ def top_k(frame: DataFrame, is_query: Callable[[Column], Column], k: int = 10, s
         sample = vectors.limit(4 * block_rows).toArrow().combine_chunks().to_batches()
         floors = _floors(sample, matrix, ids, k, block_rows)
         found = vectors.mapInArrow(_searcher(matrix, ids, floors, k, block_rows), "query long, query_id long, vec_id long, score long")
-        parts.append(found.withColumn("batch", F.lit(len(parts))))
+        path = scratch_path(spark, "best")
+        found.write.parquet(path)
+        parts.append(spark.read.schema(found.schema).parquet(path).withColumn("batch", F.lit(len(parts))))
         held.clear()
 
     for row in queries.orderBy("vec_id").toLocalIterator():

@@ -189,6 +189,15 @@ def test_passages_equal_brute_force(spark, documents):
     assert positional.find_passages(spark, empty, listed).count() == 0
 
 
+def test_items_without_an_id_count(spark, documents):
+    path = scratch_path(spark, "index")
+    positional.write_index(documents((1, "alpha beta gamma"), (2, "one two"), (3, "clean")), path)
+    items = spark.createDataFrame([(None, "alpha beta gamma"), (7, "one two"), (None, "one two")], "item_id int, text string")
+    for block in (1, 10_000):
+        found = {r.key: (r.n_hit, r["items"]) for r in positional.find_passages(spark, path, items, block_windows=block).collect()}
+        assert found == {1: (3, []), 2: (2, ["7"]), 3: (0, [])}
+
+
 def test_proximity_allows_words_to_stand_off(spark, documents):
     path = scratch_path(spark, "index")
     positional.write_index(documents((1, "alpha beta x gamma"), (2, "alpha x y z beta gamma")), path)
