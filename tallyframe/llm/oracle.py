@@ -62,4 +62,44 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM s QUALIFY rank <= 10
 """
 
-ORACLE = {"op2_archive": _OP2, "op6_decontamination": _OP6, "op7_url_rules": _OP7, "op8_near_copies": _OP8, "op10_top_vectors": _OP10}
+# The checksum of a run is the sum (XOR) of a value for each byte, which depends on the byte and its distance from the end, and of one for the length.
+_OP12 = f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT {_WORDS} AS w FROM benchmark),
+f AS (SELECT doc_id, unnest(w) AS feature FROM d
+      UNION ALL SELECT doc_id, unnest(list_transform(list_zip(w[:-2], w[2:]), lambda x: x[1] || ' ' || x[2])) FROM d WHERE len(w) > 1),
+g AS (SELECT unnest(w) AS feature FROM b
+      UNION ALL SELECT unnest(list_transform(list_zip(w[:-2], w[2:]), lambda x: x[1] || ' ' || x[2])) FROM b WHERE len(w) > 1),
+u AS MATERIALIZED (SELECT feature, hex(encode(feature)) AS h, strlen(feature) AS n FROM (SELECT feature FROM f UNION SELECT feature FROM g)),
+start AS MATERIALIZED (
+    SELECT b, list_reduce([CAST(b AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM (SELECT range AS b FROM range(256))),
+p(distance, b, c) AS (
+    SELECT 0, b, c FROM start
+    UNION ALL SELECT distance + 1, p.b, xor(p.c >> 8, s.c) FROM p JOIN start s ON s.b = p.c & 255 WHERE distance + 1 < (SELECT max(n) FROM u)),
+z(n, c) AS (SELECT CAST(0 AS BIGINT), 4294967295 UNION ALL SELECT n + 1, xor(z.c >> 8, s.c) FROM z JOIN start s ON s.b = z.c & 255 WHERE n < (SELECT max(n) FROM u)),
+i AS (SELECT feature, h, n, unnest(range(0, n)) AS place FROM u),
+x AS (SELECT feature, any_value(i.n) AS n, bit_xor(p.c) AS c
+      FROM i JOIN p ON p.distance = i.n - 1 - i.place
+       AND p.b = 16 * (strpos('0123456789ABCDEF', substr(h, 2 * place + 1, 1)) - 1) + strpos('0123456789ABCDEF', substr(h, 2 * place + 2, 1)) - 1
+      GROUP BY feature),
+k AS MATERIALIZED (SELECT feature, xor(xor(x.c, z.c), 4294967295) % 10000 AS bucket FROM x JOIN z ON x.n = z.n),
+s AS (SELECT bucket, count(*) AS s FROM f JOIN k USING (feature) GROUP BY bucket),
+r AS (SELECT bucket, count(*) AS t FROM g JOIN k USING (feature) GROUP BY bucket),
+a AS (SELECT (SELECT coalesce(sum(s), 0) FROM s) AS s_all, (SELECT coalesce(sum(t), 0) FROM r) AS t_all),
+gains AS (
+    SELECT s.bucket, CAST(floor(1000 * ln(CAST(coalesce(t, 0) + 1 AS DOUBLE) * CAST(s_all + 10000 AS DOUBLE) / (CAST(s + 1 AS DOUBLE) * CAST(t_all + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+    FROM s LEFT JOIN r ON s.bucket = r.bucket CROSS JOIN a),
+m AS (SELECT doc_id, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS total FROM f JOIN k USING (feature) JOIN gains USING (bucket) GROUP BY doc_id),
+w AS (
+    SELECT d.doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features,
+           CAST(coalesce((total - ((total % n_features) + n_features) % n_features) // n_features, 0) AS BIGINT) AS weight,
+           CAST('0x' || substr(sha256('7:' || d.doc_id), 1, 8) AS BIGINT) AS h
+    FROM d LEFT JOIN m ON d.doc_id = m.doc_id),
+v AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM w),
+o AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM v WHERE n_words >= 20)
+SELECT v.doc_id, n_features, weight, score, CASE WHEN place <= 25 * n // 100 THEN CAST(place AS BIGINT) END AS rank
+FROM v LEFT JOIN o ON v.doc_id = o.doc_id
+"""
+
+ORACLE = {"op2_archive": _OP2, "op6_decontamination": _OP6, "op7_url_rules": _OP7, "op8_near_copies": _OP8, "op10_top_vectors": _OP10, "op12_resampling": _OP12}

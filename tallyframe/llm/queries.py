@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import archive, jaccard, katz, language, packing, personal, positional, url_cascade, vector_search, wrapper
+from tallyframe.llm import alignment, archive, jaccard, katz, language, packing, personal, positional, resampling, simhash, url_cascade, vector_search, wrapper
 from tallyframe.llm.workers import reach_package
 from tallyframe.session import scratch_path
 
@@ -118,6 +118,23 @@ def op10_top_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return vector_search.top_k(_table(spark, folder, "embeddings"), lambda key: key % 100 == 0)
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's tokens by two tokenizers, aligned, and its links by how many documents hold them."""
+    found = alignment.align(_table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+    return found.withColumnRenamed("key", "doc_id")
+
+
+def op12_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """A quarter of the documents, drawn towards the benchmark's words."""
+    found = resampling.resample(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.withColumnRenamed("key", "doc_id")
+
+
+def op13_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """The component of every document by SimHash fingerprints that differ in at most two bits."""
+    return simhash.components(_table(spark, folder, "documents")).withColumnRenamed("key", "doc_id")
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_archive": op2_archive,
@@ -129,4 +146,7 @@ QUERIES = {
     "op8_near_copies": op8_near_copies,
     "op9_katz": op9_katz,
     "op10_top_vectors": op10_top_vectors,
+    "op11_alignment": op11_alignment,
+    "op12_resampling": op12_resampling,
+    "op13_simhash": op13_simhash,
 }

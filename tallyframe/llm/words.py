@@ -116,3 +116,9 @@ def run_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
             total = (total + hashes[k : k + many]) * _BASE
             total ^= total >> np.uint64(29)
     return mix(total)
+
+
+def ranges(start: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """All the numbers of the ranges that begin at ``start`` and hold ``many`` numbers."""
+    total = int(many.sum())
+    return np.repeat(start - (np.cumsum(many) - many), many) + np.arange(total)
