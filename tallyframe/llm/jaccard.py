@@ -7,13 +7,15 @@ counts is, then by hash, so common ones come last. The order is cut into ``FRAGM
 1. One pass counts the buckets and gives each document its set size and node.
 2. Two sets that link share an n-gram among their first ``n - ceil(t n) + 1``. Those prefixes are dealt by n-gram, packed,
    one entry for an n-gram and chunk of documents; only n-grams of several nodes are written (*shared postings*).
-3. Candidates come in rounds, from n-grams whose nodes are still in several components. The first rounds are stars: each node with one
-   node of about its size among those that share an n-gram with it. The last round takes all pairs across components whose
-   places in the order leave room for a link; these are the only pairs that can still matter.
-4. The sets of candidates are cut into the fragments; overlaps are counted for each fragment apart and summed per pair. Links give components.
+3. Candidates come in rounds, from n-grams whose nodes are still in several components. A round of stars tries each node with one
+   node of about its size among those that share an n-gram with it, later ones with a few others, in another order each turn. Stars go on while a turn
+   finds at least ``WORTH`` times the links of the first. The last round goes across components, the only pairs that can still matter: the members of a component are cut
+   into blocks, and each node meets the blocks of larger components with which it shares an n-gram whose places in both orders leave room for a link.
+4. The sets of candidates are written once, cut into the fragments. Overlaps are counted for each fragment apart and summed per pair; a node's overlaps with a
+   block are one row for each fragment, and of the links to a block the strongest is kept. Links give components.
 
-So a group of near copies costs about as many candidates as it has members, not their pairs, and no link between
-components is lost. Fragments of a star with a hot centre are dealt to as many groups as its members need.
+So a group of near copies costs about as many candidates a turn as it has members, not their pairs, and no link between
+components is lost. Fragments of a star with a hot centre, or of a block that very many nodes meet, are dealt to as many groups as these need.
 
 Cases: texts that are NULL or without words have an empty set and are a component of their own. With fewer words than ``size``
 the whole sequence is the only n-gram. Repeated rows share a component; a NULL doc_id is never the smallest. An empty table gives no rows.
@@ -27,21 +29,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallyframe.llm.components import connected
-from tallyframe.llm.words import SPACED, mix, run_hashes, text_chunks, words_of
+from tallyframe.llm.words import SPACED, mix, ranges, run_hashes, text_chunks, words_of
 from tallyframe.session import scratch_path
 
 FRAGMENTS = 4
-#: Buckets of the count table, and bits of the node filter: fixed sizes, whatever the corpus. Both only steer the work.
+#: Buckets of the count table: a fixed size, whatever the corpus. It only steers the work.
 BUCKETS = 1 << 20
-FILTER_BITS = 1 << 24
-#: Rounds of stars before pairs across components; prefix n-grams in a partition, partners of a centre in a group, and copies of a component's row in the last join.
-STAR_ROUNDS = 2
+#: Bits of the filter for nodes whose sets are wanted: for each of them, and at most. What it lets through is joined with the nodes.
+NODE_BITS, FILTER_BITS = 16, 1 << 25
+#: A turn of stars with a smaller share of the first one's links is the last; partners of a node in a turn after the first; members of a block.
+WORTH = 0.25
+TRIES = 8
+BLOCK = 256
+#: Prefix n-grams in a partition, and partners of a centre in a group.
 PART_NGRAMS = 1_000_000
 GROUP_ROWS = 500
-SALTS = 16
 
 _ID = np.uint64(8)
 _SLICE = 4096
@@ -59,8 +64,8 @@ class Sets:
         if len(words.hashes):
             runs = run_hashes(words.hashes, size)
             long = np.flatnonzero(counts >= size)
-            places = np.repeat(words.first[long] - self.first[long], many[long]) + _ranges(self.first[long], many[long])
-            hashes[_ranges(self.first[long], many[long])] = runs[places]
+            places = np.repeat(words.first[long] - self.first[long], many[long]) + ranges(self.first[long], many[long])
+            hashes[ranges(self.first[long], many[long])] = runs[places]
             for d in np.flatnonzero((counts > 0) & (counts < size)):
                 hashes[self.first[d]] = run_hashes(words.hashes[words.first[d] : words.first[d + 1]], int(counts[d]))[0]
         self.keys = hashes >> _ID
@@ -75,12 +80,6 @@ class Sets:
         return keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) > 1 else keys
 
 
-def _ranges(start: np.ndarray, many: np.ndarray) -> np.ndarray:
-    """All the numbers of the ranges."""
-    total = int(many.sum())
-    return np.repeat(start - (np.cumsum(many) - many), many) + np.arange(total)
-
-
 def bucket_of(keys: np.ndarray) -> np.ndarray:
     return ((keys >> np.uint64(20)) & np.uint64(BUCKETS - 1)).astype(np.int64)
 
@@ -243,7 +242,7 @@ def _segments(batches: Iterator[pa.RecordBatch], size: int, level: np.ndarray, p
                 if not len(keys):
                     continue
                 node = node_of(keys)[0]
-                bit = node & (FILTER_BITS - 1)
+                bit = node & (8 * len(wanted) - 1)
                 if node in seen or not wanted[bit >> 3] >> (bit & 7) & 1:
                     continue
                 seen.add(node)
@@ -255,20 +254,84 @@ def _segments(batches: Iterator[pa.RecordBatch], size: int, level: np.ndarray, p
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(fragments, pa.int32()), pa.array(parts, pa.binary())], names=["node", "fragment", "keys"])
 
 
-def _overlaps(table: pa.Table) -> pa.Table:
-    """Partial overlaps of one centre with its partners in one fragment."""
-    names = ["a", "b", "overlap"]
-    kinds = pa.schema([(n, pa.int64()) for n in names])
-    a, b = table.column("a").to_numpy(), table.column("b").to_numpy()
-    keys = [np.frombuffer(x, np.uint64) for x in table.column("keys").to_pylist()]
-    centre = np.flatnonzero(a == b)
-    if not len(centre):  # the centre has nothing in this fragment
-        return kinds.empty_table()
-    own = keys[centre[0]]
-    rows = np.flatnonzero(a != b)
-    at = [np.minimum(np.searchsorted(own, keys[k]), len(own) - 1) for k in rows]
-    counts = [int((own[p] == keys[k]).sum()) for p, k in zip(at, rows, strict=True)]
-    return pa.table([pa.array(a[rows]), pa.array(b[rows]), pa.array(counts, pa.int64())], schema=kinds)
+def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partial overlaps of centres with their partners, from sorted rows: before its partners stands a centre's own set in a fragment, if it has one."""
+    place, own = None, None
+    for batch in batches:
+        rows = zip(*(batch.column(n).to_pylist() for n in ("a", "salt", "fragment")), strict=True)
+        nodes, keys = batch.column("b").to_pylist(), batch.column("keys")
+        found = []
+        for k, at in enumerate(rows):
+            if at != place:
+                place, own = at, None
+            fragment = np.frombuffer(keys[k].as_buffer(), np.uint64)
+            if nodes[k] == at[0]:
+                own = fragment
+            elif own is not None:
+                near = np.minimum(np.searchsorted(own, fragment), len(own) - 1)
+                found.append((at[0], nodes[k], int((own[near] == fragment).sum())))
+        yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in range(3)], names=["a", "b", "overlap"])
+
+
+def _block_overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partial overlaps of nodes with all members of a block, a row each, from sorted rows in which a block's members (with a seat) stand before the nodes it meets."""
+    columns = ["root", "block", "salt", "fragment"]
+    place, members, block = None, [], None
+    for batch in batches:
+        rows = zip(*(batch.column(n).to_pylist() for n in columns), strict=True)
+        nodes, seats, keys = batch.column("node").to_pylist(), batch.column("seat").to_pylist(), batch.column("keys")
+        found = []
+        for k, at in enumerate(rows):
+            if at != place:
+                place, members, block = at, [], None
+            fragment = np.frombuffer(keys[k].as_buffer(), np.uint64)
+            if seats[k] is not None:
+                members.append((seats[k], fragment))
+                continue
+            if not members:
+                continue
+            if block is None:
+                tokens = np.concatenate([m[1] for m in members])
+                order = np.argsort(tokens, kind="stable")
+                block = tokens[order], np.repeat([m[0] for m in members], [len(m[1]) for m in members])[order], 1 + max(m[0] for m in members)
+            low, high = np.searchsorted(block[0], fragment), np.searchsorted(block[0], fragment, side="right")
+            counts = np.bincount(block[1][ranges(low, high - low)], minlength=block[2])
+            found.append((nodes[k], at[0], at[1], counts.astype("<i4").tobytes()))
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], kind) for k, kind in enumerate(kinds)], names=["node", "root", "block", "counts"])
+
+
+def _strongest(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The strongest link of a node to a block, if any, from sorted rows with its partial overlaps and the members (node, size) by seat."""
+    place, total, last = None, None, None
+
+    def out() -> list[tuple[int, int, int, int, int]]:
+        if place is None:
+            return []
+        n, sizes = last["n"], np.array([m["n"] for m in last["members"]], np.int64)
+        overlap = np.append(total, np.zeros(max(0, len(sizes) - len(total)), np.int64))
+        linked = np.flatnonzero(100 * overlap >= percent * (n + sizes - overlap))
+        if not len(linked):
+            return []
+        best = linked[np.argmax(overlap[linked] / (n + sizes[linked] - overlap[linked]))]
+        return [(last["node"], last["members"][best]["node"], int(overlap[best]), n, int(sizes[best]))]
+
+    def rows_of(found: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in range(5)], names=["a", "b", "overlap", "na", "nb"])
+
+    for batch in batches:
+        found = []
+        for row in batch.to_pylist():
+            if (at := (row["node"], row["root"], row["block"])) != place:
+                found += out()
+                place, total = at, np.zeros(0, np.int64)
+            counts = np.frombuffer(row["counts"], "<i4").astype(np.int64)
+            if len(counts) > len(total):
+                total, counts = counts, total
+            total[: len(counts)] += counts
+            last = row
+        yield rows_of(found)
+    yield rows_of(out())
 
 
 class Join:
@@ -291,6 +354,8 @@ class Join:
             self.counts[k * _SLICE : (k + 1) * _SLICE] = np.frombuffer(counts, np.int64)
         self.level = levels_of(self.counts)
         self.pivots = pivots_of(self.counts, self.level, FRAGMENTS)
+        self.sets: DataFrame | None = None
+        self.has: DataFrame | None = None
 
     def write_shared(self) -> DataFrame:
         size, percent, level = self.size, self.percent, self.level
@@ -301,71 +366,124 @@ class Join:
         found.write.parquet(f"{self.path}/shared")
         return self.spark.read.parquet(f"{self.path}/shared").distinct()
 
-    def links(self, pairs: DataFrame, name: str) -> DataFrame | None:
-        """The pairs (a, b, na, nb) whose overlap links them; written. None without pairs."""
-        pairs.write.parquet(f"{self.path}/pairs-{name}")
-        pairs = self.spark.read.parquet(f"{self.path}/pairs-{name}")
-        if pairs.isEmpty():
-            return None
-        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
-        bit = F.col("node").bitwiseAND(FILTER_BITS - 1)
-        wanted = np.zeros(FILTER_BITS // 8, np.uint8)
-        words = ends.groupBy(F.shiftright(bit, 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(node & 31 as int))")).alias("bits"))
-        for word, bits in words.toLocalIterator():  # at most FILTER_BITS / 32 rows
-            wanted.view("<u4")[word] = bits
+    def write_sets(self, nodes: DataFrame, name: str) -> DataFrame:
+        """The fragments (node, fragment, keys) of these nodes' sets, in one more pass over the texts; written."""
+        nodes.distinct().write.parquet(f"{self.path}/wanted-{name}")
+        nodes = self.spark.read.parquet(f"{self.path}/wanted-{name}")
+        many = nodes.count()
+        bits = min(FILTER_BITS, max(64, 1 << (NODE_BITS * many).bit_length()))
+        bit = F.col("node").bitwiseAND(bits - 1)
+        wanted = np.zeros(bits // 8, np.uint8)
+        words = nodes.groupBy(F.shiftright(bit, 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(node & 31 as int))")).alias("bits"))
+        for word, found in words.toLocalIterator():  # at most FILTER_BITS / 32 rows
+            wanted.view("<u4")[word] = found
         size, level, pivots = self.size, self.level, self.pivots
         segments = self.texts.mapInArrow(lambda batches: _segments(batches, size, level, pivots, wanted), "node long, fragment int, keys binary")
+        segments = segments.join(nodes, "node", "left_semi")  # the filter lets a few others through
+        # Copies of a document in several chunks give a segment several times; one is kept.
+        segments.groupBy("node", "fragment").agg(F.first("keys").alias("keys")).write.parquet(f"{self.path}/sets-{name}")
+        return self.spark.read.parquet(f"{self.path}/sets-{name}")
+
+    def need_sets(self, nodes: DataFrame, name: str) -> None:
+        missing = nodes if self.sets is None else nodes.join(self.has, "node", "left_anti")
+        if self.sets is not None and missing.isEmpty():
+            return
+        more = self.write_sets(missing, name)
+        has = self.spark.read.parquet(f"{self.path}/wanted-{name}")
+        self.sets = more if self.sets is None else self.sets.union(more)
+        self.has = has if self.has is None else self.has.union(has)
+
+    def links(self, pairs: DataFrame, name: str) -> DataFrame:
+        """The pairs (a, b, na, nb) whose overlap links them; written, and so are the pairs."""
+        pairs.write.parquet(f"{self.path}/pairs-{name}")
+        pairs = self.spark.read.parquet(f"{self.path}/pairs-{name}")
+        self.need_sets(pairs.select(F.col("a").alias("node")).union(pairs.select("b")), name)
         groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP_ROWS).alias("groups"))
         dealt = pairs.select("a", "b").join(groups, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("groups")))
-        wished = dealt.select("a", "salt", "b").union(dealt.select("a", "salt", F.col("a").alias("b")).distinct())
-        # Copies of a document in several chunks give a segment several times; one is kept.
-        one = segments.groupBy("node", "fragment").agg(F.first("keys").alias("keys"))
-        placed = wished.join(one, wished["b"] == one["node"]).select("a", "salt", "fragment", "b", "keys")
-        partial = placed.groupBy("a", "salt", "fragment").applyInArrow(_overlaps, "a long, b long, overlap long")
+        dealt.select("a", "salt", "b").union(dealt.select("a", "salt", F.col("a").alias("b")).distinct()).write.parquet(f"{self.path}/wished-{name}")
+        # Written, so that Spark knows the size: the sets of few nodes are found without a shuffle of all sets.
+        wished = self.spark.read.parquet(f"{self.path}/wished-{name}")
+        placed = wished.join(self.sets, wished["b"] == self.sets["node"]).select("a", "salt", "fragment", "b", "keys")
+        place = ["a", "salt", "fragment"]
+        sorted_ = placed.repartition(*place).sortWithinPartitions(*place, F.col("a") != F.col("b"))
+        partial = sorted_.mapInArrow(_overlaps, "a long, b long, overlap long")
         sums = partial.groupBy("a", "b").agg(F.sum("overlap").alias("overlap"))
         found = sums.join(pairs, ["a", "b"]).where(100 * F.col("overlap") >= self.percent * (F.col("na") + F.col("nb") - F.col("overlap")))
         found.select("a", "b", "overlap", "na", "nb").write.parquet(f"{self.path}/links-{name}")
         return self.spark.read.parquet(f"{self.path}/links-{name}")
 
-    def mixed(self, shared: DataFrame, roots: DataFrame | None, name: str) -> DataFrame:
-        """The shared postings of n-grams whose nodes are in several components, with their roots; written."""
-        placed = shared.withColumn("root", F.col("node"))
+    def mixed(self, postings: DataFrame, roots: DataFrame | None, name: str) -> DataFrame:
+        """The postings of n-grams whose nodes are in several components, with their roots; written."""
+        placed = postings.select("token", "node", "n", "place", F.col("node").alias("root"))
         if roots is not None:
-            placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            placed = placed.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         split = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
         placed.join(split.select("token"), "token", "left_semi").write.parquet(f"{self.path}/mixed-{name}")
         return self.spark.read.parquet(f"{self.path}/mixed-{name}")
 
     def stars(self, mixed: DataFrame, turn: int) -> DataFrame:
-        """Each node with one other: of the first nodes, in an order of this turn, of its n-grams and its size, the one that is first most often.
+        """Each node with others of its n-grams and about its size: those that are first in an n-gram, in an order of this turn.
 
-        The first nodes of neighbouring sizes that share an n-gram meet as well, each with one.
+        The first turn has one order for all n-grams and takes the one that a node meets most often, so that a group becomes a star. Later
+        turns have an order of their own for each n-gram and take up to ``TRIES``. The first nodes of neighbouring sizes that share an n-gram meet as well.
         """
         sized = mixed.where(self.early(F.col("n"), F.col("place"), F.col("n")))
         sized = sized.withColumn("class", F.floor(F.log(F.col("n")) / math.log(100 / self.percent)))
-        first = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), "node", "n", "root")).alias("first")
+        order = F.xxhash64("node", F.lit(turn)) if turn == 0 else F.xxhash64("node", "token", F.lit(turn))
+        first = F.min(F.struct(order.alias("order"), "node", "n", "root")).alias("first")
         least = sized.groupBy("token", "class").agg(first)
         spread = sized.join(least, ["token", "class"]).where("root != first.root").select("node", "n", "first")
         above = least.select("token", (F.col("class") - 1).alias("class"), F.col("first").alias("next"))
         steps = least.join(above, ["token", "class"]).where("first.root != next.root").select("first.node", "first.n", F.col("next").alias("first"))
-        met = spread.union(steps).groupBy("node", "n", "first").agg(F.count("*").alias("times"))
-        best = met.groupBy("node", "n").agg(F.max_by("first", F.struct("times", F.col("first.order"))).alias("first"))
-        return best.select(*_pair("node", "n", "first.node", "first.n")).where(self.fits()).distinct()
+        met = spread.union(steps).groupBy("node", "n", F.col("first.node").alias("other"), F.col("first.n").alias("other_n")).agg(F.count("*").alias("times"))
+        if self.sets is None:  # nodes of one component each: whoever meets another at all is here
+            met.write.parquet(f"{self.path}/met")
+            met = self.spark.read.parquet(f"{self.path}/met")
+            self.need_sets(met.select("node").union(met.select("other")), "first")
+        place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("times"), F.xxhash64("other", F.lit(turn))))
+        best = met.withColumn("place", place).where(F.col("place") <= (1 if turn == 0 else TRIES))
+        return best.select(*_pair("node", "n", "other", "other_n")).where(self.fits()).distinct()
 
     def across(self, mixed: DataFrame) -> DataFrame:
-        """All pairs that share an n-gram across components and can still link.
+        """The strongest link of each node to each block of a larger component that shares an n-gram with it; written.
 
-        The first n-gram they share must stand early in both sets. Up to the last such one the pair has just the shared ones in
-        common; beyond it at most the shorter rest. (All n-grams that two components share are in ``mixed``.)
+        The first n-gram that two linked sets share must stand early in both (all n-grams that two components share are in ``mixed``). For a block
+        this is judged by its smallest and largest sets and its earliest place, so no pair that can link is left out.
         """
-        left = mixed.select("token", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("root_x"), F.col("place").alias("px"))
-        right = mixed.select("token", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("root").alias("root_y"), F.col("place").alias("py"))
-        small, large = F.least("nx", "ny"), F.greatest("nx", "ny")
-        soon = self.early(F.col("nx"), F.col("px"), F.col("ny")) & self.early(F.col("ny"), F.col("py"), F.col("nx"))
-        met = left.join(right, "token").where((F.col("root_x") < F.col("root_y")) & (100 * small >= self.percent * large) & soon)
-        pairs = met.groupBy("x", "nx", "y", "ny").agg(F.count("*").alias("s"), F.max("px").alias("px"), F.max("py").alias("py"))
-        most = F.col("s") + F.least(F.col("nx") - 1 - F.col("px"), F.col("ny") - 1 - F.col("py"))
-        return pairs.where(100 * most >= self.percent * (F.col("nx") + F.col("ny") - most)).select(*_pair("x", "nx", "y", "ny"))
+        path = self.path
+        nodes = mixed.select("node", "n", "root").distinct()
+        sizes = nodes.groupBy("root").agg(F.count("*").alias("many"))
+        block = F.pmod(F.xxhash64("node"), F.ceil(F.col("many") / BLOCK))
+        seat = F.row_number().over(Window.partitionBy("root", "block").orderBy("node")) - 1
+        nodes.join(sizes, "root").withColumn("block", block).withColumn("seat", seat).write.parquet(f"{path}/seats")
+        seats = self.spark.read.parquet(f"{path}/seats")
+        placed = mixed.select("token", "node", "place").join(seats, "node")
+        blocks = placed.groupBy("token", F.col("root").alias("to"), F.col("block").alias("to_block"), F.col("many").alias("to_many")).agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("place").alias("soonest"))
+        ordered = F.struct("many", "root") < F.struct("to_many", "to")
+        # Sizes of sets that can be linked with one of this size.
+        least, most = F.greatest("least", F.ceil(F.col("n") * self.percent / 100 - 1e-9)), F.least("most", F.floor(F.col("n") * 100 / self.percent + 1e-9))
+        soon = self.early(F.col("n"), F.col("place"), least) & self.early(most, F.col("soonest"), F.col("n"))
+        met = placed.join(blocks, "token").where(ordered & (least <= most) & soon)
+        met.select("node", "n", F.col("to").alias("root"), F.col("to_block").alias("block")).distinct().write.parquet(f"{path}/across")
+        met = self.spark.read.parquet(f"{path}/across")
+        there = met.select("root", "block").groupBy("root", "block").agg(F.ceil(F.count("*") / GROUP_ROWS).alias("groups"))
+        members = seats.select("root", "block", "node", "n", "seat").join(there, ["root", "block"])
+        self.need_sets(members.select("node").union(met.select("node")), "across")
+        salts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1))
+        asked = met.join(there, ["root", "block"]).withColumn("salt", F.pmod(F.xxhash64("node"), F.col("groups")))
+        columns = ["root", "block", "salt", "node", "seat"]
+        wished = members.withColumn("salt", salts).select(columns).union(asked.withColumn("seat", F.lit(None).cast("int")).select(columns))
+        wished.write.parquet(f"{path}/wished-across")
+        wished = self.spark.read.parquet(f"{path}/wished-across")
+        place = ["root", "block", "salt", "fragment"]
+        dealt = wished.join(self.sets, "node").repartition(*place).sortWithinPartitions(*place, F.col("seat").isNull())
+        partial = dealt.select(*place, "node", "seat", "keys").mapInArrow(_block_overlaps, "node long, root long, block long, counts binary")
+        lists = members.groupBy("root", "block").agg(F.transform(F.array_sort(F.collect_list(F.struct("seat", "node", "n"))), lambda m: F.struct(m["node"].alias("node"), m["n"].alias("n"))).alias("members"))
+        whole = partial.join(met, ["node", "root", "block"]).join(lists, ["root", "block"]).select("node", "n", "root", "block", "counts", "members")
+        percent, key = self.percent, ["node", "root", "block"]
+        found = whole.repartition(*key).sortWithinPartitions(*key).mapInArrow(lambda batches: _strongest(batches, percent), "a long, b long, overlap long, na long, nb long")
+        found.write.parquet(f"{path}/links-across")
+        return self.spark.read.parquet(f"{path}/links-across")
 
     def early(self, n, place, other_n):
         """Whether a place is among the first that a set of size ``n`` must share with a linked set of size ``other_n``.
@@ -394,32 +512,50 @@ def join(documents: DataFrame, size: int = 4, percent: int = 85, key: str = "doc
     The links connect exactly the documents that links at ``percent`` connect; pairs inside a component need not all be listed.
     """
     work = Join(documents, size, percent, key, text)
-    shared = work.write_shared()
-    links = asked = roots = None
-    for turn in range(STAR_ROUNDS + 1):
-        mixed = work.mixed(shared, roots, str(turn))
-        pairs = work.stars(mixed, turn) if turn < STAR_ROUNDS else work.across(mixed)
-        if asked is not None:
-            pairs = pairs.join(asked, ["a", "b"], "left_anti")
-        found = work.links(pairs, str(turn))
-        if found is None:
-            continue
-        tried = work.spark.read.parquet(f"{work.path}/pairs-{turn}").select("a", "b")
-        asked = tried if asked is None else asked.union(tried)
-        links = found if links is None else links.union(found)
-        roots = connected(links.select("a", "b"), f"{work.path}/roots-{turn}")
-    if links is None:
-        links = work.spark.createDataFrame([], "a long, b long, overlap long, na long, nb long")
-        roots = work.spark.createDataFrame([], "node long, root long")
+    mixed = work.mixed(work.write_shared(), None, "shared")
+    found, roots, turn, enough = [], None, 0, 1
+    across = False
+    while not across:
+        across = turn > 0 and enough == 0
+        if across:
+            new = work.across(mixed)
+        else:
+            pairs = work.stars(mixed, turn)
+            for k in range(turn):
+                pairs = pairs.join(work.spark.read.parquet(f"{work.path}/pairs-{k}").select("a", "b"), ["a", "b"], "left_anti")
+            new = work.links(pairs, str(turn))
+        many = new.count()
+        if turn == 0:
+            enough = max(1, math.ceil(WORTH * many))
+        if many < enough:
+            enough = 0
+        if many:
+            found.append(new)
+            # Components so far are stars around their roots.
+            edges = new.select("a", "b") if roots is None else new.select("a", "b").union(roots.select("node", "root"))
+            roots = connected(edges, f"{work.path}/roots-{turn}")
+            if not across:
+                mixed = work.mixed(mixed, roots, str(turn))
+        turn += 1
+    if not found:
+        nothing = work.spark.createDataFrame([], "a long, b long, overlap long, na long, nb long")
+        return work.members, nothing, work.spark.createDataFrame([], "node long, root long")
+    links = found[0]
+    for more in found[1:]:
+        links = links.union(more)
     return work.members, links, roots
 
 
 def components(documents: DataFrame, size: int = 4, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
     members, _, roots = join(documents, size, percent, key, text)
+    path = scratch_path(documents.sparkSession, "components")
     placed = members.where("node IS NOT NULL").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    salted = smallest.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    named = placed.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).join(salted, ["root", "salt"])
+    # Written, so that the join below has plain sides: a component that very many documents are in is split by adaptive execution.
+    smallest.write.parquet(f"{path}/smallest")
+    placed.write.parquet(f"{path}/placed")
+    spark = documents.sparkSession
+    named = spark.read.parquet(f"{path}/placed").join(spark.read.parquet(f"{path}/smallest"), "root")
     alone = members.where("node IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return named.select("doc_id", F.col("n").alias("n_shingles"), "component_id").union(alone)
