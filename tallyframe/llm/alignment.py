@@ -30,6 +30,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from tallyframe.llm.byte_planes import pack, unpack
 from tallyframe.llm.words import ranges, text_chunks
+from tallyframe.llm.workers import lean
 from tallyframe.session import scratch_path
 
 PARTS = 64
@@ -385,7 +386,7 @@ def align(documents: DataFrame, file_a: str, file_b: str, key: str = "doc_id", t
     kind = rows.schema["key"].dataType
     name, arrow = kind.simpleString(), to_arrow_type(kind)
     schema = f"part long, chunk long, keys array<{name}>, figures binary, digests binary, pairs binary, texts binary, text binary, times binary"
-    rows.mapInArrow(lambda batches: _encode(batches, file_a, file_b, arrow), schema).write.option("compression", "none").parquet(f"{path}/links")
+    rows.mapInArrow(lean(lambda batches: _encode(batches, file_a, file_b, arrow)), schema).write.option("compression", "none").parquet(f"{path}/links")
     written = spark.read.parquet(f"{path}/links")
     heads, links = written.where("part < 0"), written.where("part >= 0")
     chunks, size = written.agg(F.count(F.when(F.col("part") < 0, 1)), F.sum(F.length("pairs") + F.length("texts") + F.length("text") + F.length("times"))).first()

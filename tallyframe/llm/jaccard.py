@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallyframe.llm.components import connected
 from tallyframe.llm.words import SPACED, mix, ranges, run_hashes, text_chunks, words_of
+from tallyframe.llm.workers import lean
 from tallyframe.session import scratch_path
 
 FRAGMENTS = 4
@@ -345,7 +346,7 @@ class Join:
         kind = dict(documents.dtypes)[key]
         schema = f"doc_id {kind}, n long, node long, check long, slice int, counts binary"
         rows = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-        rows.mapInArrow(lambda batches: _survey(batches, size), schema).write.parquet(f"{self.path}/survey")
+        rows.mapInArrow(lean(lambda batches: _survey(batches, size)), schema).write.parquet(f"{self.path}/survey")
         survey = self.spark.read.parquet(f"{self.path}/survey")
         self.members = survey.where("slice IS NULL").select("doc_id", "n", "node")
         self.counts = np.zeros(BUCKETS, np.int64)
@@ -361,8 +362,8 @@ class Join:
         size, percent, level = self.size, self.percent, self.level
         parts = max(1, -(-int(self.counts.sum()) * (100 - percent) // 100 // PART_NGRAMS))
         schema = "part long, sure boolean, tokens binary, nodes binary, sizes binary, local binary"
-        packed = self.texts.mapInArrow(lambda batches: _prefixes(batches, size, percent, level, parts), schema)
-        found = packed.repartition(parts, "part").mapInArrow(_shared, "token long, node long, n long, place int")
+        packed = self.texts.mapInArrow(lean(lambda batches: _prefixes(batches, size, percent, level, parts)), schema)
+        found = packed.repartition(parts, "part").mapInArrow(lean(_shared), "token long, node long, n long, place int")
         found.write.parquet(f"{self.path}/shared")
         return self.spark.read.parquet(f"{self.path}/shared").distinct()
 
@@ -378,7 +379,7 @@ class Join:
         for word, found in words.toLocalIterator():  # at most FILTER_BITS / 32 rows
             wanted.view("<u4")[word] = found
         size, level, pivots = self.size, self.level, self.pivots
-        segments = self.texts.mapInArrow(lambda batches: _segments(batches, size, level, pivots, wanted), "node long, fragment int, keys binary")
+        segments = self.texts.mapInArrow(lean(lambda batches: _segments(batches, size, level, pivots, wanted)), "node long, fragment int, keys binary")
         segments = segments.join(nodes, "node", "left_semi")  # the filter lets a few others through
         # Copies of a document in several chunks give a segment several times; one is kept.
         segments.groupBy("node", "fragment").agg(F.first("keys").alias("keys")).write.parquet(f"{self.path}/sets-{name}")
@@ -406,7 +407,7 @@ class Join:
         placed = wished.join(self.sets, wished["b"] == self.sets["node"]).select("a", "salt", "fragment", "b", "keys")
         place = ["a", "salt", "fragment"]
         sorted_ = placed.repartition(*place).sortWithinPartitions(*place, F.col("a") != F.col("b"))
-        partial = sorted_.mapInArrow(_overlaps, "a long, b long, overlap long")
+        partial = sorted_.mapInArrow(lean(_overlaps), "a long, b long, overlap long")
         sums = partial.groupBy("a", "b").agg(F.sum("overlap").alias("overlap"))
         found = sums.join(pairs, ["a", "b"]).where(100 * F.col("overlap") >= self.percent * (F.col("na") + F.col("nb") - F.col("overlap")))
         found.select("a", "b", "overlap", "na", "nb").write.parquet(f"{self.path}/links-{name}")
@@ -477,7 +478,7 @@ class Join:
         wished = self.spark.read.parquet(f"{path}/wished-across")
         place = ["root", "block", "salt", "fragment"]
         dealt = wished.join(self.sets, "node").repartition(*place).sortWithinPartitions(*place, F.col("seat").isNull())
-        partial = dealt.select(*place, "node", "seat", "keys").mapInArrow(_block_overlaps, "node long, root long, block long, counts binary")
+        partial = dealt.select(*place, "node", "seat", "keys").mapInArrow(lean(_block_overlaps), "node long, root long, block long, counts binary")
         lists = members.groupBy("root", "block").agg(F.transform(F.array_sort(F.collect_list(F.struct("seat", "node", "n"))), lambda m: F.struct(m["node"].alias("node"), m["n"].alias("n"))).alias("members"))
         whole = partial.join(met, ["node", "root", "block"]).join(lists, ["root", "block"]).select("node", "n", "root", "block", "counts", "members")
         percent, key = self.percent, ["node", "root", "block"]

@@ -27,10 +27,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from tallyframe.llm.workers import lean
+
 SEQUENCE = 2048
 BUCKET_ROWS = 50_000
-#: Distinct chunks of text, and runs within them, whose ids a Python worker keeps; all are dropped when there are more.
-CACHE_CHUNKS = 600_000
+#: Bytes, about, of the chunks of text, and of the runs within them, that a Python worker keeps of late with their ids; as many of those before stay.
+CACHE_BYTES, RUN_BYTES = 40 << 20, 16 << 20
+#: Longer chunks and runs are not kept.
+CACHE_LENGTH = 100
+#: What an entry takes besides its text and ids.
+_ENTRY = 180
 #: Sweeps of the least-squares fit.
 SWEEPS = 60
 
@@ -49,6 +55,29 @@ _SHOWN = _shown_bytes()
 _encoders: dict[str, "_Encoder"] = {}
 
 
+class _Kept:
+    """Ids by text, of bounded weight: when the new entries are too heavy they become the old ones, and those go."""
+
+    def __init__(self, most: int):
+        self.most, self.weight = most, 0
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def get(self, text: str) -> bytes | None:
+        ids = self.new.get(text)
+        if ids is None and (ids := self.old.get(text)) is not None:
+            self.put(text, ids)
+        return ids
+
+    def put(self, text: str, ids: bytes) -> None:
+        if len(text) > CACHE_LENGTH:
+            return
+        self.weight += _ENTRY + len(text) + len(ids)
+        if self.weight > self.most:
+            self.old, self.new, self.weight = self.new, {}, _ENTRY + len(text) + len(ids)
+        self.new[text] = ids
+
+
 class _Encoder:
     """Token ids of texts as bytes (little-endian, 32 bits), by the chunks between white space.
 
@@ -64,8 +93,7 @@ class _Encoder:
 
         self.tokenizer = Tokenizer.from_file(file)
         self.model = self.tokenizer.model
-        self.chunks: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
+        self.chunks, self.runs = _Kept(CACHE_BYTES), _Kept(RUN_BYTES)
         splitter = json.loads(self.tokenizer.to_str())["pre_tokenizer"]["pretokenizers"][0]
         self.split = regex.compile(splitter["pattern"]["Regex"]).findall
 
@@ -77,34 +105,31 @@ class _Encoder:
         ids = self.runs.get(run)
         if ids is None:
             mapped = run if run.isascii() and run.isprintable() else run.encode().decode("latin-1").translate(_SHOWN)
-            ids = self.runs[run] = np.array([token.id for token in self.model.tokenize(mapped)], dtype="<u4").tobytes()
+            ids = np.array([token.id for token in self.model.tokenize(mapped)], dtype="<u4").tobytes()
+            self.runs.put(run, ids)
         return ids
 
-    def add(self, chunks: list[str]) -> None:
-        if len(self.chunks) > CACHE_CHUNKS:
-            self.chunks.clear()
-        if len(self.runs) > CACHE_CHUNKS:
-            self.runs.clear()
+    def missing(self, chunks: set[str]) -> dict[str, bytes]:
+        """The ids of chunks that are not among the new ones."""
+        found = {chunk: ids for chunk in chunks if (ids := self.chunks.get(chunk)) is not None}
+        chunks = chunks.difference(found)
         far = [chunk for chunk in chunks if not chunk.isascii() and max(chunk) >= _LATIN_END]
-        if far:
-            self.chunks.update(zip(far, self.whole(far), strict=True))
-            chunks = list(set(chunks).difference(far))
-        for chunk in chunks:
-            self.chunks[chunk] = b"".join(map(self.run, self.split(chunk.lower())))
+        fresh = dict(zip(far, self.whole(far), strict=True)) if far else {}
+        for chunk in chunks.difference(far):
+            fresh[chunk] = b"".join(map(self.run, self.split(chunk.lower())))
+        for chunk, ids in fresh.items():
+            self.chunks.put(chunk, ids)
+        return found | fresh
 
     def encode(self, text: str) -> bytes:
         if "<|" in text or any(c in text for c in "\x1c\x1d\x1e\x1f"):
             return self.whole([text])[0]
-        chunks = text.split()
+        chunks, kept = text.split(), self.chunks.new
         try:
-            return b"".join(map(self.chunks.__getitem__, chunks))
+            return b"".join(map(kept.__getitem__, chunks))
         except KeyError:
-            self.add(list(set(chunks).difference(self.chunks)))
-            try:
-                return b"".join(map(self.chunks.__getitem__, chunks))
-            except KeyError:  # the cache was emptied meanwhile
-                self.add(list(set(chunks).difference(self.chunks)))
-                return b"".join(map(self.chunks.__getitem__, chunks))
+            missing = self.missing(set(chunks).difference(kept))
+            return b"".join([ids if (ids := missing.get(chunk)) is not None else kept[chunk] for chunk in chunks])
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], file: str, sequence: int, key_type: pa.DataType, keep_ids: bool) -> Iterator[pa.RecordBatch]:
@@ -138,7 +163,7 @@ def write_pieces(documents: DataFrame, path: str, file: str, key: str = "doc_id"
     arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
     schema = f"key {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    rows.mapInArrow(lambda batches: _pieces(batches, file, sequence, arrow, keep_ids), schema).write.parquet(path)
+    rows.mapInArrow(lean(lambda batches: _pieces(batches, file, sequence, arrow, keep_ids)), schema).write.parquet(path)
 
 
 def patterns_of(lengths: list[int], sequence: int = SEQUENCE) -> list[tuple[int, ...]]:

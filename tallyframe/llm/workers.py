@@ -1,9 +1,12 @@
-"""Python workers that find this package."""
+"""Python workers that find this package and hand back memory."""
 
 from __future__ import annotations
 
+import ctypes
 import os
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 import tallyframe
@@ -19,3 +22,15 @@ def reach_package(spark: SparkSession) -> None:
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
+def lean(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The function with freed memory handed back to the system at the end of each task; workers are used again, and would keep it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+        if hasattr(trim := ctypes.CDLL(None), "malloc_trim"):
+            trim.malloc_trim(0)
+
+    return run
