@@ -509,4 +509,30 @@ ORACLE = {
             o_orderdate + INTERVAL 7 DAY AS due, CAST(o_orderdate AS DATE) AS order_day
         FROM orders
     """,
+    "monthly_payments": """
+        SELECT strftime(l_shipdate, '%Y-%m') AS month, count(*) AS n,
+               CAST(sum(CASE WHEN month(l_shipdate) = 2
+                             THEN CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2))) AS DECIMAL(18,2))
+                             ELSE CAST(l_extendedprice AS DECIMAL(18,2)) END) AS DECIMAL(38,2)) AS revenue
+        FROM lineitem WHERE l_shipdate >= DATE '1997-01-01' AND l_shipdate < DATE '1997-04-01' GROUP BY 1
+    """,
+    "delete_cascade": """
+        WITH n AS (SELECT *, n_name = 'NATION_5' AS gone FROM nation),
+        c AS (SELECT customer.*, coalesce(n.gone, false) AS gone FROM customer LEFT JOIN n ON c_nationkey = n_nationkey),
+        s AS (SELECT supplier.*, coalesce(n.gone, false) AS gone FROM supplier LEFT JOIN n ON s_nationkey = n_nationkey),
+        o AS (SELECT orders.*, coalesce(c.gone, false) AS gone FROM orders LEFT JOIN c ON o_custkey = c_custkey),
+        l AS (SELECT coalesce(o.gone, false) OR coalesce(s.gone, false) AS gone
+              FROM lineitem LEFT JOIN o ON l_orderkey = o_orderkey LEFT JOIN s ON l_suppkey = s_suppkey),
+        a AS (SELECT 'nation' AS table_name, gone FROM n UNION ALL SELECT 'customer', gone FROM c UNION ALL SELECT 'supplier', gone FROM s
+              UNION ALL SELECT 'orders', gone FROM o UNION ALL SELECT 'lineitem', gone FROM l)
+        SELECT table_name, 'kept' AS state, count(*) FILTER (NOT gone) AS n FROM a GROUP BY 1
+        UNION ALL SELECT table_name, 'gone', count(*) FILTER (gone) FROM a GROUP BY 1
+    """,
+    "kept_up_orders": """
+        SELECT o_custkey, count(*) AS n_rows,
+               CAST(sum(CASE WHEN o_orderstatus = 'P' AND o_orderkey % 3 = 0 AND o_orderkey % 10 <> 0 THEN 2 ELSE 1 END
+                        * CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS sum_price,
+               max(o_orderdate) AS max_day
+        FROM orders WHERE o_orderkey % 10 = 0 OR o_orderstatus <> 'F' GROUP BY o_custkey
+    """,
 }

@@ -15,11 +15,12 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Tim
 from tallyframe.functions.ordering import sort_keys
 from tallyframe.functions.periods import in_quarter_of, plus_days, since
 from tallyframe.functions.text import joined_label, mail_domain, readable_size, tagged
-from tallyframe.operators import changes, joins, maintenance, policy, quality
+from tallyframe.operators import cascade, changes, joins, maintenance, policy, quality, upkeep
 from tallyframe.operators.numbering import number_rows
 from tallyframe.operators.rollup import Hop, Measure, roll_up
 from tallyframe.plans import film_rental, loads, reports
 from tallyframe.session import scratch_path
+from tallyframe.sources import partitions
 from tallyframe.sources.definitions import ColumnDef, ForeignKey, TableDef, after, after_day, differ, one_of
 from tallyframe.sources.tables import Tables, append_rows, create_table, publish_view, tagged_numbers
 
@@ -1052,3 +1053,65 @@ def date_expressions(t: Tables) -> DataFrame:
         plus_days(F.col("o_orderdate"), F.lit(7)).alias("due"),
         F.col("o_orderdate").cast("date").alias("order_day"),
     )
+
+
+# --- partitioned payments, deletes along foreign keys, reports kept up by changes ---
+
+
+@query
+def monthly_payments(t: Tables) -> DataFrame:
+    """Revenue per month of a quarter from a table by month, after one month was loaded again, twice, with the prices less their discounts."""
+    lines = t["lineitem"].select("l_orderkey", "l_linenumber", "l_shipdate", money("l_extendedprice").alias("amount"), money("l_discount").alias("discount"))
+    path = scratch_path(t.spark, "payments")
+    partitions.create_by_month(lines, path, "l_shipdate")
+    first, second = dt.date(1997, 2, 1), dt.date(1997, 3, 1)
+    batch = lines.filter((F.col("l_shipdate") >= F.lit(first)) & (F.col("l_shipdate") < F.lit(second)))
+    batch = batch.withColumn("amount", (F.col("amount") * (1 - F.col("discount"))).cast("decimal(18,2)"))
+    for _ in range(2):
+        partitions.reload_months(batch, path, "l_shipdate")
+    paid = partitions.read_by_month(t.spark, path).filter(partitions.within("l_shipdate", dt.date(1997, 1, 1), dt.date(1997, 4, 1)))
+    return paid.groupBy(F.date_format("month", "yyyy-MM").alias("month")).agg(F.count("*").alias("n"), F.sum("amount").cast("decimal(38,2)").alias("revenue"))
+
+
+def _order_graph() -> list[TableDef]:
+    """The keys of the order tables; lines hang on orders and on suppliers."""
+    long = lambda *names: tuple(ColumnDef(name, LongType()) for name in names)
+    return [
+        TableDef("lineitem", long("l_orderkey", "l_suppkey"), foreign_keys=(ForeignKey(("l_orderkey",), "orders", ("o_orderkey",)), ForeignKey(("l_suppkey",), "supplier", ("s_suppkey",)))),
+        TableDef("orders", long("o_orderkey", "o_custkey"), ("o_orderkey",), foreign_keys=(ForeignKey(("o_custkey",), "customer", ("c_custkey",)),)),
+        TableDef("customer", long("c_custkey", "c_nationkey"), ("c_custkey",), foreign_keys=(ForeignKey(("c_nationkey",), "nation", ("n_nationkey",)),)),
+        TableDef("supplier", long("s_suppkey", "s_nationkey"), ("s_suppkey",), foreign_keys=(ForeignKey(("s_nationkey",), "nation", ("n_nationkey",)),)),
+        TableDef("nation", long("n_nationkey"), ("n_nationkey",)),
+    ]
+
+
+@query
+def delete_cascade(t: Tables) -> DataFrame:
+    """What is kept and removed of each table when one nation goes, with its customers, suppliers, their orders and lines."""
+    keys = t["nation"].filter(F.col("n_name") == "NATION_5").select("n_nationkey")
+    changed = cascade.delete_cascade(t, _order_graph(), "nation", keys)
+    out = None
+    for name, change in changed.items():
+        for state, rows in (("kept", change.table), ("gone", change.rows)):
+            part = rows.agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), F.lit(state).alias("state"), "n")
+            out = part if out is None else out.union(part)
+    return out
+
+
+@query
+def kept_up_orders(t: Tables) -> DataFrame:
+    """Count, sum and latest date of orders per customer, brought from a state before three changes to the one after them."""
+    orders = t["orders"].select("o_orderkey", "o_custkey", money("o_totalprice").alias("price"), F.col("o_orderdate").alias("day"), "o_orderstatus")
+    late = F.col("o_orderkey") % 10 == 0
+    before = orders.filter(~late)
+    gone = before.filter(F.col("o_orderstatus") == "F")
+    old = before.filter((F.col("o_orderstatus") == "P") & (F.col("o_orderkey") % 3 == 0))
+    new = old.withColumn("price", F.col("price") * 2)
+    new = new.withColumn("price", F.col("price").cast("decimal(18,2)"))
+    # The table after the changes; only customers that lost their latest order are looked up in it.
+    after = before.filter((F.col("o_orderstatus") != "F")).union(orders.filter(late))
+    report = upkeep.Kept(("o_custkey",), sums=("price",), largest=("day",))
+    path = scratch_path(t.spark, "state")
+    state = create_table(report.state(before), path)
+    kept = report.apply(state, orders.filter(late).union(new), gone.union(old), after)
+    return kept.select("o_custkey", "n_rows", total("sum_price"), "max_day")
