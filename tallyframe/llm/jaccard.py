@@ -25,6 +25,7 @@ N-grams are 56-bit hashes: two different ones of a pair of documents count as on
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -355,7 +356,8 @@ class Join:
             self.counts[k * _SLICE : (k + 1) * _SLICE] = np.frombuffer(counts, np.int64)
         self.level = levels_of(self.counts)
         self.pivots = pivots_of(self.counts, self.level, FRAGMENTS)
-        self.sets: DataFrame | None = None
+        self.sets: list[DataFrame] = []
+        self.tables: list[str] = []
         self.has: DataFrame | None = None
 
     def write_shared(self) -> DataFrame:
@@ -380,18 +382,35 @@ class Join:
             wanted.view("<u4")[word] = found
         size, level, pivots = self.size, self.level, self.pivots
         segments = self.texts.mapInArrow(lean(lambda batches: _segments(batches, size, level, pivots, wanted)), "node long, fragment int, keys binary")
-        segments = segments.join(nodes, "node", "left_semi")  # the filter lets a few others through
+        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        segments = segments.repartition(parts, "node").join(nodes, "node", "left_semi")  # the filter lets a few others through
         # Copies of a document in several chunks give a segment several times; one is kept.
-        segments.groupBy("node", "fragment").agg(F.first("keys").alias("keys")).write.parquet(f"{self.path}/sets-{name}")
-        return self.spark.read.parquet(f"{self.path}/sets-{name}")
+        sets = segments.groupBy("node", "fragment").agg(F.first("keys").alias("keys"))
+        # In buckets of nodes: joins bring the nodes that they ask for to the sets, and never shuffle all sets again.
+        table = f"sets_{uuid.uuid4().hex}"
+        sets.write.bucketBy(parts, "node").option("path", f"{self.path}/sets-{name}").saveAsTable(table)
+        self.tables.append(table)
+        return self.spark.table(table)
+
+    def with_sets(self, wished: DataFrame, node: str) -> DataFrame:
+        """Rows with the fragments of the sets of the nodes they name."""
+        parts = [wished.join(sets.withColumnRenamed("node", node), node) for sets in self.sets]
+        out = parts[0]
+        for more in parts[1:]:
+            out = out.unionByName(more)
+        return out
+
+    def forget_tables(self) -> None:
+        """Their names go; the files stay below the shared path."""
+        for table in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
 
     def need_sets(self, nodes: DataFrame, name: str) -> None:
-        missing = nodes if self.sets is None else nodes.join(self.has, "node", "left_anti")
-        if self.sets is not None and missing.isEmpty():
+        missing = nodes if self.has is None else nodes.join(self.has, "node", "left_anti")
+        if self.has is not None and missing.isEmpty():
             return
-        more = self.write_sets(missing, name)
+        self.sets.append(self.write_sets(missing, name))
         has = self.spark.read.parquet(f"{self.path}/wanted-{name}")
-        self.sets = more if self.sets is None else self.sets.union(more)
         self.has = has if self.has is None else self.has.union(has)
 
     def links(self, pairs: DataFrame, name: str) -> DataFrame:
@@ -402,9 +421,8 @@ class Join:
         groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP_ROWS).alias("groups"))
         dealt = pairs.select("a", "b").join(groups, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("groups")))
         dealt.select("a", "salt", "b").union(dealt.select("a", "salt", F.col("a").alias("b")).distinct()).write.parquet(f"{self.path}/wished-{name}")
-        # Written, so that Spark knows the size: the sets of few nodes are found without a shuffle of all sets.
         wished = self.spark.read.parquet(f"{self.path}/wished-{name}")
-        placed = wished.join(self.sets, wished["b"] == self.sets["node"]).select("a", "salt", "fragment", "b", "keys")
+        placed = self.with_sets(wished, "b").select("a", "salt", "fragment", "b", "keys")
         place = ["a", "salt", "fragment"]
         sorted_ = placed.repartition(*place).sortWithinPartitions(*place, F.col("a") != F.col("b"))
         partial = sorted_.mapInArrow(lean(_overlaps), "a long, b long, overlap long")
@@ -437,7 +455,7 @@ class Join:
         above = least.select("token", (F.col("class") - 1).alias("class"), F.col("first").alias("next"))
         steps = least.join(above, ["token", "class"]).where("first.root != next.root").select("first.node", "first.n", F.col("next").alias("first"))
         met = spread.union(steps).groupBy("node", "n", F.col("first.node").alias("other"), F.col("first.n").alias("other_n")).agg(F.count("*").alias("times"))
-        if self.sets is None:  # nodes of one component each: whoever meets another at all is here
+        if self.has is None:  # nodes of one component each: whoever meets another at all is here
             met.write.parquet(f"{self.path}/met")
             met = self.spark.read.parquet(f"{self.path}/met")
             self.need_sets(met.select("node").union(met.select("other")), "first")
@@ -477,7 +495,7 @@ class Join:
         wished.write.parquet(f"{path}/wished-across")
         wished = self.spark.read.parquet(f"{path}/wished-across")
         place = ["root", "block", "salt", "fragment"]
-        dealt = wished.join(self.sets, "node").repartition(*place).sortWithinPartitions(*place, F.col("seat").isNull())
+        dealt = self.with_sets(wished, "node").repartition(*place).sortWithinPartitions(*place, F.col("seat").isNull())
         partial = dealt.select(*place, "node", "seat", "keys").mapInArrow(lean(_block_overlaps), "node long, root long, block long, counts binary")
         lists = members.groupBy("root", "block").agg(F.transform(F.array_sort(F.collect_list(F.struct("seat", "node", "n"))), lambda m: F.struct(m["node"].alias("node"), m["n"].alias("n"))).alias("members"))
         whole = partial.join(met, ["node", "root", "block"]).join(lists, ["root", "block"]).select("node", "n", "root", "block", "counts", "members")
@@ -538,6 +556,7 @@ def join(documents: DataFrame, size: int = 4, percent: int = 85, key: str = "doc
             if not across:
                 mixed = work.mixed(mixed, roots, str(turn))
         turn += 1
+    work.forget_tables()
     if not found:
         nothing = work.spark.createDataFrame([], "a long, b long, overlap long, na long, nb long")
         return work.members, nothing, work.spark.createDataFrame([], "node long, root long")
