@@ -13,7 +13,7 @@ Tokens are the words of a text (``words.SPACED``) and one end; the first token's
    are summed. So the number of parts changes nothing but the order of sums.
 
 The weight of h is (1 - sum of seen probabilities) / (1 - sum of the unigram probabilities of the seen words), so each history's probabilities sum
-to 1. If a history's seen words are not discounted, N(h) + 1 stands for N(h). Unigrams: every word of the vocabulary has
+to 1. If none of a history's seen words is discounted, N(h) + 1 stands for N(h), split or not. Unigrams: every word of the vocabulary has
 c / (N + 1), listed or not, and one unseen word what is left.
 
 Cases: NULL and empty texts have the end as their only token. Without training texts N and V are 0, nothing is known, and every token has
@@ -22,6 +22,7 @@ the unseen word's probability 1. Repeated rows count and score by themselves. A
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,6 +39,10 @@ from tallyframe.session import scratch_path
 LISTED = 1 << 17
 PART_TOKENS = 2_000_000
 CHUNK = 4 << 20
+#: Words outside the list that are told from one place; a part gets at most a row from each place.
+SLOT_WORDS = 1 << 18
+#: Files of the held parts; with more parts than these a file has several.
+MOST_BUCKETS = 20_000
 TOP_R = 5
 #: A Good-Turing discount outside these is held at them; where counts of counts are missing there is none.
 LEAST_DISCOUNT = 0.05
@@ -127,7 +132,6 @@ class Unigrams:
     counts: np.ndarray
     texts: int
     split_at: int
-    capped: bool = False
 
     @property
     def whole(self) -> bool:
@@ -136,11 +140,8 @@ class Unigrams:
 
     @property
     def rare(self) -> float:
-        """The probability of a word with none of its own: that of one unseen word, or with ``capped`` an even share of what the list leaves."""
-        if not self.capped:
-            return 1 / (self.tokens + 1)
-        left = (self.tokens - int(self.counts.sum()) + 1) / (self.tokens + 1)
-        return left / (self.vocabulary - len(self.words) + 1)
+        """The probability of one unseen word."""
+        return 1 / (self.tokens + 1)
 
     def find(self, words: np.ndarray) -> np.ndarray:
         """Places of words in the list, -1 for others."""
@@ -189,7 +190,7 @@ def _share(history: np.ndarray, number: np.ndarray) -> np.ndarray:
         return mix(history + (number + np.uint64(1)) * _STEP)
 
 
-def count_unigrams(rows: DataFrame, path: str, parts: int, most: int, split_at: int, capped: bool) -> Unigrams:
+def count_unigrams(rows: DataFrame, path: str, parts: int, most: int, split_at: int) -> Unigrams:
     counted = rows.select("text", "train").mapInArrow(lambda batches: _count(batches, parts), "part long, words binary, counts binary")
     counted.repartition(parts, "part").mapInArrow(_sum_counts, "word long, n long").write.parquet(f"{path}/unigrams")
     table = rows.sparkSession.read.parquet(f"{path}/unigrams")
@@ -207,7 +208,7 @@ def count_unigrams(rows: DataFrame, path: str, parts: int, most: int, split_at:
     words, counts = np.array([r["word"] for r in listed], np.int64).view(np.uint64), np.array([r["n"] for r in listed], np.int64)
     order = np.argsort(words)
     texts = rows.where("train").count()
-    return Unigrams(tokens, vocabulary, words[order], counts[order], texts, split_at, capped)
+    return Unigrams(tokens, vocabulary, words[order], counts[order], texts, split_at)
 
 
 def _deal(batches: Iterator[pa.RecordBatch], unigrams: Unigrams, parts: int, key_type: pa.DataType) -> Iterator[pa.RecordBatch]:
@@ -232,7 +233,7 @@ def _deal(batches: Iterator[pa.RecordBatch], unigrams: Unigrams, parts: int, key
             base = np.bincount(tokens.doc, weights=np.where(listed, base_of[place[word]] if len(base_of) else 0.0, 0.0), minlength=texts)
             known = np.bincount(tokens.doc, weights=listed, minlength=texts)
             many = np.bincount(tokens.doc, minlength=texts)
-            head = [-1, chunk, texts, keys.slice(row, texts).to_pylist(), bits, b"", many.astype("<i8").tobytes(), b"", base.astype("<f8").tobytes(), known.astype("<i8").tobytes(), b""]
+            head = [-1 - chunk, chunk, texts, keys.slice(row, texts).to_pylist(), bits, b"", many.astype("<i8").tobytes(), b"", base.astype("<f8").tobytes(), known.astype("<i8").tobytes(), b""]
             splits = np.zeros(len(vocabulary), np.int64)
             for one, _, number in unigrams.histories():
                 at = np.searchsorted(vocabulary, np.uint64(one))
@@ -293,11 +294,11 @@ def _by_slot(words: np.ndarray, counts: np.ndarray, part: int, slots: int) -> pa
 
 
 def _asked(batches: Iterator[pa.RecordBatch], slots: int) -> Iterator[pa.RecordBatch]:
-    """The words outside the list that each part has to know."""
+    """The words outside the list that each part has to know: a part asks once, at most one row for each slot."""
     for batch in batches:
-        for row in batch.to_pylist():
-            words = np.unique(_unpack(row["others"], "<u8"))
-            yield _by_slot(words, np.zeros(len(words), np.int64), row["part"], slots)
+        for part, others in zip(batch.column("part").to_pylist(), batch.column("others").to_pylist(), strict=True):
+            words = np.cumsum(_unpack(others, "<u8"), dtype=np.uint64)
+            yield _by_slot(words, np.zeros(len(words), np.int64), part, slots)
 
 
 def _unlisted(batches: Iterator[pa.RecordBatch], unigrams: Unigrams, slots: int) -> Iterator[pa.RecordBatch]:
@@ -338,8 +339,8 @@ def _tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _told(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
-    """(words in order, counts) of the rows without texts, which ``_tell`` made."""
-    told = [(np.cumsum(_unpack(row["words"], "<u8"), dtype=np.uint64), _unpack(row["many"], "<u8")) for row in rows if row["texts"] is None]
+    """(words in order, counts) of the rows that ``_tell`` made for a part."""
+    told = [(np.cumsum(_unpack(row["words"], "<u8"), dtype=np.uint64), _unpack(row["counts"], "<u8")) for row in rows]
     if not told:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     words, counts = (np.concatenate(x) for x in zip(*told, strict=True))
@@ -364,22 +365,33 @@ def discounts(classes: np.ndarray) -> np.ndarray:
     return np.clip(out, LEAST_DISCOUNT, 1.0)
 
 
-def _hold(batches: Iterator[pa.RecordBatch], unigrams: Unigrams, rows_type: pa.DataType) -> Iterator[pa.RecordBatch]:
-    """One row for each part, which no later task divides: its counts of counts and its rows. Heads pass by themselves."""
+def _hold(batches: Iterator[pa.RecordBatch], unigrams: Unigrams, rows_type: pa.DataType, ordered: bool) -> Iterator[pa.RecordBatch]:
+    """One row for each part, which no later task divides: its counts of counts, its words outside the list and its rows. Heads pass by themselves.
+
+    With ``ordered`` the rows of a part come one after another, and only one part is held at a time.
+    """
+    names = ["part", "classes", "others", "rows"]
+
+    def out(part: int, classes: np.ndarray, others: np.ndarray, rows: list[dict]) -> pa.RecordBatch:
+        packed = _pack(np.diff(others, prepend=np.uint64(0)), "<u8")
+        return pa.RecordBatch.from_arrays([pa.array([part]), pa.array([classes.tolist()], pa.list_(pa.int64())), pa.array([packed]), pa.array([rows], rows_type)], names=names)
 
-    def out(part: int, classes: np.ndarray, rows: list[dict]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([part]), pa.array([classes.tolist()], pa.list_(pa.int64())), pa.array([rows], rows_type)], names=["part", "classes", "rows"])
+    def whole(part: int, rows: list[dict]) -> pa.RecordBatch:
+        others = np.unique(np.concatenate([_unpack(row["others"], "<u8") for row in rows]))
+        return out(part, classes_of(_bigrams(rows, unigrams).counts), others, rows)
 
     held: dict[int, list[dict]] = {}
     for batch in batches:
         for row in batch.to_pylist():
-            if row["part"] < 0:
-                yield out(-1, np.zeros(TOP_R + 3, np.int64), [row])
-            else:
-                held.setdefault(row["part"], []).append(row)
+            part = row["part"]
+            if part < 0:
+                yield out(part, np.zeros(TOP_R + 3, np.int64), np.zeros(0, np.uint64), [row])
+                continue
+            if ordered and held and part not in held:
+                yield whole(*held.popitem())
+            held.setdefault(part, []).append(row)
     while held:
-        part, rows = held.popitem()
-        yield out(part, classes_of(_bigrams([row for row in rows if row["texts"] is not None], unigrams).counts), rows)
+        yield whole(*held.popitem())
 
 
 def _evaluate(batches: Iterator[pa.RecordBatch], unigrams: Unigrams, discount: np.ndarray, key_type: pa.DataType) -> Iterator[pa.RecordBatch]:
@@ -390,7 +402,12 @@ def _evaluate(batches: Iterator[pa.RecordBatch], unigrams: Unigrams, discount: n
                 heads = [("head", row["chunk"], row["keys"], row["train"], row["sizes"], row["others"], row["many"], None, None) for row in rows]
                 yield _sums(heads, key_type)
             else:
-                yield _sums(_part(rows, unigrams, discount), key_type)
+                yield _sums(_part(rows, _told(batch.column("told")[k].as_py() or []), unigrams, discount), key_type)
+
+
+def denominator(total: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """N(h), or one more event for what was not seen if none of the history's bigrams is discounted."""
+    return total + np.where(used > total - 1e-9, 1.0, 0.0)
 
 
 def _sums(rows: list[tuple], key_type: pa.DataType) -> pa.RecordBatch:
@@ -437,10 +454,8 @@ def _bigrams(rows: list[dict], unigrams: Unigrams) -> Bigrams:
     return Bigrams(history[first], word[first], counts, which, np.concatenate(many), ends, docs)
 
 
-def _part(rows: list[dict], unigrams: Unigrams, discount: np.ndarray) -> list[tuple]:
-    """The sums of one part's tokens."""
-    told = _told(rows)
-    rows = [row for row in rows if row["texts"] is not None]
+def _part(rows: list[dict], told: tuple[np.ndarray, np.ndarray], unigrams: Unigrams, discount: np.ndarray) -> list[tuple]:
+    """The sums of one part's tokens; ``told`` has the counts of its words outside the list."""
     bigrams = _bigrams(rows, unigrams)
     counts, which, many_all, ends, docs = bigrams.counts, bigrams.which, bigrams.many, bigrams.ends, bigrams.docs
     own, owner = np.unique(bigrams.history, return_inverse=True)  # histories, and that of each bigram
@@ -455,14 +470,15 @@ def _part(rows: list[dict], unigrams: Unigrams, discount: np.ndarray) -> list[tu
     backoff = unigrams.looked_up(bigrams.word, told)
     mass = np.where(seen, counts * discount[np.minimum(counts, TOP_R + 1)], 0.0)
     used, covered = np.bincount(owner, weights=mass, minlength=len(own)), np.bincount(owner, weights=np.where(seen, backoff, 0.0), minlength=len(own))
-    # Undiscounted histories keep one more event for what was not seen; split ones always do, so that parts agree.
-    base = total + np.where(split | (used > total - 1e-9), 1.0, 0.0)
+    # A split history's denominator and weight need the sums of all its parts, and are applied in the end.
+    base = denominator(total, used)
     with np.errstate(divide="ignore", invalid="ignore"):
         weight = np.where(total > 0, (1 - used / base) / (1 - covered), 1.0)
-        value = np.where(seen, np.log10(mass) - np.log10(base[owner]), np.log10(backoff) + np.where(split[owner], 0.0, np.log10(weight[owner])))
+        ready = ~split[owner]
+        value = np.where(seen, np.log10(mass) - np.where(ready, np.log10(base[owner]), 0.0), np.log10(backoff) + np.where(ready, np.log10(weight[owner]), 0.0))
     # A history that is not listed and not the start is a word whose whole count is here.
     free = (unigrams.find(own) < 0) & ~split & (own != START)
-    later = split[owner] & ~seen
+    later = split[owner]
     out = []
     begin = 0
     for row, end, doc in zip(rows, ends, docs, strict=True):
@@ -476,10 +492,10 @@ def _part(rows: list[dict], unigrams: Unigrams, discount: np.ndarray) -> list[tu
         out.append(("sum", row["chunk"], None, _pack(present, "<u4"), score.astype("<f8").tobytes(), words_base.astype("<f8").tobytes(), words_known.astype("<i8").tobytes(), None, None))
         wait = np.flatnonzero(later[bigram])
         if len(wait):
-            cells, times = np.unique(doc[wait] << 32 | places[at[histories[wait]]], return_counts=True)
+            cells, times = np.unique(doc[wait] << 32 | 2 * places[at[histories[wait]]] | seen[bigram[wait]], return_counts=True)
             out.append(("later", row["chunk"], None, _pack(cells >> 32, "<u4"), _pack(cells & 0xFFFFFFFF, "<u4"), _pack(times, "<u4"), None, None, None))
     for k in np.flatnonzero(split):
-        out.append(("history", int(places[at[k]]), None, None, None, None, None, float(used[k] / base[k]), float(covered[k])))
+        out.append(("history", int(places[at[k]]), None, None, None, None, None, float(used[k]), float(covered[k])))
     return out
 
 
@@ -517,12 +533,11 @@ def _finish(batches: Iterator[pa.RecordBatch], weights: np.ndarray, unigrams: Un
         )
 
 
-def score(documents: DataFrame, train: Column, key: str = "doc_id", text: str = "text", parts: int | None = None, listed: int | None = None, part_tokens: int = PART_TOKENS, shortcut: int = LISTED) -> tuple[DataFrame, Unigrams]:
+def score(documents: DataFrame, train: Column, key: str = "doc_id", text: str = "text", parts: int | None = None, part_tokens: int = PART_TOKENS, shortcut: int = LISTED) -> tuple[DataFrame, Unigrams]:
     """(key, n_tokens, n_known, base_score, score) of every text, and the unigram totals; ``train`` tells the texts to learn from.
 
     ``parts`` is the number of n-gram partitions, by default one for ``PART_TOKENS`` tokens. Every word of the vocabulary has its own unigram probability;
-    those of the ``shortcut`` most frequent words are in all tasks, the others are dealt to the parts that need them. With ``listed`` the model itself
-    is capped: only so many words have a probability of their own.
+    those of the ``shortcut`` most frequent words are in all tasks, the others are dealt to the parts that need them.
     """
     spark = documents.sparkSession
     path = scratch_path(spark, "katz")
@@ -531,29 +546,43 @@ def score(documents: DataFrame, train: Column, key: str = "doc_id", text: str =
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     if parts is None:  # a token takes about three characters
         parts = max(1, -(-(rows.agg(F.sum(F.length("text"))).first()[0] or 0) // (3 * part_tokens)))
-    unigrams = count_unigrams(rows, path, parts, min(shortcut if listed is None else listed, LISTED), max(1, part_tokens // 4), listed is not None)
+    unigrams = count_unigrams(rows, path, parts, min(shortcut, LISTED), max(1, part_tokens // 4))
     schema = f"part long, chunk long, texts long, keys array<{kind}>, train binary, histories binary, sizes binary, words binary, others binary, many binary, docs binary"
     dealt = rows.mapInArrow(lambda batches: _deal(batches, unigrams, parts, key_type), schema)
-    place = F.when(F.col("part") < 0, F.col("chunk")).otherwise(F.col("part"))
-    schema = f"kind string, chunk long, keys array<{kind}>, one binary, two binary, three binary, four binary, seen double, covered double"
-    if not (unigrams.capped or unigrams.whole):
-        packed = "slot long, part long, words binary, counts binary"
-        asked = dealt.where("part >= 0").select("part", "others").mapInArrow(lambda batches: _asked(batches, parts), packed)
-        counted = spark.read.parquet(f"{path}/unigrams").mapInArrow(lambda batches: _unlisted(batches, unigrams, parts), packed)
-        told = asked.union(counted).repartition(parts, "slot").mapInArrow(_tell, "part long, words binary, counts binary")
-        told = told.withColumnRenamed("counts", "many")
-        dealt = dealt.unionByName(told, allowMissingColumns=True)
-    held_rows = F.struct(*dealt.columns).alias("row")
-    held_type = to_arrow_type(dealt.select(F.array(held_rows)).schema[0].dataType)
-    held = dealt.repartition(parts, place).mapInArrow(lambda batches: _hold(batches, unigrams, held_type), f"part long, classes array<long>, rows array<{dealt.select(held_rows).dtypes[0][1]}>")
-    held.write.option("compression", "none").parquet(f"{path}/held")
-    held = spark.read.parquet(f"{path}/held")
-    summed = held.agg(*(F.sum(F.col("classes")[k]) for k in range(TOP_R + 3))).first()
-    discount = discounts(np.array([n or 0 for n in summed]))
-    held.select("part", "rows").mapInArrow(lambda batches: _evaluate(batches, unigrams, discount, key_type), schema).write.parquet(f"{path}/sums")
+    buckets = min(parts, MOST_BUCKETS)
+    together, ordered = dealt.repartition(buckets, "part"), parts > buckets
+    if ordered:
+        together = together.sortWithinPartitions("part")
+    row = F.struct(*dealt.columns).alias("row")
+    row_type = dealt.select(row).dtypes[0][1]
+    held_type = to_arrow_type(dealt.select(F.array(row)).schema[0].dataType)
+    # Written once, in buckets of parts, so that what a part is told comes to it and its rows are not shuffled again.
+    table = f"held_{uuid.uuid4().hex}"
+    held = together.mapInArrow(lambda batches: _hold(batches, unigrams, held_type, ordered), f"part long, classes array<long>, others binary, rows array<{row_type}>")
+    held.write.bucketBy(buckets, "part").option("compression", "none").option("path", f"{path}/held").saveAsTable(table)
+    try:
+        held = spark.table(table)
+        summed = held.agg(*(F.sum(F.col("classes")[k]) for k in range(TOP_R + 3))).first()
+        discount = discounts(np.array([n or 0 for n in summed]))
+        told = spark.createDataFrame([], "part long, told array<struct<words: binary, counts: binary>>")
+        if not unigrams.whole:
+            slots = max(1, -(-(unigrams.vocabulary - len(unigrams.words)) // SLOT_WORDS))
+            packed = "slot long, part long, words binary, counts binary"
+            asked = held.where("part >= 0").select("part", "others").mapInArrow(lambda batches: _asked(batches, slots), packed)
+            counted = spark.read.parquet(f"{path}/unigrams").mapInArrow(lambda batches: _unlisted(batches, unigrams, slots), packed)
+            answers = asked.union(counted).repartition(slots, "slot").mapInArrow(_tell, "part long, words binary, counts binary")
+            told = answers.groupBy("part").agg(F.collect_list(F.struct("words", "counts")).alias("told"))
+        schema = f"kind string, chunk long, keys array<{kind}>, one binary, two binary, three binary, four binary, seen double, covered double"
+        evaluated = held.select("part", "rows").join(told.hint("shuffle_hash"), "part", "left")
+        evaluated.select("part", "rows", "told").mapInArrow(lambda batches: _evaluate(batches, unigrams, discount, key_type), schema).write.parquet(f"{path}/sums")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
     sums = spark.read.parquet(f"{path}/sums")
-    weights = np.ones(len(unigrams.histories()))
-    for place, seen, covered in sums.where("kind = 'history'").groupBy("chunk").agg(F.sum("seen"), F.sum("covered")).collect():
-        weights[place] = (1 - seen) / (1 - covered)
+    # Of each split history the weight of its unseen bigrams and the factor of its seen ones.
+    split = unigrams.histories()
+    weights = np.ones(2 * len(split))
+    for place, used, covered in sums.where("kind = 'history'").groupBy("chunk").agg(F.sum("seen"), F.sum("covered")).collect():
+        base = float(denominator(np.float64(split[place][1]), np.float64(used)))
+        weights[2 * place : 2 * place + 2] = (1 - used / base) / (1 - covered), 1 / base
     schema = f"key {kind}, n_tokens long, n_known long, base_score double, score double"
     return sums.where("kind <> 'history'").repartition("chunk").mapInArrow(lambda batches: _finish(batches, weights, unigrams, key_type), schema), unigrams

@@ -7,12 +7,12 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tallyframe.llm import katz, language, personal
 from tallyframe.llm.queries import op1_language, op4_personal_data
-from tallyframe.llm.words import SPACED, words_of
 from tests.conftest import bag
 
 FOLDER = "/root/testdata/sf0.001"
@@ -138,7 +138,7 @@ def tokens(text):
     return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) + ["</s>"]
 
 
-def brute_katz(docs, train, listed, split):
+def brute_katz(docs, train, listed):
     uni, bi, total = Counter(), Counter(), Counter()
     for key, text in docs:
         if train(key):
@@ -158,7 +158,7 @@ def brute_katz(docs, train, listed, split):
     for (h, w), c in bi.items():
         used[h] += c * d.get(c, 1)
         covered[h] += probability(w)
-    bases = {h: c + (used[h] > c - 1e-9 or c > split) for h, c in total.items()}
+    bases = {h: c + (used[h] > c - 1e-9) for h, c in total.items()}
 
     def p(h, w):
         if bi[h, w]:
@@ -176,22 +176,19 @@ def brute_katz(docs, train, listed, split):
     return out
 
 
-@pytest.mark.parametrize("listed,part_tokens", [(katz.LISTED, katz.PART_TOKENS), (150, 2000)])
-def test_katz_scores_equal_brute_force(spark, listed, part_tokens):
+@pytest.mark.parametrize("shortcut,part_tokens", [(katz.LISTED, katz.PART_TOKENS), (150, 2000)])
+def test_katz_scores_equal_brute_force(spark, shortcut, part_tokens):
     frame = spark.read.parquet(f"{FOLDER}/documents.parquet").where("doc_id < 60").select("doc_id", "text", F.lit(1).alias("score"))
     extra = spark.createDataFrame([(1000, None, 1), (1001, "", 1), (1002, "the " * 3000, 1), (1002, "the " * 3000, 1), (1003, "漢 the\tX", 1)], "doc_id long, text string, score int")
     frame = frame.union(extra)
     docs = [(r.doc_id, r.text) for r in frame.collect()]
     train = lambda k: zlib.crc32(str(k).encode()) % 7 != 2
-    scored, unigrams = katz.score(frame, ~language.held_out(F.col("doc_id"), 7, 2), parts=1, listed=listed, part_tokens=part_tokens)
-    words = sorted({w for k, t in docs if train(k) for w in tokens(t)} - {"</s>"})
-    data = np.frombuffer("\n".join(words).encode(), np.uint8)
-    names = dict(zip(words_of(data, np.array([0, len(data)]), SPACED).hashes.tolist(), words, strict=True)) | {int(katz.END): "</s>"}
-    want = brute_katz(docs, train, {names[int(w)] for w in unigrams.words}, part_tokens // 4)
+    scored, unigrams = katz.score(frame, ~language.held_out(F.col("doc_id"), 7, 2), parts=1, shortcut=shortcut, part_tokens=part_tokens)
+    want = brute_katz(docs, train, {w for k, t in docs if train(k) for w in tokens(t)})
     rounded = lambda rows: sorted((k, a, b, round(c, 6), round(d, 6)) for k, a, b, c, d in rows)
     assert rounded(bag(scored)) == rounded(want)
     assert bool(unigrams.histories()) == (part_tokens < 10_000)
-    spread, _ = katz.score(frame, ~language.held_out(F.col("doc_id"), 7, 2), parts=3, listed=listed, part_tokens=part_tokens)
+    spread, _ = katz.score(frame, ~language.held_out(F.col("doc_id"), 7, 2), parts=3, shortcut=shortcut, part_tokens=part_tokens)
     assert [x[:4] for x in rounded(bag(spread))] == [x[:4] for x in rounded(want)]
 
 
@@ -202,10 +199,10 @@ def test_katz_without_training_or_rows(spark, documents):
     assert katz.score(rows.limit(0), F.lit(True))[0].count() == 0
 
 
-@pytest.mark.parametrize("listed", [katz.LISTED, 150])
-def test_katz_scores_do_not_depend_on_parts(spark, listed):
+@pytest.mark.parametrize("shortcut", [katz.LISTED, 150])
+def test_katz_scores_do_not_depend_on_parts(spark, shortcut):
     frame = spark.read.parquet(f"{FOLDER}/documents.parquet").where("doc_id < 60").select("doc_id", "text")
-    one, many = ({r.key: r.score for r in katz.score(frame, F.col("doc_id") % 7 > 0, parts=n, listed=listed, part_tokens=2000)[0].collect()} for n in (1, 7))
+    one, many = ({r.key: r.score for r in katz.score(frame, F.col("doc_id") % 7 > 0, parts=n, shortcut=shortcut, part_tokens=2000)[0].collect()} for n in (1, 7))
     assert one.keys() == many.keys() and all(abs(one[k] - many[k]) < 1e-6 for k in one)
 
 
@@ -215,7 +212,7 @@ def test_katz_words_outside_the_list_keep_their_counts(spark):
     docs = [(r.doc_id, r.text) for r in frame.collect()]
     train = lambda k: k % 7 > 0
     words = {w for k, t in docs if train(k) for w in tokens(t)}
-    want = {row[0]: row[4] for row in brute_katz(docs, train, words, 500)}
+    want = {row[0]: row[4] for row in brute_katz(docs, train, words)}
     for shortcut, parts in ((150, 1), (150, 5), (katz.LISTED, 2)):
         scored, unigrams = katz.score(frame, F.col("doc_id") % 7 > 0, parts=parts, part_tokens=2000, shortcut=shortcut)
         got = {r.key: r.score for r in scored.collect()}
@@ -223,6 +220,33 @@ def test_katz_words_outside_the_list_keep_their_counts(spark):
         assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)
 
 
+def test_katz_rows_between_parts_grow_as_the_words_asked_for():
+    """A part asks once: its rows are bounded by the slots, and slots by the vocabulary, whatever the number of chunks."""
+    unigrams = katz.Unigrams(10, 10, np.zeros(0, np.uint64), np.zeros(0, np.int64), 0, 1 << 30)
+    data = np.frombuffer(" ".join(f"w{k}" for k in range(2000)).encode(), np.uint8)
+    for chunks in (1, 8):
+        texts = pa.RecordBatch.from_pydict({"key": [0], "train": [True], "text": [data.tobytes().decode()]})
+        rows = [row for _ in range(chunks) for batch in katz._deal(iter([texts]), unigrams, 4, pa.int64()) for row in batch.to_pylist()]
+        dealt = pa.RecordBatch.from_pylist(rows)
+        held = list(katz._hold(iter([dealt]), unigrams, pa.list_(pa.struct(dealt.schema)), False))
+        assert sum(batch.column("part")[0].as_py() >= 0 for batch in held) == 4
+        asked = [batch for b in held if b.column("part")[0].as_py() >= 0 for batch in katz._asked(iter([b]), 3)]
+        assert sum(batch.num_rows for batch in asked) == 12
+
+
+@pytest.mark.parametrize("buckets", [2, 20])
+def test_katz_with_more_parts_than_buckets(spark, monkeypatch, buckets):
+    monkeypatch.setattr(katz, "MOST_BUCKETS", buckets)
+    monkeypatch.setattr(katz, "SLOT_WORDS", 100)
+    frame = spark.read.parquet(f"{FOLDER}/documents.parquet").where("doc_id < 30").select("doc_id", "text")
+    docs = [(r.doc_id, r.text) for r in frame.collect()]
+    words = {w for k, t in docs if k % 7 > 0 for w in tokens(t)}
+    want = {row[0]: row[4] for row in brute_katz(docs, lambda k: k % 7 > 0, words)}
+    scored, _ = katz.score(frame, F.col("doc_id") % 7 > 0, parts=9, part_tokens=2000, shortcut=150)
+    got = {r.key: r.score for r in scored.collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)
+
+
 def test_evidence_reaches_all_repeats_and_documents_without_patterns(spark, documents):
     texts = [f"mail user{k}.x@mail.com or +1 555 {k:03d} 4567 now 10.0.0.{k}, again user{k}.x@mail.com or +1555{k:03d}4567 with {k} and {k} from 10.0.0.{k}, by 4111111111111111 or 4111111111111111" for k in range(60)]
     field = personal.learn(documents(*enumerate(texts)))
