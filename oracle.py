@@ -535,4 +535,63 @@ ORACLE = {
                max(o_orderdate) AS max_day
         FROM orders WHERE o_orderkey % 10 = 0 OR o_orderstatus <> 'F' GROUP BY o_custkey
     """,
+    "most_popular_lateral": """
+        WITH counts AS (
+            SELECT r_name, n_name, p_name, p_brand, lower(p_type) AS type_name, p_size, 2000 AS release_year, count(l_orderkey) AS n
+            FROM nation JOIN customer ON n_nationkey = c_nationkey JOIN orders ON c_custkey = o_custkey
+                JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey
+                JOIN region ON n_regionkey = r_regionkey
+            GROUP BY ALL),
+        best AS (SELECT n_name, max(n) AS n FROM counts GROUP BY n_name)
+        SELECT r_name, c.n_name, p_name, p_brand, type_name, p_size, release_year
+        FROM counts c JOIN best b ON c.n_name = b.n_name AND c.n = b.n
+    """,
+    "most_popular_literal": """
+        WITH counts AS (
+            SELECT n_name, p_name, p_brand, lower(p_type) AS type_name, p_size, 2000 AS release_year, count(l_orderkey) AS n
+            FROM nation JOIN customer ON n_nationkey = c_nationkey JOIN orders ON c_custkey = o_custkey
+                JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey
+            WHERE n_name IN ('NATION_1', 'NATION_5', 'NATION_13')
+            GROUP BY ALL),
+        best AS (SELECT n_name, max(n) AS n FROM counts GROUP BY n_name)
+        SELECT c.n_name, p_name, p_brand, type_name, p_size, release_year
+        FROM counts c JOIN best b ON c.n_name = b.n_name AND c.n = b.n
+    """,
+    "in_stock_function": """
+        SELECT p_name, lower(p_brand) AS brand, c_name || ' ' || c_mktsegment AS customer_name, o_orderdate
+        FROM part JOIN lineitem i ON p_partkey = i.l_partkey JOIN orders r ON i.l_orderkey = r.o_orderkey
+            JOIN customer ON r.o_custkey = c_custkey
+        WHERE p_name ILIKE '%RED%'
+          AND EXISTS (
+            SELECT 1 FROM lineitem i2 LEFT JOIN orders r2 ON i2.l_orderkey = r2.o_orderkey AND r2.o_orderstatus = 'O'
+            WHERE i2.l_partkey = p_partkey AND r2.o_orderkey IS NULL)
+          AND o_orderdate = (
+            SELECT max(r3.o_orderdate) FROM orders r3 JOIN lineitem i3 ON r3.o_orderkey = i3.l_orderkey
+            WHERE i3.l_partkey = p_partkey)
+    """,
+    "rows_by_role": """
+        WITH policies AS (
+            SELECT 'orders' AS table_name, 'agent_' || lower(c_mktsegment) AS role, c_custkey AS key FROM customer
+            UNION SELECT 'customer', 'agent_' || lower(c_mktsegment), c_custkey FROM customer
+            UNION SELECT 'customer', 'nation_' || c_nationkey, c_custkey FROM customer),
+        roles AS (SELECT DISTINCT role FROM policies WHERE role IS NOT NULL UNION SELECT 'agent_nobody'),
+        rows AS (SELECT 'orders' AS table_name, o_custkey AS key FROM orders UNION ALL SELECT 'customer', c_custkey FROM customer),
+        seen AS (SELECT table_name, role, count(*) AS n FROM rows JOIN policies USING (table_name, key) GROUP BY 1, 2)
+        SELECT t.table_name, roles.role, coalesce(seen.n, 0) AS n_rows
+        FROM roles CROSS JOIN (SELECT unnest(['orders', 'customer']) AS table_name) t
+            LEFT JOIN seen ON seen.table_name = t.table_name AND seen.role = roles.role
+    """,
+    "role_tags": """
+        SELECT o_orderkey, concat_ws(',', 'agent_' || lower(c_mktsegment), CASE WHEN c_acctbal > 0 THEN 'auditor' END) AS roles
+        FROM orders LEFT JOIN customer ON o_custkey = c_custkey
+    """,
+    "changed_files": """
+        SELECT l_returnflag, CASE WHEN o_orderkey < 200 THEN 'new' ELSE 'old' END AS source, count(*) AS n,
+            CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) + CASE WHEN l_orderkey BETWEEN 100 AND 400 THEN 1 ELSE 0 END) AS DECIMAL(38,2)) AS price
+        FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey WHERE l_suppkey IS DISTINCT FROM 3 GROUP BY 1, 2
+    """,
+    "load_by_index": """
+        SELECT 1 AS load, o_orderstatus, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS price
+        FROM orders WHERE o_orderstatus IS DISTINCT FROM 'F' GROUP BY o_orderstatus
+    """,
 }

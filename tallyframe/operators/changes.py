@@ -132,34 +132,49 @@ def resolve_keys(batch: DataFrame, lookups: Sequence[Lookup], how: str = "left")
     return batch.drop(*spent)
 
 
-def update_where(
+def marked(
     target: DataFrame,
-    assignments: Mapping[str, Column],
     where: Column | None = None,
     keys: DataFrame | None = None,
     on: Sequence[str | tuple[str, str]] = (),
     unless: Column | None = None,
-) -> Change:
-    """Set columns on the rows that meet ``where`` and are named by ``keys``.
-
-    ``unless`` marks rows that already hold the new values; they are left alone,
-    so a second run changes nothing. Changed rows come back with their new values.
-    """
+) -> DataFrame:
+    """The rows with a column ``_hit``: whether they meet ``where``, are named by ``keys``, and do not meet ``unless``."""
     hit = F.lit(True) if where is None else where
     if unless is not None:
         hit = hit & ~F.coalesce(unless, F.lit(False))
-    marked = target
+    rows = target
     if keys is not None:
         names = [name if isinstance(name, str) else name[1] for name in on]
-        marked = lookup_join(target, keys.select(*names).distinct().withColumn("_named", F.lit(True)), on, "left")
+        rows = lookup_join(target, keys.select(*names).distinct().withColumn("_named", F.lit(True)), on, "left")
         hit = hit & F.col("_named").isNotNull()
-    marked = marked.withColumn("_hit", F.coalesce(hit, F.lit(False)))
-    updated = marked.withColumns(
+    return rows.withColumn("_hit", F.coalesce(hit, F.lit(False))).select(*target.columns, "_hit")
+
+
+def assigned(rows: DataFrame, assignments: Mapping[str, Column]) -> DataFrame:
+    """Marked rows with the columns of those hit set, in the types they had."""
+    return rows.withColumns(
         {
-            name: F.when(F.col("_hit"), value).otherwise(F.col(name)).cast(target.schema[name].dataType)
+            name: F.when(F.col("_hit"), value).otherwise(F.col(name)).cast(rows.schema[name].dataType)
             for name, value in assignments.items()
         }
     )
+
+
+def update_where(
+    target: DataFrame,
+    assignments: Mapping[str, Column],
+    where: Column | None = None,
+    keys: DataFrame | None = None,
+    on: Sequence[str | tuple[str, str]] = (),
+    unless: Column | None = None,
+) -> Change:
+    """Set columns on the rows that meet ``where`` and are named by ``keys``.
+
+    ``unless`` marks rows that already hold the new values; they are left alone,
+    so a second run changes nothing. Changed rows come back with their new values.
+    """
+    updated = assigned(marked(target, where, keys, on, unless), assignments)
     return Change(updated.select(*target.columns), updated.filter("_hit").select(*target.columns))
 
 

@@ -16,11 +16,13 @@ from tallyframe.functions.ordering import sort_keys
 from tallyframe.functions.periods import in_quarter_of, plus_days, since
 from tallyframe.functions.text import joined_label, mail_domain, readable_size, tagged
 from tallyframe.operators import cascade, changes, joins, maintenance, policy, quality, upkeep
+from tallyframe.operators.key_index import KeyIndex
 from tallyframe.operators.numbering import number_rows
 from tallyframe.operators.rollup import Hop, Measure, roll_up
 from tallyframe.plans import film_rental, loads, reports
 from tallyframe.session import scratch_path
 from tallyframe.sources import partitions
+from tallyframe.sources.file_tables import FileTable
 from tallyframe.sources.definitions import ColumnDef, ForeignKey, TableDef, after, after_day, differ, one_of
 from tallyframe.sources.tables import Tables, append_rows, create_table, publish_view, tagged_numbers
 
@@ -451,14 +453,23 @@ def _most_popular(t: Tables, listed: list[str | None]) -> DataFrame:
     buyers = joins.join_on(t["customer"].select("c_custkey", "c_nationkey"), theirs, ["c_nationkey"])
     orders = joins.join_on(shaped(t["orders"], l_orderkey="o_orderkey", customer_id="o_custkey"), shaped(buyers, customer_id="c_custkey"), ["customer_id"])
     lines = joins.join_on(t["lineitem"].select("l_orderkey", "l_partkey"), orders, ["l_orderkey"])
-    found = reports.most_popular_films(
-        countries=shaped(nation, country_id="n_nationkey", country="n_name"),
-        cities=shaped(nation, city_id="n_nationkey", country_id="n_nationkey"),
-        addresses=shaped(nation, address_id="n_nationkey", city_id="n_nationkey"),
-        customers=shaped(t["customer"], customer_id="c_custkey", address_id="c_nationkey"),
-        rentals=shaped(lines, rental_id="l_orderkey", customer_id="customer_id", inventory_id="l_partkey"),
-        copies=shaped(t["part"], inventory_id="p_partkey", film_id="p_partkey"),
-        films=shaped(
+    return shaped(reports.most_popular_films(**_orders_as_rentals(t, lines), listed=listed), **_POPULAR_NAMES)
+
+
+_POPULAR_NAMES = {"n_name": "country", "p_name": "film", "p_brand": "rating", "type_name": "language", "p_size": "length", "release_year": "release_year"}
+
+
+def _orders_as_rentals(t: Tables, lines: DataFrame) -> dict[str, DataFrame]:
+    """Nations as countries, parts as films, order lines (with their ``customer_id``) as rentals."""
+    nation = t["nation"]
+    return {
+        "countries": shaped(nation, country_id="n_nationkey", country="n_name"),
+        "cities": shaped(nation, city_id="n_nationkey", country_id="n_nationkey"),
+        "addresses": shaped(nation, address_id="n_nationkey", city_id="n_nationkey"),
+        "customers": shaped(t["customer"], customer_id="c_custkey", address_id="c_nationkey"),
+        "rentals": shaped(lines, rental_id="l_orderkey", customer_id="customer_id", inventory_id="l_partkey"),
+        "copies": shaped(t["part"], inventory_id="p_partkey", film_id="p_partkey"),
+        "films": shaped(
             t["part"],
             film_id="p_partkey",
             title="p_name",
@@ -467,38 +478,37 @@ def _most_popular(t: Tables, listed: list[str | None]) -> DataFrame:
             length="p_size",
             release_year=F.lit(2000),
         ),
-        languages=shaped(t["part"].select("p_type").distinct(), language_id="p_type", name=F.lower("p_type")),
-        listed=listed,
-    )
-    return shaped(
-        found,
-        n_name="country",
-        p_name="film",
-        p_brand="rating",
-        type_name="language",
-        p_size="length",
-        release_year="release_year",
-    )
+        "languages": shaped(t["part"].select("p_type").distinct(), language_id="p_type", name=F.lower("p_type")),
+    }
+
+
+_TABLE_OF = {"countries": "country", "cities": "city", "addresses": "address", "customers": "customer", "rentals": "rental", "copies": "inventory", "films": "film", "languages": "language"}
+
+
+@query
+def most_popular_lateral(t: Tables) -> DataFrame:
+    """The parts ordered most often in each nation of each region: a SQL function called with a list of nations a row."""
+    orders = shaped(t["orders"], l_orderkey="o_orderkey", customer_id="o_custkey")
+    lines = joins.join_on(t["lineitem"].select("l_orderkey", "l_partkey"), orders, ["l_orderkey"])
+    film_rental.publish_popular_function({_TABLE_OF[name]: df for name, df in _orders_as_rentals(t, lines).items()})
+    nations = joins.join_on(shaped(t["nation"], r_regionkey="n_regionkey", n_name="n_name"), t["region"].select("r_regionkey", "r_name"), ["r_regionkey"])
+    publish_view(nations.groupBy("r_name").agg(F.collect_list("n_name").alias("nations")), "tallyframe_lists")
+    found = t.spark.sql(f"SELECT r_name, p.* FROM tallyframe_lists, LATERAL {film_rental.POPULAR_FUNCTION}(nations) AS p")
+    return shaped(found, r_name="r_name", **_POPULAR_NAMES)
+
+
+@query
+def most_popular_literal(t: Tables) -> DataFrame:
+    """The same function called with a literal list, a name twice, a NULL and an unknown name in it."""
+    most_popular_lateral(t)
+    found = t.spark.sql(f"SELECT * FROM {film_rental.POPULAR_FUNCTION}(array('NATION_1', 'NATION_5', NULL, 'NATION_13', 'Atlantis', 'NATION_1'))")
+    return shaped(found, **_POPULAR_NAMES)
 
 
 @query
 def in_stock(t: Tables) -> DataFrame:
     """Parts named like a pattern with a line whose order is closed, with their latest order, numbered."""
-    found = reports.films_in_stock(
-        films=shaped(t["part"], film_id="p_partkey", title="p_name", language_id="p_brand"),
-        languages=shaped(t["part"].select("p_brand").distinct(), language_id="p_brand", name=F.lower("p_brand")),
-        copies=shaped(t["lineitem"], inventory_id="l_orderkey", film_id="l_partkey"),
-        rentals=shaped(
-            t["orders"],
-            rental_id="o_orderkey",
-            inventory_id="o_orderkey",
-            customer_id="o_custkey",
-            rental_date="o_orderdate",
-            return_date=F.when(F.col("o_orderstatus") != "O", F.col("o_orderdate")),
-        ),
-        customers=shaped(t["customer"], customer_id="c_custkey", first_name="c_name", last_name="c_mktsegment"),
-        pattern="%RED%",
-    )
+    found = reports.films_in_stock(**_parts_as_stock(t), pattern="%RED%")
     return shaped(
         found,
         row_num="row_num",
@@ -509,6 +519,31 @@ def in_stock(t: Tables) -> DataFrame:
     )
 
 
+def _parts_as_stock(t: Tables) -> dict[str, DataFrame]:
+    return {
+        "films": shaped(t["part"], film_id="p_partkey", title="p_name", language_id="p_brand"),
+        "languages": shaped(t["part"].select("p_brand").distinct(), language_id="p_brand", name=F.lower("p_brand")),
+        "copies": shaped(t["lineitem"], inventory_id="l_orderkey", film_id="l_partkey"),
+        "rentals": shaped(
+            t["orders"],
+            rental_id="o_orderkey",
+            inventory_id="o_orderkey",
+            customer_id="o_custkey",
+            rental_date="o_orderdate",
+            return_date=F.when(F.col("o_orderstatus") != "O", F.col("o_orderdate")),
+        ),
+        "customers": shaped(t["customer"], customer_id="c_custkey", first_name="c_name", last_name="c_mktsegment"),
+    }
+
+
+@query
+def in_stock_function(t: Tables) -> DataFrame:
+    """The same search called from SQL, without numbers."""
+    film_rental.publish_stock_function({_TABLE_OF[name]: df for name, df in _parts_as_stock(t).items()})
+    found = t.spark.sql(f"SELECT * FROM {film_rental.STOCK_FUNCTION}('%RED%')")
+    return shaped(found, p_name="film_title", brand="language", customer_name="customer_name", o_orderdate="rental_date")
+
+
 # --- registering ----------------------------------------------------------
 
 
@@ -990,6 +1025,27 @@ def row_policy_unknown(t: Tables) -> DataFrame:
     return _role_orders(t, "agent_nobody")
 
 
+@query
+def rows_by_role(t: Tables) -> DataFrame:
+    """How many customers and orders each role sees: an agent for each segment (both tables) and each nation (customers alone), and a role without a policy."""
+    customer = t["customer"]
+    segments = customer.select(F.concat(F.lit("agent_"), F.lower("c_mktsegment")).alias("role"), F.col("c_custkey").alias("key"))
+    nations = customer.select(F.concat(F.lit("nation_"), F.col("c_nationkey").cast("string")).alias("role"), F.col("c_custkey").alias("key"))
+    policies = segments.select(F.lit("orders").alias("table_name"), "role", "key").union(
+        segments.union(nations).select(F.lit("customer").alias("table_name"), "role", "key")
+    )
+    nobody = t["region"].select(F.lit("agent_nobody").alias("role"))
+    return policy.rows_by_role({"orders": (t["orders"], "o_custkey"), "customer": (customer, "c_custkey")}, policies, nobody)
+
+
+@query
+def role_tags(t: Tables) -> DataFrame:
+    """Orders by the list of roles that see them: agents of a segment, and an auditor of all customers with money."""
+    policies = _policies(t).union(t["customer"].filter(F.col("c_acctbal") > 0).select(F.lit("auditor"), "c_custkey"))
+    tagged = policy.with_roles(shaped(t["orders"], o_orderkey="o_orderkey", customer_id="o_custkey"), policies, "customer_id")
+    return tagged.select("o_orderkey", F.concat_ws(",", "roles").alias("roles"))
+
+
 @query
 def storage_report(t: Tables) -> DataFrame:
     return maintenance.storage_report(t.spark, {name: t.path(name) for name in NAMES})
@@ -1115,3 +1171,36 @@ def kept_up_orders(t: Tables) -> DataFrame:
     state = create_table(report.state(before), path)
     kept = report.apply(state, orders.filter(late).union(new), gone.union(old), after)
     return kept.select("o_custkey", "n_rows", total("sum_price"), "max_day")
+
+
+@query
+def changed_files(t: Tables) -> DataFrame:
+    """Lines per flag after a price change of a run of orders and the removal of one supplier's lines, with a column added between the two."""
+    lines = t["lineitem"].select("l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag", money("l_extendedprice").alias("price"))
+    # Range-dealt, so that a run of orders lies in few files.
+    table = FileTable.create(lines.repartitionByRange(16, "l_orderkey"), scratch_path(t.spark, "lines"))
+    table = table.update_where({"price": F.col("price") + 1}, where=F.col("l_orderkey").between(100, 400)).table
+    table = table.add_column("source", "string", "old")
+    named = t["orders"].filter(F.col("o_orderkey") < 200).select("o_orderkey")
+    table = table.update_where({"source": F.lit("new")}, keys=named, on=[("l_orderkey", "o_orderkey")]).table
+    table = table.delete_where(where=F.col("l_suppkey") == 3).table
+    return table.read().groupBy("l_returnflag", "source").agg(F.count("*").alias("n"), F.sum("price").cast("decimal(38,2)").alias("price"))
+
+
+@query
+def load_by_index(t: Tables) -> DataFrame:
+    """What two loads of all orders add to the finished ones, met by an index of their keys."""
+    orders = t["orders"].select("o_orderkey", "o_orderstatus", money("o_totalprice").alias("price"))
+    target = orders.filter(F.col("o_orderstatus") == "F")
+    path = scratch_path(t.spark, "index")
+    index = KeyIndex.create(target, ["o_orderkey"], f"keys_{path.rsplit('-', 1)[1]}", path, int(t.spark.conf.get("spark.sql.shuffle.partitions")))
+    try:
+        loads = []
+        for number in (1, 2):
+            rows = create_table(index.new_rows(orders).withColumn("load", F.lit(number)), scratch_path(t.spark, "load"))
+            index.add(rows)
+            loads.append(rows)
+    finally:
+        index.drop()
+    loaded = loads[0].union(loads[1])
+    return loaded.groupBy("load", "o_orderstatus").agg(F.count("*").alias("n"), F.sum("price").cast("decimal(38,2)").alias("price"))

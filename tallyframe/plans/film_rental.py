@@ -156,6 +156,53 @@ def publish_quarter_function(tables: Tables) -> None:
     tables["payment"].sparkSession.sql(_QUARTER_FUNCTION_SQL)
 
 
+POPULAR_FUNCTION = "tallyframe_most_popular"
+STOCK_FUNCTION = "tallyframe_in_stock"
+
+
+def _publish_table_function(view: str, rows: DataFrame, function: str, parameter: str, source: str, shown: Sequence[str]) -> None:
+    """A SQL table function over a report's own plan: ``source`` selects from the view, which has the report for every argument."""
+    publish_view(rows, view)
+    columns = ", ".join(f"{name} {kind}" for name, kind in rows.select(*shown).dtypes)
+    names = ", ".join(f"{view}.{name}" for name in shown)
+    rows.sparkSession.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {function}({parameter}) RETURNS TABLE ({columns}) RETURN SELECT {names} FROM {source}")
+
+
+def publish_popular_function(tables: Tables) -> None:
+    """Publish ``tallyframe_most_popular(ARRAY<STRING>)``: the most rented film of each listed country.
+
+    A literal list and a column of lists (LATERAL) both become an equi-join by country. A country listed twice counts once, a NULL in the list finds nothing, and a
+    NULL or empty list is an error.
+    """
+    best = reports.best_films(
+        countries=tables["country"],
+        cities=tables["city"],
+        addresses=tables["address"],
+        customers=tables["customer"],
+        rentals=tables["rental"],
+        copies=tables["inventory"],
+        films=tables["film"],
+        languages=tables["language"],
+    )
+    view = f"{POPULAR_FUNCTION}_rows"
+    asked = f"CASE WHEN coalesce(cardinality(listed), 0) = 0 THEN raise_error('{reports.EMPTY_LIST}') ELSE array_distinct(listed) END"
+    source = f"(SELECT explode({asked}) AS asked) JOIN {view} ON {view}.country = asked"
+    _publish_table_function(view, best, POPULAR_FUNCTION, "listed ARRAY<STRING>", source, best.columns)
+
+
+def publish_stock_function(tables: Tables) -> None:
+    """Publish ``tallyframe_in_stock(STRING)``: the films whose title matches a pattern and that have a copy not out, with their latest rental.
+
+    Rows have no numbers: numbering needs a written table (``films_in_stock``). The pattern is a constant; it reaches the scan of the films.
+    """
+    stock = reports.stock_rows(
+        films=tables["film"], languages=tables["language"], copies=tables["inventory"], rentals=tables["rental"], customers=tables["customer"]
+    )
+    view = f"{STOCK_FUNCTION}_rows"
+    shown = ["film_title", "language", "customer_name", "rental_date"]
+    _publish_table_function(view, stock, STOCK_FUNCTION, "pattern STRING", f"{view} WHERE {view}.film_title ILIKE pattern", shown)
+
+
 def categories_without_sales(tables: Tables, day: dt.date | None) -> DataFrame:
     in_period = in_quarter_of(F.col("payment_date"), day)
     return reports.categories_without_sales(**_sales(tables), in_period=in_period)

@@ -327,18 +327,44 @@ def most_popular_films(
     languages: DataFrame,
     listed: Sequence[str] | None,
 ) -> DataFrame:
-    """The most rented film of each listed country, ties kept.
+    """The most rented film of each listed country, ties kept."""
+    if not listed:
+        raise ValueError(EMPTY_LIST)
+    return best_films(
+        countries=in_list(countries, "country", listed),
+        cities=cities,
+        addresses=addresses,
+        customers=customers,
+        rentals=rentals,
+        copies=copies,
+        films=films,
+        languages=languages,
+        max_countries=len(listed),
+    )
+
+
+def best_films(
+    *,
+    countries: DataFrame,
+    cities: DataFrame,
+    addresses: DataFrame,
+    customers: DataFrame,
+    rentals: DataFrame,
+    copies: DataFrame,
+    films: DataFrame,
+    languages: DataFrame,
+    max_countries: int | None = None,
+) -> DataFrame:
+    """The most rented film of each country, ties kept; ``max_countries`` is a proven bound, if there is one.
 
     Films equal in title, rating, language, length and year count as one.
     """
-    if not listed:
-        raise ValueError(EMPTY_LIST)
     located = join_path(
         customers.select("customer_id", "address_id"),
         [
             (addresses.select("address_id", "city_id"), ["address_id"]),
             (cities.select("city_id", "country_id"), ["city_id"]),
-            (in_list(countries, "country", listed).select("country_id", "country"), ["country_id"]),
+            (countries.select("country_id", "country"), ["country_id"]),
         ],
     )
     described = join_on(
@@ -357,7 +383,7 @@ def most_popular_films(
         shown,
         [Measure("rental_count", "count", "rental_id")],
     )
-    return holders_of_max(counts, ["country"], "rental_count", max_groups=len(listed)).select(*shown)
+    return holders_of_max(counts, ["country"], "rental_count", max_groups=max_countries).select(*shown)
 
 
 def films_in_stock(
@@ -369,12 +395,24 @@ def films_in_stock(
     customers: DataFrame,
     pattern: str,
 ) -> DataFrame:
-    """Films whose title matches a pattern and that have a copy not out, with their latest rental, numbered.
+    """Films whose title matches a pattern and that have a copy not out, with their latest rental, numbered."""
+    rows = stock_rows(
+        films=films.filter(F.col("title").ilike(pattern)), languages=languages, copies=copies, rentals=rentals, customers=customers
+    )
+    order = sort_keys("film_title", "film_id", "rental_date", "rental_id", "customer_id")
+    return number_rows(rows, "row_num", order).select(
+        "row_num", "film_title", "language", "customer_name", "rental_date"
+    )
+
+
+def stock_rows(
+    *, films: DataFrame, languages: DataFrame, copies: DataFrame, rentals: DataFrame, customers: DataFrame
+) -> DataFrame:
+    """Films that have a copy not out, with their latest rental.
 
     Rentals tied for the latest time each get a row. Films never rented are absent.
     """
-    titled = films.select("film_id", F.col("title").alias("film_title"), "language_id")
-    matching = titled.filter(F.col("film_title").ilike(pattern))
+    matching = films.select("film_id", F.col("title").alias("film_title"), "language_id")
     their_copies = exists_in(copies.select("inventory_id", "film_id"), matching, ["film_id"])
     # One join of two plain tables, which adaptive execution splits at hot keys; state and latest time both follow from it.
     rented = join_on(
@@ -391,7 +429,7 @@ def films_in_stock(
     in_stock = join_on(per_film, owned, ["film_id"]).filter("n_out < n_copies").select("film_id", "rental_date")
     # Joined on (film, time), so a film with very many rentals does not meet in one task.
     latest = join_on(rented.drop("return_date"), in_stock, ["film_id", "rental_date"])
-    rows = join_path(
+    return join_path(
         latest,
         [
             (matching, ["film_id"]),
@@ -404,10 +442,6 @@ def films_in_stock(
             ),
         ],
     )
-    order = sort_keys("film_title", "film_id", "rental_date", "rental_id", "customer_id")
-    return number_rows(rows, "row_num", order).select(
-        "row_num", "film_title", "language", "customer_name", "rental_date"
-    )
 
 
 def warn_if_empty(rows: DataFrame) -> DataFrame:
