@@ -40,7 +40,7 @@ INLINE = frozenset(
 )
 #: Elements that a start tag of these closes when they are still open.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
-#: What is never content, by tag, role, and word of a class or id.
+#: What is never content, by tag, role, and name of a class or id.
 TAGS = frozenset("head nav footer aside form button select menu dialog object canvas audio video datalist fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 NAMES = frozenset(
@@ -48,13 +48,36 @@ NAMES = frozenset(
     "navigation newsletter notice notification overlay pager pagination popup promo promoted recommended related replies reply respond search share sharing sidebar signup skip social "
     "sponsor sponsored subscribe toolbar topbar widget".split()
 )
+#: Last parts that leave a name as it is, as in ``ad-slot`` or ``sidebar-left``, and first parts that turn it around, as in ``has-sidebar``.
+HOLDERS = frozenset(
+    "area bar block body bottom box button buttons container form group icons inner item items left links list main message meta outer panel posts primary right row secondary section slot "
+    "stories strip text thread title top unit wrap wrapper zone".split()
+)
+TURNED = frozenset("has no non not with without is hide show toggle".split())
+#: First parts of a page's own header; other headers, as of an entry, hold titles.
+PAGE_HEADERS = frozenset("header site page main global top".split())
 MAIN = ("article", "main")
+#: A form with one of these is the frame of a page and not a form to fill in.
+FRAMED = frozenset((*MAIN, "h1"))
 
 _TAG = re.compile(r"""<(?:!--|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|(/?)([a-zA-Z][^\s/>]*)([^>]*+)>|[!?/][^>]*+>)""")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[A-Za-z]+")
 
 
+def _excluding(token: str, inside_main: bool) -> bool:
+    """Whether one class or id names what is never content: as a whole, by its last part, or by its first part before a word for a place."""
+    parts = _WORD.findall(token)
+    if not parts or (len(parts) > 1 and parts[0] in TURNED):
+        return False
+    name = parts[-1]
+    if name not in NAMES:
+        name = parts[0] if parts[0] in NAMES and all(part in HOLDERS for part in parts[1:]) else ""
+    if name == "header":
+        return parts[0] in PAGE_HEADERS and not inside_main
+    return bool(name)
+
+
 class Element:
     __slots__ = ("tag", "label", "excluded", "parts")
 
@@ -75,7 +98,7 @@ def _describe(tag: str, attributes: str, inside_main: bool) -> tuple[str, bool]:
             continue
         if words and name.lower() == "class":
             label = f"{tag}.{'-'.join(words[:3])}"
-        excluded = excluded or (tag not in ("html", "body", *MAIN) and not NAMES.isdisjoint(words))
+        excluded = excluded or (tag not in ("html", "body", *MAIN) and any(_excluding(token, inside_main) for token in value.split()))
     return label, excluded
 
 
@@ -123,6 +146,9 @@ def parse(text: str) -> Element:
                 cut(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag))
             continue
         label, excluded = _describe(tag, attributes, any(opened[name] for name in MAIN))
+        if tag in FRAMED and opened["form"]:
+            for element in stack:
+                element.excluded = element.excluded and element.tag != "form"
         if tag in INLINE and not excluded:
             continue
         if tag in CLOSES:

@@ -337,3 +337,24 @@ def test_near_copies_stage_takes_five_words_and_four_fifths(spark, documents):
     kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, documents(*docs), FOLDER).collect()}
     assert 0 in kept and 1 not in kept and 2 in kept
     assert kept == {k for k, _, c in brute_components(docs, 5, 80) if k == c}
+
+
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        ('<body><div class="content has-sidebar"><p>Story one.</p></div>', "Story one."),
+        ('<body><div id="ad-free-content"><p>Story one.</p></div>', "Story one."),
+        ('<body><div class="social-science"><p>Story one.</p></div>', "Story one."),
+        ('<body><form action="/"><h1>Title</h1><p>Story one.</p></form>', "Title\nStory one."),
+        ('<body><form><label>Name</label><input name="a"></form><p>Story one.</p>', "Story one."),
+        ('<body><article><div class="entry-header"><h1>Title</h1></div><p>Story one.</p></article>', "Title\nStory one."),
+        ('<body><div class="entry-header"><h1>Title</h1></div><p>Story one.</p>', "Title\nStory one."),
+        ('<body><article><p>Story one.</p><div class="related-work"><p>Earlier ones.</p></div></article>', "Story one.\nEarlier ones."),
+        ('<body><div class="page-header">Brand</div><p>Story one.</p><div id="main-sidebar">Side</div>', "Story one."),
+        ('<body><p>Story one.</p><div class="ad-slot-1">Buy</div><ul class="comment-list"><li>First!</li></ul><div class="x sidebar_left">Side</div>', "Story one."),
+        ('<body><div class="cookie-bar">We use cookies</div><p>Story one.</p><div class="site-nav">Home</div><div class="share-buttons">Share</div>', "Story one."),
+    ],
+)
+def test_class_names_exclude_as_whole_names(page, want):
+    assert "\n".join(wrapper._content(wrapper.page_tree(page), None, ())) == want
+
