@@ -594,4 +594,8 @@ ORACLE = {
         SELECT 1 AS load, o_orderstatus, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS price
         FROM orders WHERE o_orderstatus IS DISTINCT FROM 'F' GROUP BY o_orderstatus
     """,
+    "title_search": r"""
+        SELECT pattern, p_partkey, p_name
+        FROM part, (SELECT unnest(['%RED%', '%lue%1_', '%Part%\_%', '%zzz%', '%9']) AS pattern) WHERE p_name ILIKE pattern ESCAPE '\'
+    """,
 }

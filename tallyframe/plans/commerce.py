@@ -18,6 +18,7 @@ from tallyframe.functions.text import joined_label, mail_domain, readable_size,
 from tallyframe.operators import cascade, changes, joins, maintenance, policy, quality, upkeep
 from tallyframe.operators.key_index import KeyIndex
 from tallyframe.operators.numbering import number_rows
+from tallyframe.operators.trigram_index import TrigramIndex
 from tallyframe.operators.rollup import Hop, Measure, roll_up
 from tallyframe.plans import film_rental, loads, reports
 from tallyframe.session import scratch_path
@@ -1204,3 +1205,14 @@ def load_by_index(t: Tables) -> DataFrame:
         index.drop()
     loaded = loads[0].union(loads[1])
     return loaded.groupBy("load", "o_orderstatus").agg(F.count("*").alias("n"), F.sum("price").cast("decimal(38,2)").alias("price"))
+
+
+@query
+def title_search(t: Tables) -> DataFrame:
+    """Parts by patterns, looked up in an index of the trigrams of their names; the last pattern is too short for it."""
+    index = TrigramIndex.create(t["part"].select("p_partkey", "p_name"), "p_name", scratch_path(t.spark, "titles"))
+    out = None
+    for pattern in ("%RED%", "%lue%1_", "%Part%\\_%", "%zzz%", "%9"):
+        found = index.ilike(pattern).select(F.lit(pattern).alias("pattern"), "p_partkey", "p_name")
+        out = found if out is None else out.union(found)
+    return out

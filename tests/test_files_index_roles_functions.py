@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.operators import policy
 from tallyframe.operators.key_index import KeyIndex
+from tallyframe.operators.trigram_index import TrigramIndex, literal_runs
 from tallyframe.plans import film_rental as fr
 from tallyframe.sources.file_tables import FileTable
 from tests.conftest import bag, rows
@@ -160,3 +161,23 @@ def test_stock_function_from_sql(spark):
         with pytest.warns(UserWarning) if pattern == "%nowhere%" else __import__("contextlib").nullcontext():
             assert found == bag(fr.films_in_stock(t, pattern).drop("row_num"))
     assert rows(spark.sql("SELECT * FROM tallyframe_in_stock(NULL)")) == []
+
+
+def test_pattern_search_equals_a_scan(frame, tmp_path):
+    titles = ["Alpha Love", "all out LOVE", "100% sure_thing", "100 sure thing", "a\\b slash", "Straße İstanbul", "ab", "", None, "Alpha Love", "xlovex love", "ΟΔΟΣ ΜΟΥ", "K2 kelvin \u212a2"]
+    table = frame("id int, title string", *enumerate(titles))
+    index = TrigramIndex.create(table, "title", str(tmp_path / "index"))
+    patterns = ["%love%", "%LOVE", "Alpha%", "a%", "%ab%", "", "%", "__", "%100\\%%", "%sure\\_t%", "%sure_t%", "%a\\\\b%", "%nowhere%", "%STRASSE%", "%straße%", "%İST%", "%οδοσ%", "%ΟΔΟΣ%", "%l_ve%out%", "%k2 k%", "love%love"]
+    for pattern in patterns:
+        assert bag(index.ilike(pattern)) == bag(table.filter(F.col("title").ilike(pattern))), pattern
+    assert literal_runs("a\\%b%c_\\\\d") == ["a%b", "c", "\\d"]
+
+
+def test_pattern_search_reads_the_files_of_candidates(spark, tmp_path):
+    table = spark.range(0, 4000, 1, 8).select("id", F.concat(F.lit("title "), F.when(F.col("id") == 3210, "quixotic").otherwise("plain"), F.lit(" one")).alias("title"))
+    index = TrigramIndex.create(table, "title", str(tmp_path / "index"))
+    found = index.ilike("%QUIXOTIC%")
+    assert bag(found.select("id")) == [(3210,)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("file_path") and plan.count(".parquet") == 1
+    assert index.ilike("%plain one").count() == 3999
