@@ -777,7 +777,7 @@ def forget_customer(t: Tables) -> DataFrame:
         rentals=shaped(t["orders"], customer_id="o_custkey", o_orderkey="o_orderkey"),
         payments=shaped(t["orders"], customer_id="o_custkey"),
         first="customer#000000042",
-        last=t["customer"].filter("c_custkey = 42").select("c_mktsegment").first()[0].lower(),
+        last=t["customer"].filter("c_custkey = 42").select(F.lower("c_mktsegment")).scalar(),
     )
     return left["rental"].table.select("o_orderkey", F.col("customer_id").alias("o_custkey"))
 

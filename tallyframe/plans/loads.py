@@ -28,7 +28,7 @@ from tallyframe.plans.reports import first_eligible
 from tallyframe.sources.definitions import TableDef
 
 
-def named(table: DataFrame, first: str, last: str) -> DataFrame:
+def named(table: DataFrame, first: Column | str, last: Column | str) -> DataFrame:
     """People with this first and last name in any letter case."""
     return table.filter(same_text(F.col("first_name"), first) & same_text(F.col("last_name"), last))
 
@@ -122,7 +122,7 @@ def take_over_customer(
 
 
 def forget_customer(
-    *, customers: DataFrame, rentals: DataFrame, payments: DataFrame, first: str, last: str
+    *, customers: DataFrame, rentals: DataFrame, payments: DataFrame, first: Column | str, last: Column | str
 ) -> dict[str, Change]:
     """Remove a customer's payments, then rentals; two customers of the name are an error, none removes nothing."""
     theirs = F.col("customer_id") == named(customers, first, last).select("customer_id").scalar()
