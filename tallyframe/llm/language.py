@@ -1,6 +1,6 @@
 """Language identification: scripts narrow the candidates, per-word scores and a Viterbi path label the words.
 
-Learning takes a bounded sample of labelled rows (about ``SAMPLE_ROWS``, chosen by hash) and counts, for each
+Learning takes a bounded sample of labelled rows (about ``SAMPLE_ROWS`` of each language, chosen by hash, all rows of a rarer one) and counts, for each
 language, hashed features of its words: the word itself, its letter pairs and triples with the word's edges. The model is a table of
 ``FEATURES`` x languages of log ratios, and the scripts that each language was seen in; its size does not depend on the corpus.
 
@@ -8,8 +8,8 @@ A word's score for a language is the sum of its features' log ratios, held withi
 word's script get a penalty. The best path over the words pays ``SWITCH`` for each change of language. The path's runs
 are the spans of a text; the language with most letters is the text's, and its share of the letters the score.
 
-The path is computed for all texts of a chunk at once: texts are cut into blocks of ``BLOCK`` words, each block is solved for
-every language that it may start in, and the blocks of a text are chained; the result is that of one pass over the whole text.
+The path is computed for all texts of a chunk side by side, in memory that grows with words x languages. Texts of more than ``BLOCK`` words are cut
+into blocks; each is solved for every language that it may start in, and the blocks of a text are chained; the result is that of one pass over the whole text.
 
 Cases: texts that are NULL or without letters are ``und`` with score 0 and no spans. Letters of scripts that no language was
 seen in still give the best-scoring language. Ties go to the first language in string order. Without labelled rows every text is ``und``. Only the
@@ -28,12 +28,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyframe.llm.sampling import sample_texts
 from tallyframe.llm.words import code_table, mix, text_chunks, words_of
 
-SAMPLE_ROWS = 4000
+SAMPLE_ROWS = 1000
 FEATURES = 1 << 17
 CLIP = 6.0
 SWITCH = 8.0
 FOREIGN = 12.0
-BLOCK = 128
+BLOCK = 1024
 #: A language uses a script in which at least this share of its letters was seen.
 SCRIPT_SHARE = 0.02
 
@@ -114,7 +114,7 @@ def _count(batches: Iterator[pa.RecordBatch], languages: list[str]) -> Iterator[
 
 def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """A model from (text, lang) rows; rows without a language or text teach nothing."""
-    sample = sample_texts(labelled.select("text", "lang").where(F.col("lang").isNotNull()), sample_rows)
+    sample = sample_texts(labelled.select("text", "lang").where(F.col("lang").isNotNull()), sample_rows, "lang")
     languages = sorted(row[0] for row in sample.select("lang").distinct().collect())
     if not languages:
         return Model([], np.zeros((FEATURES, 0), np.float32), np.zeros((14, 0), bool))
@@ -140,6 +140,30 @@ def _word_scores(model: Model, data: np.ndarray, start: np.ndarray, end: np.ndar
     return scores[which].astype(np.float32)
 
 
+def _forward(scores: np.ndarray, begin: np.ndarray, live: list[int], value: np.ndarray, switch: float, keep: bool) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Moves ``value`` (rows x labels) over the rows' words, longest row first: ``live`` has how many rows reach each step.
+
+    All switches cost the same, so a label is reached from itself or from the row's best one. With ``keep`` the best label of each step and row is
+    returned, and one bit for each label: whether it was reached from the best one.
+    """
+    tops, moves = [], []
+    for t, n in enumerate(live):
+        now = value[:n]
+        top = now.argmax(axis=1)
+        turned = np.take_along_axis(now, top[:, None], axis=1) - switch
+        if keep:
+            tops.append(top.astype(np.int32))
+            moves.append(np.packbits(turned > now, axis=1))
+        np.maximum(now, turned, out=now)
+        now += scores[begin[:n] + t]
+    return tops, moves
+
+
+def _live(size: np.ndarray) -> list[int]:
+    """How many of the rows, longest first, have a word at each step."""
+    return np.searchsorted(-size, -np.arange(int(size.max(initial=0)))).tolist()
+
+
 def best_path(scores: np.ndarray, first: np.ndarray, switch: float = SWITCH, block: int = BLOCK) -> np.ndarray:
     """The label of each word on the best path of its text; ``first`` has the texts' word ranges."""
     words, labels = scores.shape
@@ -147,44 +171,49 @@ def best_path(scores: np.ndarray, first: np.ndarray, switch: float = SWITCH, blo
     blocks = -(-counts // block)
     head = np.cumsum(blocks) - blocks
     owner = np.repeat(np.arange(len(counts)), blocks)
+    path = np.zeros(words, np.int64)
     if not len(owner):
-        return np.zeros(0, np.int64)
+        return path
     begin = first[owner] + (np.arange(len(owner)) - head[owner]) * block
     size = np.minimum(block, first[owner + 1] - begin)
-    # value[b, s, l]: best of block b that enters it in s and is in l now; entering costs nothing here.
-    value = np.full((len(owner), labels, labels), -np.inf, np.float32)
-    value[:, np.arange(labels), np.arange(labels)] = 0
-    came = np.zeros((block, len(owner), labels, labels), np.int8)
-    stay = np.broadcast_to(np.arange(labels, dtype=np.int8), (len(owner), labels, labels))
-    for t in range(int(size.max())):
-        live = np.flatnonzero(size > t)
-        now = value[live]
-        top = now.argmax(axis=2)[:, :, None]
-        turned = np.take_along_axis(now, top, axis=2) - switch
-        moved = turned > now
-        came[t, live] = np.where(moved, top, stay[live])
-        value[live] = np.where(moved, turned, now) + scores[begin[live] + t][:, None, :]
-    # Chain the blocks of each text: total[d, l], best until now; the entry state of each block is kept.
-    total = np.zeros((len(counts), labels), np.float32)
-    entry = np.zeros((len(owner), labels), np.int64)
-    for k in range(int(blocks.max(initial=0))):
-        docs = np.flatnonzero(blocks > k)
-        joined = total[docs][:, :, None] + value[head[docs] + k]
-        entry[head[docs] + k] = joined.argmax(axis=1)
-        total[docs] = joined.max(axis=1)
-    leave = np.zeros(len(owner), np.int64)
-    state = total.argmax(axis=1)
-    for k in reversed(range(int(blocks.max(initial=0)))):
-        docs = np.flatnonzero(blocks > k)
-        leave[head[docs] + k] = state[docs]
-        state[docs] = entry[head[docs] + k, state[docs]]
-    enter = entry[np.arange(len(owner)), leave]
-    path = np.zeros(words, np.int64)
-    state = leave
-    for t in reversed(range(int(size.max()))):
-        live = np.flatnonzero(size > t)
-        path[begin[live] + t] = state[live]
-        state[live] = came[t, live, enter[live], state[live]]
+    order = np.argsort(-size, kind="stable")
+    start = np.zeros((len(owner), labels))  # entering a text costs nothing, whatever the label
+    leave = np.full(len(owner), -1)
+    cut = np.flatnonzero(blocks > 1)
+    if len(cut):
+        # ends[b, s, l]: best of a block that enters it in s and leaves it in l, for blocks of texts that are cut.
+        mine = order[blocks[owner[order]] > 1]
+        ends = np.full((len(mine), labels, labels), -np.inf)
+        ends[:, np.arange(labels), np.arange(labels)] = 0
+        live = [n * labels for n in _live(size[mine])]
+        _forward(scores, np.repeat(begin[mine], labels), live, ends.reshape(-1, labels), switch, False)
+        place = np.zeros(len(owner), np.int64)
+        place[mine] = np.arange(len(mine))
+        # Chain the blocks of each text: total[d, l], best until now; the entry state of each block is kept.
+        total = np.zeros((len(counts), labels))
+        entry = np.zeros((len(owner), labels), np.int64)
+        for k in range(int(blocks.max())):
+            docs = cut[blocks[cut] > k]
+            joined = total[docs][:, :, None] + ends[place[head[docs] + k]]
+            entry[head[docs] + k] = joined.argmax(axis=1)
+            total[docs] = joined.max(axis=1)
+        state = total.argmax(axis=1)
+        for k in reversed(range(int(blocks.max()))):
+            docs = cut[blocks[cut] > k]
+            leave[head[docs] + k] = state[docs]
+            state[docs] = entry[head[docs] + k, state[docs]]
+            start[head[docs] + k] = -np.inf
+            start[head[docs] + k, state[docs]] = 0
+    begin, value, leave = begin[order], start[order], leave[order]
+    live = _live(size[order])
+    tops, moves = _forward(scores, begin, live, value, switch, True)
+    state = np.where(leave >= 0, leave, value.argmax(axis=1))
+    for t in reversed(range(len(live))):
+        n = live[t]
+        now = state[:n]
+        path[begin[:n] + t] = now
+        moved = moves[t][np.arange(n), now >> 3] >> (7 - (now & 7)) & 1
+        state[:n] = np.where(moved == 1, tops[t], now)
     return path
 
 

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm import katz, language, personal
 from tallyframe.llm.queries import op1_language, op4_personal_data
+from tallyframe.llm.words import mix, words_of
 from tests.conftest import bag
 
 FOLDER = "/root/testdata/sf0.001"
@@ -44,6 +46,64 @@ def test_blocks_chain_to_the_path_of_the_whole_text():
             assert path[a:b].tolist() == viterbi(scores[a:b], 1.5)
 
 
+def test_paths_take_memory_in_proportion_to_the_languages():
+    draw = np.random.default_rng(6)
+    first = np.cumsum([0, *[200] * 100, 20_000])
+    peaks = []
+    for labels in (8, 64):
+        scores = draw.normal(size=(first[-1], labels)).astype(np.float32)
+        tracemalloc.start()
+        path = language.best_path(scores, first)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert path[:200].tolist() == viterbi(scores[:200].astype(float), language.SWITCH) and path[20_000:].tolist() == viterbi(scores[20_000:].astype(float), language.SWITCH)
+    assert peaks[1] < 16 * peaks[0]  # the square would be 64 times
+
+
+def test_rare_languages_are_learned(spark):
+    rows = [(f"the and of {k} with", "en") for k in range(3000)] + [("und der die das nicht", "de"), ("le la les des pas", "fr")]
+    model = language.learn(spark.createDataFrame(rows, "text string, lang string"), 100)
+    assert model.languages == ["de", "en", "fr"]
+    found = language.identify(spark.createDataFrame([("der die das",), ("les des pas",), ("the of and",)], "text string"), model)
+    assert [r.lang_pred for r in found.collect()] == ["de", "fr", "en"]
+
+
+def test_labels_and_scores_of_whole_documents_by_hand(spark, documents):
+    """The prediction from the model's tables with plain strings and loops."""
+    table = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    model = language.learn(table)
+    texts = [r.text for r in table.where("text IS NOT NULL").orderBy("doc_id").limit(20).collect()]
+    mixed = " ".join(t[:200] for t in texts[:6])
+    texts += [mixed, mixed * 9, "Привет мир the end", "ab", "x1y 22 Zz"]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(documents(*enumerate(texts)), model).collect()}
+    for k, text in enumerate(texts):
+        words = re.findall(rb"[A-Za-z\x80-\xFF]+", text.encode())
+        scores = np.array([word_score(model, w) for w in words], np.float32).astype(float)
+        letters = dict.fromkeys(range(len(model.languages)), 0)
+        for word, label in zip(words, viterbi(scores, language.SWITCH), strict=True):
+            letters[label] += len(word)
+        best = max(letters, key=lambda x: (letters[x], -x))
+        assert got[k] == (model.languages[best], letters[best] / sum(letters.values()))
+
+
+def word_score(model, word):
+    data = np.frombuffer(word, np.uint8)
+    lower = word.lower() if word.isascii() else bytes(b + 32 if 65 <= b <= 90 else b for b in word)
+    edged = b"\0" + lower + b"\0"
+    keys = [edged[i] * 256 + edged[i + 1] + (1 << 32) for i in range(len(edged) - 1)]
+    keys += [edged[i] * 65536 + edged[i + 1] * 256 + edged[i + 2] + (1 << 41) for i in range(len(edged) - 2)]
+    keys.append(int(words_of(data, np.array([0, len(data)]), language.LETTERS).hashes[0]))
+    sums = np.zeros(len(model.languages))
+    for feature in (mix(np.array(keys, np.uint64)) % np.uint64(language.FEATURES)).astype(int):
+        sums += model.ratios[feature]
+    sums = np.clip(sums, -language.CLIP, language.CLIP)
+    first = next((c for c in word.decode() if c > "\x7f"), "a")
+    script = [number for start, number in language._SCRIPTS if start <= ord(first)][-1]
+    if model.allowed[script].any():
+        sums[~model.allowed[script]] -= language.FOREIGN
+    return sums
+
+
 def test_held_out_accuracy_and_letterless_texts(spark, documents):
     found = op1_language(spark, FOLDER).join(spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "lang"), "doc_id")
     held = found.where("held_out")
