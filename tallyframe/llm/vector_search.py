@@ -5,13 +5,14 @@ neighbouring rows; a block keeps its vectors (the forward index) and, for each
 dimension, its largest and smallest component. The bound of a block for a query
 is the sum over dimensions of the better product, which no vector in it exceeds.
 
-A block meets the queries in batches. Within a task the blocks are taken per query by
+A block meets the queries in batches. A task takes the blocks of each of its Arrow batches per query by
 falling bound; a query stops at the first block whose bound is below its kth score so
-far. Tasks keep their best k of each query; the best k of those are the answer. First a few
+far, which it keeps through the task. Tasks give their best k of each query; the best k of those are the answer. First a few
 blocks give every query a floor for the kth score, so that tasks start with it.
 
 Cases: vectors that are NULL or that hold NULL or non-finite components take no part, nor do rows with a NULL id. Vectors
 shorter than the longest, empty ones too, count as filled up with zeros: the inner product is that of the shared components. Ties go to the smaller id.
+Components so large that an inner product might pass 2**62 are an error.
 Repeated ids are candidates and queries as often as they occur, but never their own candidates. Empty tables give no rows. Other columns are not read.
 """
 
@@ -62,44 +63,45 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))
 
 
+def _check_range(queries: np.ndarray, vectors: np.ndarray) -> None:
+    """Raises if a score could leave the range of 64-bit integers."""
+    reach = np.abs(queries.astype(float)).max(axis=0, initial=0) @ np.abs(vectors.astype(float)).max(axis=0, initial=0)
+    if reach >= 2.0**62:
+        raise OverflowError(f"inner products may reach {reach:.1e}, beyond 64-bit integers; use a smaller scale")
+
+
 def _searcher(queries: np.ndarray, query_ids: np.ndarray, floors: np.ndarray | None, k: int, block_rows: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     dim = queries.shape[1]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         up, down = np.maximum(queries, 0), np.minimum(queries, 0)
+        # What a query has found in this task, and the score below which a block cannot help it.
+        best_ids, best = [np.zeros(0, np.int64)] * len(queries), [np.zeros(0, np.int64)] * len(queries)
+        kth = np.full(len(queries), np.iinfo(np.int64).min) if floors is None else floors.copy()
         for batch in batches:
             ids, vectors = _matrix(batch, dim)
             if not len(ids):
                 continue
+            _check_range(queries, vectors)
             edges = np.arange(0, len(ids), block_rows)
             top, low = np.maximum.reduceat(vectors, edges), np.minimum.reduceat(vectors, edges)
             bounds = up @ top.T + down @ low.T
-            out_q, out_id, out_score = [], [], []
-            for q in range(len(queries)):
-                kth = floors[q] if floors is not None else None
-                found_ids, found = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            for q in np.flatnonzero(bounds.max(axis=1) >= kth):
                 for b in np.argsort(-bounds[q], kind="stable"):
-                    if kth is not None and bounds[q, b] < kth:
+                    if bounds[q, b] < kth[q]:
                         break
                     rows = slice(edges[b], edges[b] + block_rows)
                     keep = ids[rows] != query_ids[q]
                     scores = (vectors[rows] @ queries[q])[keep]
-                    found_ids, found = np.append(found_ids, ids[rows][keep]), np.append(found, scores)
-                    best = _best(found_ids, found, k)
-                    found_ids, found = found_ids[best], found[best]
-                    if len(found) == k:
-                        kth = found[-1] if kth is None else max(kth, found[-1])
-                if kth is not None:
-                    keep = found >= kth
-                    found_ids, found = found_ids[keep], found[keep]
-                out_q.append(np.full(len(found), q))
-                out_id.append(found_ids)
-                out_score.append(found)
-            places = np.concatenate(out_q).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(places), pa.array(query_ids[places]), pa.array(np.concatenate(out_id)), pa.array(np.concatenate(out_score))],
-                names=["query", "query_id", "vec_id", "score"],
-            )
+                    found_ids, found = np.append(best_ids[q], ids[rows][keep]), np.append(best[q], scores)
+                    places = _best(found_ids, found, k)
+                    best_ids[q], best[q] = found_ids[places], found[places]
+                    if len(places) == k:
+                        kth[q] = max(kth[q], best[q][-1])
+        keep = [found >= least for found, least in zip(best, kth, strict=True)]
+        places = np.repeat(np.arange(len(queries)), [int(x.sum()) for x in keep])
+        columns = (np.concatenate([x[y] for x, y in zip(found, keep, strict=True)]) if keep else np.zeros(0, np.int64) for found in (best_ids, best))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (places, query_ids[places], *columns)], names=["query", "query_id", "vec_id", "score"])
 
     return search
 
@@ -149,13 +151,13 @@ def top_k(frame: DataFrame, is_query: Callable[[Column], Column], k: int = 10, s
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
-def _floors(sample: list[pa.RecordBatch], queries: np.ndarray, ids: np.ndarray, k: int, block_rows: int) -> np.ndarray | None:
+def _floors(sample: list[pa.RecordBatch], queries: np.ndarray, ids: np.ndarray, k: int, block_rows: int) -> np.ndarray:
     """For each query a score that its kth best is known to reach; a bounded sample can only make it lower."""
     low = np.full(len(queries), np.iinfo(np.int64).min)
     for batch in _searcher(queries, ids, None, k, block_rows)(iter(sample)):
         places, scores = batch.column("query").to_numpy(), batch.column("score").to_numpy()
-        many = np.bincount(places, minlength=len(queries))
-        np.minimum.at(worst := np.full(len(queries), np.iinfo(np.int64).max), places, scores)
-        full = many >= k
-        low[full] = np.maximum(low[full], worst[full])
+        worst = np.full(len(queries), np.iinfo(np.int64).max)
+        np.minimum.at(worst, places, scores)
+        full = np.bincount(places, minlength=len(queries)) >= k
+        low[full] = worst[full]
     return low

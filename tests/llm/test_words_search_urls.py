@@ -6,6 +6,8 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from tallyframe.llm import archive, url_cascade, vector_search
@@ -21,8 +23,6 @@ def lower(text):
 
 
 def test_words_match_the_patterns_and_hash_by_content():
-    import pyarrow as pa
-
     draw = random.Random(1)
     texts = ["".join(draw.choice("aBc Ä1ß.\t\n#漢 z") for _ in range(draw.randint(0, 60))) for _ in range(300)] + ["", None, "x" * 9000]
     for rule, pattern in PATTERNS.values():
@@ -51,8 +51,9 @@ def test_top_k_equals_brute_force(spark):
     rows[11] = (11, rows[12][1])  # a tie
     rows[13] = (13, [1.0])
     rows += [rows[20], rows[0]]  # repeated rows, one of them a query
+    rows += [(300, [2.0, 1.0]), (301, [])]  # short ones, the first a query
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit("clash"))
-    usable = [(k, [math.floor(1024 * x) for x in v]) for k, v in rows if v and len(v) == 6 and all(x is not None and math.isfinite(x) for x in v)]
+    usable = [(k, [math.floor(1024 * x) for x in v] + [0] * (6 - len(v))) for k, v in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
     want = []
     for q, qv in usable:
         if q % 100 == 0:
@@ -62,6 +63,30 @@ def test_top_k_equals_brute_force(spark):
         assert bag(vector_search.top_k(frame, lambda k: k % 100 == 0, block_rows=block, query_rows=batch)) == sorted(want, key=str)
 
 
+def test_the_kth_score_skips_blocks_of_later_batches(monkeypatch):
+    scored = []
+    best = vector_search._best
+    monkeypatch.setattr(vector_search, "_best", lambda ids, scores, k: scored.append(len(ids)) or best(ids, scores, k))
+    draw = np.random.default_rng(4)
+    near = draw.integers(900, 1000, (64, 4))
+    batches = []
+    for part in range(4):
+        vectors = near if part == 0 else draw.integers(-100, 100, (64, 4))
+        lists = pa.ListArray.from_arrays(np.arange(0, 257, 4, dtype=np.int32), pa.array(vectors.ravel()))
+        batches.append(pa.RecordBatch.from_arrays([pa.array(np.arange(64) + 64 * part), lists], names=["vec_id", "vector"]))
+    queries = np.array([[5, 6, 7, 8], [1, 1, 1, 1]])
+    (found,) = vector_search._searcher(queries, np.array([1000, 1001]), None, 3, 16)(iter(batches))
+    assert len(scored) <= 8  # blocks of the first batch only: 4 for each query at most, of 32 in all
+    want = [np.lexsort((np.arange(64), -(near @ q)))[:3].tolist() for q in queries]
+    assert found.column("vec_id").to_pylist() == sum(want, [])
+
+
+def test_scores_beyond_64_bits_are_an_error(spark):
+    frame = spark.createDataFrame([(0, [1e9, 1e9]), (1, [1e9, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="beyond 64-bit"):
+        vector_search.top_k(frame, lambda k: k == 0).collect()
+
+
 def test_top_k_of_few_and_of_none(spark):
     frame = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<float>")
     assert bag(vector_search.top_k(frame, lambda k: k == 0)) == [(0, 1, 1, 2 * 1024 * 1024)]
