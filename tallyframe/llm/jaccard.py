@@ -5,12 +5,13 @@ set signature, of which 64 name it). N-grams are ordered by how full their bucke
 counts is, then by hash, so common ones come last. The order is cut into ``FRAGMENTS`` fragments of equal mass.
 
 1. One pass counts the buckets and gives each document its set size and node.
-2. Two sets that link share an n-gram among their first ``n - ceil(t n) + 1``. Those prefixes are dealt by n-gram, packed,
-   one entry for an n-gram and chunk of documents; only n-grams of several nodes are written (*shared postings*).
+2. Two sets that link share ``k`` n-grams among their first ``n - ceil(t n) + k`` (``k`` is ``SHARED``, or the overlap that a link needs if that is
+   less). Those prefixes are dealt by n-gram, packed, one entry for an n-gram and chunk of documents; only n-grams of several nodes are written
+   (*shared postings*). Asking for several keeps sets apart that meet in one n-gram by chance, of which a larger corpus has ever more.
 3. Candidates come in rounds, from n-grams whose nodes are still in several components. A round of stars tries each node with one
-   node of about its size among those that share an n-gram with it, later ones with a few others, in another order each turn. Stars go on while a turn
+   node of about its size among those that share two n-grams with it, later ones with a few others, in another order each turn. Stars go on while a turn
    finds at least ``WORTH`` times the links of the first. The last round goes across components, the only pairs that can still matter: the members of a component are cut
-   into blocks, and each node meets the blocks of larger components with which it shares an n-gram whose places in both orders leave room for a link.
+   into blocks, and each node meets the blocks of larger components with which it shares ``k`` n-grams whose places in both orders leave room for a link.
 4. The sets of candidates are written once, cut into the fragments. Overlaps are counted for each fragment apart and summed per pair; a node's overlaps with a
    block are one row for each fragment, and of the links to a block the strongest is kept. Links give components.
 
@@ -45,6 +46,8 @@ NODE_BITS, FILTER_BITS = 16, 1 << 25
 #: A turn of stars with a smaller share of the first one's links is the last; partners of a node in a turn after the first; members of a block.
 WORTH = 0.25
 TRIES = 8
+#: N-grams that the prefixes of linked sets must share.
+SHARED = 4
 BLOCK = 256
 #: Prefix n-grams in a partition, and partners of a centre in a group.
 PART_NGRAMS = 1_000_000
@@ -52,6 +55,7 @@ GROUP_ROWS = 500
 
 _ID = np.uint64(8)
 _SLICE = 4096
+_ZSTD = pa.Codec("zstd")
 
 
 class Sets:
@@ -123,7 +127,7 @@ def _survey(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
         slices = [k for k in range(BUCKETS // _SLICE) if counts[k * _SLICE : (k + 1) * _SLICE].any()]
         many = len(slices)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(many, key_type), *(pa.nulls(many, pa.int64()) for _ in range(3)), pa.array(slices, pa.int32()), pa.array([counts[k * _SLICE : (k + 1) * _SLICE].astype("<i4").tobytes() for k in slices], pa.binary())],
+            [pa.nulls(many, key_type), *(pa.nulls(many, pa.int64()) for _ in range(3)), pa.array(slices, pa.int32()), pa.array([_ZSTD.compress(counts[k * _SLICE : (k + 1) * _SLICE].astype("<i4").tobytes(), asbytes=True) for k in slices], pa.binary())],
             names=names,
         )
 
@@ -133,7 +137,7 @@ def _sum_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for k, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             sums.setdefault(k, np.zeros(_SLICE, np.int64))
-            sums[k] += np.frombuffer(counts, "<i4")
+            sums[k] += np.frombuffer(_ZSTD.decompress(counts, 4 * _SLICE, asbytes=True), "<i4")
     yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["slice", "counts"])
 
 
@@ -156,7 +160,9 @@ def pivots_of(counts: np.ndarray, level: np.ndarray, fragments: int) -> np.ndarr
 
 
 def prefix_length(n: int, percent: int) -> int:
-    return n - -(-percent * n // 100) + 1
+    """Of the first so many n-grams linked sets share ``SHARED``, or all that the link needs if those are fewer."""
+    needed = -(-percent * n // 100)
+    return n - needed + min(SHARED, needed)
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], size: int, percent: int, level: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
@@ -418,24 +424,32 @@ class Join:
         pairs.write.parquet(f"{self.path}/pairs-{name}")
         pairs = self.spark.read.parquet(f"{self.path}/pairs-{name}")
         self.need_sets(pairs.select(F.col("a").alias("node")).union(pairs.select("b")), name)
-        groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP_ROWS).alias("groups"))
-        dealt = pairs.select("a", "b").join(groups, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("groups")))
+        # The set of the node in more pairs stays, those of its partners travel.
+        many = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("many"))
+        ranked = pairs.select("a", "b").join(many.toDF("a", "many_a"), "a").join(many.toDF("b", "many_b"), "b")
+        swap = F.col("many_b") > F.col("many_a")
+        turned = ranked.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b"))
+        turned.write.parquet(f"{self.path}/turned-{name}")
+        turned = self.spark.read.parquet(f"{self.path}/turned-{name}")
+        groups = turned.groupBy("a").agg(F.ceil(F.count("*") / GROUP_ROWS).alias("groups"))
+        dealt = turned.join(groups, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("groups")))
         dealt.select("a", "salt", "b").union(dealt.select("a", "salt", F.col("a").alias("b")).distinct()).write.parquet(f"{self.path}/wished-{name}")
         wished = self.spark.read.parquet(f"{self.path}/wished-{name}")
         placed = self.with_sets(wished, "b").select("a", "salt", "fragment", "b", "keys")
         place = ["a", "salt", "fragment"]
         sorted_ = placed.repartition(*place).sortWithinPartitions(*place, F.col("a") != F.col("b"))
         partial = sorted_.mapInArrow(lean(_overlaps), "a long, b long, overlap long")
-        sums = partial.groupBy("a", "b").agg(F.sum("overlap").alias("overlap"))
+        sums = partial.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("overlap").alias("overlap"))
         found = sums.join(pairs, ["a", "b"]).where(100 * F.col("overlap") >= self.percent * (F.col("na") + F.col("nb") - F.col("overlap")))
         found.select("a", "b", "overlap", "na", "nb").write.parquet(f"{self.path}/links-{name}")
         return self.spark.read.parquet(f"{self.path}/links-{name}")
 
     def mixed(self, postings: DataFrame, roots: DataFrame | None, name: str) -> DataFrame:
         """The postings of n-grams whose nodes are in several components, with their roots; written."""
-        placed = postings.select("token", "node", "n", "place", F.col("node").alias("root"))
-        if roots is not None:
-            placed = placed.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        if roots is None:  # each node is a component, and each n-gram has several nodes
+            postings.select("token", "node", "n", "place", F.col("node").alias("root")).write.parquet(f"{self.path}/mixed-{name}")
+            return self.spark.read.parquet(f"{self.path}/mixed-{name}")
+        placed = postings.select("token", "node", "n", "place").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         split = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
         placed.join(split.select("token"), "token", "left_semi").write.parquet(f"{self.path}/mixed-{name}")
         return self.spark.read.parquet(f"{self.path}/mixed-{name}")
@@ -454,19 +468,25 @@ class Join:
         spread = sized.join(least, ["token", "class"]).where("root != first.root").select("node", "n", "first")
         above = least.select("token", (F.col("class") - 1).alias("class"), F.col("first").alias("next"))
         steps = least.join(above, ["token", "class"]).where("first.root != next.root").select("first.node", "first.n", F.col("next").alias("first"))
-        met = spread.union(steps).groupBy("node", "n", F.col("first.node").alias("other"), F.col("first.n").alias("other_n")).agg(F.count("*").alias("times"))
-        if self.has is None:  # nodes of one component each: whoever meets another at all is here
+        met = spread.union(steps).groupBy("node", "n", F.col("first.node").alias("other"), F.col("first.n").alias("other_n"), F.col("first.root").alias("to")).agg(F.count("*").alias("times"))
+        # A node has few rows here, so all that follows can be dealt by node.
+        to_root = F.sum("times").over(Window.partitionBy("node", "to"))
+        met = met.repartition("node").withColumn("to_root", to_root).where(F.col("to_root") >= F.least(F.lit(2), self.needed("n"))).drop("to", "to_root")
+        if self.has is None:
             met.write.parquet(f"{self.path}/met")
             met = self.spark.read.parquet(f"{self.path}/met")
             self.need_sets(met.select("node").union(met.select("other")), "first")
+        else:  # nodes that met nobody in two n-grams until now wait for the last round
+            met = met.join(self.has, "node", "left_semi")
         place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("times"), F.xxhash64("other", F.lit(turn))))
         best = met.withColumn("place", place).where(F.col("place") <= (1 if turn == 0 else TRIES))
+        best = best.join(self.has.withColumnRenamed("node", "other"), "other", "left_semi")
         return best.select(*_pair("node", "n", "other", "other_n")).where(self.fits()).distinct()
 
     def across(self, mixed: DataFrame) -> DataFrame:
-        """The strongest link of each node to each block of a larger component that shares an n-gram with it; written.
+        """The strongest link of each node to each block of a larger component that shares enough n-grams with it; written.
 
-        The first n-gram that two linked sets share must stand early in both (all n-grams that two components share are in ``mixed``). For a block
+        The first n-grams that two linked sets share must stand early in both (all n-grams that two components share are in ``mixed``). For a block
         this is judged by its smallest and largest sets and its earliest place, so no pair that can link is left out.
         """
         path = self.path
@@ -483,7 +503,8 @@ class Join:
         least, most = F.greatest("least", F.ceil(F.col("n") * self.percent / 100 - 1e-9)), F.least("most", F.floor(F.col("n") * 100 / self.percent + 1e-9))
         soon = self.early(F.col("n"), F.col("place"), least) & self.early(most, F.col("soonest"), F.col("n"))
         met = placed.join(blocks, "token").where(ordered & (least <= most) & soon)
-        met.select("node", "n", F.col("to").alias("root"), F.col("to_block").alias("block")).distinct().write.parquet(f"{path}/across")
+        met = met.groupBy("node", "n", F.col("to").alias("root"), F.col("to_block").alias("block")).agg(F.count("*").alias("times"))
+        met.where(F.col("times") >= self.needed("n")).drop("times").write.parquet(f"{path}/across")
         met = self.spark.read.parquet(f"{path}/across")
         there = met.select("root", "block").groupBy("root", "block").agg(F.ceil(F.count("*") / GROUP_ROWS).alias("groups"))
         members = seats.select("root", "block", "node", "n", "seat").join(there, ["root", "block"])
@@ -505,12 +526,17 @@ class Join:
         return self.spark.read.parquet(f"{path}/links-across")
 
     def early(self, n, place, other_n):
-        """Whether a place is among the first that a set of size ``n`` must share with a linked set of size ``other_n``.
+        """Whether a place can be that of one of the first ``SHARED`` n-grams that a set of size ``n`` shares with a linked set of size ``other_n``.
 
-        Linked sets have at least ``t / (1 + t)`` of both sizes in common; the set's n-grams before the first shared one are not.
+        Linked sets have at least ``t / (1 + t)`` of both sizes in common, and those that follow a shared n-gram stand behind it.
         """
         common = F.ceil(self.percent * (n + other_n) / F.lit(100.0 + self.percent) - 1e-9)
-        return place <= n - common
+        return place <= n - common + (SHARED - 1)
+
+    def needed(self, n):
+        """How many n-grams of its prefix a set of this size shares with any set that it is linked with, at least."""
+        smallest = F.ceil(F.col(n) * self.percent / 100 - 1e-9)
+        return F.least(F.lit(SHARED), F.ceil(smallest * self.percent / 100 - 1e-9))
 
     def fits(self):
         """Whether sets of these sizes can be similar enough."""
