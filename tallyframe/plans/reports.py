@@ -408,31 +408,36 @@ def films_in_stock(
 def stock_rows(
     *, films: DataFrame, languages: DataFrame, copies: DataFrame, rentals: DataFrame, customers: DataFrame
 ) -> DataFrame:
-    """Films that have a copy not out, with their latest rental.
+    """Titled films that have a copy not out, with their latest rental.
 
-    Rentals tied for the latest time each get a row. Films never rented are absent.
+    Rentals tied for the latest time each get a row. Films never rented are absent. Each step carries the title beside
+    the film's key, so that a filter on the titles of the result reaches every step and only their copies are joined and counted.
     """
+    film = ["film_id", "film_title"]
     matching = films.select("film_id", F.col("title").alias("film_title"), "language_id")
-    their_copies = exists_in(copies.select("inventory_id", "film_id"), matching, ["film_id"])
+    their_copies = lookup_join(copies.select("inventory_id", "film_id"), matching.select(*film).distinct(), ["film_id"])
     # One join of two plain tables, which adaptive execution splits at hot keys; state and latest time both follow from it.
     rented = join_on(
         rentals.select("rental_id", "customer_id", "rental_date", "return_date", "inventory_id"), their_copies, ["inventory_id"]
     )
     # A copy is out while one of its rentals is open; a film is in stock while fewer copies are out than it has.
+    is_out, rental_date = F.col("return_date").isNull().cast("int"), F.col("rental_date")
+    never = F.lit(0).alias("out"), F.lit(None).cast(dict(rentals.dtypes)["rental_date"]).alias("rental_date")
+    states = rented.select(*film, "inventory_id", is_out.alias("out"), rental_date)
+    states = states.unionByName(their_copies.select(*film, "inventory_id", *never))
     per_film = (
-        rented.groupBy("film_id", "inventory_id")
-        .agg(F.max(F.col("return_date").isNull()).cast("int").alias("out"), F.max("rental_date").alias("rental_date"))
-        .groupBy("film_id")
-        .agg(F.sum("out").alias("n_out"), F.max("rental_date").alias("rental_date"))
+        states.groupBy(*film, "inventory_id")
+        .agg(F.max("out").alias("out"), F.max("rental_date").alias("rental_date"))
+        .groupBy(*film)
+        .agg(F.count("*").alias("n_copies"), F.sum("out").alias("n_out"), F.max("rental_date").alias("rental_date"))
     )
-    owned = their_copies.distinct().groupBy("film_id").agg(F.count("*").alias("n_copies"))
-    in_stock = join_on(per_film, owned, ["film_id"]).filter("n_out < n_copies").select("film_id", "rental_date")
+    in_stock = per_film.filter("n_out < n_copies").select(*film, "rental_date")
     # Joined on (film, time), so a film with very many rentals does not meet in one task.
-    latest = join_on(rented.drop("return_date"), in_stock, ["film_id", "rental_date"])
+    latest = join_on(rented.drop("return_date"), in_stock, [*film, "rental_date"])
     return join_path(
         latest,
         [
-            (matching, ["film_id"]),
+            (matching, film),
             (languages.select("language_id", F.col("name").alias("language")), ["language_id"]),
             (
                 customers.select(

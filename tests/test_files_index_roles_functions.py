@@ -163,6 +163,30 @@ def test_stock_function_from_sql(spark):
     assert rows(spark.sql("SELECT * FROM tallyframe_in_stock(NULL)")) == []
 
 
+def test_stock_pattern_reaches_every_scan_of_the_films(spark, no_broadcast, tmp_path):
+    t = film_tables(spark)
+    t["film"].write.parquet(str(tmp_path / "film"))
+    fr.publish_stock_function(t | {"film": spark.read.parquet(str(tmp_path / "film"))})
+    found = spark.sql("SELECT * FROM tallyframe_in_stock('%love%')")
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    films = [k for k, line in enumerate(plan) if "Relation [film_id#" in line]
+    assert films and all("Contains(lower(title#" in plan[k - 1] for k in films)
+    assert len(rows(found)) == 3
+
+
+def test_stock_of_films_that_share_a_key_and_of_copies_without_one(spark, frame):
+    t = film_tables(spark)
+    twice = t["film"].filter("film_id = 1").withColumn("title", F.lit("Twin Love"))
+    lost = t["inventory"].filter("inventory_id = 60").withColumn("inventory_id", F.lit(None).cast(dict(t["inventory"].dtypes)["inventory_id"]))
+    one = bag(fr.films_in_stock(t, "%love%").drop("row_num"))
+    both = bag(fr.films_in_stock(t | {"film": t["film"].union(twice)}, "%love%").drop("row_num"))
+    own = bag(fr.films_in_stock(t | {"film": twice}, "%love%").drop("row_num"))
+    assert own and both == sorted(one + own, key=str)
+    film = t["film"].filter("film_id = 6").first().title
+    assert [r.film_title for r in fr.films_in_stock(t | {"inventory": t["inventory"].union(lost)}, "%").collect()].count(film) == 1
+    assert film not in [r.film_title for r in fr.films_in_stock(t, "%").collect()]
+
+
 def test_pattern_search_equals_a_scan(frame, tmp_path):
     titles = ["Alpha Love", "all out LOVE", "100% sure_thing", "100 sure thing", "a\\b slash", "Straße İstanbul", "ab", "", None, "Alpha Love", "xlovex love", "ΟΔΟΣ ΜΟΥ", "K2 kelvin \u212a2"]
     table = frame("id int, title string", *enumerate(titles))
