@@ -489,7 +489,7 @@ def _part(rows: list[dict], told: tuple[np.ndarray, np.ndarray], unigrams: Unigr
         score = np.bincount(local, weights=value[bigram])
         words_base = np.bincount(local, weights=np.where(free[histories], np.log10(known[histories] + 1), 0.0))
         words_known = np.bincount(local, weights=free[histories] & (known[histories] > 0))
-        out.append(("sum", row["chunk"], None, _pack(present, "<u4"), score.astype("<f8").tobytes(), words_base.astype("<f8").tobytes(), words_known.astype("<i8").tobytes(), None, None))
+        out.append(("sum", row["chunk"], None, _pack(present, "<u4"), _pack(score, "<f8"), _pack(words_base, "<f8"), _pack(words_known, "<u4"), None, None))
         wait = np.flatnonzero(later[bigram])
         if len(wait):
             cells, times = np.unique(doc[wait] << 32 | 2 * places[at[histories[wait]]] | seen[bigram[wait]], return_counts=True)
@@ -517,9 +517,9 @@ def _finish(batches: Iterator[pa.RecordBatch], weights: np.ndarray, unigrams: Un
             docs = _unpack(row["one"], "<u4").astype(np.int64)
             score, base, known = grown(row["chunk"], int(docs.max()) + 1)
             if row["kind"] == "sum":
-                score[docs] += np.frombuffer(row["two"], "<f8")
-                base[docs] += np.frombuffer(row["three"], "<f8")
-                known[docs] += np.frombuffer(row["four"], "<i8")
+                score[docs] += _unpack(row["two"], "<f8")
+                base[docs] += _unpack(row["three"], "<f8")
+                known[docs] += _unpack(row["four"], "<u4")
             else:
                 np.add.at(score, docs, np.log10(weights[_unpack(row["two"], "<u4")]) * _unpack(row["three"], "<u4"))
     for chunk, head in heads.items():

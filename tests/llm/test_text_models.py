@@ -318,3 +318,14 @@ def test_evidence_reaches_all_repeats_and_documents_without_patterns(spark, docu
     field.shape[personal._shape("4455")] = np.log([0.01, 0.01, 0.01, 0.01, 0.96])
     spans = {r.doc_id: [s.kind for s in r.pii_spans if not s.base] for r in personal.find(documents((1, "x 4455 y"), (2, "x 4455 y 10.0.0.1")), field).collect()}
     assert spans == {1: ["phone"], 2: ["phone"]}
+
+
+def test_sums_of_a_part_are_packed():
+    texts = [" ".join(f"w{(k * j) % 97}" for j in range(1, 60)) for k in range(2000)]
+    batch = pa.record_batch({"key": pa.array(range(2000)), "text": pa.array(texts), "train": pa.array([True] * 2000)})
+    words = np.unique(katz._tokens(np.frombuffer("\n".join(texts).encode(), np.uint8), np.array([0, sum(map(len, texts)) + 1999])).word)
+    unigrams = katz.Unigrams(120_000, len(words), words, np.full(len(words), 1000), 2000, 1 << 40)
+    dealt = [row for made in katz._deal(iter([batch]), unigrams, 4, pa.int64()) for row in made.to_pylist() if row["part"] == 1]
+    (found,) = katz._part(dealt, (np.zeros(0, np.uint64), np.zeros(0, np.uint64)), unigrams, np.ones(katz.TOP_R + 2))
+    docs = len(katz._unpack(found[3], "<u4"))
+    assert docs > 1000 and sum(map(len, found[4:7])) < 12 * docs
