@@ -31,8 +31,8 @@ from tallyframe.llm.workers import lean
 
 SEQUENCE = 2048
 BUCKET_ROWS = 50_000
-#: Bytes, about, of the chunks of text, and of the runs within them, that a Python worker keeps of late with their ids; as many of those before stay.
-CACHE_BYTES, RUN_BYTES = 40 << 20, 16 << 20
+#: Bytes, about, of the chunks of text and ASCII runs within them, and of the other runs, that a Python worker keeps of late with their ids; as many of those before stay.
+CACHE_BYTES, RUN_BYTES = 48 << 20, 8 << 20
 #: Longer chunks and runs are not kept.
 CACHE_LENGTH = 100
 #: What an entry takes besides its text and ids.
@@ -70,7 +70,7 @@ class _Kept:
         return ids
 
     def put(self, text: str, ids: bytes) -> None:
-        if len(text) > CACHE_LENGTH:
+        if len(text) > CACHE_LENGTH or text in self.new:
             return
         self.weight += _ENTRY + len(text) + len(ids)
         if self.weight > self.most:
@@ -83,8 +83,8 @@ class _Encoder:
 
     The tokenizer drops white space and joins nothing across it, so a text's ids are those of its chunks in turn. A chunk of
     Latin letters and ASCII signs splits into runs of letters, single digits and runs of signs; each run's ids come from the
-    tokenizer's model alone, without its normalizer and splitter, which cost several times as much. All other
-    chunks go through the whole tokenizer, and so do texts that may hold special tokens or control characters on which Python and the tokenizer differ.
+    tokenizer's model alone, without its normalizer and splitter, which cost several times as much. An ASCII run has the ids of the
+    chunk that reads like it, so both are kept together. All other chunks go through the whole tokenizer, and so do texts that may hold special tokens or control characters on which Python and the tokenizer differ.
     """
 
     def __init__(self, file: str):
@@ -93,6 +93,7 @@ class _Encoder:
 
         self.tokenizer = Tokenizer.from_file(file)
         self.model = self.tokenizer.model
+        self.numbers = [n.to_bytes(4, "little") for n in range(self.tokenizer.get_vocab_size())]
         self.chunks, self.runs = _Kept(CACHE_BYTES), _Kept(RUN_BYTES)
         splitter = json.loads(self.tokenizer.to_str())["pre_tokenizer"]["pretokenizers"][0]
         self.split = regex.compile(splitter["pattern"]["Regex"]).findall
@@ -101,35 +102,45 @@ class _Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
+    def modelled(self, run: str) -> bytes:
+        mapped = run if run.isascii() and run.isprintable() else run.encode().decode("latin-1").translate(_SHOWN)
+        return b"".join([self.numbers[token.id] for token in self.model.tokenize(mapped)])
+
     def run(self, run: str) -> bytes:
-        ids = self.runs.get(run)
+        kept = self.chunks if run.isascii() else self.runs
+        ids = kept.get(run)
         if ids is None:
-            mapped = run if run.isascii() and run.isprintable() else run.encode().decode("latin-1").translate(_SHOWN)
-            ids = np.array([token.id for token in self.model.tokenize(mapped)], dtype="<u4").tobytes()
-            self.runs.put(run, ids)
+            ids = self.modelled(run)
+            kept.put(run, ids)
         return ids
 
     def missing(self, chunks: set[str]) -> dict[str, bytes]:
         """The ids of chunks that are not among the new ones."""
-        found = {chunk: ids for chunk in chunks if (ids := self.chunks.get(chunk)) is not None}
-        chunks = chunks.difference(found)
-        far = [chunk for chunk in chunks if not chunk.isascii() and max(chunk) >= _LATIN_END]
-        fresh = dict(zip(far, self.whole(far), strict=True)) if far else {}
-        for chunk in chunks.difference(far):
-            fresh[chunk] = b"".join(map(self.run, self.split(chunk.lower())))
-        for chunk, ids in fresh.items():
+        found, far = {}, []
+        for chunk in chunks:
+            ids = self.chunks.get(chunk)
+            if ids is None:
+                plain = chunk.isascii()
+                if not plain and max(chunk) >= _LATIN_END:
+                    far.append(chunk)
+                    continue
+                ids = self.modelled(chunk) if plain and chunk.isalpha() and chunk.islower() else b"".join(map(self.run, self.split(chunk.lower())))
+                self.chunks.put(chunk, ids)
+            found[chunk] = ids
+        for chunk, ids in zip(far, self.whole(far) if far else (), strict=True):
+            found[chunk] = ids
             self.chunks.put(chunk, ids)
-        return found | fresh
+        return found
 
     def encode(self, text: str) -> bytes:
         if "<|" in text or any(c in text for c in "\x1c\x1d\x1e\x1f"):
             return self.whole([text])[0]
-        chunks, kept = text.split(), self.chunks.new
-        try:
-            return b"".join(map(kept.__getitem__, chunks))
-        except KeyError:
-            missing = self.missing(set(chunks).difference(kept))
-            return b"".join([ids if (ids := missing.get(chunk)) is not None else kept[chunk] for chunk in chunks])
+        chunks = text.split()
+        ids = list(map(self.chunks.new.get, chunks))
+        if lost := {chunk for chunk, known in zip(chunks, ids, strict=True) if known is None}:
+            found = self.missing(lost)
+            ids = [found[chunk] if known is None else known for chunk, known in zip(chunks, ids, strict=True)]
+        return b"".join(ids)
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], file: str, sequence: int, key_type: pa.DataType, keep_ids: bool) -> Iterator[pa.RecordBatch]:
