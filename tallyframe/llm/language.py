@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyframe.llm.sampling import sample_texts
 from tallyframe.llm.words import code_table, mix, text_chunks, words_of
+from tallyframe.llm.workers import lean
 
 SAMPLE_ROWS = 1000
 FEATURES = 1 << 17
@@ -118,7 +119,7 @@ def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     languages = sorted(row[0] for row in sample.select("lang").distinct().collect())
     if not languages:
         return Model([], np.zeros((FEATURES, 0), np.float32), np.zeros((14, 0), bool))
-    counts = sample.mapInArrow(lambda batches: _count(batches, languages), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    counts = sample.mapInArrow(lean(lambda batches: _count(batches, languages)), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
     table = np.zeros((FEATURES + 14, len(languages)))
     table.ravel()[counts.column("key").to_numpy()] = counts.column("n").to_numpy()
     seen, scripts = table[:FEATURES], table[FEATURES:]
@@ -268,7 +269,7 @@ def identify(documents: DataFrame, model: Model, text: str = "text", with_spans:
             columns = [*batch.columns, pa.array(names, pa.string()), pa.array(shares, pa.float64())] + [pa.array(spans, spans_type)] * with_spans
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *added])
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(lean(run), schema)
 
 
 def _schema(kept: DataFrame, with_spans: bool) -> str:

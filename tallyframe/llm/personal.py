@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyframe.llm.sampling import sample_texts
 from tallyframe.llm.words import SPACED, code_table, text_chunks
+from tallyframe.llm.workers import lean
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = len(KINDS) + 1
@@ -215,7 +216,7 @@ def learn(documents: DataFrame, text: str = "text", sample_rows: int = SAMPLE_RO
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(tables.ravel()[at])], names=["at", "n"])
 
     sample = sample_texts(documents.select(F.col(text).alias("text")), sample_rows)
-    counted = sample.mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n")).collect()
+    counted = sample.mapInArrow(lean(count), "at long, n long").groupBy("at").agg(F.sum("n")).collect()
     tables = np.zeros((SHAPES + 2 * LABELS, LABELS))
     for at, n in counted:
         tables.ravel()[at] = n
@@ -311,7 +312,7 @@ def find(documents: DataFrame, field: Field, text: str = "text") -> DataFrame:
             spans = [[{"kind": KINDS[k], "start": s, "end": e, "base": b} for k, s, e, b in found.get(row, ())] for row in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(spans, _SPANS)], names=[*batch.schema.names, "pii_spans"])
 
-    return kept.mapInArrow(run, _schema(kept, "pii_spans array<struct<kind: string, start: long, end: long, base: boolean>>"))
+    return kept.mapInArrow(lean(run), _schema(kept, "pii_spans array<struct<kind: string, start: long, end: long, base: boolean>>"))
 
 
 def mask(documents: DataFrame, field: Field, text: str = "text") -> DataFrame:
@@ -329,7 +330,7 @@ def mask(documents: DataFrame, field: Field, text: str = "text") -> DataFrame:
             columns[at] = column if texts is None else pa.array(texts, column.type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return documents.mapInArrow(run, _schema(documents))
+    return documents.mapInArrow(lean(run), _schema(documents))
 
 
 def _masked(text: str, spans: list[tuple[int, int, int, bool]]) -> str:

@@ -27,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyframe.llm.words import ALNUM, text_chunks, words_of
+from tallyframe.llm.workers import lean
 from tallyframe.session import scratch_path
 
 WINDOW = 13
@@ -84,7 +85,7 @@ def write_index(documents: DataFrame, path: str, key: str = "doc_id", text: str
     arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
     schema = f"segment long, keys array<{kind}>, first binary, terms binary, starts binary, places binary"
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    rows.mapInArrow(lambda batches: _index(batches, arrow), schema).write.option("compression", "zstd").parquet(path)
+    rows.mapInArrow(lean(lambda batches: _index(batches, arrow)), schema).write.option("compression", "zstd").parquet(path)
 
 
 def _windows(items: Iterator[tuple[str | None, str | None]], size: int, limit: int) -> Iterator[list[tuple[bytes, str | None]]]:
@@ -189,7 +190,7 @@ def find_passages(
     listed = items.select(F.col(key).cast("string"), F.col(text))
     passes: list[str] = []
     for block in _windows(listed.toLocalIterator(), size, block_windows):
-        hits = index.mapInArrow(_matcher(block, slack, not passes), schema)
+        hits = index.mapInArrow(lean(_matcher(block, slack, not passes)), schema)
         passes.append(scratch_path(spark, "hits"))
         hits.write.parquet(passes[-1])
     found = spark.read.schema(schema).parquet(*passes)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tallyframe.llm import components, jaccard, packing, positional, wrapper
+from tallyframe.llm import components, jaccard, language, packing, personal, positional, wrapper
 from tallyframe.llm.queries import op3_packing, op6_decontamination, op8_near_copies, tokenizer_file
 from tallyframe.session import scratch_path
 from tests.conftest import bag
@@ -358,3 +358,23 @@ def test_near_copies_stage_takes_five_words_and_four_fifths(spark, documents):
 def test_class_names_exclude_as_whole_names(page, want):
     assert "\n".join(wrapper._content(wrapper.page_tree(page), None, ())) == want
 
+
+
+def test_runs_and_chunks_of_letters_are_kept_once():
+    encoder = packing._Encoder(tokenizer_file())
+    parts = [b"".join(map(encoder.encode, text.split())) for text in ("word word, Word (word) wörd", "x1 a-b --")]
+    assert parts == encoder.whole(["word word, Word (word) wörd", "x1 a-b --"])
+    assert "word" in encoder.chunks.new and "word" not in encoder.runs.new and "wörd" in encoder.runs.new
+    weight = encoder.chunks.weight
+    encoder.chunks.put("word", encoder.chunks.get("word"))
+    assert encoder.chunks.weight == weight
+
+
+def test_stages_of_the_pipeline_hand_memory_back(documents, spark, monkeypatch):
+    docs, made = documents(*((k, "one two three a@b.example") for k in range(20))), []
+    for module in (language, personal, positional):
+        monkeypatch.setattr(module, "lean", lambda function, module=module: made.append(module) or function)
+    language.identify(docs, language.learn(docs))
+    personal.mask(docs, personal.learn(docs))
+    positional.write_index(docs, scratch_path(spark, "index"))
+    assert made == [language] * 2 + [personal] * 2 + [positional]
