@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tallyframe.llm.workers import lean
+from tallyframe.llm.workers import KEPT, lean
 
 SEQUENCE = 2048
 BUCKET_ROWS = 50_000
@@ -52,7 +52,7 @@ def _shown_bytes() -> dict[int, str]:
 
 
 _SHOWN = _shown_bytes()
-_encoders: dict[str, "_Encoder"] = {}
+_encoders: dict[str, "_Encoder"] = KEPT.setdefault("packing", {})
 
 
 class _Kept:
@@ -174,7 +174,7 @@ def write_pieces(documents: DataFrame, path: str, file: str, key: str = "doc_id"
     arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
     schema = f"key {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    rows.mapInArrow(lean(lambda batches: _pieces(batches, file, sequence, arrow, keep_ids)), schema).write.parquet(path)
+    rows.mapInArrow(lean(lambda batches: _pieces(batches, file, sequence, arrow, keep_ids), "packing"), schema).write.parquet(path)
 
 
 def patterns_of(lengths: list[int], sequence: int = SEQUENCE) -> list[tuple[int, ...]]:

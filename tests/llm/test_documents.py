@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tallyframe.llm import components, jaccard, language, packing, personal, positional, wrapper
+from tallyframe.llm import components, jaccard, language, packing, personal, positional, workers, wrapper
 from tallyframe.llm.queries import op3_packing, op6_decontamination, op8_near_copies, tokenizer_file
 from tallyframe.session import scratch_path
 from tests.conftest import bag
@@ -378,3 +378,9 @@ def test_stages_of_the_pipeline_hand_memory_back(documents, spark, monkeypatch):
     personal.mask(docs, personal.learn(docs))
     positional.write_index(docs, scratch_path(spark, "index"))
     assert made == [language] * 2 + [personal] * 2 + [positional]
+
+
+def test_other_tasks_drop_what_packing_kept():
+    packing._encoders["one"] = object()
+    assert list(workers.lean(lambda batches: batches, "packing")(iter([1]))) == [1] and "one" in packing._encoders
+    assert list(workers.lean(lambda batches: batches)(iter([1]))) == [1] and "one" not in packing._encoders
