@@ -7,8 +7,8 @@
 5. packing: the texts as token pieces placed in sequences of 2048 tokens.
 
 Rows are told apart by doc_id and text. Rows that agree in both are copies of each other (one stays in stage 2); rows without words are linked with nothing
-and stay there. Every stage takes empty tables. Stages 2 and 3 write the keys of the rows that go, so that Spark knows their size and
-broadcasts them only if they are under its threshold; else both sides are shuffled.
+and stay there. Every stage takes empty tables. Stages 2 and 3 write the keys of the rows that go. A filter of at most ``FILTER_WORDS`` 64-bit words over these keys
+parts the rows that cannot be meant, which stay where they are, from the others, which are joined with the keys (and shuffled, if the keys are not small).
 """
 
 from __future__ import annotations
@@ -25,6 +25,9 @@ LEAST_SCORE = 0.25
 #: Words of an n-gram and least similarity in per cent of near copies; op8's own values hold for that query only.
 COPY_WORDS, COPY_PERCENT = 5, 80
 
+#: Words of the filter over keys of rows, at most; it is broadcast. Rows that it lets through are joined with the keys themselves.
+FILTER_WORDS = 1 << 18
+
 #: Not expressible in SQL: models, tokenizer and packing are code. The stages are tested against brute force.
 ORACLE_SQL = None
 
@@ -40,10 +43,22 @@ def _written(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.parquet(path)
 
 
-def _without(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The documents whose row is not among these."""
-    keys = rows.select(F.to_json("row").alias("gone"))
-    return docs.join(_written(keys.distinct(), "gone"), F.to_json(_row()) == F.col("gone"), "left_anti")
+def _parted(docs: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The documents that may be among these keys, and those that are not; the texts of the latter need no shuffle."""
+    word = lambda key: F.xxhash64(key).bitwiseAND(FILTER_WORDS - 1)
+    bit = lambda key: F.shiftrightunsigned(F.xxhash64(key), 58).cast("int")
+    hashed = keys.toDF("key").select(word("key").alias("word"), bit("key").alias("bit"))
+    # At most FILTER_WORDS rows, whatever the keys.
+    words = F.broadcast(hashed.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")))
+    key = F.to_json(_row())
+    met = (word(key) == F.col("word")) & (F.call_function("getbit", F.col("bits"), bit(key)) == 1)
+    return docs.join(words, met, "left_semi"), docs.join(words, met, "left_anti")
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The documents whose key is not among the written ones."""
+    doubtful, clear = _parted(docs, gone)
+    return clear.union(doubtful.join(gone, F.to_json(_row()) == F.col("gone"), "left_anti"))
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,12 +71,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     reach_package(spark)
     keyed = docs.select(_row().alias("row"), "text")
     placed = _written(jaccard.components(keyed, size=COPY_WORDS, percent=COPY_PERCENT, key="row").withColumnRenamed("doc_id", "row"), "placed")
-    kept = _without(docs, placed.where(F.col("row") != F.col("component_id")))
+    gone = _written(placed.where(F.col("row") != F.col("component_id")).select(F.to_json("row").alias("gone")).distinct(), "gone")
     repeated = placed.where("n_shingles > 0").groupBy("row").count().where("count > 1").select("row")
     repeated = _written(repeated.select(F.to_json("row").alias("again")), "repeated")
+    doubtful, clear = _parted(docs, gone.union(repeated))
     key = F.to_json(_row())
+    kept = doubtful.join(gone, key == F.col("gone"), "left_anti")
     once = kept.join(repeated, key == F.col("again"), "left_semi").withColumn("row_key", key).dropDuplicates(["row_key"]).drop("row_key")
-    return kept.join(repeated, key == F.col("again"), "left_anti").union(once.select(docs.columns))
+    return clear.union(kept.join(repeated, key == F.col("again"), "left_anti")).union(once.select(docs.columns))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,8 +87,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     positional.write_index(docs.select(F.to_json(_row()).alias("row"), "text"), path, key="row")
     found = positional.find_passages(spark, path, spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
     gone = found.where(positional.contaminated(F.col("n_hit"), F.col("n_words")))
-    gone = _written(gone.select(F.col("key").alias("gone")).distinct(), "gone")
-    return docs.join(gone, F.to_json(_row()) == F.col("gone"), "left_anti")
+    return _without(docs, _written(gone.select(F.col("key").alias("gone")).distinct(), "gone"))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

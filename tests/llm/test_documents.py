@@ -295,6 +295,15 @@ def test_connected_components_of_long_chains(spark, tmp_path):
 # --- pipeline -------------------------------------------------------------
 
 
+def test_few_texts_are_shuffled_for_the_rows_that_go(spark, documents):
+    docs = documents(*[(k, f"text {k}") for k in range(2000)], (None, "without"), (5, "other"))
+    gone = docs.where("doc_id % 100 = 7 OR doc_id IS NULL").select(F.to_json(corpus_pipeline._row()).alias("gone"))
+    doubtful, clear = corpus_pipeline._parted(docs, gone)
+    assert 21 <= doubtful.count() <= 40 and doubtful.count() + clear.count() == 2002
+    assert bag(corpus_pipeline._without(docs, gone), "doc_id") == bag(docs.where("NOT (doc_id % 100 <=> 7) AND doc_id IS NOT NULL"), "doc_id")
+    assert corpus_pipeline._without(docs, gone.limit(0)).count() == 2002
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     rows = {r.doc_id: r for r in docs.collect()}
