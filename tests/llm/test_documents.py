@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -292,6 +293,39 @@ def test_connected_components_of_long_chains(spark, tmp_path):
     assert components.connected(spark.createDataFrame([], "a long, b long"), str(tmp_path / "none")).count() == 0
 
 
+def passage_documents(many):
+    """Texts that share a passage, of which few are linked: those of ten a number, with one word of their own at the end."""
+    draw = np.random.default_rng(11)
+    passage = " ".join(draw.choice([f"p{k}" for k in range(300)], size=24, replace=False))
+    docs = [(k, " ".join([f"x{k}a{j}" for j in range(2 + k % 5)] + [passage] + [f"y{k}b{j}" for j in range(k % 7)])) for k in range(many)]
+    return docs + [(many + k, f"{docs[10 * k][1]} z{k}") for k in range(many // 10)]
+
+
+def test_a_frequent_passage_costs_blocks_not_pairs(spark, documents, monkeypatch):
+    docs = passage_documents(300)
+    monkeypatch.setattr(jaccard, "WORTH", 2.0)  # one turn of stars, then across
+    seen = []
+    across = jaccard.Join.across
+    monkeypatch.setattr(jaccard.Join, "across", lambda self, mixed: (across(self, mixed), seen.append(self.path))[0])
+    assert bag(jaccard.components(documents(*docs))) == brute_components(docs)
+    seats = spark.read.parquet(f"{seen[0]}/seats")
+    assert seats.select("group", "block").distinct().count() <= 20 < seats.select("root").distinct().count()
+    assert max(r.many for r in seats.collect()) > jaccard.HOT
+
+
+def test_postings_without_room_for_a_link_stay_out():
+    def part(postings):
+        token, node, n, place = (np.array(x, np.int64) for x in zip(*postings, strict=True))
+        local = np.concatenate([place.astype("<i4").view(np.uint8), np.arange(len(node), dtype="<i4").view(np.uint8), np.zeros(len(node), np.uint8)])
+        names = ["part", "sure", "tokens", "nodes", "sizes", "local"]
+        return pa.RecordBatch.from_pylist([dict(zip(names, [0, False, token.astype(np.uint64).tobytes(), node.tobytes(), n.tobytes(), local.tobytes()], strict=True))])
+
+    # 100 and 100 n-grams at 80: at least 89 in common, so the first four they share stand at places up to 14.
+    rows = [(1, 10, 100, 14), (1, 11, 100, 3), (2, 10, 100, 15), (2, 11, 100, 3)]
+    kept = [r for b in jaccard._shared(iter([part(rows)]), 80) for r in b.to_pylist()]
+    assert [(r["token"], r["node"]) for r in kept] == [(1, 10), (1, 11)]
+
+
 # --- pipeline -------------------------------------------------------------
 
 
