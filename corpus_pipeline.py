@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tallyframe.llm import jaccard, language, packing, personal, positional
 from tallyframe.llm.queries import tokenizer_file
 from tallyframe.llm.workers import reach_package
-from tallyframe.session import scratch_path
+from tallyframe.session import scratch_path, written
 
 #: Below this share of letters in one language a document has none. Texts that mix two or three languages are kept.
 LEAST_SCORE = 0.25
@@ -38,9 +38,7 @@ def _row() -> Column:
 
 
 def _written(frame: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(frame.sparkSession, name)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.parquet(path)
+    return written(frame, scratch_path(frame.sparkSession, name))
 
 
 def _parted(docs: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:

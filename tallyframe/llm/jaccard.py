@@ -36,13 +36,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tallyframe.llm.components import connected
 from tallyframe.llm.words import SPACED, mix, ranges, run_hashes, text_chunks, words_of
 from tallyframe.llm.workers import lean
-from tallyframe.session import scratch_path
+from tallyframe.session import scratch_path, written
 
 FRAGMENTS = 4
 #: Buckets of the count table: a fixed size, whatever the corpus. It only steers the work.
 BUCKETS = 1 << 20
 #: Bits of the filter for nodes whose sets are wanted: for each of them, and at most. What it lets through is joined with the nodes.
 NODE_BITS, FILTER_BITS = 16, 1 << 25
+#: Partitions that its words come to the driver in, one after another.
+WORD_PARTS = 8
 #: A turn of stars with a smaller share of the first one's links is the last; partners of a node in a turn after the first; members of a block.
 WORTH = 0.25
 TRIES = 8
@@ -370,8 +372,7 @@ class Join:
         kind = dict(documents.dtypes)[key]
         schema = f"doc_id {kind}, n long, node long, check long, slice int, counts binary"
         rows = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-        rows.mapInArrow(lean(lambda batches: _survey(batches, size)), schema).write.parquet(f"{self.path}/survey")
-        survey = self.spark.read.parquet(f"{self.path}/survey")
+        survey = written(rows.mapInArrow(lean(lambda batches: _survey(batches, size)), schema), f"{self.path}/survey")
         self.members = survey.where("slice IS NULL").select("doc_id", "n", "node")
         self.counts = np.zeros(BUCKETS, np.int64)
         slices = survey.where("slice IS NOT NULL").select("slice", "counts").repartition("slice").mapInArrow(_sum_slices, "slice int, counts binary")
@@ -389,19 +390,17 @@ class Join:
         schema = "part long, sure boolean, tokens binary, nodes binary, sizes binary, local binary"
         packed = self.texts.mapInArrow(lean(lambda batches: _prefixes(batches, size, percent, level, parts)), schema)
         found = packed.repartition(parts, "part").mapInArrow(lean(lambda batches: _shared(batches, percent)), "token long, node long, n long, place int")
-        found.write.parquet(f"{self.path}/shared")
-        return self.spark.read.parquet(f"{self.path}/shared").distinct()
+        return written(found, f"{self.path}/shared").distinct()
 
     def write_sets(self, nodes: DataFrame, name: str) -> DataFrame:
         """The fragments (node, fragment, keys) of these nodes' sets, in one more pass over the texts; written."""
-        nodes.distinct().write.parquet(f"{self.path}/wanted-{name}")
-        nodes = self.spark.read.parquet(f"{self.path}/wanted-{name}")
+        nodes = written(nodes.distinct(), f"{self.path}/wanted-{name}")
         many = nodes.count()
         bits = min(FILTER_BITS, max(64, 1 << (NODE_BITS * many).bit_length()))
         bit = F.col("node").bitwiseAND(bits - 1)
         wanted = np.zeros(bits // 8, np.uint8)
         words = nodes.groupBy(F.shiftright(bit, 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(node & 31 as int))")).alias("bits"))
-        for word, found in words.toLocalIterator():  # at most FILTER_BITS / 32 rows
+        for word, found in words.repartition(WORD_PARTS).toLocalIterator():  # at most FILTER_BITS / 32 rows, a job for each partition
             wanted.view("<u4")[word] = found
         size, level, pivots = self.size, self.level, self.pivots
         segments = self.texts.mapInArrow(lean(lambda batches: _segments(batches, size, level, pivots, wanted)), "node long, fragment int, keys binary")
@@ -433,45 +432,36 @@ class Join:
         if self.has is not None and missing.isEmpty():
             return
         self.sets.append(self.write_sets(missing, name))
-        has = self.spark.read.parquet(f"{self.path}/wanted-{name}")
+        has = self.spark.read.schema("node long").parquet(f"{self.path}/wanted-{name}")
         self.has = has if self.has is None else self.has.union(has)
 
     def links(self, pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs (a, b, na, nb) whose overlap links them; written, and so are the pairs."""
-        pairs.write.parquet(f"{self.path}/pairs-{name}")
-        pairs = self.spark.read.parquet(f"{self.path}/pairs-{name}")
-        self.need_sets(pairs.select(F.col("a").alias("node")).union(pairs.select("b")), name)
-        # The set of the node in more pairs stays, those of its partners travel.
+        """The pairs (a, b, na, nb) whose overlap links them; written, and so are the pairs. Their sets have been written before."""
+        pairs = written(pairs, f"{self.path}/pairs-{name}")
+        # Many rounds: both sides are dealt by node, and merged as in ``connected``. The set of the node in more pairs stays, those of its partners travel.
         many = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("many"))
-        ranked = pairs.select("a", "b").join(many.toDF("a", "many_a"), "a").join(many.toDF("b", "many_b"), "b")
+        ranked = pairs.select("a", "b").join(many.toDF("a", "many_a").hint("merge"), "a").join(many.toDF("b", "many_b").hint("merge"), "b")
         swap = F.col("many_b") > F.col("many_a")
-        turned = ranked.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b"))
-        turned.write.parquet(f"{self.path}/turned-{name}")
-        turned = self.spark.read.parquet(f"{self.path}/turned-{name}")
-        groups = turned.groupBy("a").agg(F.ceil(F.count("*") / GROUP_ROWS).alias("groups"))
-        dealt = turned.join(groups, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("groups")))
-        dealt.select("a", "salt", "b").union(dealt.select("a", "salt", F.col("a").alias("b")).distinct()).write.parquet(f"{self.path}/wished-{name}")
-        wished = self.spark.read.parquet(f"{self.path}/wished-{name}")
+        turned = ranked.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b"), F.greatest("many_a", "many_b").alias("many"))
+        dealt = turned.withColumn("salt", F.pmod(F.xxhash64("b"), F.ceil(F.col("many") / GROUP_ROWS)))
+        wished = written(dealt.select("a", "salt", "b").union(dealt.select("a", "salt", F.col("a").alias("b")).distinct()), f"{self.path}/wished-{name}")
         placed = self.with_sets(wished, "b").select("a", "salt", "fragment", "b", "keys")
         place = ["a", "salt", "fragment"]
         sorted_ = placed.repartition(*place).sortWithinPartitions(*place, F.col("a") != F.col("b"))
         partial = sorted_.mapInArrow(lean(_overlaps), "a long, b long, overlap long")
         sums = partial.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("overlap").alias("overlap"))
         found = sums.join(pairs, ["a", "b"]).where(100 * F.col("overlap") >= self.percent * (F.col("na") + F.col("nb") - F.col("overlap")))
-        found.select("a", "b", "overlap", "na", "nb").write.parquet(f"{self.path}/links-{name}")
-        return self.spark.read.parquet(f"{self.path}/links-{name}")
+        return written(found.select("a", "b", "overlap", "na", "nb"), f"{self.path}/links-{name}")
 
     def mixed(self, postings: DataFrame, roots: DataFrame | None, name: str) -> DataFrame:
         """The postings of n-grams whose nodes are in several components, with their roots; written."""
         if roots is None:  # each node is a component, and each n-gram has several nodes
-            postings.select("token", "node", "n", "place", F.col("node").alias("root")).write.parquet(f"{self.path}/mixed-{name}")
-            return self.spark.read.parquet(f"{self.path}/mixed-{name}")
+            return written(postings.select("token", "node", "n", "place", F.col("node").alias("root")), f"{self.path}/mixed-{name}")
         placed = postings.select("token", "node", "n", "place").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         split = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("n").alias("least"), F.max("n").alias("most")).where("low < high")
         least = F.greatest("least", F.ceil(F.col("n") * self.percent / 100 - 1e-9))
         placed = placed.join(split.select("token", "least", "most"), "token").where(self.early(F.col("n"), F.col("place"), least))
-        placed.select("token", "node", "n", "place", "root").write.parquet(f"{self.path}/mixed-{name}")
-        return self.spark.read.parquet(f"{self.path}/mixed-{name}")
+        return written(placed.select("token", "node", "n", "place", "root"), f"{self.path}/mixed-{name}")
 
     def stars(self, mixed: DataFrame, turn: int) -> DataFrame:
         """Each node with others of its n-grams and about its size: those that are first in an n-gram, in an order of this turn.
@@ -492,15 +482,15 @@ class Join:
         to_root = F.sum("times").over(Window.partitionBy("node", "to"))
         met = met.repartition("node").withColumn("to_root", to_root).where(F.col("to_root") >= F.least(F.lit(2), self.needed("n"))).drop("to", "to_root")
         if self.has is None:
-            met.write.parquet(f"{self.path}/met")
-            met = self.spark.read.parquet(f"{self.path}/met")
+            met = written(met, f"{self.path}/met")
             self.need_sets(met.select("node").union(met.select("other")), "first")
         else:  # nodes that met nobody in two n-grams until now wait for the last round
             met = met.join(self.has, "node", "left_semi")
         place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("times"), F.xxhash64("other", F.lit(turn))))
         best = met.withColumn("place", place).where(F.col("place") <= (1 if turn == 0 else TRIES))
         best = best.join(self.has.withColumnRenamed("node", "other"), "other", "left_semi")
-        return best.select(*_pair("node", "n", "other", "other_n")).where(self.fits()).distinct()
+        # Dealt by the pair alone, as the join with the pairs of earlier turns needs them.
+        return best.select(*_pair("node", "n", "other", "other_n")).where(self.fits()).groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"))
 
     def across(self, mixed: DataFrame) -> DataFrame:
         """The strongest links of each node to the blocks of larger groups that share enough n-grams with it, one for a component; written.
@@ -521,8 +511,7 @@ class Join:
         many = grouped.groupBy("group").agg(F.count("*").alias("many"))
         block = F.pmod(F.xxhash64("node"), F.ceil(F.col("many") / BLOCK))
         seat = F.row_number().over(Window.partitionBy("group", "block").orderBy("node")) - 1
-        grouped.join(many, "group").withColumn("block", block).withColumn("seat", seat).drop("family").write.parquet(f"{path}/seats")
-        seats = self.spark.read.parquet(f"{path}/seats")
+        seats = written(grouped.join(many, "group").withColumn("block", block).withColumn("seat", seat).drop("family"), f"{path}/seats")
         placed = mixed.select("token", "node", "place").join(seats, "node")
         blocks = placed.groupBy("token", F.col("group").alias("to"), F.col("block").alias("to_block"), F.col("many").alias("to_many")).agg(
             F.min("n").alias("least"), F.max("n").alias("most"), F.min("place").alias("soonest"), F.min("root").alias("first_root"), F.max("root").alias("last_root")
@@ -535,8 +524,7 @@ class Join:
         soon = self.early(F.col("n"), F.col("place"), least) & self.early(most, F.col("soonest"), F.col("n"))
         met = placed.join(blocks, "token").where(ordered & (least <= most) & soon)
         met = met.groupBy("node", "n", "root", F.col("to").alias("group"), F.col("to_block").alias("block")).agg(F.count("*").alias("times"))
-        met.where(F.col("times") >= self.needed("n")).drop("times").write.parquet(f"{path}/across")
-        met = self.spark.read.parquet(f"{path}/across")
+        met = written(met.where(F.col("times") >= self.needed("n")).drop("times"), f"{path}/across")
         there = met.select("group", "block").groupBy("group", "block").agg(F.ceil(F.count("*") / GROUP_ROWS).alias("groups"))
         members = seats.select("group", "block", "node", "n", "root", "seat").join(there, ["group", "block"])
         self.need_sets(members.select("node").union(met.select("node")), "across")
@@ -544,8 +532,7 @@ class Join:
         asked = met.join(there, ["group", "block"]).withColumn("salt", F.pmod(F.xxhash64("node"), F.col("groups")))
         columns = ["group", "block", "salt", "node", "seat"]
         wished = members.withColumn("salt", salts).select(columns).union(asked.withColumn("seat", F.lit(None).cast("int")).select(columns))
-        wished.write.parquet(f"{path}/wished-across")
-        wished = self.spark.read.parquet(f"{path}/wished-across")
+        wished = written(wished, f"{path}/wished-across")
         place = ["group", "block", "salt", "fragment"]
         dealt = self.with_sets(wished, "node").repartition(*place).sortWithinPartitions(*place, F.col("seat").isNull())
         partial = dealt.select("group.several", "group.id", *place[1:], "node", "seat", "keys").mapInArrow(lean(_block_overlaps), "node long, several boolean, id long, block long, counts binary")
@@ -556,8 +543,7 @@ class Join:
         percent, key = self.percent, ["node", "group", "block"]
         whole = whole.repartition(*key).sortWithinPartitions(*key).select("node", "n", "root", "group.several", "group.id", "block", "counts", "members")
         found = whole.mapInArrow(lambda batches: _strongest(batches, percent), "a long, b long, overlap long, na long, nb long")
-        found.write.parquet(f"{path}/links-across")
-        return self.spark.read.parquet(f"{path}/links-across")
+        return written(found, f"{path}/links-across")
 
     def early(self, n, place, other_n):
         """Whether a place can be that of one of the first ``SHARED`` n-grams that a set of size ``n`` shares with a linked set of size ``other_n``.
@@ -600,8 +586,9 @@ def join(documents: DataFrame, size: int = 4, percent: int = 85, key: str = "doc
             new = work.across(mixed)
         else:
             pairs = work.stars(mixed, turn)
-            for k in range(turn):
-                pairs = pairs.join(work.spark.read.parquet(f"{work.path}/pairs-{k}").select("a", "b"), ["a", "b"], "left_anti")
+            if turn:
+                tried = work.spark.read.schema("a long, b long").parquet(*(f"{work.path}/pairs-{k}" for k in range(turn)))
+                pairs = pairs.join(tried, ["a", "b"], "left_anti")
             new = work.links(pairs, str(turn))
         many = new.count()
         if turn == 0:
@@ -633,9 +620,7 @@ def components(documents: DataFrame, size: int = 4, percent: int = 85, key: str
     placed = members.where("node IS NOT NULL").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     # Written, so that the join below has plain sides: a component that very many documents are in is split by adaptive execution.
-    smallest.write.parquet(f"{path}/smallest")
-    placed.write.parquet(f"{path}/placed")
-    spark = documents.sparkSession
-    named = spark.read.parquet(f"{path}/placed").join(spark.read.parquet(f"{path}/smallest"), "root")
+    smallest = written(smallest, f"{path}/smallest")
+    named = written(placed, f"{path}/placed").join(smallest, "root")
     alone = members.where("node IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return named.select("doc_id", F.col("n").alias("n_shingles"), "component_id").union(alone)

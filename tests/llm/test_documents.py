@@ -2,6 +2,7 @@
 
 import html
 import re
+import uuid
 import zlib
 from collections import Counter, defaultdict
 
@@ -293,6 +294,44 @@ def test_connected_components_of_long_chains(spark, tmp_path):
     assert components.connected(spark.createDataFrame([], "a long, b long"), str(tmp_path / "none")).count() == 0
 
 
+def jobs_of(spark, work):
+    """How many jobs this starts: each stage of a plan costs the driver a broadcast, a thread and a new plan."""
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        work()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_finished_components_take_no_further_round(spark, tmp_path):
+    stars = spark.createDataFrame([(10 * k, 10 * k + j) for k in range(5) for j in range(1, 8)], "a long, b long")
+    found = []
+    many = jobs_of(spark, lambda: found.append(components.connected(stars, str(tmp_path / "stars"))))
+    assert bag(found[0]) == bag(spark.createDataFrame([(10 * k + j, 10 * k) for k in range(5) for j in range(8)], "node long, root long"))
+    assert [p.name for p in (tmp_path / "stars").iterdir()] == ["0"]
+    assert many <= 8
+
+
+def test_the_filter_comes_in_few_jobs_whatever_the_partitions(spark, documents):
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    work = jaccard.Join(documents(*near_copies()[:60]), 4, 85, "doc_id", "text")
+    nodes = work.members.where("node IS NOT NULL").select("node")
+    sets = []
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        many = jobs_of(spark, lambda: sets.append(work.write_sets(nodes, "all").select("node").distinct().count()))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+        work.forget_tables()
+    assert sets == [nodes.distinct().count()]
+    assert many <= 30
+
+
 def passage_documents(many):
     """Texts that share a passage, of which few are linked: those of ten a number, with one word of their own at the end."""
     draw = np.random.default_rng(11)
