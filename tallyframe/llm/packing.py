@@ -22,11 +22,13 @@ import zlib
 from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from tallyframe.llm.words import ranges, text_chunks
 from tallyframe.llm.workers import KEPT, lean
 
 SEQUENCE = 2048
@@ -37,6 +39,8 @@ CACHE_BYTES, RUN_BYTES = 48 << 20, 8 << 20
 CACHE_LENGTH = 100
 #: What an entry takes besides its text and ids.
 _ENTRY = 180
+#: Bytes, about, of the texts that are encoded at once. A run of more bytes than the second number goes through the tokenizer's own model.
+BLOCK_BYTES, RUN_LENGTH = 1 << 20, 400
 #: Sweeps of the least-squares fit.
 SWEEPS = 60
 
@@ -52,7 +56,7 @@ def _shown_bytes() -> dict[int, str]:
 
 
 _SHOWN = _shown_bytes()
-_encoders: dict[str, "_Encoder"] = KEPT.setdefault("packing", {})
+_encoders: dict[str, "_Texts"] = KEPT.setdefault("packing", {})
 
 
 class _Kept:
@@ -143,24 +147,186 @@ class _Encoder:
         return b"".join(ids)
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], file: str, sequence: int, key_type: pa.DataType, keep_ids: bool) -> Iterator[pa.RecordBatch]:
-    encoder = _encoders.get(file) or _encoders.setdefault(file, _Encoder(file))
-    end = np.zeros(1, "<u4").tobytes()
+#: Kinds of characters: white space, letters, numbers, signs, and the end of a text, which is a byte that Latin texts here do not hold.
+_SPACE, _LETTER, _NUMBER, _SIGN, _BREAK = range(5)
+_BREAK_BYTE = b"\x1c"
+
+
+def _symbol_codes() -> np.ndarray:
+    """A code point for each byte within a run (0 to 255) and each byte that ends one (256 to 511).
+
+    Those of the first kind lie below U+0040 or from U+0080 to U+013F, the others from U+0040 to U+007F or U+0140 to U+01FF, so that a run is
+    told by its end; the usual ones take one byte.
+    """
+    codes = np.zeros(512, np.uint32)
+    inner = b"abcdefghijklmnopqrstuvwxyz\xc2\xc3" + bytes(range(0xA0, 0xC0))
+    final = b"abcdefghijklmnopqrstuvwxyz0123456789.,:;!?'\"()*-" + bytes(range(0xA8, 0xB8))
+    for usual, short, long, base in ((inner, 0x00, 0x80, 0), (final, 0x40, 0x140, 256)):
+        for k, byte in enumerate(dict.fromkeys([*usual, *range(256)])):
+            codes[base + byte] = short + k if k < 64 else long + k - 64
+    return codes
+
+
+_CODES = _symbol_codes()
+_RUN_PATTERN = r"[\x00-\x3f\x80-\u{13f}]*[\x40-\x7f\u{140}-\u{1ff}]|\u{7ff}"
+_BREAK_CODE = "\u07ff"
+
+
+def _coded(name: str) -> str:
+    """An entry of the vocabulary in these code points."""
+    whole = name.endswith("</w>") and len(name) > 4
+    symbols = [_BYTES[c] for c in (name[:-4] if whole else name)]
+    return "".join(chr(_CODES[s + 256 * (whole and k == len(symbols) - 1)]) for k, s in enumerate(symbols))
+
+
+_BYTES = {shown: byte for byte, shown in _SHOWN.items()}
+
+
+def _model(file: str) -> dict:
+    with open(file, encoding="utf-8") as content:
+        return json.load(content)["model"]
+
+
+@lru_cache(maxsize=4)
+def merges_by_rank(file: str) -> bool:
+    """Whether joining neighbours by the id of what they make gives the tokenizer's ids.
+
+    It does if symbols come before merges, merges stand in the order of their ids, and every entry of the vocabulary is what its own symbols become. For then
+    the steps inside a token's bytes are those that it takes alone, whatever stands beside it, and the last of them is its one merge.
+    """
+    from tokenizers.models import BPE
+
+    model = _model(file)
+    vocabulary = {_coded(name): number for name, number in model["vocab"].items()}
+    merges = [tuple(map(_coded, m if isinstance(m, list) else m.split(" "))) for m in model["merges"]]
+    made = [vocabulary[a + b] for a, b in merges]
+    symbols = [number for name, number in vocabulary.items() if len(name) == 1]
+    if len(symbols) < 512 or len(symbols) + len(set(made)) != len(vocabulary) or made != sorted(made) or min(made, default=512) < max(symbols):
+        return False
+    alone = BPE(vocabulary, merges)
+    return all(len(alone.tokenize(name)) == 1 for name in vocabulary)
+
+
+class _Latin:
+    """Token ids of texts of Latin letters and ASCII signs, many texts at a time.
+
+    Runs are found for all bytes at once, as the tokenizer splits: letters, single numbers, signs, and an apostrophe with the letters of a
+    contraction. The bytes of the distinct ones become code points that tell whether a byte ends its run, and a faster library joins them by the
+    same vocabulary.
+    """
+
+    def __init__(self, file: str):
+        import regex
+        import tiktoken
+
+        vocabulary = {_coded(name): number for name, number in _model(file)["vocab"].items()}
+        self.end = max(vocabulary.values()) + 1
+        ranks = {name.encode(): number for name, number in vocabulary.items()} | {_BREAK_CODE.encode(): self.end}
+        self.core = tiktoken.Encoding("runs", pat_str=_RUN_PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.codes = _CODES.astype("<u4")
+        self.codes[256 + _BREAK_BYTE[0]] = ord(_BREAK_CODE)
+        letter, number = regex.compile(r"\p{L}").match, regex.compile(r"\p{N}").match
+        kind = lambda c: _SPACE if c.isspace() else _LETTER if letter(c) else _NUMBER if number(c) else _SIGN
+        self.kinds = np.array([kind(chr(c)) for c in range(0x800)], np.uint8)
+        self.kinds[_BREAK_BYTE[0]] = _BREAK
+        #: The ids that end a run.
+        self.final = np.zeros(self.end + 1, bool)
+        self.final[[number for name, number in vocabulary.items() if 0x40 <= ord(name[-1]) < 0x80 or ord(name[-1]) >= 0x140] + [self.end]] = True
+        self.contracted = np.zeros(256, bool)
+        self.contracted[list(b"stmd")] = True
+
+    def ids(self, texts: list[bytes]) -> list[np.ndarray | None]:
+        """The ids of each text with the closing token; None for texts with a very long run."""
+        if not texts:
+            return []
+        data = np.frombuffer((_BREAK_BYTE.join(texts) + _BREAK_BYTE).decode().lower().encode(), np.uint8)
+        kind = self.kinds[data]
+        lead = np.flatnonzero(data >= 0xC0)
+        kind[lead] = kind[lead + 1] = self.kinds[(data[lead].astype(np.int64) & 31) << 6 | data[lead + 1] & 63]
+        begins = np.ones(len(data), bool)
+        np.not_equal(kind[1:], kind[:-1], out=begins[1:])
+        begins |= (kind == _NUMBER) | (kind == _BREAK)
+        begins &= (data & 0xC0) != 0x80
+        quote = np.flatnonzero(begins & (data == ord("'")))
+        one, two = data[quote + 1], data[np.minimum(quote + 2, len(data) - 1)]
+        short = self.contracted[one]
+        pair = (two == ord("e")) & ((one == ord("r")) | (one == ord("v"))) | (one == ord("l")) & (two == ord("l"))
+        begins[quote[short | pair] + 1] = False
+        begins[quote[short] + 2] = True
+        begins[quote[pair] + 3] = True
+        first = np.flatnonzero(begins)
+        size = np.diff(first, append=len(data))
+        long = first[(size > RUN_LENGTH) & (kind[first] != _SPACE)]
+        if len(long):
+            gone = set(np.searchsorted(np.flatnonzero(kind == _BREAK), long).tolist())
+            others = iter(self.ids([text for k, text in enumerate(texts) if k not in gone]))
+            return [None if k in gone else next(others) for k in range(len(texts))]
+        used = kind != _SPACE
+        data, begins, kind = data[used], begins[used], kind[used]
+        first = np.flatnonzero(begins)
+        bounds = np.append(first, len(data)).astype(np.int64)
+        runs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(bounds), pa.py_buffer(data)]).dictionary_encode()
+        many, flat = self.joined(runs.dictionary)
+        run = runs.indices.to_numpy()
+        sizes = many[run]
+        found = flat[ranges((np.cumsum(many) - many)[run], sizes)]
+        return np.split(found, np.cumsum(sizes)[kind[first] == _BREAK][:-1])
+
+    def joined(self, runs: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each of these runs has, and the ids of all; the end of a text has the closing token."""
+        _, bounds, data = runs.buffers()
+        bounds = np.frombuffer(bounds, np.int64)[runs.offset : runs.offset + len(runs) + 1]
+        symbol = np.frombuffer(data, np.uint8)[: bounds[-1]].astype(np.uint16)
+        symbol[bounds[1:] - 1] += 256
+        flat = self.core.encode_to_numpy(self.codes[symbol[bounds[0] :]].tobytes().decode("utf-32-le")).astype("<u4")
+        many = np.diff(np.flatnonzero(self.final[flat]), prepend=-1)
+        flat[flat == self.end] = 0
+        return many, flat
+
+
+class _Texts:
+    """Token ids of texts: Latin ones many at a time if ``by_rank``, the others by their chunks."""
+
+    def __init__(self, file: str, by_rank: bool):
+        self.file, self.latin, self.chunked = file, _Latin(file) if by_rank else None, None
+
+    def one(self, text: str) -> np.ndarray:
+        self.chunked = self.chunked or _Encoder(self.file)
+        return np.frombuffer(self.chunked.encode(text) + bytes(4), "<u4")
+
+    def ids(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        """The ids of the texts that lie at the offsets of the bytes, each with the closing token."""
+        whole = data.tobytes()
+        texts = [whole[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+        if self.latin is None:
+            return [self.one(text.decode()) for text in texts]
+        after = np.append(data[1:], 0).astype(data.dtype)
+        # Characters from U+0200 on, signs that may begin a special token, and control characters that count as white space here or there.
+        odd = (data > 0xC7) | (data == ord("<")) & (after == ord("|")) | (data >= 0x1C) & (data <= 0x1F)
+        other = np.zeros(len(texts), bool)
+        other[np.searchsorted(offsets, np.flatnonzero(odd), side="right") - 1] = True
+        latin = iter(self.latin.ids([text for text, no in zip(texts, other, strict=True) if not no]))
+        found = [None if no else next(latin) for no in other]
+        return [self.one(text.decode()) if ids is None else ids for text, ids in zip(texts, found, strict=True)]
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], file: str, by_rank: bool, sequence: int, key_type: pa.DataType, keep_ids: bool) -> Iterator[pa.RecordBatch]:
+    encoder = _encoders.get(file) or _encoders.setdefault(file, _Texts(file, by_rank))
     for batch in batches:
-        keys, texts = batch.column(0), batch.column(1)
+        keys = batch.column(0)
         rows, numbers, starts, lengths, sums, ids = [], [], [], [], [], []
-        for row in range(batch.num_rows):
-            data = encoder.encode(texts[row].as_py() or "") + end
-            for number, at in enumerate(range(0, len(data), 4 * sequence)):
-                part = data[at : at + 4 * sequence]
-                rows.append(row)
-                numbers.append(number)
-                starts.append(at // 4)
-                lengths.append(len(part) // 4)
-                sums.append(zlib.crc32(part))
-                if keep_ids:
-                    ids.append(np.frombuffer(part, "<u4").astype(np.int32))
-        columns = [keys.take(pa.array(rows, pa.int64())).cast(key_type), pa.array(numbers, pa.int32()), *(pa.array(x, pa.int64()) for x in (starts, lengths, sums))]
+        for first, data, offsets in text_chunks(batch.column(1), BLOCK_BYTES):
+            for row, found in enumerate(encoder.ids(data, offsets), first):
+                for number, at in enumerate(range(0, len(found), sequence)):
+                    part = found[at : at + sequence]
+                    rows.append(row)
+                    numbers.append(number)
+                    starts.append(at)
+                    lengths.append(len(part))
+                    sums.append(zlib.crc32(part))
+                    if keep_ids:
+                        ids.append(part.astype(np.int32))
+            columns = [keys.take(pa.array(rows, pa.int64())).cast(key_type), pa.array(numbers, pa.int32()), *(pa.array(x, pa.int64()) for x in (starts, lengths, sums))]
         names = ["key", "piece", "start", "length", "ids_crc32"]
         if keep_ids:
             columns.append(pa.array(ids, pa.list_(pa.int32())))
@@ -173,8 +339,8 @@ def write_pieces(documents: DataFrame, path: str, file: str, key: str = "doc_id"
     kind = dict(documents.dtypes)[key]
     arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
     schema = f"key {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids
-    rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    rows.mapInArrow(lean(lambda batches: _pieces(batches, file, sequence, arrow, keep_ids), "packing"), schema).write.parquet(path)
+    rows, by_rank = documents.select(F.col(key).alias("key"), F.col(text).alias("text")), merges_by_rank(file)
+    rows.mapInArrow(lean(lambda batches: _pieces(batches, file, by_rank, sequence, arrow, keep_ids), "packing"), schema).write.parquet(path)
 
 
 def patterns_of(lengths: list[int], sequence: int = SEQUENCE) -> list[tuple[int, ...]]:

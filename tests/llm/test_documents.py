@@ -1,7 +1,9 @@
 """Main text, packing, decontamination, near copies and the pipeline against brute force."""
 
 import html
+import json
 import re
+import tracemalloc
 import uuid
 import zlib
 from collections import Counter, defaultdict
@@ -13,8 +15,9 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tallyframe.llm import components, jaccard, language, packing, personal, positional, workers, wrapper
+from tallyframe.llm import components, jaccard, language, packing, personal, positional, words, workers, wrapper
 from tallyframe.llm.queries import op3_packing, op6_decontamination, op8_near_copies, tokenizer_file
+from tallyframe.llm.words import text_chunks
 from tallyframe.session import scratch_path
 from tests.conftest import bag
 
@@ -466,3 +469,34 @@ def test_other_tasks_drop_what_packing_kept():
     packing._encoders["one"] = object()
     assert list(workers.lean(lambda batches: batches, "packing")(iter([1]))) == [1] and "one" in packing._encoders
     assert list(workers.lean(lambda batches: batches)(iter([1]))) == [1] and "one" not in packing._encoders
+
+
+def texts_ids(texts, by_rank=True):
+    column = pa.array([t or "" for t in texts])
+    encoder = packing._Texts(tokenizer_file(), by_rank)
+    return [ids for _, data, offsets in text_chunks(column, 1000) for ids in encoder.ids(data, offsets)], encoder
+
+
+def test_texts_encode_many_at_a_time_like_the_tokenizer():
+    tokenizer = Tokenizer.from_file(tokenizer_file())
+    points = [c for c in range(0x3000) if not 0xD800 <= c < 0xE000]
+    texts = [f"ab{chr(c)}cd {chr(c)} É'S{chr(c)}'{chr(c)}" for c in points]
+    ends = ["s", "t", "re", "ve", "m", "ll", "d", "l", "r", "v", "x", "S", "'", "''s", "1", "", " "]
+    texts += [f"{a}'{b}{c}" for a in ("", "we", "9", '"', "'s", " ") for b in ends for c in ("", "z", "'s", " it", "5", "é", "!", "\x1c")]
+    texts += ["", " ", "a" * 399, "b" * 401 + " c", "don't " + "xy" * 3000 + " we'll", "word " * 500, "²³½ªº ÀÉß×÷ı İI 12", "a\u0307b", "<| <|endoftext|> |>", "漢字 word wörd’s"]
+    found, encoder = texts_ids(texts)
+    assert encoder.latin is not None and packing.merges_by_rank(tokenizer_file())
+    for text, ids, whole in zip(texts, found, tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert ids.tolist() == [*whole.ids, 0], repr(text)[:80]
+
+
+def test_latin_texts_need_no_chunks_and_other_vocabularies_no_ranks(tmp_path):
+    texts = ["Words of Latin letters, 12 numbers; don't.", "wörd"]
+    found, encoder = texts_ids(texts)
+    assert encoder.chunked is None
+    slow, encoder = texts_ids(texts, by_rank=False)
+    assert encoder.chunked is not None and [x.tolist() for x in found] == [x.tolist() for x in slow]
+    content = json.loads(open(tokenizer_file(), encoding="utf-8").read())
+    content["model"]["merges"].reverse()
+    (file := tmp_path / "reversed.json").write_text(json.dumps(content))
+    assert not packing.merges_by_rank(str(file))
