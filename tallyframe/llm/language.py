@@ -35,6 +35,10 @@ CLIP = 6.0
 SWITCH = 8.0
 FOREIGN = 12.0
 BLOCK = 1024
+#: Bytes of the texts whose words are in memory at once, of those to learn from and of those to label. Learning takes up to some 250 bytes for each, labelling some 60.
+LEARNED, LABELLED = 1 << 19, 2 << 20
+#: Distinct words that are scored at once.
+WORDS = 1 << 16
 #: A language uses a script in which at least this share of its letters was seen.
 SCRIPT_SHARE = 0.02
 
@@ -100,17 +104,23 @@ def _count(batches: Iterator[pa.RecordBatch], languages: list[str]) -> Iterator[
     number = {name: k for k, name in enumerate(languages)}
     for batch in batches:
         language = np.array([number[x] for x in batch.column("lang").to_pylist()], dtype=np.int64)
-        for row, data, offsets in text_chunks(batch.column("text")):
+        keys, sums = np.zeros(0, np.int64), np.zeros(0)
+        for row, data, offsets in text_chunks(batch.column("text"), LEARNED):
             words = words_of(data, offsets, LETTERS)
             if not len(words.hashes):
                 continue
             owner = language[row + words.owner()]
-            feature, word = _features(data, words.start, words.end, words.hashes)
-            script = FEATURES + _scripts(data, words.start, words.end)
-            key = np.concatenate([feature * len(languages) + owner[word], script * len(languages) + owner])
-            many = np.concatenate([np.ones(len(feature), np.int64), words.end - words.start])
-            distinct, place = np.unique(key, return_inverse=True)
-            yield pa.RecordBatch.from_arrays([pa.array(distinct), pa.array(np.bincount(place, weights=many).astype(np.int64))], names=["key", "n"])
+            script = (FEATURES + _scripts(data, words.start, words.end)) * len(languages) + owner
+            # A word's features are found once for each language that has it in the chunk.
+            _, which = np.unique(words.hashes, return_inverse=True)
+            _, one, times = np.unique(which * len(languages) + owner, return_index=True, return_counts=True)
+            feature, word = _features(data, words.start[one], words.end[one], words.hashes[one])
+            added = np.concatenate([keys, feature * len(languages) + owner[one][word], script])
+            many = np.concatenate([sums, times[word], words.end - words.start])
+            keys, place = np.unique(added, return_inverse=True)
+            sums = np.bincount(place, weights=many)
+        if len(keys):
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sums.astype(np.int64))], names=["key", "n"])
 
 
 def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
@@ -132,13 +142,17 @@ def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
 def _word_scores(model: Model, data: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """A row of scores for each word; equal words are scored once."""
     _, one, which = np.unique(hashes, return_index=True, return_inverse=True)
-    feature, word = _features(data, start[one], end[one], hashes[one])
-    count = len(model.languages)
-    scores = np.stack([np.bincount(word, weights=model.ratios[feature, k], minlength=len(one)) for k in range(count)], axis=1)
+    parts = [_distinct_scores(model, data, start[some], end[some], hashes[some]) for some in np.split(one, range(WORDS, len(one), WORDS))]
+    return np.concatenate(parts)[which]
+
+
+def _distinct_scores(model: Model, data: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    feature, word = _features(data, start, end, hashes)
+    scores = np.stack([np.bincount(word, weights=model.ratios[feature, k], minlength=len(hashes)) for k in range(len(model.languages))], axis=1)
     scores = np.clip(scores, -CLIP, CLIP)
-    allowed = model.allowed[_scripts(data, start[one], end[one])]
+    allowed = model.allowed[_scripts(data, start, end)]
     scores -= FOREIGN * (~allowed & allowed.any(axis=1, keepdims=True))
-    return scores[which].astype(np.float32)
+    return scores.astype(np.float32)
 
 
 def _forward(scores: np.ndarray, begin: np.ndarray, live: list[int], value: np.ndarray, switch: float, keep: bool) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -225,7 +239,7 @@ def _has_letter(text: str) -> bool:
 def _label(batch: pa.RecordBatch, text: str, model: Model, with_spans: bool) -> tuple[list, list, list]:
     column = batch.column(batch.schema.names.index(text))
     languages, names, shares, spans = model.languages, [], [], []
-    for row, data, offsets in text_chunks(column):
+    for row, data, offsets in text_chunks(column, LABELLED):
         words = words_of(data, offsets, LETTERS)
         docs = len(offsets) - 1
         if not languages or not len(words.hashes):

@@ -18,6 +18,8 @@ import pyarrow.compute as pc
 
 #: Documents are cut into chunks of about so many bytes, which bounds the arrays of one step; one document is never cut.
 CHUNK_BYTES = 4 << 20
+#: Words of a chunk are hashed about so many bytes at a time; one word is never cut.
+PART_BYTES = 1 << 18
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -95,14 +97,24 @@ def words_of(data: np.ndarray, offsets: np.ndarray, rule: np.ndarray) -> Words:
     first = np.searchsorted(start, offsets).astype(np.int64)
     if not len(start):
         return Words(np.zeros(0, np.uint64), first, start, start)
-    letters = _BYTE[_LOWER[data[inside]]]
-    begin = np.cumsum(inside)[start] - 1
-    lengths = np.diff(np.append(begin, len(letters)))
-    place = np.arange(len(letters)) - np.repeat(begin, lengths)
+    last = inside.copy()
+    last[:-1] &= ~inside[1:] | opens[1:]
+    end = np.flatnonzero(last) + 1
+    lengths = end - start
     with np.errstate(over="ignore"):
         powers = np.cumprod(np.full(int(lengths.max()), _BASE, dtype=np.uint64))
-        hashes = np.add.reduceat(letters * powers[place], begin)
-    return Words(mix(hashes), first, start, start + lengths)
+        # A part of the words at a time, so that numbers for each byte are few.
+        parts = np.unique(np.append(np.searchsorted(start, np.arange(0, len(data), PART_BYTES)), len(start)))
+        hashes = [_polynomials(data[start[a] : end[b - 1]], inside[start[a] : end[b - 1]], lengths[a:b], powers) for a, b in zip(parts, parts[1:], strict=False)]
+    return Words(mix(np.concatenate(hashes)), first, start, end)
+
+
+def _polynomials(data: np.ndarray, inside: np.ndarray, lengths: np.ndarray, powers: np.ndarray) -> np.ndarray:
+    """For words in turn, the sum of their bytes' numbers times powers of the base."""
+    letters = _BYTE[_LOWER[data[inside]]]
+    begin = np.cumsum(lengths) - lengths
+    place = np.arange(len(letters)) - np.repeat(begin, lengths)
+    return np.add.reduceat(letters * powers[place], begin)
 
 
 def run_hashes(hashes: np.ndarray, size: int) -> np.ndarray:

@@ -500,3 +500,64 @@ def test_latin_texts_need_no_chunks_and_other_vocabularies_no_ranks(tmp_path):
     content["model"]["merges"].reverse()
     (file := tmp_path / "reversed.json").write_text(json.dumps(content))
     assert not packing.merges_by_rank(str(file))
+
+
+def feature_counts(texts, langs):
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(langs)], names=["text", "lang"])
+    found = Counter()
+    for part in language._count(iter([batch]), sorted(set(langs))):
+        for key, n in zip(*(part.column(k).to_pylist() for k in (0, 1)), strict=True):
+            found[key] += n
+    return found
+
+
+def test_learning_counts_every_word_of_every_language():
+    texts = ["The the THE cat", "the chat", None, "", "Кот the", "cat " * 300_000, "the cat"]
+    langs = ["en", "fr", "en", "fr", "ru", "en", "fr"]
+    want = Counter()
+    for text, lang in zip(texts, langs, strict=True):
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        words = language.words_of(data, np.array([0, len(data)]), language.LETTERS)
+        at = ["en", "fr", "ru"].index(lang)
+        for k in range(len(words.hashes) if lang != "en" or len(data) < 100 else 0):
+            one = slice(k, k + 1)
+            want.update((language._features(data, words.start[one], words.end[one], words.hashes[one])[0] * 3 + at).tolist())
+            want[int(language.FEATURES + language._scripts(data, words.start[one], words.end[one])[0]) * 3 + at] += int(words.end[k] - words.start[k])
+    few = feature_counts(["cat"], ["en"])
+    for key, n in few.items():
+        want[key * 3] += n * 300_000
+    assert feature_counts(texts, langs) == want
+
+
+def test_learning_and_labelling_stay_in_little_memory():
+    letters = np.random.default_rng(1).integers(97, 123, (400, 2000, 6), np.uint8)
+    letters[:, :, 5] = 32
+    texts = [one.tobytes().decode() for one in letters]
+    langs = [("de", "en")[k % 2] for k in range(len(texts))]
+    model = language.Model(["de", "en"], np.zeros((language.FEATURES, 2), np.float32), np.ones((14, 2), bool))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(langs)], names=["text", "lang"])
+    for work in (lambda: list(language._count(iter([batch]), ["de", "en"])), lambda: language._label(batch, "text", model, False)):
+        tracemalloc.start()
+        work()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 250e6
+
+
+def test_words_are_hashed_in_parts_and_little_memory(monkeypatch):
+    data = np.random.default_rng(2).integers(97, 123, 4 << 20, np.uint8)
+    data[::7] = 32
+    offsets = np.array([0, 1000, 1000, len(data) - 3, len(data)])
+    tracemalloc.start()
+    found = words.words_of(data, offsets, words.SPACED)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6
+    monkeypatch.setattr(words, "PART_BYTES", 1 << 30)
+    whole = words.words_of(data, offsets, words.SPACED)
+    for name in ("hashes", "first", "start", "end"):
+        assert np.array_equal(getattr(found, name), getattr(whole, name))
+    text = b"one  Two\tthree" + "wörd".encode() * 3 + b" two"
+    monkeypatch.setattr(words, "PART_BYTES", 1)
+    alone = [words.words_of(np.frombuffer(w, np.uint8), np.array([0, len(w)]), words.SPACED).hashes[0] for w in text.split()]
+    assert words.words_of(np.frombuffer(text, np.uint8), np.array([0, len(text)]), words.SPACED).hashes.tolist() == alone and alone[1] == alone[3]
